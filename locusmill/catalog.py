@@ -9,6 +9,7 @@ from locusmill import views as V
 from locusmill.functions import alleles as A
 from locusmill.functions import clinical, consequences, identifiers, lof, names
 from locusmill.functions import genotypes as G
+from locusmill.functions.basics import explode_computed
 from locusmill.operators import cohort as C
 from locusmill.operators import expression as X
 from locusmill.operators import frequencies as FQ
@@ -254,7 +255,7 @@ def qual_hist_structs(spark, sf):
         )
         for part in parts
     ]
-    return grouped.select(*KEYS, F.explode(F.array(*named)).alias("n")).select(
+    return explode_computed(grouped, F.array(*named), "n").select(
         *KEYS,
         "n.hist",
         _joined(F.col("n.h.bin_freq").cast("array<string>")).alias("bin_freq"),
@@ -400,7 +401,7 @@ def _transcripts(spark, sf, **options):
 
 @query
 def sorted_transcripts(spark, sf):
-    exploded = _transcripts(spark, sf).select("l_orderkey", "seed", F.explode("transcripts").alias("t"))
+    exploded = explode_computed(_transcripts(spark, sf), F.col("transcripts"), "t")
     scalars = [f for f in consequences.BASE_FIELDS + consequences.CODING_FIELDS]
     return exploded.select(
         "l_orderkey",
@@ -416,9 +417,8 @@ def sorted_transcripts(spark, sf):
 @query
 def sorted_transcripts_basic(spark, sf):
     """Without coding annotations, and with no term omitted."""
-    exploded = _transcripts(spark, sf, coding_annotations=False, omit=None).select(
-        "l_orderkey", "seed", F.explode("transcripts").alias("t")
-    )
+    transcripts = _transcripts(spark, sf, coding_annotations=False, omit=None)
+    exploded = explode_computed(transcripts, F.col("transcripts"), "t")
     fields = [f for f in consequences.BASE_FIELDS if f != "hgvsp"]
     return exploded.select(
         "l_orderkey", "seed", *[F.col(f"t.{f}").alias(f) for f in fields],
@@ -485,9 +485,7 @@ def lof_flags_gene(spark, sf):
 
 @query
 def lof_flags_transcript(spark, sf):
-    exploded = _flagged(spark, sf).select(
-        "l_orderkey", "seed", F.explode("sortedTranscriptConsequences").alias("t")
-    )
+    exploded = explode_computed(_flagged(spark, sf), F.col("sortedTranscriptConsequences"), "t")
     return exploded.select("l_orderkey", "seed", "t.transcript_id", "t.flags.*")
 
 
@@ -512,7 +510,7 @@ def tissue_means(spark, sf):
     table = companions.tissue_table(V.expression(spark, sf), V.tissue_attributes(spark, sf))
     return table.select(
         "transcriptId", "geneId",
-        *[F.round(c, 4).alias(c) for c in table.columns if c not in ("transcriptId", "geneId")],
+        *[F.round(c, 7).alias(c) for c in table.columns if c not in ("transcriptId", "geneId")],
     )
 
 
@@ -520,9 +518,9 @@ def tissue_means(spark, sf):
 def tissue_stats(spark, sf):
     tissues = V.tissue_attributes(spark, sf).select(F.col("SAMPID").alias("col_id"), F.col("SMTSD").alias("tissue"))
     long = V.expression(spark, sf).join(tissues.where("tissue is not null"), "col_id")
-    stats = X.tissue_stats(long, ["gene_id"])
+    stats = X.tissue_stats(long, ["transcript_id"])
     return stats.select(
-        "gene_id", "tissue", F.round("mean", 4).alias("mean"), F.round("stdev", 4).alias("stdev"),
+        "transcript_id", "tissue", F.round("mean", 7).alias("mean"), F.round("stdev", 4).alias("stdev"),
         "min", "max", "n", F.round("sum", 2).alias("total"),
     )
 

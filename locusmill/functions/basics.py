@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,3 +30,13 @@ def flatten_present(arrays: Column) -> Column:
 
 def last_part(text: Column, separator: str) -> Column:
     return F.substring_index(text, separator, -1)
+
+
+def explode_computed(frame: DataFrame, array: Column, name: str) -> DataFrame:
+    """One row per non-null element of an array expression.
+
+    The inner form of explode makes the optimizer test the array in a filter of its own, which
+    evaluates the expression a second time. The outer form does not, and empty arrays drop out
+    afterwards.
+    """
+    return frame.withColumn(name, F.explode_outer(array)).where(F.col(name).isNotNull())

@@ -45,14 +45,17 @@ def term_rank(term: Column) -> Column:
 
 
 def major_term(terms: Column) -> Column:
-    """The most severe term; unknown terms come last, ties keep their order."""
+    """``struct(rank, place, term)`` of the most severe term.
+
+    Unknown terms come last, with the number of known terms as rank; ties keep their order.
+    """
     ranked = F.transform(
         terms,
         lambda t, i: F.struct(
             F.coalesce(term_rank(t), F.lit(len(RANK))).alias("rank"), i.alias("place"), t.alias("term")
         ),
     )
-    return F.array_min(ranked)["term"]
+    return F.array_min(ranked)
 
 
 def category(rank: Column) -> Column:
@@ -107,8 +110,8 @@ def sorted_transcripts(
         terms = transcript["consequence_terms"]
         return F.filter(terms, lambda t: ~t.isin(omitted)) if omitted else terms
 
-    def annotate(transcript: Column, terms: Column, major: Column) -> list[Column]:
-        rank = term_rank(major)
+    def annotate(transcript: Column, terms: Column, worst: Column) -> list[Column]:
+        major, rank = worst["term"], F.when(worst["rank"] < len(RANK), worst["rank"])
         domains = [] if not coding_annotations else [domain_names(transcript["domains"]).alias("domains")]
         return [
             *[transcript[f].alias(f) for f in kept_fields],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from locusmill.functions.basics import as_set
+from locusmill.functions.basics import as_set, let
 
 
 def _annotated(transcripts: Column) -> Column:
@@ -57,22 +57,36 @@ def variant_flags(transcripts: Column) -> Column:
     )
 
 
-def flag_transcripts(transcripts: Column, low_confidence_genes: Column, flagged_genes: Column) -> Column:
-    """Add a ``flags`` struct to every transcript. Pass the gene sets as computed columns."""
+def flag_transcripts(transcripts: Column) -> Column:
+    """Add a ``flags`` struct to every transcript.
+
+    The gene sets are bound once per variant. As plain columns they would be put back into the
+    lambda by the optimizer and be computed again for every transcript.
+    """
 
     def holds_gene(genes: Column, t: Column) -> Column:
         return F.coalesce(F.array_contains(genes, t["gene_id"]), F.lit(False))
 
-    return F.transform(
-        transcripts,
-        lambda t: t.withField(
-            "flags",
-            F.struct(
-                transcript_low_confidence(t).alias("lc_lof"),
-                holds_gene(low_confidence_genes, t).alias("lc_lof_in_gene"),
-                transcript_flagged(t).alias("lof_flag"),
-                holds_gene(flagged_genes, t).alias("lof_flag_in_gene"),
-                ((t["category"] == "lof") & (t["lof"] == "")).alias("nc_transcript"),
+    def add_flags(bound: Column) -> Column:
+        return F.transform(
+            bound["transcripts"],
+            lambda t: t.withField(
+                "flags",
+                F.struct(
+                    transcript_low_confidence(t).alias("lc_lof"),
+                    holds_gene(bound["low_confidence"], t).alias("lc_lof_in_gene"),
+                    transcript_flagged(t).alias("lof_flag"),
+                    holds_gene(bound["flagged"], t).alias("lof_flag_in_gene"),
+                    ((t["category"] == "lof") & (t["lof"] == "")).alias("nc_transcript"),
+                ),
             ),
+        )
+
+    return let(
+        F.struct(
+            transcripts.alias("transcripts"),
+            genes_low_confidence(transcripts).alias("low_confidence"),
+            genes_flagged(transcripts).alias("flagged"),
         ),
+        add_flags,
     )

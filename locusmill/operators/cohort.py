@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from locusmill.functions import alleles as A
 from locusmill.functions import genotypes as G
+from locusmill.functions.basics import explode_computed
 
 
 @dataclass(frozen=True)
@@ -29,19 +30,14 @@ def add_site_allele_data(sites: DataFrame) -> DataFrame:
 
 
 def _kept_alternates(alleles: Column) -> Column:
-    """Allele numbers that a split keeps: all alternates but ``*``."""
-    numbered = F.transform(
-        A.alternates(alleles), lambda a, i: F.when(a != "*", i + 1)
-    )
-    return F.array_compact(numbered)
+    """Allele numbers that a split keeps; NULL in the place of a ``*``, which explode skips."""
+    return F.transform(A.alternates(alleles), lambda a, i: F.when(a != "*", i + 1))
 
 
 def split_sites(sites: DataFrame) -> DataFrame:
     """One row per alternate, in minimal representation. Other row fields stay as they are."""
-    exploded = sites.select(
-        "*",
-        F.explode(_kept_alternates(F.col("alleles"))).alias("a_index"),
-        (F.size("alleles") > 2).alias("was_split"),
+    exploded = explode_computed(
+        sites.withColumn("was_split", F.size("alleles") > 2), _kept_alternates(F.col("alleles")), "a_index"
     )
     variant = A.minimal(F.col("position"), F.get("alleles", F.lit(0)), F.get("alleles", F.col("a_index")))
     trimmed = exploded.withColumn("_variant", variant)
@@ -61,7 +57,7 @@ def split_entries(entries: DataFrame) -> DataFrame:
     Needs the site's ``alleles`` beside each entry. PL is nulled before the split, so GQ stays
     as it is. Sites do not have to be joined: the minimal representation is site work.
     """
-    exploded = entries.withColumn("a_index", F.explode(_kept_alternates(F.col("alleles"))))
+    exploded = explode_computed(entries, _kept_alternates(F.col("alleles")), "a_index")
     return exploded.withColumns(
         {
             "GT": G.downcode(F.col("GT"), F.col("a_index")),

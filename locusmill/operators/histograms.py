@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusmill.functions import genotypes as G
+from locusmill.functions.basics import explode_computed
 
 BINS = 20
 # measure -> (start, end)
@@ -62,9 +63,8 @@ def quality_bins(entries: DataFrame, keys: list[str], with_calls: bool = True, w
     )
     non_ref = F.coalesce(G.is_non_ref(gt), F.lit(False)) if with_calls else F.lit(False)
     adj = F.coalesce(F.col("adj"), F.lit(False)) if with_adj else F.lit(False)
-    exploded = entries.select(
-        *keys, non_ref.alias("non_ref"), adj.alias("adj"), F.explode(pairs).alias("p")
-    ).where(F.col("p.bin").isNotNull())
+    selected = entries.select(*keys, non_ref.alias("non_ref"), adj.alias("adj"), pairs.alias("pairs"))
+    exploded = explode_computed(selected, F.col("pairs"), "p").where(F.col("p.bin").isNotNull())
     return exploded.groupBy(*keys, F.col("p.measure").alias("measure"), F.col("p.bin").alias("bin")).agg(
         F.count(F.lit(1)).alias("all"),
         F.count_if("non_ref").alias("alt"),
@@ -93,11 +93,7 @@ def histograms_long(entries: DataFrame, keys: list[str], **fields) -> DataFrame:
             for n in names
         ]
     )
-    return (
-        counts.select(*keys, "bin", F.explode(F.array_compact(rows)).alias("h"))
-        .select(*keys, "h.hist", "bin", "h.n")
-        .where("n > 0")
-    )
+    return explode_computed(counts, rows, "h").select(*keys, "h.hist", "bin", "h.n").where("n > 0")
 
 
 def quality_histograms(entries: DataFrame, keys: list[str], **fields) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusmill.functions.alleles import allele_class, alternates
+from locusmill.functions.basics import explode_computed
 
 
 def variant_summary(sites: DataFrame) -> DataFrame:
@@ -28,7 +29,7 @@ def variant_summary(sites: DataFrame) -> DataFrame:
         F.transform(alternates(F.col("alleles")), lambda alt: row("allele_type", allele_class(ref, alt))),
     )
     return (
-        sites.select(F.explode(labels).alias("l"))
+        explode_computed(sites, labels, "l")
         .groupBy(F.col("l.section").alias("section"), F.col("l.label").alias("label"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

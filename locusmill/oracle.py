@@ -79,7 +79,7 @@ entry AS (SELECT site_id, alleles, s, q AS dp, ep % 100 AS gq, ph AND NOT hap AS
   FROM drawn)"""
 
 SPLIT_ENTRY = """coded AS (SELECT site_id, CAST(i AS BIGINT) AS a_index, s, dp, gq, phased,
-  CAST(a0 = i AS BIGINT) AS d0, CAST(a1 = i AS BIGINT) AS d1, list_sum(ad) - ad[i + 1] AS ad_other, ad[i + 1] AS ad_alt
+  CAST(a0 = i AS BIGINT) AS d0, CAST(a1 = i AS BIGINT) AS d1, CAST(list_sum(ad) AS BIGINT) - ad[i + 1] AS ad_other, ad[i + 1] AS ad_alt
   FROM entry, unnest(range(1, len(alleles))) AS t(i) WHERE alleles[i + 1] <> '*'),
 gt AS (SELECT * REPLACE (CASE WHEN phased OR d1 IS NULL THEN d0 ELSE least(d0, d1) END AS d0,
   CASE WHEN phased OR d1 IS NULL THEN d1 ELSE greatest(d0, d1) END AS d1) FROM coded),
@@ -413,11 +413,11 @@ expression AS (SELECT 'ENST' || l_partkey AS transcript_id, 'ENSG' || (l_partkey
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN tissue ON s = o_custkey)"""
 _TISSUES = {"brainSpinalcordCervicalc1": "Brain - Spinal cord (cervical c-1)", "liver": "Liver", "lung": "Lung", "wholeBlood": "Whole Blood"}
 ORACLE["tissue_means"] = _with(EXPRESSION) + "SELECT transcript_id AS transcriptId, gene_id AS geneId, " + ", ".join(
-    f"round(avg(x) FILTER (WHERE tissue = '{t}'), 4) AS {name}" for name, t in _TISSUES.items()
+    f"round(avg(x) FILTER (WHERE tissue = '{t}'), 7) AS {name}" for name, t in _TISSUES.items()
 ) + " FROM expression GROUP BY transcript_id, gene_id"
 ORACLE["tissue_stats"] = _with(EXPRESSION) + """
-SELECT gene_id, tissue, round(avg(x), 4) AS mean, round(stddev_pop(x), 4) AS stdev, min(x) AS min, max(x) AS max, count(x) AS n, round(sum(x), 2) AS total
-FROM expression WHERE tissue IS NOT NULL GROUP BY gene_id, tissue"""
+SELECT transcript_id, tissue, round(avg(x), 7) AS mean, round(stddev_pop(x), 4) AS stdev, min(x) AS min, max(x) AS max, count(x) AS n, round(sum(x), 2) AS total
+FROM expression WHERE tissue IS NOT NULL GROUP BY transcript_id, tissue"""
 ORACLE["matrix_long"] = """SELECT 'T' || p_partkey AS transcript_id, 'G' || (p_partkey % 10) AS gene_id, 'C' || c AS col_id,
   CAST(CASE c WHEN 0 THEN p_size WHEN 1 THEN CASE WHEN p_size % 5 <> 0 THEN p_size / 4 END ELSE p_size * 2 END AS DOUBLE) AS x
 FROM part, unnest(range(3)) AS t(c)"""
@@ -446,7 +446,7 @@ def _if_asked(expr: str) -> str:
 ORACLE["clinical_table"] = CLINICAL + f"""
 SELECT h.site_id AS allele_id, h.alt, h.chrom, clinical_significance, {_if_asked("coalesce(a.domains, '')")} AS domains, {_if_asked("coalesce(genes, '')")} AS gene_ids,
   {_if_asked("coalesce(gene_json, '{}')")} AS gene_id_to_consequence_json, {_STARS} AS gold_stars, {_WORST_COLUMNS}, h.position AS pos, h.ref, review_status,
-  {_if_asked("coalesce(terms, '')")} AS transcript_consequence_terms, {_if_asked("coalesce(transcript_ids, '')")} AS transcript_ids,
+  {_if_asked("coalesce(c.terms, '')")} AS transcript_consequence_terms, {_if_asked("coalesce(d.transcript_ids, '')")} AS transcript_ids,
   {_if_asked("coalesce(transcript_json, '{}')")} AS transcript_id_to_consequence_json, variant_id, xpos
 FROM hit h JOIN sig_text USING (site_id) JOIN rev_text USING (site_id) LEFT JOIN a ON a.rid = asked_id LEFT JOIN c ON c.rid = asked_id LEFT JOIN d ON d.rid = asked_id
 LEFT JOIN gene_text g ON g.rid = asked_id LEFT JOIN transcript_text x ON x.rid = asked_id LEFT JOIN ranked r ON r.rid = asked_id AND r.transcript_rank = 0"""

@@ -27,6 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """Rows of a scan that has fewer partitions than there are cores, spread over all cores.
+
+    Only small inputs are shuffled; a scan with enough partitions is left as it is.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+
+
 def _strings(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
@@ -246,7 +255,8 @@ def _vep_struct(seed: Column, size: Column, flag: Column, asked: Column) -> Colu
 def annotated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One annotated variant per order line, with up to six transcripts."""
     seed = F.col("l_partkey") * 3 + F.col("l_suppkey") + F.floor("l_extendedprice")
-    return table(spark, sf_dir, "lineitem").select(
+    columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag"]
+    return spread(table(spark, sf_dir, "lineitem").select(*columns)).select(
         F.col("l_orderkey"),
         seed.alias("seed"),
         _vep_struct(seed, F.floor("l_quantity"), F.col("l_returnflag"), F.lit(None).cast("string")).alias("vep"),
@@ -363,7 +373,8 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     contig = F.when(ep % 29 == 0, "chrUn_1").when(ep % 2 == 0, contig_of(key)).otherwise(
         F.regexp_replace(contig_of(key), "chr", "")
     )
-    data = table(spark, sf_dir, "lineitem").select(
+    lines = spread(table(spark, sf_dir, "lineitem").select("l_partkey", "l_quantity", "l_extendedprice"))
+    data = lines.select(
         F.concat_ws(
             "\t",
             contig,
