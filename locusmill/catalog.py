@@ -155,15 +155,8 @@ def genotype_predicates(spark, sf):
 
 @query
 def call_stats_raw(spark, sf):
-    entries = C.split_entries(V.entries(spark, sf))
-    stats = entries.groupBy(*KEYS).agg(*[c.alias(n) for n, c in FQ.call_stats(F.col("GT")).items()])
-    return stats.select(
-        *KEYS,
-        F.col("AC").alias("ac"),
-        F.col("AN").alias("an"),
-        FQ.allele_frequency(F.col("AC"), F.col("AN")).alias("af"),
-        F.col("nhomalt").alias("nhom"),
-    )
+    stats = FQ.call_stats(C.split_entries(V.entries(spark, sf)), KEYS)
+    return stats.withColumnsRenamed({"AC": "ac", "AN": "an", "AF": "af", "nhomalt": "nhom"})
 
 
 @query
@@ -188,13 +181,11 @@ def freq_wide(spark, sf):
 @query
 def freq_pop_structs(spark, sf):
     counted = _counted(spark, sf)
-    shaped = counted.select(
-        *KEYS, *FQ.total_fields(counted), *FQ.population_structs(counted.columns)
-    )
+    shaped = counted.selectExpr(*KEYS, *FQ.total_fields(), *FQ.population_structs(counted.columns))
     return shaped.select(
         *KEYS,
         *[f"{stat}{suffix}" for suffix in ("", "_raw", "_proband", "_male", "_female") for stat in FQ.STATS],
-        *[F.col(f"{stat}_adj.{pop}").alias(f"{stat}_adj_{pop}") for stat in FQ.STATS for pop in POPULATIONS],
+        *[F.expr(f"{stat}_adj.{pop} AS {stat}_adj_{pop}") for stat in FQ.STATS for pop in POPULATIONS],
     )
 
 
@@ -395,8 +386,8 @@ def locus_range_filter(spark, sf):
 
 
 def _transcripts(spark, sf, **options):
-    lines = V.annotated_lines(spark, sf)
-    return lines.withColumn("transcripts", consequences.sorted_transcripts(F.col("vep"), **options))
+    variants = V.annotated_variants(spark, sf)
+    return variants.withColumn("transcripts", consequences.sorted_transcripts(F.col("vep"), **options))
 
 
 @query
@@ -404,7 +395,7 @@ def sorted_transcripts(spark, sf):
     exploded = explode_computed(_transcripts(spark, sf), F.col("transcripts"), "t")
     scalars = [f for f in consequences.BASE_FIELDS + consequences.CODING_FIELDS]
     return exploded.select(
-        "l_orderkey",
+        "o_orderkey",
         "seed",
         *[F.col(f"t.{f}").alias(f) for f in scalars],
         _joined(F.col("t.consequence_terms")).alias("consequence_terms"),
@@ -421,7 +412,7 @@ def sorted_transcripts_basic(spark, sf):
     exploded = explode_computed(transcripts, F.col("transcripts"), "t")
     fields = [f for f in consequences.BASE_FIELDS if f != "hgvsp"]
     return exploded.select(
-        "l_orderkey", "seed", *[F.col(f"t.{f}").alias(f) for f in fields],
+        "o_orderkey", "seed", *[F.col(f"t.{f}").alias(f) for f in fields],
         _joined(F.col("t.consequence_terms")).alias("consequence_terms"),
         F.col("t.major_consequence").alias("major_consequence"),
         F.col("t.transcript_rank").alias("transcript_rank"),
@@ -431,17 +422,17 @@ def sorted_transcripts_basic(spark, sf):
 @query
 def worst_consequence(spark, sf):
     worst = _transcripts(spark, sf).select(
-        "l_orderkey", "seed", consequences.worst_transcript(F.col("transcripts")).alias("w")
+        "o_orderkey", "seed", consequences.worst_transcript(F.col("transcripts")).alias("w")
     )
     fields = consequences.WORST_FIELDS + consequences.WORST_CODING_FIELDS
-    return worst.select("l_orderkey", "seed", *[F.col(f"w.{f}").alias(f"main_transcript_{f}") for f in fields])
+    return worst.select("o_orderkey", "seed", *[F.col(f"w.{f}").alias(f"main_transcript_{f}") for f in fields])
 
 
 @query
 def consequence_sets(spark, sf):
     transcripts = F.col("transcripts")
     return _transcripts(spark, sf).select(
-        "l_orderkey",
+        "o_orderkey",
         "seed",
         _joined(consequences.term_set(transcripts)).alias("terms"),
         _joined(consequences.gene_set(transcripts)).alias("genes"),
@@ -456,7 +447,7 @@ def consequence_sets(spark, sf):
 def consequence_json(spark, sf):
     frame = _transcripts(spark, sf).withColumn("genes", consequences.gene_set(F.col("transcripts")))
     return frame.select(
-        "l_orderkey",
+        "o_orderkey",
         "seed",
         consequences.gene_consequence_json(F.col("transcripts"), F.col("genes")).alias("gene_json"),
         consequences.transcript_consequence_json(F.col("transcripts")).alias("transcript_json"),
@@ -464,19 +455,19 @@ def consequence_json(spark, sf):
 
 
 def _flagged(spark, sf):
-    return R.transcript_fields(V.annotated_lines(spark, sf))
+    return R.transcript_fields(V.annotated_variants(spark, sf))
 
 
 @query
 def lof_flags_variant(spark, sf):
-    return _flagged(spark, sf).select("l_orderkey", "seed", "flags.lc_lof", "flags.lof_flag")
+    return _flagged(spark, sf).select("o_orderkey", "seed", "flags.lc_lof", "flags.lof_flag")
 
 
 @query
 def lof_flags_gene(spark, sf):
     transcripts = F.col("transcripts")
     return _transcripts(spark, sf).select(
-        "l_orderkey",
+        "o_orderkey",
         "seed",
         _joined(lof.genes_low_confidence(transcripts)).alias("lc_lof_genes"),
         _joined(lof.genes_flagged(transcripts)).alias("flagged_genes"),
@@ -486,7 +477,7 @@ def lof_flags_gene(spark, sf):
 @query
 def lof_flags_transcript(spark, sf):
     exploded = explode_computed(_flagged(spark, sf), F.col("sortedTranscriptConsequences"), "t")
-    return exploded.select("l_orderkey", "seed", "t.transcript_id", "t.flags.*")
+    return exploded.select("o_orderkey", "seed", "t.transcript_id", "t.flags.*")
 
 
 @query
@@ -697,9 +688,7 @@ def denovo_union(spark, sf):
 
 def _call_set(spark, sf):
     lines = drop_lines(V.vcf_lines(spark, sf), "MONOALLELIC")
-    return vcf.read_cohort(
-        lines, build="38", types={"DP": "int", "AF": "array<double>", "DB": "boolean"}, skip_invalid_loci=True
-    )
+    return vcf.read_cohort(lines, V.vcf_header(spark, sf), build="38", skip_invalid_loci=True)
 
 
 @query
@@ -734,9 +723,8 @@ def vcf_call_stats(spark, sf):
     """Text to call statistics: parse, split, count; totals per contig."""
     entries = C.split_entries(_call_set(spark, sf).entries)
     sites = C.split_sites(_call_set(spark, sf).sites).select(*KEYS, "contig")
-    stats = entries.groupBy(*KEYS).agg(*[c.alias(n) for n, c in FQ.call_stats(F.col("GT")).items()])
     return (
-        sites.join(stats, KEYS)
+        sites.join(FQ.call_stats(entries, KEYS), KEYS)
         .groupBy("contig")
         .agg(F.sum("AC").alias("ac"), F.sum("AN").alias("an"), F.sum("nhomalt").alias("nhom"), F.count(F.lit(1)).alias("n"))
     )

@@ -40,3 +40,12 @@ def explode_computed(frame: DataFrame, array: Column, name: str) -> DataFrame:
     afterwards.
     """
     return frame.withColumn(name, F.explode_outer(array)).where(F.col(name).isNotNull())
+
+
+def computed_once(frame: DataFrame, name: str) -> DataFrame:
+    """Pin a costly derived column.
+
+    Join keys and filters that read it would otherwise be pushed below it, and evaluate its
+    expression once more each. They are not pushed through an explode.
+    """
+    return frame.withColumn(name, F.explode_outer(F.array(name)))

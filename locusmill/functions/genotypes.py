@@ -21,7 +21,7 @@ def call(a0: Column, a1: Column, phased: Column) -> Column:
 
 def parse_call(text: Column) -> Column:
     """Read ``0/1``, ``1|0`` or ``1``; anything with a missing allele is no call."""
-    parts = F.split(text, "[/|]")
+    parts = F.split(F.translate(text, "|", "/"), "/")
     first = F.get(parts, F.lit(0)).try_cast("int")
     second = F.get(parts, F.lit(1)).try_cast("int")
     complete = first.isNotNull() & ((F.size(parts) == 1) | (second.isNotNull() & (F.size(parts) == 2)))

@@ -14,21 +14,22 @@ STATS = ["AC", "AN", "AF", "nhomalt"]
 MAX_GROUPS = 1000
 
 
-def call_stats(gt: Column, condition: Column | None = None) -> dict[str, Column]:
-    """Aggregates of a bi-allelic call: allele count, allele number, homozygotes.
+def call_counts(entries: DataFrame, others: list[Column]) -> DataFrame:
+    """Per entry: copies of the alternate, ploidy and whether it is homozygous, beside ``others``."""
+    gt, alt = F.col("GT"), F.lit(1)
+    return entries.select(
+        *others,
+        G.allele_count(gt, alt).cast("long").alias("AC"),
+        G.ploidy(gt).cast("long").alias("AN"),
+        ((gt["a0"] == alt) & (gt["a1"] == alt)).cast("long").alias("nhomalt"),
+    )
 
-    ``condition`` keeps only entries where it is true. All three are sums, so Spark combines
-    them before the shuffle.
-    """
-    alt = F.lit(1)
-    parts = {
-        "AC": G.allele_count(gt, alt),
-        "AN": G.ploidy(gt),
-        "nhomalt": ((gt["a0"] == alt) & (gt["a1"] == alt)).cast("int"),
-    }
-    if condition is not None:
-        parts = {name: F.when(condition, value) for name, value in parts.items()}
-    return {name: F.coalesce(F.sum(value), F.lit(0)).cast("long") for name, value in parts.items()}
+
+def call_stats(entries: DataFrame, keys: list[str]) -> DataFrame:
+    """``AC, AN, AF, nhomalt`` of a bi-allelic variant over all its entries."""
+    counted = call_counts(entries, [F.col(k) for k in keys])
+    sums = counted.groupBy(*keys).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("AC", "AN", "nhomalt")])
+    return sums.select(*keys, "AC", "AN", allele_frequency(F.col("AC"), F.col("AN")).alias("AF"), "nhomalt")
 
 
 def allele_frequency(ac: Column, an: Column) -> Column:
@@ -49,10 +50,10 @@ def observed_values(samples: DataFrame, field: str = "pop", limit: int = MAX_GRO
     return sorted(row[0] for row in rows)
 
 
-def group_conditions(pops: list[str]) -> dict[str, Column | None]:
+def group_conditions(pops: list[str]) -> dict[str, Column]:
     """Group tag -> entry condition, in the order of the frequency array."""
     adj = F.col("adj")
-    groups: dict[str, Column | None] = {"adj": adj, "raw": None}
+    groups = {"adj": adj, "raw": F.lit(True)}
     groups |= {f"adj_{pop}": adj & (F.col("pop") == pop) for pop in pops}
     groups[f"adj_{PROBAND_LABEL}"] = adj & (F.col("proband") == "Yes")
     groups |= {f"adj_{label}": adj & (F.col("sex") == code) for code, label in SEX_LABELS.items()}
@@ -90,30 +91,28 @@ def frequencies_wide(entries: DataFrame, keys: list[str], pops: list[str] = POPU
     Needs ``GT, adj, pop, proband, sex`` on the entries. Partial sums leave each map task as one
     row per variant, however many samples it has.
     """
-    groups = group_conditions(pops)
-    sums = [
-        column.alias(f"{stat}_{tag}")
-        for tag, condition in groups.items()
-        for stat, column in call_stats(F.col("GT"), condition).items()
-    ]
-    counted = entries.groupBy(*keys).agg(*sums)
-    return counted.select(
-        *keys,
+    tags = list(group_conditions(pops))
+    members = [c.alias(f"in_{i}") for i, c in enumerate(group_conditions(pops).values())]
+    counted = call_counts(entries, [*[F.col(k) for k in keys], *members])
+    sums = counted.groupBy(*keys).agg(
         *[
-            (
-                allele_frequency(F.col(f"AC_{tag}"), F.col(f"AN_{tag}")) if stat == "AF" else F.col(f"{stat}_{tag}")
-            ).alias(f"{stat}_{tag}")
-            for tag in groups
-            for stat in STATS
-        ],
+            F.expr(f"coalesce(sum(CASE WHEN in_{i} THEN {stat} END), 0L) AS {stat}_{i}")
+            for i in range(len(tags))
+            for stat in ("AC", "AN", "nhomalt")
+        ]
+    )
+    values = {"AC": "AC_{i}", "AN": "AN_{i}", "AF": "try_divide(AC_{i}, AN_{i})", "nhomalt": "nhomalt_{i}"}
+    return sums.selectExpr(
+        *keys,
+        *[f"{values[stat].format(i=i)} AS `{stat}_{tag}`" for i, tag in enumerate(tags) for stat in STATS],
     )
 
 
 def frequency_array(wide: DataFrame, keys: list[str], pops: list[str]) -> DataFrame:
     """The groups as one ordered ``freq`` array of structs."""
-    tags = list(group_conditions(pops))
     structs = [
-        F.struct(F.lit(tag).alias("tag"), *[F.col(f"{stat}_{tag}").alias(stat) for stat in STATS]) for tag in tags
+        F.struct(F.lit(tag).alias("tag"), *[F.col(f"`{stat}_{tag}`").alias(stat) for stat in STATS])
+        for tag in group_conditions(pops)
     ]
     return wide.select(*keys, F.array(*structs).alias("freq"))
 
@@ -130,23 +129,21 @@ def with_frequencies(sites: DataFrame, wide: DataFrame, keys: list[str]) -> Data
     return sites.join(wide, keys, "left").fillna(0, subset=counts)
 
 
-def total_fields(frame: DataFrame, source: str | None = None) -> list[Column]:
-    """The 20 top-level totals: overall, raw, proband, male and female."""
+def total_fields(source: str | None = None) -> list[str]:
+    """The 20 top-level totals, as SQL: overall, raw, proband, male and female."""
     prefix = f"{source}." if source else ""
     names = {"": "adj", "_raw": "raw"}
     names |= {f"_{label}": f"adj_{label}" for label in (PROBAND_LABEL, *SEX_LABELS.values())}
-    return [
-        F.col(f"{prefix}{stat}_{tag}").alias(f"{stat}{suffix}") for suffix, tag in names.items() for stat in STATS
-    ]
+    return [f"{prefix}{stat}_{tag} AS {stat}{suffix}" for suffix, tag in names.items() for stat in STATS]
 
 
-def population_structs(fields: list[str], source: str | None = None, pops: list[str] = POPULATIONS) -> list[Column]:
-    """One struct per statistic with a field per population that the data has."""
+def population_structs(fields: list[str], source: str | None = None, pops: list[str] = POPULATIONS) -> list[str]:
+    """One struct per statistic, as SQL, with a field per population that the data has."""
     prefix = f"{source}." if source else ""
     present = [pop for pop in pops if f"AC_adj_{pop}" in fields]
     if not present:
         return []
     return [
-        F.struct(*[F.col(f"{prefix}{stat}_adj_{pop}").alias(pop) for pop in present]).alias(f"{stat}_adj")
+        "named_struct(" + ", ".join(f"'{pop}', {prefix}{stat}_adj_{pop}" for pop in present) + f") AS {stat}_adj"
         for stat in STATS
     ]

@@ -104,52 +104,42 @@ def quality_histograms(entries: DataFrame, keys: list[str], **fields) -> DataFra
     names = histogram_names(fields.get("with_calls", True), fields.get("with_adj", True),
                             fields.get("measures", ("gq", "dp", "ab")))
     counts = quality_bins(entries, keys, **fields)
+    measures = sorted({_count_column(n)[0] for n in names})
     gathered = counts.groupBy(*keys).agg(
         *[
-            F.map_from_entries(
-                F.collect_list(
-                    F.when(
-                        F.col("measure") == m,
-                        F.struct("bin", F.struct("all", "alt", "all_adj", "alt_adj").alias("n")),
-                    )
-                )
-            ).alias(f"_{m}")
-            for m in sorted({_count_column(n)[0] for n in names})
+            F.expr(
+                f"""map_from_entries(collect_list(CASE WHEN measure = '{m}' THEN
+                  struct(bin, struct(`all`, alt, all_adj, alt_adj) AS n) END)) AS _{m}"""
+            )
+            for m in measures
         ]
     )
-    return gathered.select(
-        *keys,
-        F.struct(*[_dense(*_count_column(n)).alias(n) for n in names]).alias("raw_qual_hists"),
-    )
+    return gathered.selectExpr(*keys, f"{_bundle(names, _dense)} AS raw_qual_hists")
 
 
-def _dense(measure: str, selection: str) -> Column:
-    bins = F.col(f"_{measure}")
+def _bundle(names: list[str], counts) -> str:
+    """SQL of the histogram structs; ``counts`` gives the SQL of bins, smaller and larger by name."""
 
-    def n(key: Column) -> Column:
-        return F.coalesce(bins[key][selection], F.lit(0).cast("long"))
+    def histogram(name: str) -> str:
+        edges = ", ".join(f"{float(e)!r}D" for e in bin_edges(*MEASURES[_count_column(name)[0]]))
+        bins, smaller, larger = counts(name)
+        return (
+            f"named_struct('bin_edges', array({edges}), 'bin_freq', {bins}, "
+            f"'n_smaller', {smaller}, 'n_larger', {larger})"
+        )
+
+    return "named_struct(" + ", ".join(f"'{n}', {histogram(n)}" for n in names) + ")"
 
-    return F.struct(
-        F.array(*[F.lit(float(e)) for e in bin_edges(*MEASURES[measure])]).alias("bin_edges"),
-        F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), n).alias("bin_freq"),
-        n(F.lit(-1)).alias("n_smaller"),
-        n(F.lit(BINS)).alias("n_larger"),
-    )
+
+def _dense(name: str) -> tuple[str, str, str]:
+    measure, selection = _count_column(name)
+    count = lambda key: f"coalesce(_{measure}[{key}].`{selection}`, 0L)"
+    return f"transform(sequence(0, {BINS - 1}), i -> {count('i')})", count(-1), count(BINS)
 
 
 def empty_histograms(names: list[str]) -> Column:
     """The bundle of a site without entries."""
-    return F.struct(
-        *[
-            F.struct(
-                F.array(*[F.lit(float(e)) for e in bin_edges(*MEASURES[_count_column(n)[0]])]).alias("bin_edges"),
-                F.array_repeat(F.lit(0).cast("long"), BINS).alias("bin_freq"),
-                F.lit(0).cast("long").alias("n_smaller"),
-                F.lit(0).cast("long").alias("n_larger"),
-            ).alias(n)
-            for n in names
-        ]
-    )
+    return F.expr(_bundle(names, lambda name: (f"array_repeat(0L, {BINS})", "0L", "0L")))
 
 
 def regrouped(hists: str = "raw_qual_hists") -> list[Column]:

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from locusmill.functions.basics import explode_computed
+
 VARIANT_KEYS = ["contig", "position", "ref", "alt"]
 INTERVAL_BIN = 4096
 
@@ -49,15 +51,12 @@ def interval_coverage(intervals: DataFrame, width: int = INTERVAL_BIN) -> DataFr
     longest matters for coverage, and a maximum is combined map-side; so a bin holds at most
     ``width`` pieces however many intervals overlap there, and the gathered array is bounded.
     """
-    clipped = (
-        intervals.where("start <= end")
-        .withColumn("bin", F.explode(F.expr(f"sequence(start div {width}, end div {width})")))
-        .select(
-            "contig",
-            "bin",
-            F.greatest(F.col("start").cast("long"), F.col("bin") * width).alias("start"),
-            F.least(F.col("end").cast("long"), F.col("bin") * width + (width - 1)).alias("end"),
-        )
+    bins = F.expr(f"sequence(cast(start AS bigint) div {width}, cast(end AS bigint) div {width})")
+    clipped = explode_computed(intervals.where("start <= end"), bins, "bin").select(
+        "contig",
+        "bin",
+        F.greatest(F.col("start").cast("long"), F.col("bin") * width).alias("start"),
+        F.least(F.col("end").cast("long"), F.col("bin") * width + (width - 1)).alias("end"),
     )
     longest = clipped.groupBy("contig", "bin", "start").agg(F.max("end").alias("end"))
     return longest.groupBy("contig", "bin").agg(F.collect_list(F.struct("start", "end")).alias("pieces"))

@@ -312,7 +312,7 @@ def _transcripts(source: str, omit: bool = True) -> str:
 t1 AS (SELECT *, CASE WHEN n % 8 = 0 THEN [{_TERMS}[(n + 22) % 39 + 1], 'new_term'] WHEN n % 8 < 3 THEN [{_TERMS}[(n + 11) % 39 + 1], {_TERMS}[n % 39 + 1]]
     ELSE [{_TERMS}[n % 39 + 1]] END AS terms,
   CASE WHEN n % 6 > 0 THEN substr('ACDEFGHIKLMNPQRSTVWYX*U', n % 23 + 1, 1) ELSE 'K/R' END AS amino_acids,
-  CASE WHEN flag = 'R' THEN NULL WHEN n % 3 = 0 THEN 'lincRNA' ELSE 'protein_coding' END AS biotype,
+  CASE WHEN flag = 'P' THEN NULL WHEN n % 3 = 0 THEN 'lincRNA' ELSE 'protein_coding' END AS biotype,
   CASE WHEN n % 4 > 0 THEN n % 2 END AS canonical, CASE WHEN n % 5 > 0 THEN start * 3 END AS cdna_start,
   CASE WHEN n % 5 > 0 THEN start * 3 + 1 END AS cdna_end, CASE WHEN n % 5 > 1 THEN 'aAg/aGg' END AS codons,
   CASE WHEN n % 9 > 0 THEN ['Pfam:PF' || (n % 4), 'hmmpanther:PTHR' || (size % 3)] END AS domains,
@@ -337,8 +337,8 @@ t4 AS (SELECT *, rank0 AS major_consequence_rank, CASE WHEN rank0 <= 4 THEN 'lof
 ranked AS MATERIALIZED (SELECT *, start AS protein_start, row_number() OVER (PARTITION BY rid ORDER BY tier, i) - 1 AS transcript_rank FROM t4)"""
 
 
-LINE = """line AS MATERIALIZED (SELECT row_number() OVER () AS rid, l_orderkey, l_partkey * 3 + l_suppkey + CAST(floor(l_extendedprice) AS BIGINT) AS seed,
-  CAST(floor(l_quantity) AS BIGINT) AS size, l_returnflag AS flag FROM lineitem)"""
+LINE = """line AS MATERIALIZED (SELECT row_number() OVER () AS rid, o_orderkey, o_orderkey * 3 + o_custkey + CAST(floor(o_totalprice) AS BIGINT) AS seed,
+  CAST(floor(o_totalprice) AS BIGINT) % 50 AS size, o_orderstatus AS flag FROM orders)"""
 RANKED = LINE + ",\n" + _transcripts("line")
 
 _BASE = ["biotype", "canonical", "cdna_start", "cdna_end", "codons", "gene_id", "gene_symbol", "hgvsc", "hgvsp", "transcript_id"]
@@ -351,10 +351,10 @@ def _cols(names, prefix="r."):
 
 
 ORACLE["sorted_transcripts"] = _with(RANKED) + f"""
-SELECT l_orderkey, r.seed, {_cols(_BASE + _CODING)}, array_to_string(r.consequence_terms, ',') AS consequence_terms,
+SELECT o_orderkey, r.seed, {_cols(_BASE + _CODING)}, array_to_string(r.consequence_terms, ',') AS consequence_terms,
   array_to_string(r.domains, ',') AS domains, {_cols(_COMPUTED)} FROM ranked r JOIN line USING (rid)"""
 ORACLE["sorted_transcripts_basic"] = _with(LINE, _transcripts("line", omit=False)) + f"""
-SELECT l_orderkey, r.seed, {_cols([b for b in _BASE if b != 'hgvsp'])}, array_to_string(r.consequence_terms, ',') AS consequence_terms,
+SELECT o_orderkey, r.seed, {_cols([b for b in _BASE if b != 'hgvsp'])}, array_to_string(r.consequence_terms, ',') AS consequence_terms,
   r.major_consequence, r.transcript_rank FROM ranked r JOIN line USING (rid)"""
 
 _WORST = ["biotype", "canonical", "category", "cdna_start", "cdna_end", "codons", "gene_id", "gene_symbol", "hgvs", "hgvsc",
@@ -363,7 +363,7 @@ _WORST = ["biotype", "canonical", "category", "cdna_start", "cdna_end", "codons"
 _WORST_COLUMNS = ", ".join(f"r.{n} AS main_transcript_{n}" for n in _WORST) + (
     ", array_to_string(list_sort(list_distinct(r.domains)), ',') AS main_transcript_domains")
 ORACLE["worst_consequence"] = _with(RANKED) + f"""
-SELECT line.l_orderkey, line.seed, {_WORST_COLUMNS} FROM line LEFT JOIN ranked r ON r.rid = line.rid AND r.transcript_rank = 0"""
+SELECT line.o_orderkey, line.seed, {_WORST_COLUMNS} FROM line LEFT JOIN ranked r ON r.rid = line.rid AND r.transcript_rank = 0"""
 
 
 def _set(expr: str, condition: str | None = None) -> str:
@@ -378,7 +378,7 @@ b AS (SELECT rid, {_set('d')} AS sorted_domains FROM kept_domains GROUP BY rid),
 c AS (SELECT rid, {_set('t')} AS terms FROM kept_terms GROUP BY rid),
 d AS (SELECT rid, {_set('gene_id')} AS genes, {_set('gene_id', "coalesce(biotype, '') = 'protein_coding'")} AS coding_genes,
   {_set('transcript_id')} AS transcript_ids FROM ranked GROUP BY rid)""") + """
-SELECT l_orderkey, seed, coalesce(terms, '') AS terms, coalesce(genes, '') AS genes, coalesce(coding_genes, '') AS coding_genes,
+SELECT o_orderkey, seed, coalesce(terms, '') AS terms, coalesce(genes, '') AS genes, coalesce(coding_genes, '') AS coding_genes,
   coalesce(domains, '') AS domains, coalesce(sorted_domains, '') AS sorted_domains, coalesce(transcript_ids, '') AS transcript_ids
 FROM line LEFT JOIN a USING (rid) LEFT JOIN b USING (rid) LEFT JOIN c USING (rid) LEFT JOIN d USING (rid)"""
 
@@ -386,18 +386,18 @@ JSON_TEXT = """first_of_gene AS (SELECT rid, gene_id, arg_min(major_consequence,
 gene_text AS (SELECT rid, '{' || string_agg('"' || gene_id || '":"' || major || '"', ',' ORDER BY '"' || gene_id || '":"' || major || '"') || '}' AS gene_json FROM first_of_gene GROUP BY rid),
 transcript_text AS (SELECT rid, '{' || string_agg('"' || transcript_id || '": "' || major_consequence || '"', ',' ORDER BY transcript_rank) || '}' AS transcript_json FROM ranked GROUP BY rid)"""
 ORACLE["consequence_json"] = _with(RANKED, JSON_TEXT) + """
-SELECT l_orderkey, seed, coalesce(gene_json, '{}') AS gene_json, coalesce(transcript_json, '{}') AS transcript_json
+SELECT o_orderkey, seed, coalesce(gene_json, '{}') AS gene_json, coalesce(transcript_json, '{}') AS transcript_json
 FROM line LEFT JOIN gene_text USING (rid) LEFT JOIN transcript_text USING (rid)"""
 
 GENE_FLAGS = """annotated AS (SELECT * FROM ranked WHERE lof <> ''),
 gene_flag AS (SELECT rid, gene_id, bool_and(lof <> 'HC') AS lc, bool_and(coalesce(lof_flags <> '', false)) AS fl FROM annotated WHERE gene_id IS NOT NULL GROUP BY rid, gene_id),
 variant_flag AS (SELECT rid, bool_and(lof <> 'HC') AS lc, CASE WHEN bool_or(lof_flags = '') THEN false WHEN count(*) > count(lof_flags) THEN NULL ELSE true END AS fl FROM annotated GROUP BY rid)"""
 ORACLE["lof_flags_variant"] = _with(RANKED, GENE_FLAGS) + """
-SELECT l_orderkey, seed, coalesce(lc, false) AS lc_lof, CASE WHEN v.rid IS NULL THEN false ELSE fl END AS lof_flag FROM line LEFT JOIN variant_flag v USING (rid)"""
+SELECT o_orderkey, seed, coalesce(lc, false) AS lc_lof, CASE WHEN v.rid IS NULL THEN false ELSE fl END AS lof_flag FROM line LEFT JOIN variant_flag v USING (rid)"""
 ORACLE["lof_flags_gene"] = _with(RANKED, GENE_FLAGS, f"g AS (SELECT rid, {_set('gene_id', 'lc')} AS lc_lof_genes, {_set('gene_id', 'fl')} AS flagged_genes FROM gene_flag GROUP BY rid)") + """
-SELECT l_orderkey, seed, coalesce(lc_lof_genes, '') AS lc_lof_genes, coalesce(flagged_genes, '') AS flagged_genes FROM line LEFT JOIN g USING (rid)"""
+SELECT o_orderkey, seed, coalesce(lc_lof_genes, '') AS lc_lof_genes, coalesce(flagged_genes, '') AS flagged_genes FROM line LEFT JOIN g USING (rid)"""
 ORACLE["lof_flags_transcript"] = _with(RANKED, GENE_FLAGS) + """
-SELECT l_orderkey, r.seed, transcript_id, coalesce(lof <> '' AND lof <> 'HC', false) AS lc_lof, coalesce(g.lc, false) AS lc_lof_in_gene,
+SELECT o_orderkey, r.seed, transcript_id, coalesce(lof <> '' AND lof <> 'HC', false) AS lc_lof, coalesce(g.lc, false) AS lc_lof_in_gene,
   coalesce(lof <> '' AND lof_flags <> '', false) AS lof_flag, coalesce(g.fl, false) AS lof_flag_in_gene, category = 'lof' AND lof = '' AS nc_transcript
 FROM ranked r JOIN line USING (rid) LEFT JOIN gene_flag g ON g.rid = r.rid AND g.gene_id = r.gene_id"""
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from locusmill.functions.basics import computed_once
+
 # Fixed value: the missing token of delimited tables.
 MISSING = "NA"
 
@@ -116,7 +118,7 @@ def parse_vep(text: Column) -> Column:
 def vep_by_variant(lines: DataFrame) -> DataFrame:
     """Annotator output keyed by the variant it was asked about (a VCF line in ``input``)."""
     asked = F.split("vep.input", "\t")
-    return lines.select(parse_vep(F.col("value")).alias("vep")).select(
+    return computed_once(lines.select(parse_vep(F.col("value")).alias("vep")), "vep").select(
         F.get(asked, F.lit(0)).alias("contig"),
         F.get(asked, F.lit(1)).try_cast("int").alias("position"),
         F.get(asked, F.lit(3)).alias("ref"),

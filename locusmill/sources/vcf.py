@@ -27,7 +27,10 @@ def _present(text: Column) -> Column:
 
 def _listed(text: Column, element: str) -> Column:
     """Comma-separated values; ``.`` is NULL, as the whole value or inside the list."""
-    return F.transform(F.split(_present(text), ","), lambda x: _present(x).try_cast(element))
+    values = F.split(_present(text), ",")
+    if element == "string":
+        return F.transform(values, lambda x: F.nullif(x, F.lit(".")))
+    return values.try_cast(f"array<{element}>")
 
 
 def read_header(spark: SparkSession, path: str, block_gzip: bool = False) -> DataFrame:
@@ -141,7 +144,7 @@ def entry_rows(records: DataFrame, fields: tuple[str, ...] = ENTRY_FIELDS) -> Da
     parts = numbered.withColumn("parts", F.split("call", ":"))
 
     def text(name: str) -> Column:
-        return _present(F.when(F.col(f"_{name}") >= 0, F.get("parts", F.col(f"_{name}"))))
+        return F.get("parts", F.col(f"_{name}"))
 
     parsers = {
         "GT": lambda t: parse_call(t),
@@ -150,6 +153,7 @@ def entry_rows(records: DataFrame, fields: tuple[str, ...] = ENTRY_FIELDS) -> Da
         "GQ": lambda t: t.try_cast("int"),
         "PL": lambda t: _listed(t, "int"),
     }
+    # a field that the line's format lacks has place -1, for which get gives NULL
     return parts.select("site_id", "alleles", "sample", *[parsers[f](text(f)).alias(f) for f in fields])
 
 

@@ -11,17 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusmill.functions import genotypes as G
+from locusmill.functions.basics import computed_once
 from locusmill.operators.cohort import Cohort
 from locusmill.vocabulary import CONSEQUENCE_TERMS, POPULATIONS
 
 # Allele lists by kind of site.
 KINDS = [["A", "G"], ["A", "AT"], ["AT", "A"], ["A", "G", "T"], ["AT", "A", "GT"], ["A", "*", "C"]]
-# Longer alleles with shared ends, for the minimal representation.
-PADDED = [
-    ("CAT", "CGT"), ("GATTACA", "GACA"), ("A", "ATG"), ("TTAA", "TTAA*"), ("CCGG", "CTGG"), ("ACAC", "AC"),
-    ("GGGA", "GGGTA"), ("T", "*"), ("AAAA", "AA"), ("GTC", "<DEL>"),
-]
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -36,8 +31,12 @@ def spread(frame: DataFrame) -> DataFrame:
     return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
 
 
+def _sql_list(values: list[str]) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
 def _strings(values: list[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+    return F.expr(_sql_list(values))
 
 
 def contig_of(key: Column) -> Column:
@@ -53,8 +52,13 @@ def position_of(key: Column) -> Column:
     return key * 10 + 1000
 
 
+def _one_of(lists: list[list[str]], number: Column) -> Column:
+    choices = F.expr("array(" + ", ".join(_sql_list(values) for values in lists) + ")")
+    return F.get(choices, (number % len(lists)).cast("int"))
+
+
 def alleles_of(size: Column) -> Column:
-    return F.get(F.array(*[_strings(k) for k in KINDS]), (size % len(KINDS)).cast("int"))
+    return _one_of(KINDS, size)
 
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,89 +199,85 @@ def reference_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _transcript(seed: Column, i: Column, size: Column, flag: Column) -> Column:
-    """One annotated transcript; ``seed`` and ``i`` decide everything but the biotype."""
-    n = seed + i * 7
-    terms = _strings(CONSEQUENCE_TERMS)
-    term = lambda offset: F.get(terms, ((n + offset) % len(CONSEQUENCE_TERMS)).cast("int"))
-    text = lambda prefix, value: F.concat(F.lit(prefix), value.cast("string"))
-    transcript = text("T", seed * 10 + i)
-    start = (n % 300 + 1).cast("int")
-    letter = F.substr(F.lit("ACDEFGHIKLMNPQRSTVWYX*U"), (n % 23 + 1).cast("int"), F.lit(1))
-    return F.struct(
-        F.when(n % 6 > 0, letter).otherwise("K/R").alias("amino_acids"),
-        F.when(flag == "R", F.lit(None)).when((n % 3) == 0, "lincRNA").otherwise("protein_coding").alias("biotype"),
-        F.when(n % 4 > 0, (n % 2).cast("int")).alias("canonical"),
-        F.when(n % 5 > 0, start * 3).alias("cdna_start"),
-        F.when(n % 5 > 0, start * 3 + 1).alias("cdna_end"),
-        F.when(n % 5 > 1, "aAg/aGg").alias("codons"),
-        F.when(n % 8 == 0, F.array(term(22), F.lit("new_term")))
-        .when(n % 8 < 3, F.array(term(11), term(0)))
-        .otherwise(F.array(term(0)))
-        .alias("consequence_terms"),
-        F.when(n % 9 == 0, F.lit(None))
-        .otherwise(
-            F.array(
-                F.struct(F.lit("Pfam").alias("db"), text("PF", n % 4).alias("name")),
-                F.struct(F.lit("hmmpanther").alias("db"), text("PTHR", size % 3).alias("name")),
-            )
-        )
-        .alias("domains"),
-        F.when(n % 31 > 0, text("G", seed % 50 + i % 3)).alias("gene_id"),
-        text("SYM", seed % 50 + i % 3).alias("gene_symbol"),
-        F.when(n % 7 > 0, F.concat(transcript, F.lit(":c."), start.cast("string"), F.lit("A>G"))).alias("hgvsc"),
-        F.when(n % 5 == 0, F.concat(transcript, F.lit(":p."), start.cast("string"), F.lit("%3D")))
-        .when(n % 5 < 3, F.concat(transcript, F.lit(":p.Lys"), start.cast("string"), F.lit("Arg")))
-        .alias("hgvsp"),
-        F.get(F.array(F.lit("HC"), F.lit("LC"), F.lit(""), F.lit(None)), (n % 4).cast("int")).alias("lof"),
-        F.when(n % 13 > 0, F.when(n % 3 == 0, "").otherwise("SINGLE_EXON")).alias("lof_flags"),
-        F.when(n % 4 == 1, "END_TRUNC").otherwise("").alias("lof_filter"),
-        F.lit("").alias("lof_info"),
-        F.when(n % 6 == 1, "benign").alias("polyphen_prediction"),
-        F.when(n % 6 == 2, "tolerated").alias("sift_prediction"),
-        F.when(n % 5 > 0, text("P", seed * 10 + i)).alias("protein_id"),
-        start.alias("protein_start"),
-        transcript.alias("transcript_id"),
-    )
+# One annotated transcript, from ``v.seed, v.size, v.flag`` and its number ``i``; ``n`` decides most fields.
+_N = "(v.seed + i * 7)"
+_START = f"cast({_N} % 300 + 1 AS int)"
+_TRANSCRIPT_ID = "concat('T', v.seed * 10 + i)"
+_TERM = "get(" + _sql_list(CONSEQUENCE_TERMS) + ", cast(({n} + {offset}) % 39 AS int))"
+_FIRST, _SECOND, _THIRD = (_TERM.format(n=_N, offset=o) for o in (0, 11, 22))
+TRANSCRIPT_FIELDS = {
+    "amino_acids": f"if({_N} % 6 > 0, substr('ACDEFGHIKLMNPQRSTVWYX*U', cast({_N} % 23 + 1 AS int), 1), 'K/R')",
+    "biotype": f"CASE WHEN v.flag = 'P' THEN NULL WHEN {_N} % 3 = 0 THEN 'lincRNA' ELSE 'protein_coding' END",
+    "canonical": f"CASE WHEN {_N} % 4 > 0 THEN cast({_N} % 2 AS int) END",
+    "cdna_start": f"CASE WHEN {_N} % 5 > 0 THEN {_START} * 3 END",
+    "cdna_end": f"CASE WHEN {_N} % 5 > 0 THEN {_START} * 3 + 1 END",
+    "codons": f"CASE WHEN {_N} % 5 > 1 THEN 'aAg/aGg' END",
+    "consequence_terms": f"""CASE WHEN {_N} % 8 = 0 THEN array({_THIRD}, 'new_term')
+      WHEN {_N} % 8 < 3 THEN array({_SECOND}, {_FIRST}) ELSE array({_FIRST}) END""",
+    "domains": f"""CASE WHEN {_N} % 9 > 0 THEN array(named_struct('db', 'Pfam', 'name', concat('PF', {_N} % 4)),
+      named_struct('db', 'hmmpanther', 'name', concat('PTHR', v.size % 3))) END""",
+    "gene_id": f"CASE WHEN {_N} % 31 > 0 THEN concat('G', v.seed % 50 + i % 3) END",
+    "gene_symbol": "concat('SYM', v.seed % 50 + i % 3)",
+    "hgvsc": f"CASE WHEN {_N} % 7 > 0 THEN concat({_TRANSCRIPT_ID}, ':c.', {_START}, 'A>G') END",
+    "hgvsp": f"""CASE WHEN {_N} % 5 = 0 THEN concat({_TRANSCRIPT_ID}, ':p.', {_START}, '%3D')
+      WHEN {_N} % 5 < 3 THEN concat({_TRANSCRIPT_ID}, ':p.Lys', {_START}, 'Arg') END""",
+    "lof": f"get(array('HC', 'LC', '', NULL), cast({_N} % 4 AS int))",
+    "lof_flags": f"CASE WHEN {_N} % 13 > 0 THEN if({_N} % 3 = 0, '', 'SINGLE_EXON') END",
+    "lof_filter": f"if({_N} % 4 = 1, 'END_TRUNC', '')",
+    "lof_info": "''",
+    "polyphen_prediction": f"CASE WHEN {_N} % 6 = 1 THEN 'benign' END",
+    "sift_prediction": f"CASE WHEN {_N} % 6 = 2 THEN 'tolerated' END",
+    "protein_id": f"CASE WHEN {_N} % 5 > 0 THEN concat('P', v.seed * 10 + i) END",
+    "protein_start": _START,
+    "transcript_id": _TRANSCRIPT_ID,
+}
 
 
 def _vep_struct(seed: Column, size: Column, flag: Column, asked: Column) -> Column:
-    count = (seed % 7).cast("int")
-    transcripts = F.when(
-        count > 0, F.transform(F.sequence(F.lit(1), count), lambda i: _transcript(seed, i.cast("long"), size, flag))
-    ).otherwise(F.slice(F.array(_transcript(seed, F.lit(0).cast("long"), size, flag)), 1, 0))
-    most_severe = F.get(_strings(CONSEQUENCE_TERMS), ((seed + 7) % len(CONSEQUENCE_TERMS)).cast("int"))
+    """Annotator output of one variant, with up to six transcripts."""
+    most_severe = F.get(F.expr(_sql_list(CONSEQUENCE_TERMS)), ((seed + 7) % len(CONSEQUENCE_TERMS)).cast("int"))
+    fields = ", ".join(f"'{name}', {text}" for name, text in TRANSCRIPT_FIELDS.items())
+    transcripts = F.expr(
+        f"""transform(array(named_struct('seed', _seed, 'size', _size, 'flag', _flag)), v ->
+          transform(filter(sequence(0, cast(v.seed % 7 AS int)), i -> i > 0), i -> named_struct({fields})))[0]"""
+    )
     return F.struct(
         asked.alias("input"), most_severe.alias("most_severe_consequence"), transcripts.alias("transcript_consequences")
     )
 
 
-def annotated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One annotated variant per order line, with up to six transcripts."""
-    seed = F.col("l_partkey") * 3 + F.col("l_suppkey") + F.floor("l_extendedprice")
-    columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag"]
-    return spread(table(spark, sf_dir, "lineitem").select(*columns)).select(
-        F.col("l_orderkey"),
-        seed.alias("seed"),
-        _vep_struct(seed, F.floor("l_quantity"), F.col("l_returnflag"), F.lit(None).cast("string")).alias("vep"),
+def _with_vep(frame: DataFrame, seed: Column, size: Column, flag: Column, asked: Column) -> DataFrame:
+    drawn = frame.withColumns({"_seed": seed.cast("long"), "_size": size, "_flag": flag})
+    return drawn.withColumn("vep", _vep_struct(F.col("_seed"), F.col("_size"), F.col("_flag"), asked)).drop(
+        "_seed", "_size", "_flag"
     )
 
 
+def annotated_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One annotated variant per order, with up to six transcripts."""
+    price = F.floor("o_totalprice")
+    seed = F.col("o_orderkey") * 3 + F.col("o_custkey") + price
+    columns = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"]
+    orders = spread(table(spark, sf_dir, "orders").select(*columns)).withColumn("seed", seed)
+    unasked = F.lit(None).cast("string")
+    annotated = _with_vep(orders, F.col("seed"), price % 50, F.col("o_orderstatus"), unasked)
+    return computed_once(annotated.select("o_orderkey", "seed", "vep"), "vep")
+
+
 def annotator_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One annotator JSON line per site and first alternate, for five sites in six."""
     key = F.col("p_partkey")
-    alleles = alleles_of(F.col("p_size"))
+    parts = table(spark, sf_dir, "part").where("p_partkey % 6 <> 5").withColumn("alleles", alleles_of(F.col("p_size")))
     asked = F.concat_ws(
         "\t",
         contig_of(key),
         position_of(key).cast("string"),
         F.lit("."),
-        F.get(alleles, F.lit(0)),
-        F.get(alleles, F.lit(1)),
-    )
-    return table(spark, sf_dir, "part").where("p_partkey % 6 <> 5").select(
-        F.to_json(_vep_struct(key, F.col("p_size"), F.lit("A"), asked)).alias("value")
+        F.get("alleles", F.lit(0)),
+        F.get("alleles", F.lit(1)),
     )
+    annotated = _with_vep(parts, key, F.col("p_size").cast("long"), F.lit("A"), asked)
+    return annotated.select(F.to_json("vep").alias("value"))
 
 
 def expression(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,17 +319,13 @@ SIGNIFICANCES = [
 ]
 
 
-def statuses(size: Column, lists: list[list[str]]) -> Column:
-    return F.get(F.array(*[_strings(v) for v in lists]), (size % len(lists)).cast("int"))
-
-
 def clinical_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sites(spark, sf_dir).withColumn(
         "info",
         F.struct(
             F.col("site_id").alias("ALLELEID"),
-            statuses(F.col("info.DP"), SIGNIFICANCES).alias("CLNSIG"),
-            statuses(F.col("info.DP"), REVIEW_STATUSES).alias("CLNREVSTAT"),
+            _one_of(SIGNIFICANCES, F.col("info.DP")).alias("CLNSIG"),
+            _one_of(REVIEW_STATUSES, F.col("info.DP")).alias("CLNREVSTAT"),
         ),
     )
 
@@ -344,16 +340,18 @@ VCF_HEADER = [
 ]
 
 
-def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VCF text: header rows from ``region`` and one data line with three samples per order line."""
-    headers = table(spark, sf_dir, "region").select(
-        F.explode(
-            F.when(F.col("r_regionkey") == 0, _strings(VCF_HEADER)).otherwise(F.array().cast("array<string>"))
-        ).alias("value")
+def vcf_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header lines, from one row of ``region``."""
+    return table(spark, sf_dir, "region").where("r_regionkey = 0").select(
+        F.explode(_strings(VCF_HEADER)).alias("value")
     )
+
+
+def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VCF text: the header, and one data line with three samples per order line."""
     key, q, ep = F.col("l_partkey"), F.floor("l_quantity"), F.floor("l_extendedprice")
     text = lambda c: c.cast("string")
-    alleles = F.get(F.array(*[_strings(k) for k in KINDS]), (q % len(KINDS)).cast("int"))
+    alleles = _one_of(KINDS, q)
     n_alts = F.size(alleles) - 1
 
     def sample(i: int) -> Column:
@@ -389,4 +387,4 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             *[sample(i) for i in range(3)],
         ).alias("value")
     )
-    return headers.union(data)
+    return vcf_header(spark, sf_dir).union(computed_once(data, "value"))
