@@ -70,8 +70,8 @@ def parse_intervals(lines: DataFrame) -> DataFrame:
     c = F.split("value", "\t")
     return lines.where(~F.startswith("value", F.lit("@")) & (F.col("value") != "")).select(
         F.get(c, F.lit(0)).alias("contig"),
-        F.get(c, F.lit(1)).cast("int").alias("start"),
-        F.get(c, F.lit(2)).cast("int").alias("end"),
+        F.get(c, F.lit(1)).try_cast("int").alias("start"),
+        F.get(c, F.lit(2)).try_cast("int").alias("end"),
     )
 
 

@@ -113,7 +113,7 @@ def parse_records(lines: DataFrame, build: str | None = None, skip_invalid_loci:
     records = split.select(
         "site_id",
         contig.alias("contig"),
-        column(1).cast("int").alias("position"),
+        column(1).try_cast("int").alias("position"),
         _present(column(2)).alias("rsid"),
         F.concat(F.array(column(3)), F.coalesce(F.split(_present(column(4)), ","), F.array())).alias("alleles"),
         _present(column(5)).try_cast("double").alias("qual"),
