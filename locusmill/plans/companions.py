@@ -10,7 +10,7 @@ from locusmill.functions.identifiers import original_alternates
 from locusmill.operators import expression as X
 from locusmill.operators.cohort import Cohort, repartition_scaled, split_sites
 from locusmill.operators.frequencies import observed_values
-from locusmill.operators.lookups import variant_lookup, within_intervals
+from locusmill.operators.lookups import one_per_key, variant_lookup, within_intervals
 from locusmill.operators.reshape import identifier_fields, transmute
 from locusmill.operators.summary import sort_by_variant
 from locusmill.sinks.documents import unite_collections, write_bulk
@@ -23,18 +23,15 @@ def clinical_sites(sites: DataFrame) -> DataFrame:
     return sites.withColumn("original_alt_alleles", original).transform(split_sites)
 
 
-def clinical_rows(variants: DataFrame, vep: DataFrame) -> DataFrame:
+def clinical_rows(variants: DataFrame) -> DataFrame:
     """One flat row per clinical variant; needs ALLELEID, CLNSIG and CLNREVSTAT in ``info``."""
-    annotated = variant_lookup(variants, vep, ["vep"]).withColumn(
-        "transcripts", consequences.sorted_transcripts(F.col("vep"))
-    )
-    prepared = annotated.withColumns(
+    prepared = variants.withColumn("transcripts", consequences.sorted_transcripts(F.col("vep"))).withColumns(
         {
             "main_transcript": consequences.worst_transcript(F.col("transcripts")),
             "gene_ids": consequences.gene_set(F.col("transcripts")),
             "review_status": clinical.status_text(F.col("info.CLNREVSTAT")),
         }
-    ).transform(identifier_fields)
+    )
     transcripts = F.col("transcripts")
     worst = consequences.WORST_FIELDS + consequences.WORST_CODING_FIELDS
     return prepared.select(
@@ -46,7 +43,7 @@ def clinical_rows(variants: DataFrame, vep: DataFrame) -> DataFrame:
         "gene_ids",
         consequences.gene_consequence_json(transcripts, F.col("gene_ids")).alias("gene_id_to_consequence_json"),
         clinical.gold_stars(F.col("review_status")).alias("gold_stars"),
-        *[F.col(f"main_transcript.{f}").alias(f"main_transcript_{f}") for f in worst],
+        *[F.expr(f"main_transcript.{f} AS main_transcript_{f}") for f in worst],
         "pos",
         "ref",
         "review_status",
@@ -59,8 +56,14 @@ def clinical_rows(variants: DataFrame, vep: DataFrame) -> DataFrame:
 
 
 def clinical_table(sites: DataFrame, vep: DataFrame) -> DataFrame:
-    """The clinical variant table in variant-id order."""
-    return sort_by_variant(clinical_rows(clinical_sites(sites), vep))
+    """The clinical variant table in variant-id order.
+
+    Sorting comes before the wide projection, which keeps the order: range partitioning samples
+    its input and would evaluate the projection twice.
+    """
+    variants = clinical_sites(sites).transform(identifier_fields)
+    annotated = variant_lookup(variants, vep, ["vep"])
+    return clinical_rows(sort_by_variant(annotated))
 
 
 def unknown_review_statuses(rows: DataFrame) -> DataFrame:
@@ -74,7 +77,8 @@ def tissue_table(matrix: DataFrame, attributes: DataFrame, names: dict[str, str]
 
     ``matrix`` is long (``transcript_id, gene_id, col_id, x``); ``attributes`` has SAMPID, SMTSD.
     """
-    tissues = attributes.select(F.col("SAMPID").alias("col_id"), F.col("SMTSD").alias("tissue")).distinct()
+    named = attributes.select(F.col("SAMPID").alias("col_id"), F.col("SMTSD").alias("tissue"))
+    tissues = one_per_key(named, ["col_id"], ["tissue"], ["tissue"])
     used = matrix.select("col_id").distinct().join(tissues, "col_id")
     columns = X.tissue_columns(observed_values(used, "tissue"), names)
     long = matrix.join(tissues, "col_id", "left")

@@ -267,7 +267,8 @@ def annotated_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def annotator_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One annotator JSON line per site and first alternate, for five sites in six."""
     key = F.col("p_partkey")
-    parts = table(spark, sf_dir, "part").where("p_partkey % 6 <> 5").withColumn("alleles", alleles_of(F.col("p_size")))
+    parts = spread(table(spark, sf_dir, "part").select("p_partkey", "p_size").where("p_partkey % 6 <> 5"))
+    parts = parts.withColumn("alleles", alleles_of(F.col("p_size")))
     asked = F.concat_ws(
         "\t",
         contig_of(key),
