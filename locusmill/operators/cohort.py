@@ -132,9 +132,9 @@ def subset_cohort(cohort: Cohort, requested: DataFrame) -> Cohort:
 def add_sample_fields(frame: DataFrame, samples: DataFrame, fields: list[str]) -> DataFrame:
     """Left lookup of sample fields by id.
 
-    Spark broadcasts the samples only when it measures them below its threshold. Otherwise this
-    is a sort-merge join whose large keys adaptive execution splits: the aggregations that
-    follow group by site, so no later step relies on the join's partitioning.
+    Spark broadcasts the samples when they are below its threshold or were measured as bounded
+    before. Otherwise this is a sort-merge join whose large keys adaptive execution splits: the
+    aggregations that follow group by site, so no later step relies on the join's partitioning.
     """
     return frame.join(samples.select("s", *fields), "s", "left")
 

@@ -11,6 +11,19 @@ from locusmill.functions.basics import explode_computed
 
 VARIANT_KEYS = ["contig", "position", "ref", "alt"]
 INTERVAL_BIN = 4096
+BROADCAST_BYTES = 64 << 20
+
+
+def broadcast_if_bounded(frame: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a frame for broadcast when its measured size allows it; otherwise leave it alone.
+
+    Spark's own threshold works on estimates and is low. Where the other side is every genotype
+    of a cohort, one pass over the small side to measure it saves shuffling the large one.
+    """
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in frame.schema.fields if f.dataType.typeName() == "string"]
+    row_bytes = sum(texts, F.lit(16 * len(frame.columns)))
+    measured = frame.agg(F.sum(row_bytes.cast("long"))).first()[0] or 0
+    return F.broadcast(frame) if measured <= max_bytes else frame
 
 
 def one_per_key(reference: DataFrame, keys: list[str], fields: list[str], order_by: list[str]) -> DataFrame:

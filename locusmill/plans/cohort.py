@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from locusmill.operators import cohort as C
 from locusmill.operators import frequencies as FQ
 from locusmill.operators import histograms as H
-from locusmill.operators.lookups import VARIANT_KEYS, one_per_key, predictor_struct, variant_lookup
+from locusmill.operators.lookups import (
+    VARIANT_KEYS,
+    broadcast_if_bounded,
+    one_per_key,
+    predictor_struct,
+    variant_lookup,
+)
 from locusmill.operators.reshape import search_row
 from locusmill.vocabulary import POPULATIONS
 
@@ -112,7 +118,7 @@ def cohort_variants(
     if pops is None:
         observed = FQ.observed_values(samples.where(F.col("pop").isin(POPULATIONS)))
         pops = [pop for pop in POPULATIONS if pop in observed]
-    entries = prepare_entries(C.Cohort(cohort.sites, cohort.entries, samples))
+    entries = prepare_entries(C.Cohort(cohort.sites, cohort.entries, broadcast_if_bounded(samples)))
     if store is not None:
         entries.write.mode("overwrite").parquet(f"{store}/entries")
         entries = entries.sparkSession.read.parquet(f"{store}/entries")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from locusmill.functions.basics import literal_map
 from locusmill.functions.genotypes import parse_call
 from locusmill.operators.cohort import Cohort
+from locusmill.operators.lookups import broadcast_if_bounded
 from locusmill.sources.text import read_lines
 from locusmill.vocabulary import CONTIG_LENGTHS
 
@@ -192,7 +193,7 @@ def read_cohort(
     records = parse_records(lines, build, skip_invalid_loci)
     types = info_types(header) if types is None else types
     samples = sample_rows(header)
-    entries = entry_rows(records, fields).join(samples, "sample").drop("sample")
+    entries = entry_rows(records, fields).join(broadcast_if_bounded(samples), "sample").drop("sample")
     return Cohort(site_rows(records, types), entries, samples.select("s"))
 
 

@@ -1,10 +1,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from locusmill import catalog
 from locusmill.functions.genotypes import parse_call
 from locusmill.operators import cohort as C
 from locusmill.operators import expression as X
-from locusmill.operators.lookups import variant_lookup
+from locusmill.operators import frequencies as FQ
+from locusmill.operators.lookups import broadcast_if_bounded, variant_lookup
 from locusmill.operators.reshape import expand_types, transmute
 from locusmill.operators.summary import variant_summary
 from locusmill.plans import cohort as P
@@ -77,22 +79,43 @@ def test_lookup_never_multiplies_rows(spark):
     assert sorted([r.v for r in variant_lookup(variants, reference, ["v"]).collect()], key=str) == [1, 1, 1, None]
 
 
+def test_broadcast_only_below_the_bound(spark):
+    frame = spark.createDataFrame([(1, "x" * 100), (2, None)], "k int, s string")
+    hinted = lambda f: "strategy=broadcast" in f._jdf.queryExecution().toString()
+    assert hinted(broadcast_if_bounded(frame, 164)) and not hinted(broadcast_if_bounded(frame, 163))
+    # left alone, a frame joins by shuffle and gives the same rows
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = frame.join(broadcast_if_bounded(frame.select("k"), 1), "k")
+        assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_results_do_not_depend_on_broadcast(spark, inputs):
+    """The whole product once more with every join shuffled."""
+    expected = sorted(map(str, P.cohort_variants(*inputs).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(str, P.cohort_variants(*inputs).collect())) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def test_one_hot_site_and_sample(spark):
     """A third of all entries on one site: counts equal a plain count."""
     entries = spark.range(3000).selectExpr(
         "if(id % 3 = 0, 0L, id) AS site_id", "1 AS a_index", "if(id % 3 = 1, 'hot', concat('s', id)) AS s",
         "if(id % 2 = 0, '0/1', '1/1') AS t", "true AS adj", "'afr' AS pop", "'No' AS proband", "'M' AS sex",
     ).withColumn("GT", parse_call(F.col("t")))
-    from locusmill.operators import frequencies as FQ
-
     row = FQ.frequencies_wide(entries, ["site_id", "a_index"], ["afr"]).where("site_id = 0").first()
     assert (row.AC_adj_afr, row.AN_raw, row.nhomalt_adj) == (1500, 2000, 500)
 
 
 def test_hot_key_aggregates_are_partial(spark):
     """Every aggregation of the frequency stage combines rows before its shuffle."""
-    from locusmill import catalog
-
     plan = catalog.QUERIES["freq_wide"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
