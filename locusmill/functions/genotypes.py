@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CALL_TYPE = "struct<a0:int,a1:int,phased:boolean>"
-
 
 def call(a0: Column, a1: Column, phased: Column) -> Column:
     return F.struct(

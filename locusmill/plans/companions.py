@@ -11,7 +11,7 @@ from locusmill.operators import expression as X
 from locusmill.operators.cohort import Cohort, repartition_scaled, split_sites
 from locusmill.operators.frequencies import observed_values
 from locusmill.operators.lookups import one_per_key, variant_lookup, within_intervals
-from locusmill.operators.reshape import identifier_fields, transmute
+from locusmill.operators.reshape import identifier_fields, transmute, with_constants
 from locusmill.operators.summary import sort_by_variant
 from locusmill.sinks.documents import unite_collections, write_bulk
 from locusmill.sources.tables import read_saved, read_table
@@ -55,15 +55,15 @@ def clinical_rows(variants: DataFrame) -> DataFrame:
     )
 
 
-def clinical_table(sites: DataFrame, vep: DataFrame) -> DataFrame:
-    """The clinical variant table in variant-id order.
+def clinical_table(sites: DataFrame, vep: DataFrame, **constants: str | None) -> DataFrame:
+    """The clinical variant table in variant-id order, with dataset constants such as its version.
 
     Sorting comes before the wide projection, which keeps the order: range partitioning samples
     its input and would evaluate the projection twice.
     """
     variants = clinical_sites(sites).transform(identifier_fields)
     annotated = variant_lookup(variants, vep, ["vep"])
-    return clinical_rows(sort_by_variant(annotated))
+    return with_constants(clinical_rows(sort_by_variant(annotated)), **constants)
 
 
 def unknown_review_statuses(rows: DataFrame) -> DataFrame:

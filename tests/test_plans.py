@@ -132,8 +132,9 @@ def test_clinical(spark, tmp_path):
     ]) + "\n")
     sites = vcf.read_sites(text.read_lines(spark, str(tmp_path / "k.vcf")), build="38", skip_invalid_loci=True)
     vep = tables.vep_by_variant(spark.createDataFrame([(VEP,)], "value string"))
-    table = companions.clinical_table(sites, vep)
+    table = companions.clinical_table(sites, vep, version="2024-01-15", genomeVersion="38")
     rows = table.collect()
+    assert (rows[0].version, rows[0].genomeVersion) == ("2024-01-15", "38")
     assert [r.variant_id for r in rows] == ["1-100-A-G", "1-100-AT-A", "2-7-A-C"]
     hit = rows[1]
     assert (hit.allele_id, hit.clinical_significance, hit.gold_stars, hit.gene_ids) == (5, "Benign,_risk", 1, ["g1"])
