@@ -1,7 +1,7 @@
 """Operator 5: toxicity by bags of subwords.
 
 A word is the character n-grams of it between ``<`` and ``>``, and a text the mean of the vectors
-of all n-grams of its words; a softmax over that mean gives the score. Vectors and softmax are
+of all n-grams of its words, rare n-grams weighing more; a softmax over that mean gives the score. Vectors and softmax are
 trained together, in numpy, on a bounded sample of labelled rows. A misspelt word shares most
 n-grams with the word that it stands for.
 
@@ -11,22 +11,25 @@ scoring sums one number a word, which tasks remember.
 
 from __future__ import annotations
 
-import functools
 import re
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusmill.llm.shared import batch, checksum, sampled, slices, table
+from locusmill.llm.shared import batch, checksum, sampled, slices, table, written
 
 #: Words are read in lower case, without the marks around them, in parts of this many characters.
 WORDS = re.compile(r"[^\W_]{1,64}|[^\w\s]")
 SHORTEST, LONGEST = 3, 5
-BUCKETS, WIDTH = 1 << 17, 8
+BUCKETS, WIDTH = 1 << 20, 4
 #: Labelled rows in the sample that the vectors are fitted on.
-SAMPLE_ROWS = 4_000
-EPOCHS, BATCH, STEP, SEED = 12, 64, 0.05, 7
+SAMPLE_ROWS = 8_000
+#: N-grams in fewer sampled texts, or in a larger share of them, have no vector.
+LEAST_TEXTS, MOST_TEXTS = 8, 0.05
+#: The vectors' step is large, as their gradients are shares of a mean; plain descent leaves the
+#: many n-grams that occur by chance near zero.
+STEPS, BATCH, VECTOR_STEP, SOFTMAX_STEP, SEED = 2_000, 64, 5_000.0, 0.1, 7
 REMEMBERED = 400_000
 
 
@@ -53,88 +56,113 @@ def ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(owner), np.concatenate(bucket).astype(np.int64)
 
 
-def _bags(rows: DataFrame) -> DataFrame:
-    """Label, and the buckets of each text with their shares: at most ``BUCKETS`` of them."""
-    schema = "toxic int, bucket array<int>, share array<float>"
+class Model:
+    """For each bucket its weight in the mean, and what it adds to a score times that weight."""
+
+    def __init__(self, weight: np.ndarray, gain: np.ndarray, constant: float):
+        self.weight, self.gain, self.constant = weight.astype(np.float32), gain.astype(np.float32), constant
+
+
+def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of a text's n-grams, and how often each occurs."""
+    words = words_of(text or "")
+    return np.unique(ngrams(words)[1] if words else np.zeros(0, np.int64), return_counts=True)
+
+
+def _text_counts(rows: DataFrame) -> np.ndarray:
+    """For each bucket the number of texts that have it."""
+    schema = "bucket int, n long"
 
     def run(batches):
+        counts = np.zeros(BUCKETS, np.int64)
         for part in slices(batches, "text"):
-            labels, buckets, shares = part.column("toxic").to_pylist(), [], []
             for text in part.column("text").to_pylist():
-                words = words_of(text or "")
-                ids, counts = np.unique(ngrams(words)[1] if words else np.zeros(0, np.int64), return_counts=True)
-                buckets.append(ids.astype(np.int32))
-                shares.append((counts / max(1, counts.sum())).astype(np.float32))
-            yield batch(schema, labels, buckets, shares)
+                counts[bag(text)[0]] += 1
+        (found,) = np.nonzero(counts)
+        yield batch(schema, found.astype(np.int32), counts[found])
 
-    return rows.select("toxic", "text").mapInArrow(run, schema)
+    found = rows.select("text").mapInArrow(run, schema).groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(BUCKETS, np.int64)
+    counts[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
+    return counts
 
 
-class Model:
-    """What an n-gram adds to a text's score, before the mean; and the constant."""
+def _bags(rows: DataFrame, weight: np.ndarray) -> DataFrame:
+    """Label, and the weighted buckets of each text with their shares: at most ``BUCKETS`` of them."""
+    schema = "toxic int, bucket array<int>, share array<float>"
 
-    def __init__(self, gain: np.ndarray, constant: float):
-        self.gain, self.constant = gain, constant
+    def run(batches):
+        for part in slices(batches, "text"):
+            buckets, shares = [], []
+            for text in part.column("text").to_pylist():
+                ids, counts = bag(text)
+                ids, share = ids[weight[ids] > 0], (counts * weight[ids])[weight[ids] > 0]
+                buckets.append(ids.astype(np.int32))
+                shares.append((share / max(1e-9, share.sum())).astype(np.float32))
+            yield batch(schema, part.column("toxic"), buckets, shares)
+
+    return rows.select("toxic", "text").mapInArrow(run, schema)
 
 
-def train(labels: np.ndarray, buckets: list[np.ndarray], shares: list[np.ndarray]) -> Model:
-    """Vectors and softmax, trained together by Adam on small batches of bags."""
+def train(labels: np.ndarray, buckets: list[np.ndarray], shares: list[np.ndarray], weight: np.ndarray) -> Model:
+    """Vectors and softmax, trained together by gradient descent on small batches of bags."""
+    kept = np.flatnonzero(weight)
+    place = np.zeros(BUCKETS, np.int64)
+    place[kept] = np.arange(len(kept))
+    buckets = [place[b] for b in buckets]
     rng = np.random.default_rng(SEED)
-    vectors = rng.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32)
-    weights = rng.normal(0, 0.1, (WIDTH, 2)).astype(np.float32)
+    vectors = rng.normal(0, 0.1, (len(kept), WIDTH)).astype(np.float32)
+    softmax = rng.normal(0, 0.3, (WIDTH, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
-    moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in (("v", vectors), ("w", weights), ("b", bias))}
-    count = 0
-
-    def update(name, value, rows, gradient):
-        m, s = moments[name]
-        m[rows] = 0.9 * m[rows] + 0.1 * gradient
-        s[rows] = 0.99 * s[rows] + 0.01 * gradient**2
-        value[rows] -= STEP * (m[rows] / (1 - 0.9**count)) / (np.sqrt(s[rows] / (1 - 0.99**count)) + 1e-6)
-
-    for _ in range(EPOCHS):
+    done = 0
+    while done < STEPS:
         order = rng.permutation(len(labels))
-        for at in range(0, len(order), BATCH):
+        for at in range(0, len(order), BATCH)[: STEPS - done]:
             rows = order[at : at + BATCH]
-            count += 1
             flat = np.concatenate([buckets[i] for i in rows])
-            share = np.concatenate([shares[i] for i in rows])[:, None]
+            share = np.concatenate([shares[i] for i in rows])
             doc = np.repeat(np.arange(len(rows)), [len(buckets[i]) for i in rows])
-            mean = np.stack([np.bincount(doc, share[:, 0] * vectors[flat, d], len(rows)) for d in range(WIDTH)], 1)
-            logits = mean @ weights + bias
+            mean = np.stack([np.bincount(doc, share * vectors[flat, d], len(rows)) for d in range(WIDTH)], 1)
+            logits = mean @ softmax + bias
             p = np.exp(logits - logits.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             error = (p - np.eye(2)[labels[rows]]) / len(rows)
-            by_doc = error @ weights.T
-            ids, inverse = np.unique(flat, return_inverse=True)
-            pull = share * by_doc[doc]
-            gradient = np.stack([np.bincount(inverse, pull[:, d], len(ids)) for d in range(WIDTH)], 1)
-            update("w", weights, slice(None), mean.T @ error)
-            update("b", bias, slice(None), error.sum(0))
-            update("v", vectors, ids, gradient)
-    difference = weights[:, 1] - weights[:, 0]
-    return Model((vectors @ difference).astype(np.float64), float(bias[1] - bias[0]))
+            pull, rate = error @ softmax.T, 1 - done / STEPS
+            for d in range(WIDTH):
+                vectors[:, d] -= VECTOR_STEP * rate * np.bincount(flat, share * pull[doc, d], len(kept))
+            softmax -= SOFTMAX_STEP * rate * (mean.T @ error)
+            bias -= SOFTMAX_STEP * rate * error.sum(0)
+            done += 1
+    gain = np.zeros(BUCKETS)
+    gain[kept] = weight[kept] * (vectors @ (softmax[:, 1] - softmax[:, 0]))
+    return Model(weight, gain, float(bias[1] - bias[0]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> Model:
     """A model from the texts of ``docs`` and the ``doc_id, toxic`` rows of ``labels``.
 
     About ``most`` labelled rows are taken; the driver gets their bags, each of at most
-    ``BUCKETS`` numbers. Rows without a label or text are left out. With rows of one class or
-    none, every score is the share of label 1 (0 without rows).
+    ``BUCKETS`` numbers. Rows without a label or text are left out. With rows of one class,
+    every score is that class; without rows, every score is 0.
     """
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "toxic")
     chosen = sampled(usable, None, most, "doc_id", "toxicity")
     texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text")
     # the sample is bounded by its own size, so it may be sent to all tasks
-    found = _bags(texts.join(F.broadcast(chosen), "doc_id")).toArrow()
+    rows = written(texts.join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
+    counts = _text_counts(rows)
+    n = rows.count()
+    used = (counts >= min(LEAST_TEXTS, 1 + n // 100)) & (counts <= max(2, MOST_TEXTS * n))
+    weight = np.where(used, np.log((n + 1) / (counts + 1)), 0.0).astype(np.float32)
+    found = _bags(rows, weight).toArrow()
     toxic = found.column("toxic").to_numpy()
     if len(set(toxic.tolist())) < 2:
-        return Model(np.zeros(BUCKETS), 40.0 if len(toxic) and toxic[0] else -40.0)
-    arrays = [[x.values.to_numpy() for x in found.column(n)] for n in ("bucket", "share")]
+        constant = 40.0 if len(toxic) and toxic[0] else -40.0
+        return Model(np.zeros(BUCKETS), np.zeros(BUCKETS), constant)
+    buckets, shares = ([x.values.to_numpy() for x in found.column(c)] for c in ("bucket", "share"))
     # rows arrive in any order; training goes by their content
-    order = sorted(range(len(toxic)), key=lambda i: (len(arrays[0][i]), arrays[0][i].tobytes(), toxic[i]))
-    return train(toxic[order], *[[a[i] for i in order] for a in arrays])
+    order = sorted(range(n), key=lambda i: (len(buckets[i]), buckets[i].tobytes(), toxic[i]))
+    return train(toxic[order], [buckets[i] for i in order], [shares[i] for i in order], weight)
 
 
 class Scorer:
@@ -149,13 +177,13 @@ class Scorer:
         if new:
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
             owner, bucket = ngrams(new)
-            n = np.bincount(owner, minlength=len(new))
-            self.values = np.concatenate([self.values, np.stack([np.bincount(owner, self.model.gain[bucket], len(new)), n], 1)])
+            sums = [np.bincount(owner, x[bucket], len(new)) for x in (self.model.gain, self.model.weight)]
+            self.values = np.concatenate([self.values, np.stack(sums, 1)])
         logits = np.full(len(texts), self.model.constant)
         for i, each in enumerate(words):
             if each:
-                gain, n = self.values[np.fromiter(map(self.known.__getitem__, each), np.int64, len(each))].sum(0)
-                logits[i] += gain / max(1, n)
+                gain, weight = self.values[np.fromiter(map(self.known.__getitem__, each), np.int64, len(each))].sum(0)
+                logits[i] += gain / max(1e-9, weight)
         return 1 / (1 + np.exp(-np.clip(logits, -40, 40)))
 
 
