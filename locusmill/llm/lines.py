@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from locusmill.functions.basics import let
 from locusmill.llm.shared import SPACES, table, written
 
 WINDOW = 3
@@ -25,15 +26,15 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _solid(text: Column) -> Column:
+def _solid(lines: Column) -> Column:
     """Number and text of the lines that hold a word."""
-    numbered = F.transform(_lines(text), lambda x, i: F.struct(i.alias("at"), x.alias("line")))
+    numbered = F.transform(lines, lambda x, i: F.struct(i.alias("at"), x.alias("line")))
     return F.filter(numbered, lambda x: x["line"].rlike(rf"[^{SPACES}]"))
 
 
 def _windows(docs: DataFrame) -> DataFrame:
     """``doc_id, version, place, h1, h2`` of each window."""
-    solid = docs.select("doc_id", F.xxhash64("text").alias("version"), _solid(F.col("text"))["line"].alias("solid"))
+    solid = docs.select("doc_id", F.xxhash64("text").alias("version"), _solid(_lines(F.col("text")))["line"].alias("solid"))
     placed = solid.where(F.size("solid") >= WINDOW).select(
         "doc_id",
         "version",
@@ -64,10 +65,16 @@ def repeated_places(docs: DataFrame) -> DataFrame:
 
 def _uncovered(text: Column, places: Column) -> Column:
     """The text without the lines of the windows at ``places``."""
-    at = _solid(text)["at"]
-    covered = F.array_distinct(F.flatten(F.transform(places, lambda p: F.slice(at, p + 1, WINDOW))))
-    left = F.array_except(F.sequence(F.lit(0), F.size(_lines(text)) - 1), covered)
-    return F.array_join(F.transform(left, lambda i: F.get(_lines(text), i)), "\n")
+
+    def rest(lines: Column) -> Column:
+        covered = let(
+            _solid(lines)["at"],
+            lambda at: F.flatten(F.transform(places, lambda p: F.slice(at, p + 1, WINDOW))),
+        )
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered)
+        return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+
+    return let(_lines(text), rest)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -86,7 +93,6 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         F.col(f"{ROW}.doc_id").eqNullSafe(later["doc_id"]) & (F.xxhash64(F.col(f"{ROW}.text")) == later["version"]),
         "left",
     ).select(ROW, "places")
-    # lines are split in a projection of their own, so that lambdas read a ready array
     text = F.col(f"{ROW}.text")
     kept = F.when(F.col("places").isNull(), text).otherwise(_uncovered(text, F.col("places")))
     return joined.select(*[kept.alias("text") if c == "text" else F.col(f"{ROW}.`{c}`").alias(c) for c in columns])

@@ -18,6 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from locusmill.functions.basics import let
 from locusmill.llm.shared import SPACES, table, written
 
 # Limits of the rules, and the characters that count as symbols.
@@ -56,16 +57,15 @@ CONSISTENCY = KEPT_SHARE / _chi_square(_quantile(KEPT_SHARE, P), P + 2)
 
 def _repeated(windows: Column) -> Column:
     """Words in windows (as hashes) that occur twice or more."""
+    def marked(placed: Column) -> Column:
+        same = lambda k, j: F.get(placed, k)["h"] == F.get(placed, j)["h"]
+        return F.transform(
+            F.sequence(F.lit(0), F.size(placed) - 1),
+            lambda k: F.when(same(k, k - 1) | same(k, k + 1), F.get(placed, k)["i"]),
+        )
+
     placed = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    n = F.size(windows)
-    marked = F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda k: F.when(
-            (F.get(placed, k)["h"] == F.get(placed, k - 1)["h"]) | (F.get(placed, k)["h"] == F.get(placed, k + 1)["h"]),
-            F.get(placed, k)["i"],
-        ),
-    )
-    places = F.array_sort(F.filter(marked, lambda x: x.isNotNull()))
+    places = F.array_sort(F.filter(let(placed, marked), lambda x: x.isNotNull()))
     return F.aggregate(
         places,
         F.struct(F.lit(0).alias("words"), F.lit(-REPEAT_WORDS).alias("last")),
