@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from locusmill.llm.chat import OP4_SQL, op4_chat
+from locusmill.llm.contamination import op3_decontamination
 from locusmill.llm.language import op2_language
 from locusmill.llm.lines import OP9_SQL, op9_line_dedup
 from locusmill.llm.near import OP10_SQL, op10_near_duplicates
@@ -12,6 +13,6 @@ from locusmill.llm.toxicity import op5_toxicity
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_language, op4_chat, op5_toxicity, op6_sentencepiece, op7_quality, op9_line_dedup, op10_near_duplicates)
+    for f in (op2_language, op3_decontamination, op4_chat, op5_toxicity, op6_sentencepiece, op7_quality, op9_line_dedup, op10_near_duplicates)
 }
 ORACLE = {"op4_chat": OP4_SQL, "op9_line_dedup": OP9_SQL, "op10_near_duplicates": OP10_SQL}
