@@ -9,10 +9,12 @@ from locusmill.llm.lines import OP9_SQL, op9_line_dedup
 from locusmill.llm.near import OP10_SQL, op10_near_duplicates
 from locusmill.llm.pieces import op6_sentencepiece
 from locusmill.llm.quality import op7_quality
+from locusmill.llm.token_files import op1_token_counts
 from locusmill.llm.toxicity import op5_toxicity
+from locusmill.llm.warc import OP8_SQL, op8_warc
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_language, op3_decontamination, op4_chat, op5_toxicity, op6_sentencepiece, op7_quality, op9_line_dedup, op10_near_duplicates)
+    for f in (op1_token_counts, op2_language, op3_decontamination, op4_chat, op5_toxicity, op6_sentencepiece, op7_quality, op8_warc, op9_line_dedup, op10_near_duplicates)
 }
-ORACLE = {"op4_chat": OP4_SQL, "op9_line_dedup": OP9_SQL, "op10_near_duplicates": OP10_SQL}
+ORACLE = {"op4_chat": OP4_SQL, "op8_warc": OP8_SQL, "op9_line_dedup": OP9_SQL, "op10_near_duplicates": OP10_SQL}
