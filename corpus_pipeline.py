@@ -1,10 +1,14 @@
-"""A training-data pipeline of five stages over ``documents``."""
+"""A training-data pipeline of five stages over ``documents``.
+
+Each stage takes the documents that the one before it kept and returns documents of the same
+columns; the last returns counts and digests of the encoded texts.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locusmill.llm import pieces, toxicity
+from locusmill.llm import contamination, lines, near, pieces, toxicity
 from locusmill.llm.shared import table, written
 
 
@@ -13,17 +17,39 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, toxicity.production_model(spark, sf_dir))
 
 
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of three lines that stand earlier in the corpus go; all documents stay."""
+    return lines.without_repeats(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays."""
+    return near.without_near_duplicates(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of ``benchmark`` go."""
+    return contamination.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of what is left, and digests of the ids and of their decoding."""
+    """Ids of what is left, as counts and digests of the ids and of their decoding."""
     return pieces.digests(docs, pieces.model_path())
 
 
-STAGES = [("toxicity", drop_toxic), ("encode", encode)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_repeated_lines),
+    ("near duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("encode", encode),
+]
+#: SQL can't train the toxicity model; the pipeline is tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = written(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
