@@ -7,12 +7,12 @@ whose slots are all below j is ready, which for most texts is after two rounds.
 close sets share bands, and texts that share a band are compared on their full sets.
 
 Texts with equal sets are one class from the start (a sum of two mixed hashes over the set, 128
-bits), so copies never meet in a band. In a band's bucket no pairs of all members are made: first
-each class is compared with the bucket's smallest; then only buckets whose members still lie in
-several components go on, with the members next to each other in order, then with those up to 4,
-16, 64, ... places apart, and in each round only pairs of different components. When all places
-have been taken every pair of the bucket has been compared or is joined already, so no link that
-would join two components is lost.
+bits), so copies never meet in a band. In a band's bucket no pairs of all members are made. First
+each class is compared with the bucket's smallest. Then only buckets whose members still lie in
+several components go on, without the members that a bound rules out: a set of which more than 15
+percent of the shingles are in no other of the sets is linked with nothing. What lies outside a
+bucket's commonest component is compared with all that lies in other components and that the same
+bound allows. So every pair of a bucket is compared, joined already, or proven not to be a link.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusmill.llm.groups import components
@@ -150,18 +150,57 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _mixed_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members, with their components, of the buckets that hold more than one component."""
-    named = members.join(labels, F.col("rep") == F.col("node"), "left").select(
-        "band", "hash", "rep", "size", F.coalesce("component", "rep").alias("component")
+def _mixed_buckets(members: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component; ``core`` is the commonest one."""
+    counts = members.groupBy("band", "hash", "component").agg(F.count("*").alias("n"))
+    cores = counts.groupBy("band", "hash").agg(
+        F.count("*").alias("several"), F.max(F.struct("n", "component"))["component"].alias("core")
     )
-    several = named.groupBy("band", "hash").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return named.join(several.where("low != high").select("band", "hash"), ["band", "hash"])
+    return members.join(cores.where("several > 1").select("band", "hash", "core"), ["band", "hash"])
 
 
-def _close_sizes(a: str, b: str):
-    """Sets whose sizes differ more can't be close enough."""
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+def _shared_sizes(sets: DataFrame) -> DataFrame:
+    """``rep, shared``: how many shingles of each set are in another of these sets too."""
+    shingles = sets.select("doc_id", F.explode("hashes").alias("h"))
+    alone = shingles.groupBy("h").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).where("n = 1")
+    counts = alone.groupBy("doc_id").agg(F.count("*").alias("alone"))
+    return sets.join(counts, "doc_id", "left").select(
+        F.col("doc_id").alias("rep"), (F.size("hashes") - F.coalesce("alone", F.lit(0))).alias("shared")
+    )
+
+
+def _can_link(size_a: str, shared_a: str, size_b: str, shared_b: str) -> Column:
+    """A bound: sets can only have shingles in common that are shared at all."""
+    most = F.least(shared_a, shared_b)
+    return 100 * most >= PERCENT * (F.col(size_a) + F.col(size_b) - most)
+
+
+def _remaining_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of different components in one bucket that may still be linked.
+
+    Members outside a bucket's commonest component meet all members that lie in another one, so
+    members that are joined already are not paired with each other again.
+    """
+    named = members.join(labels, F.col("rep") == F.col("node"), "left").select(
+        "band", "hash", "rep", "size", F.coalesce("component", "rep").alias("component")
+    )
+    rest = written(_mixed_buckets(named).drop("core"), "near-mixed")
+    left = rest.select(F.col("rep").alias("doc_id")).distinct()
+    shared = _shared_sizes(sets.join(left, "doc_id", "left_semi"))
+    able = rest.join(shared, "rep").where(100 * F.col("shared") >= PERCENT * F.col("size"))
+    able = written(_mixed_buckets(able), "near-able")
+    others = able.select(
+        "band", "hash", F.col("rep").alias("b"), F.col("size").alias("size_b"),
+        F.col("shared").alias("shared_b"), F.col("component").alias("component_b"),
+    )
+    return (
+        able.where("component != core")
+        .join(others, ["band", "hash"])
+        .where((F.col("component_b") == F.col("core")) | (F.col("component") < F.col("component_b")))
+        .where(_can_link("size", "shared", "size_b", "shared_b"))
+        .select(F.col("rep").alias("a"), "b")
+        .distinct()
+    )
 
 
 def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -171,34 +210,20 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     buckets = written(buckets.where("n > 1").drop("n"), "near-buckets")
     members = written(members.join(buckets, ["band", "hash"]), "near-members")
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    # copies of a class are not wanted, but rows that repeat a document are equal
-    sets = written(_sets(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])), "near-sets")
-    pairs = members.where((F.col("rep") != F.col("first.rep")) & _close_sizes("size", "first.size")).select(
+    # rows that repeat a document are equal
+    sets = written(_sets(docs.join(wanted, "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "near-sets")
+    firsts = members.where((F.col("rep") != F.col("first.rep")) & _close_sizes("size", "first.size")).select(
         F.col("first.rep").alias("a"), F.col("rep").alias("b")
     )
-    edges = written(_linked(pairs.distinct(), sets), "near-links")
+    edges = written(_linked(firsts.distinct(), sets), "near-links")
     labels = components(edges)
-    low, high = 1, 1
-    while True:
-        rest = written(_mixed_buckets(members, labels), "near-rest")
-        place = F.row_number().over(Window.partitionBy("band", "hash").orderBy("rep"))
-        placed = rest.select("*", place.alias("place"), F.count("*").over(Window.partitionBy("band", "hash")).alias("n"))
-        placed = written(placed.where(F.col("n") > low), "near-places")
-        if placed.isEmpty():
-            return labels
-        here = placed.select("band", "hash", "rep", "size", "component", "place", F.explode(F.sequence(F.col("place") + low, F.least(F.col("place") + high, "n"))).alias("other")).where("place < n")
-        there = placed.select(
-            "band", "hash", F.col("place").alias("other"), F.col("rep").alias("b"),
-            F.col("size").alias("size_b"), F.col("component").alias("component_b"),
-        )
-        pairs = here.join(there, ["band", "hash", "other"]).where(
-            (F.col("component") != F.col("component_b")) & _close_sizes("size", "size_b")
-        )
-        found = written(_linked(pairs.select(F.col("rep").alias("a"), "b").distinct(), sets), "near-links")
-        if not found.isEmpty():
-            edges = edges.unionByName(found)
-            labels = components(edges)
-        low, high = high + 1, high * 4
+    more = written(_linked(written(_remaining_pairs(members, labels, sets), "near-pairs"), sets), "near-links")
+    return labels if more.isEmpty() else components(edges.unionByName(more))
+
+
+def _close_sizes(a: str, b: str) -> Column:
+    """Sets whose sizes differ more can't be close enough."""
+    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

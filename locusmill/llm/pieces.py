@@ -78,6 +78,8 @@ class Pieces:
 
     def merge_units(self, units: list[str]) -> list[list[int]]:
         """Symbols of each unit after all merges. No unit is empty."""
+        if not units:
+            return []
         lengths = np.fromiter(map(len, units), np.int64, len(units))
         flat = self.first[np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)].astype(np.int64)
         unit = np.repeat(np.arange(len(units)), lengths)

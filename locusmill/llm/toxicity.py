@@ -26,7 +26,7 @@ BUCKETS, WIDTH = 1 << 20, 4
 #: Labelled rows in the sample that the vectors are fitted on.
 SAMPLE_ROWS = 8_000
 #: N-grams in fewer sampled texts, or in a larger share of them, have no vector.
-LEAST_TEXTS, MOST_TEXTS = 8, 0.05
+LEAST_TEXTS, MOST_TEXTS = 8, 0.12
 #: The vectors' step is large, as their gradients are shares of a mean; plain descent leaves the
 #: many n-grams that occur by chance near zero.
 STEPS, BATCH, VECTOR_STEP, SOFTMAX_STEP, SEED = 2_000, 64, 5_000.0, 0.1, 7
