@@ -29,6 +29,7 @@ from locusmill.vocabulary import (
     FREQUENCY_FIELDS,
     POPMAX_FIELDS,
     POPULATIONS,
+    RELEASE_HISTOGRAMS,
     RELEASE_SUBPOPULATIONS,
     SITE_QUALITY_FIELDS,
 )
@@ -161,8 +162,8 @@ def call_stats_raw(spark, sf):
 
 @query
 def call_stats_by_group(spark, sf):
-    pops = FQ.observed_values(V.samples(spark, sf))
-    return FQ.frequencies_long(_entries(spark, sf), KEYS, pops).select(
+    groups = FQ.group_table(V.samples(spark, sf))
+    return FQ.frequencies_by_group(_entries(spark, sf), KEYS, groups).select(
         *KEYS, "idx", "tag", F.col("AC").alias("ac"), F.col("AN").alias("an"), F.col("AF").alias("af"),
         F.col("nhomalt").alias("nhom"),
     )
@@ -198,31 +199,16 @@ def group_counter(spark, sf):
 def freq_meta(spark, sf):
     """The group that each place of the frequency array stands for, beside its sample count."""
     samples = V.samples(spark, sf)
-    meta = FQ.frequency_groups(FQ.observed_values(samples))
-    fields = ["group", "pop", "proband", "sex"]
-    places = [
-        F.struct(F.lit(i).alias("idx"), *[F.lit(m.get(f)).cast("string").alias(f) for f in fields])
-        for i, m in enumerate(meta)
-    ]
-    members = samples.select(
-        F.explode(F.array(*places)).alias("m"), F.col("pop").alias("spop"), F.col("proband").alias("spro"), "sex"
-    )
-    inside = (
-        F.coalesce(F.col("m.pop") == F.col("spop"), F.col("m.pop").isNull())
-        & (F.col("m.proband").isNull() | (F.col("spro") == "Yes"))
-        & (F.col("m.sex").isNull() | (F.when(F.col("sex") == "M", "male").otherwise("female") == F.col("m.sex")))
-    )
-    return members.groupBy("m").agg(F.count_if(inside).alias("n_samples")).select("m.*", "n_samples")
+    return FQ.group_sizes(samples, FQ.group_table(samples)).drop("tag")
 
 
 @query
 def freq_label_index(spark, sf):
     """Labels with their place in the frequency array, with the adj AC of all variants there."""
-    pops = FQ.observed_values(V.samples(spark, sf))
-    index = FQ.frequency_index(FQ.frequency_groups(pops))
-    totals = FQ.frequencies_long(_entries(spark, sf), KEYS, pops).groupBy("idx").agg(F.sum("AC").alias("total_ac"))
-    labels = F.explode(F.array(*[F.struct(F.lit(l).alias("label"), F.lit(i).alias("at")) for l, i in index.items()]))
-    return totals.select("idx", "total_ac", labels.alias("l")).where("l.at = idx").select("l.label", "idx", "total_ac")
+    groups = FQ.group_table(V.samples(spark, sf))
+    totals = FQ.frequencies_by_group(_entries(spark, sf), KEYS, groups).groupBy("idx", "tag").agg(F.sum("AC").alias("total_ac"))
+    labels = FQ.group_labels(spark)
+    return totals.join(labels, "tag").select("label", "idx", "total_ac")
 
 
 # --- histograms
@@ -721,8 +707,9 @@ def vcf_entries(spark, sf):
 @query
 def vcf_call_stats(spark, sf):
     """Text to call statistics: parse, split, count; totals per contig."""
-    entries = C.split_entries(_call_set(spark, sf).entries)
-    sites = C.split_sites(_call_set(spark, sf).sites).select(*KEYS, "contig")
+    calls = _call_set(spark, sf)
+    entries = C.split_entries(calls.entries)
+    sites = C.split_sites(calls.sites).select(*KEYS, "contig")
     return (
         sites.join(FQ.call_stats(entries, KEYS), KEYS)
         .groupBy("contig")
@@ -753,6 +740,7 @@ def release_dates(spark, sf):
         F.when((F.col("p_size") % 5 == 0) & (number % 4 > 0), F.concat(F.lit("##fileDate=2024-02-"), number + 10))
         .otherwise(F.concat(F.lit("##note="), "p_name"))
         .alias("value"),
+        F.col("p_partkey").alias("line"),
     )
     return vcf.release_dates(lines)
 
@@ -819,17 +807,21 @@ def interval_structs(spark, sf):
 @query
 def histogram_structs(spark, sf):
     size = F.col("p_size")
+    values = {
+        "bin_edges": lambda i: F.array(F.lit(0.0), F.lit(5.0) + i),
+        "bin_freq": lambda i: F.array(size, size + 1 + i),
+        "n_larger": lambda i: size % (3 + i),
+        "n_smaller": lambda i: size % (2 + i),
+    }
     flat = V.table(spark, sf, "part").select(
         F.col("p_partkey").alias("site_id"),
-        F.array(F.lit(0.0), F.lit(5.0)).alias("dp_hist_all_bin_edges"),
-        F.array(size, size + 1).alias("dp_hist_all_bin_freq"),
-        (size % 3).alias("dp_hist_all_n_larger"),
-        (size % 2).alias("dp_hist_all_n_smaller"),
-    )
-    hist = F.col("dp_hist_all")
-    return R.histogram_structs(flat, ["dp_hist_all"]).select(
-        "site_id", F.get(hist["bin_edges"], F.lit(1)).alias("edge"), F.get(hist["bin_freq"], F.lit(1)).alias("freq"),
-        hist["n_larger"].alias("n_larger"), hist["n_smaller"].alias("n_smaller"),
+        *[value(i).alias(f"{name}_{part}") for i, name in enumerate(RELEASE_HISTOGRAMS) for part, value in values.items()],
+    )
+    found = R.histogram_structs(flat)
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("h")) for n in RELEASE_HISTOGRAMS]))
+    return found.select("site_id", each.alias("e")).select(
+        "site_id", F.col("e.name").alias("name"), F.get("e.h.bin_edges", F.lit(1)).alias("edge"),
+        F.get("e.h.bin_freq", F.lit(1)).alias("freq"), "e.h.n_larger", "e.h.n_smaller",
     )
 
 

@@ -119,12 +119,12 @@ def keep_variant_sites(sites: DataFrame, entries: DataFrame, keys: list[str]) ->
 
 
 def subset_cohort(cohort: Cohort, requested: DataFrame) -> Cohort:
-    """Requested samples, and the sites where one of them carries an alternate."""
+    """Requested samples, and the sites where one of them carries an alternate, with their entries."""
     wanted = requested.select("s").distinct()
     entries = cohort.entries.join(wanted, "s", "left_semi")
     return Cohort(
         sites=keep_variant_sites(cohort.sites, entries, ["site_id"]),
-        entries=entries,
+        entries=keep_variant_sites(entries, entries, ["site_id"]),
         samples=cohort.samples.join(wanted, "s", "left_semi"),
     )
 

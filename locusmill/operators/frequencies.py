@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from itertools import product
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from locusmill.functions import genotypes as G
 from locusmill.vocabulary import LABEL_ORDER, POPULATIONS, PROBAND_LABEL, QUALITY_GROUPS, SEX_LABELS
 
 STATS = ["AC", "AN", "AF", "nhomalt"]
-MAX_GROUPS = 1000
 
 
 def call_counts(entries: DataFrame, others: list[Column]) -> DataFrame:
@@ -42,12 +41,12 @@ def group_counter(samples: DataFrame, field: str = "pop") -> DataFrame:
     return samples.where(F.col(field).isNotNull()).groupBy(field).agg(F.count(F.lit(1)).alias("n"))
 
 
-def observed_values(samples: DataFrame, field: str = "pop", limit: int = MAX_GROUPS) -> list[str]:
-    """The distinct values as a sorted list. They name columns, so their number is bounded."""
-    rows = samples.where(F.col(field).isNotNull()).select(field).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{field} has more than {limit} values")
-    return sorted(row[0] for row in rows)
+def observed_values(samples: DataFrame, field: str = "pop") -> list[str]:
+    """The distinct values as a sorted list, for columns that are named after them.
+
+    The list is as long as the columns that it names. :func:`frequencies_by_group` needs none.
+    """
+    return sorted(row[0] for row in samples.where(F.col(field).isNotNull()).select(field).distinct().collect())
 
 
 def group_conditions(pops: list[str]) -> dict[str, Column]:
@@ -123,6 +122,81 @@ def frequencies_long(entries: DataFrame, keys: list[str], pops: list[str]) -> Da
     return freq.select(*keys, F.posexplode("freq").alias("idx", "f")).select(*keys, "idx", "f.*")
 
 
+def group_table(samples: DataFrame) -> DataFrame:
+    """``idx, tag, group, pop, proband, sex``: what each place of the frequency array stands for.
+
+    One row for each group that the samples have, in the order of the array; made from the data.
+    """
+    spark = samples.sparkSession
+    first = spark.range(1).selectExpr(
+        "0 AS part", "explode(array('adj', 'raw')) AS name", "NULL AS pop", "NULL AS proband", "NULL AS sex"
+    ).selectExpr("part", "name", "name AS tag", "name AS group", "pop", "proband", "sex")
+    pops = samples.where(F.col("pop").isNotNull()).select("pop").distinct().selectExpr(
+        "1 AS part", "pop AS name", "concat('adj_', pop) AS tag", "'adj' AS group", "pop", "NULL AS proband", "NULL AS sex"
+    )
+    others = [("proband", PROBAND_LABEL), *[("sex", label) for label in SEX_LABELS.values()]]
+    last = [
+        spark.range(1).selectExpr(
+            "2 AS part", f"'{i}' AS name", f"'adj_{label}' AS tag", "'adj' AS group", "NULL AS pop",
+            f"{repr(label) if field == 'proband' else 'NULL'} AS proband", f"{repr(label) if field == 'sex' else 'NULL'} AS sex",
+        )
+        for i, (field, label) in enumerate(others)
+    ]
+    rows = first.union(pops)
+    for frame in last:
+        rows = rows.union(frame)
+    # places number the groups, of which there are few beside the samples
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("part", "name")) - 1
+    return rows.select(place.alias("idx"), "tag", "group", *[F.col(c).cast("string").alias(c) for c in ("pop", "proband", "sex")])
+
+
+def _tags(adj: Column) -> Column:
+    """Tags of the groups that a row with ``pop, proband, sex`` belongs to."""
+    groups = [F.lit("adj"), F.concat(F.lit("adj_"), "pop"), F.when(F.col("proband") == "Yes", f"adj_{PROBAND_LABEL}")]
+    groups += [F.when(F.col("sex") == code, f"adj_{label}") for code, label in SEX_LABELS.items()]
+    present = F.filter(F.array(*groups), lambda t: t.isNotNull())
+    return F.concat(F.array(F.lit("raw")), F.when(adj, present).otherwise(F.array().cast("array<string>")))
+
+
+def frequencies_by_group(entries: DataFrame, keys: list[str], groups: DataFrame) -> DataFrame:
+    """One row per variant and group, for any number of groups: ``idx, tag`` and the statistics.
+
+    Entries are summed by variant, population, proband and sex in the tasks first; these sums are
+    then dealt out to the groups that they belong to. ``groups`` is :func:`group_table`; groups in
+    which a variant has no entry have zero counts.
+    """
+    counted = call_counts(entries, [*[F.col(k) for k in keys], F.col("adj"), F.col("pop"), F.col("proband"), F.col("sex")])
+    stats = ["AC", "AN", "nhomalt"]
+    sums = lambda frame, *by: frame.groupBy(*by).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in stats])
+    cells = sums(counted, *keys, "adj", "pop", "proband", "sex")
+    dealt = sums(cells.select(*keys, F.explode(_tags(F.col("adj"))).alias("tag"), *stats), *keys, "tag")
+    by_tag = dealt.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("tag", F.struct(*stats)))).alias("by_tag"))
+    # all groups as one row, which every variant needs anyway: its result has a row for each
+    listed = groups.agg(F.array_sort(F.collect_list(F.struct("idx", "tag"))).alias("groups"))
+    found = by_tag.join(F.broadcast(listed)).select(*keys, "by_tag", F.explode("groups").alias("g")).select(
+        *keys, "g.idx", "g.tag", F.col("by_tag")[F.col("g.tag")].alias("f")
+    )
+    zero = lambda c: F.coalesce(F.col(f"f.{c}"), F.lit(0)).cast("long")
+    return found.select(*keys, "idx", "tag", *[zero(c).alias(c) for c in stats]).select(
+        *keys, "idx", "tag", "AC", "AN", allele_frequency(F.col("AC"), F.col("AN")).alias("AF"), "nhomalt"
+    )
+
+
+def group_sizes(samples: DataFrame, groups: DataFrame) -> DataFrame:
+    """``groups`` with ``n_samples``, from one count of the samples by population, proband and sex."""
+    cells = samples.groupBy("pop", "proband", "sex").agg(F.count(F.lit(1)).alias("n"))
+    sizes = cells.select(F.explode(_tags(F.lit(True))).alias("tag"), "n").groupBy("tag").agg(F.sum("n").alias("n"))
+    return groups.join(sizes, "tag", "left").select(*groups.columns, F.coalesce("n", F.lit(0)).alias("n_samples"))
+
+
+def group_labels(spark: SparkSession, pops: list[str] = POPULATIONS) -> DataFrame:
+    """``label, tag``: the labels of the fixed lists, and the group whose tag each one spells."""
+    labels = label_combinations({"group": QUALITY_GROUPS})
+    for name, values in (("pop", pops), ("proband", [PROBAND_LABEL]), ("sex", list(SEX_LABELS.values()))):
+        labels += label_combinations({"group": QUALITY_GROUPS, name: values})
+    return spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in labels])).alias("label")).withColumn("tag", F.col("label"))
+
+
 def with_frequencies(sites: DataFrame, wide: DataFrame, keys: list[str]) -> DataFrame:
     """Attach frequencies; a site without any entry gets zero counts and no frequency."""
     counts = [c for c in wide.columns if c not in keys and not c.startswith("AF_")]

@@ -20,8 +20,11 @@ def broadcast_if_bounded(frame: DataFrame, max_bytes: int = BROADCAST_BYTES) ->
     Spark's own threshold works on estimates and is low. Where the other side is every genotype
     of a cohort, one pass over the small side to measure it saves shuffling the large one.
     """
-    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in frame.schema.fields if f.dataType.typeName() == "string"]
-    row_bytes = sum(texts, F.lit(16 * len(frame.columns)))
+    kinds = {f.name: f.dataType.typeName() for f in frame.schema.fields}
+    measures = [F.octet_length(F.col(f"`{c}`")) for c, kind in kinds.items() if kind in ("string", "binary")]
+    if nested := [F.col(f"`{c}`") for c, kind in kinds.items() if kind in ("array", "map", "struct")]:
+        measures.append(F.octet_length(F.to_json(F.struct(*nested))))
+    row_bytes = sum((F.coalesce(m, F.lit(0)) for m in measures), F.lit(16 * len(kinds)))
     measured = frame.agg(F.sum(row_bytes.cast("long"))).first()[0] or 0
     return F.broadcast(frame) if measured <= max_bytes else frame
 

@@ -35,10 +35,14 @@ def variant_summary(sites: DataFrame) -> DataFrame:
     )
 
 
-def sort_by_variant(rows: DataFrame, column: str = "variant_id") -> DataFrame:
+def sort_by_variant(rows: DataFrame, column: str = "variant_id", ties: list[str] | None = None) -> DataFrame:
     """Global sort: sampled range partitioning, then a sort inside each partition.
 
-    A hash of the row breaks ties, so that one id with very many rows is spread over several
-    partitions instead of filling a single one.
+    A hash of ``ties`` orders rows with one id, so that an id with very many rows is spread over
+    several partitions instead of filling a single one. By default these are the columns of plain
+    types; nested ones are not hashed.
     """
-    return rows.orderBy(column, F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns if c != column]))
+    if ties is None:
+        nested = ("array", "map", "struct", "variant")
+        ties = [f.name for f in rows.schema.fields if f.name != column and f.dataType.typeName() not in nested]
+    return rows.orderBy(column, F.xxhash64(*[F.col(f"`{c}`") for c in ties])) if ties else rows.orderBy(column)

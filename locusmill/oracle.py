@@ -545,7 +545,11 @@ ORACLE["transmute_fields"] = """SELECT 'ENST' || p_partkey AS transcript, p_size
 ORACLE["constraint_pick"] = "SELECT " + ", ".join(f"p_size + {i} AS {n}" for i, n in enumerate(CONSTRAINT_FIELDS)) + " FROM part"
 ORACLE["population_map_struct"] = "SELECT p_partkey AS site_id, p_size AS afr, NULL::INTEGER AS amr, p_size * 2 AS eas, NULL::INTEGER AS eur, NULL::INTEGER AS oth, NULL::INTEGER AS sas FROM part"
 ORACLE["interval_structs"] = _with(SITE) + 'SELECT contig AS chrom, position AS "start", position + 200 AS "end" FROM site WHERE site_id % 50 = 0'
-ORACLE["histogram_structs"] = "SELECT p_partkey AS site_id, 5.0::DOUBLE AS edge, p_size + 1 AS freq, p_size % 3 AS n_larger, p_size % 2 AS n_smaller FROM part"
+# the names are written out here, as they must not come from the list under test
+ORACLE["histogram_structs"] = """SELECT p_partkey AS site_id, name, 5.0::DOUBLE + i AS edge, p_size + 1 + i AS freq,
+  p_size % (3 + i) AS n_larger, p_size % (2 + i) AS n_smaller
+  FROM part, (VALUES (0, 'ab_hist_alt'), (1, 'dp_hist_all'), (2, 'dp_hist_alt'), (3, 'gq_hist_all'), (4, 'gq_hist_alt'),
+    (5, 'gnomad_age_hist_het'), (6, 'gnomad_age_hist_hom')) t(i, name)"""
 ORACLE["site_quality"] = "SELECT p_partkey AS site_id, " + ", ".join(f"p_size * {i + 1} AS {f}" for i, f in enumerate(SITE_QUALITY_FIELDS)) + " FROM part"
 ORACLE["info_projection"] = """SELECT p_partkey AS site_id, floor(p_retailprice) AS MQ, CAST(p_size - 25 AS DOUBLE) AS MQRankSum, p_size / 4 AS QD, CAST(p_size * 2 AS DOUBLE) AS ReadPosRankSum,
   0.5::DOUBLE AS SOR, p_size % 2 = 0 AS VQSR_POSITIVE_TRAIN_SITE, p_size % 2 = 1 AS VQSR_NEGATIVE_TRAIN_SITE FROM part"""

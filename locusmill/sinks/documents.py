@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import time
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusmill.functions.names import encoded_column_name
@@ -160,13 +162,32 @@ def write_merged(
     ignore_errors: bool = False,
     order_by: list[str] | None = None,
 ) -> DataFrame:
-    """Write the merged collection and return the rejects; without ``ignore_errors`` they stop it."""
+    """Write the merged collection into a new folder below ``path`` and return the rejects.
+
+    Without ``ignore_errors`` rejects stop it. ``existing`` may be what an earlier merge wrote:
+    nothing is overwritten, and :func:`read_merged` reads the newest version. Rejects are written
+    beside the collection, so they are found once.
+    """
+    version = f"{path}/version-{time.time_ns():020d}"
     rejects = merge_rejects(existing, incoming, id_column, mode)
+    write_table(rejects, f"{version}-rejects")
+    rejects = existing.sparkSession.read.schema(rejects.schema).parquet(f"{version}-rejects")
     if not ignore_errors and not rejects.isEmpty():
-        raise ValueError(f"{mode} refused documents of {path}; see merge_rejects")
-    write_table(merge_documents(existing, incoming, id_column, mode, order_by), path)
+        raise ValueError(f"{mode} refused documents of {path}; see {version}-rejects")
+    write_table(merge_documents(existing, incoming, id_column, mode, order_by), version)
     return rejects
 
 
+def read_merged(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of a collection that was written whole."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version-*/_SUCCESS")
+    found = done.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(done) or []
+    versions = [str(f.getPath().getParent()) for f in found]
+    whole = [v for v in versions if not v.endswith("-rejects")]
+    if not whole:
+        raise ValueError(f"no collection at {path}")
+    return spark.read.parquet(max(whole))
+
+
 def write_table(rows: DataFrame, path: str, replace: bool = True) -> None:
     rows.write.mode("overwrite" if replace else "append").parquet(path)

@@ -79,33 +79,43 @@ def read_saved(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-# Schema of the annotator's JSON output.
-_ALLELE_CONSEQUENCE = "allele_num int, consequence_terms array<string>, impact string, minimised int, variant_allele string"
-_COHORT_FREQUENCIES = ", ".join(
-    f"{name}_allele string, {name}_maf double"
-    for name in ["aa", "afr", "amr", "eas", "ea", "eur", "exac_adj", "exac_afr", "exac_amr", "exac_eas",
-                 "exac_fin", "exac_nfe", "exac_oth", "exac_sas", "exac", "sas"]
-)
-VEP_SCHEMA = f"""
+# Schema of the annotator's JSON output, in its declared order.
+VEP_SCHEMA = """
 assembly_name string, allele_string string, ancestral string,
-colocated_variants array<struct<{_COHORT_FREQUENCIES}, allele_string string, clin_sig array<string>,
-  end int, id string, minor_allele string, minor_allele_freq double, phenotype_or_disease int,
-  pubmed array<int>, somatic int, start int, strand int>>,
+colocated_variants array<struct<
+  aa_allele string, aa_maf double, afr_allele string, afr_maf double, allele_string string,
+  amr_allele string, amr_maf double, clin_sig array<string>, end int, eas_allele string,
+  eas_maf double, ea_allele string, ea_maf double, eur_allele string, eur_maf double,
+  exac_adj_allele string, exac_adj_maf double, exac_allele string, exac_afr_allele string,
+  exac_afr_maf double, exac_amr_allele string, exac_amr_maf double, exac_eas_allele string,
+  exac_eas_maf double, exac_fin_allele string, exac_fin_maf double, exac_maf double,
+  exac_nfe_allele string, exac_nfe_maf double, exac_oth_allele string, exac_oth_maf double,
+  exac_sas_allele string, exac_sas_maf double, id string, minor_allele string,
+  minor_allele_freq double, phenotype_or_disease int, pubmed array<int>, sas_allele string,
+  sas_maf double, somatic int, start int, strand int>>,
 context string, end int, id string, input string,
-intergenic_consequences array<struct<{_ALLELE_CONSEQUENCE}>>,
+intergenic_consequences array<struct<
+  allele_num int, consequence_terms array<string>, impact string, minimised int,
+  variant_allele string>>,
 most_severe_consequence string,
-motif_feature_consequences array<struct<{_ALLELE_CONSEQUENCE}, high_inf_pos string, motif_feature_id string,
-  motif_name string, motif_pos int, motif_score_change double, strand int>>,
-regulatory_feature_consequences array<struct<{_ALLELE_CONSEQUENCE}, biotype string, regulatory_feature_id string>>,
+motif_feature_consequences array<struct<
+  allele_num int, consequence_terms array<string>, high_inf_pos string, impact string,
+  minimised int, motif_feature_id string, motif_name string, motif_pos int,
+  motif_score_change double, strand int, variant_allele string>>,
+regulatory_feature_consequences array<struct<
+  allele_num int, biotype string, consequence_terms array<string>, impact string, minimised int,
+  regulatory_feature_id string, variant_allele string>>,
 seq_region_name string, start int, strand int,
-transcript_consequences array<struct<allele_num int, amino_acids string, appris string, biotype string,
-  canonical int, ccds string, cdna_start int, cdna_end int, cds_end int, cds_start int, codons string,
-  consequence_terms array<string>, distance int, domains array<struct<db string, name string>>, exon string,
-  gene_id string, gene_pheno int, gene_symbol string, gene_symbol_source string, hgnc_id string, hgvsc string,
-  hgvsp string, hgvs_offset int, impact string, intron string, lof string, lof_flags string, lof_filter string,
-  lof_info string, minimised int, polyphen_prediction string, polyphen_score double, protein_end int,
-  protein_start int, protein_id string, sift_prediction string, sift_score double, strand int,
-  swissprot string, transcript_id string, trembl string, tsl int, uniparc string, variant_allele string>>,
+transcript_consequences array<struct<
+  allele_num int, amino_acids string, appris string, biotype string, canonical int, ccds string,
+  cdna_start int, cdna_end int, cds_end int, cds_start int, codons string,
+  consequence_terms array<string>, distance int, domains array<struct<db string, name string>>,
+  exon string, gene_id string, gene_pheno int, gene_symbol string, gene_symbol_source string,
+  hgnc_id string, hgvsc string, hgvsp string, hgvs_offset int, impact string, intron string,
+  lof string, lof_flags string, lof_filter string, lof_info string, minimised int,
+  polyphen_prediction string, polyphen_score double, protein_end int, protein_start int,
+  protein_id string, sift_prediction string, sift_score double, strand int, swissprot string,
+  transcript_id string, trembl string, tsl int, uniparc string, variant_allele string>>,
 variant_class string
 """
 
@@ -116,12 +126,23 @@ def parse_vep(text: Column) -> Column:
 
 
 def vep_by_variant(lines: DataFrame) -> DataFrame:
-    """Annotator output keyed by the variant it was asked about (a VCF line in ``input``)."""
+    """Annotator output keyed by the variant it was asked about (a VCF line in ``input``).
+
+    An input with several alternates gives a row for each. Lines that are no such output give
+    none; :func:`vep_rejects` has them.
+    """
     asked = F.split("vep.input", "\t")
-    return computed_once(lines.select(parse_vep(F.col("value")).alias("vep")), "vep").select(
+    parsed = computed_once(lines.select(parse_vep(F.col("value")).alias("vep")), "vep")
+    return parsed.where(F.size(asked) >= 5).select(
         F.get(asked, F.lit(0)).alias("contig"),
         F.get(asked, F.lit(1)).try_cast("int").alias("position"),
         F.get(asked, F.lit(3)).alias("ref"),
-        F.get(asked, F.lit(4)).alias("alt"),
+        F.explode(F.split(F.get(asked, F.lit(4)), ",")).alias("alt"),
         "vep",
     )
+
+
+def vep_rejects(lines: DataFrame) -> DataFrame:
+    """``value`` of the lines that are no annotator output for a variant."""
+    asked = F.split(F.get_json_object("value", "$.input"), "\t")
+    return lines.select("value").where(F.coalesce(F.size(asked), F.lit(0)) < 5)

@@ -20,7 +20,11 @@ _MAX_BLOCK = 1 << 16
 def read_lines(
     spark: SparkSession, path: str, block_gzip: bool = False, drop_matching: str | None = None
 ) -> DataFrame:
-    """``value, path`` per line. Lines that match ``drop_matching`` go before any parsing.
+    """``value, path, line`` per line. Lines that match ``drop_matching`` go before any parsing.
+
+    ``line`` tells the lines of one reading apart. It is made where the line is read: from the
+    place in the scan, whose division into tasks is fixed with the frame, or in block-gzip files
+    from the byte range and the line's number in it. No shuffle lies below it.
 
     Plain text is split by Spark; ``.gz`` takes one task per file. ``block_gzip`` reads
     block-gzip files, whatever their suffix, in byte ranges over many tasks.
@@ -28,7 +32,9 @@ def read_lines(
     if block_gzip:
         lines = _read_block_gzip(spark, path)
     else:
-        lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"))
+        lines = spark.read.text(path).select(
+            "value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("line")
+        )
     return lines if drop_matching is None else drop_lines(lines, drop_matching)
 
 
@@ -43,18 +49,53 @@ def _read_block_gzip(spark: SparkSession, path: str, range_bytes: int = RANGE_BY
         "path", F.explode(F.expr(f"sequence(0L, length - 1, {range_bytes}L)")).alias("start")
     ).withColumn("end", F.col("start") + range_bytes)
     n_ranges = files.agg(F.sum(F.ceil(F.col("length") / range_bytes))).first()[0] or 1
-    return ranges.repartition(int(n_ranges)).mapInPandas(_read_ranges, "value string, path string")
+    return ranges.repartition(int(n_ranges)).mapInPandas(_read_ranges, "value string, path string, line long")
 
 
 def _read_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
     for batch in batches:
         for row in batch.itertuples(index=False):
-            filesystem, name = fs.FileSystem.from_uri(row.path)
+            filesystem, name = _opened(row.path)
             with filesystem.open_input_file(name) as source:
+                number = int(row.start) // int(row.end - row.start) << 40
                 for lines in _lines_of_range(source, int(row.start), int(row.end)):
-                    yield pd.DataFrame({"value": lines, "path": row.path})
+                    yield pd.DataFrame({"value": lines, "path": row.path, "line": range(number, number + len(lines))})
+                    number += len(lines)
+
+
+def header_lines(block_gzip: bool):
+    """A function for mapInPandas over ``path`` rows: the ``#`` lines at the top of each file."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path in batch["path"]:
+                top = list(_top_lines(path, block_gzip))
+                yield pd.DataFrame({"value": top, "path": path, "line": range(len(top))})
+
+    return read
+
+
+def _opened(uri: str):
+    """File system and path of a URI; pyarrow knows some stores by other schemes than Spark."""
+    from pyarrow import fs
+
+    scheme, colon, rest = uri.partition(":")
+    return fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3", "abfss": "abfs"}.get(scheme, scheme) + colon + rest)
+
+
+def _top_lines(path: str, block_gzip: bool) -> Iterator[str]:
+    filesystem, name = _opened(path)
+    compressed = "gzip" if block_gzip or path.endswith((".gz", ".bgz")) else None
+    with filesystem.open_input_stream(name, compression=compressed, buffer_size=_MAX_BLOCK) as source:
+        pending = b""
+        while chunk := source.read(_MAX_BLOCK):
+            *complete, pending = (pending + chunk).split(b"\n")
+            for line in complete:
+                if line and not line.startswith(b"#"):
+                    return
+                yield line.decode().rstrip("\r")
+        if pending.startswith(b"#"):
+            yield pending.decode().rstrip("\r")
 
 
 def _blocks(source, start: int) -> Iterator[tuple[int, bytes]]:

@@ -3,23 +3,26 @@
 from __future__ import annotations
 
 import re
-from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusmill.functions.basics import literal_map
+from locusmill.functions.basics import computed_once, let, literal_map
 from locusmill.functions.genotypes import parse_call
 from locusmill.operators.cohort import Cohort
 from locusmill.operators.lookups import broadcast_if_bounded
-from locusmill.sources.text import read_lines
+from locusmill.sources.text import header_lines
 from locusmill.vocabulary import CONTIG_LENGTHS
 
 FIXED_COLUMNS = 9
 ENTRY_FIELDS = ("GT", "AD", "DP", "GQ", "PL")
 # INFO types and the Spark types they become.
+# Forms of the names of contigs that are no chromosomes.
+OTHER_CONTIGS = {
+    "37": r"^(GL\d{6}\.\d|NC_\d{6}|hs37d5)$",
+    "38": r"^(chr(\w{1,2}|Un)_[A-Z0-9]+v\d+(_random|_alt|_decoy|_fix)?|chrEBV|HLA-.+)$",
+}
 INFO_TYPES = {"Integer": "int", "Float": "double", "String": "string", "Character": "string", "Flag": "boolean"}
-_MAX_HEADER_LINES = 10_000
 
 
 def _present(text: Column) -> Column:
@@ -35,35 +38,29 @@ def _listed(text: Column, element: str) -> Column:
 
 
 def read_header(spark: SparkSession, path: str, block_gzip: bool = False) -> DataFrame:
-    """Header lines of the first file, as a small frame.
+    """Header lines of all files: ``value, path, line``, the lines of a file numbered from 0.
 
-    Data lines are nulled before rows are taken, and taking stops at the first of them, so this
-    reads the top of one file and holds nothing but the header on the driver.
+    One task a file reads up to the first data line, so no data is read and files whose headers
+    differ are all seen.
     """
-    first = sorted(spark.read.format("binaryFile").load(path).select("path").inputFiles())[0]
-    top = read_lines(spark, first, block_gzip).select(
-        F.when(F.startswith("value", F.lit("#")), F.col("value")).alias("value")
-    )
-    wanted = 1000
-    while True:
-        rows = top.take(wanted)
-        header = list(takewhile(lambda r: r.value is not None, rows))
-        if len(header) < wanted:
-            return spark.createDataFrame(header, "value string")
-        wanted *= 4
+    files = spark.read.format("binaryFile").load(path).select("path").where("length > 0")
+    return files.repartition("path").mapInPandas(header_lines(block_gzip), "value string, path string, line int")
 
 
 def info_types(lines: DataFrame) -> dict[str, str]:
-    """INFO field -> Spark type, from the header declarations. Header lines only, and bounded."""
+    """INFO field -> Spark type, from the header declarations of all files.
+
+    The driver gets one row for each distinct declaration. Files that declare a field differently
+    are refused.
+    """
     declared = lines.where(F.startswith("value", F.lit("##INFO="))).select("value").distinct()
-    rows = declared.limit(_MAX_HEADER_LINES + 1).collect()
-    if len(rows) > _MAX_HEADER_LINES:
-        raise ValueError(f"more than {_MAX_HEADER_LINES} INFO declarations")
     types = {}
-    for row in rows:
+    for row in declared.orderBy("value").collect():
         name, number, kind = (re.search(rf"[<,]{k}=([^,>]+)", row.value) for k in ("ID", "Number", "Type"))
         spark_type = INFO_TYPES[kind[1]]
-        types[name[1]] = spark_type if number[1] in ("0", "1") else f"array<{spark_type}>"
+        found = spark_type if number[1] in ("0", "1") else f"array<{spark_type}>"
+        if types.setdefault(name[1], found) != found:
+            raise ValueError(f"files declare INFO field {name[1]} as {types[name[1]]} and as {found}")
     return types
 
 
@@ -76,39 +73,91 @@ def info_struct(info: Column, types: dict[str, str]) -> Column:
             F.when(F.contains(kv, F.lit("=")), F.substring(kv, F.locate("=", kv) + 1, F.length(kv))).alias("text"),
         ),
     )
+    # the first of equal keys counts
+    first = let(pairs, lambda all_: F.filter(all_, lambda p, i: F.array_position(all_["key"], p["key"]) == i + 1))
+
+    def fields(known: Column) -> Column:
+        def field(name: str, kind: str) -> Column:
+            if kind == "boolean":
+                return F.coalesce(F.map_contains_key(known, name), F.lit(False))
+            if kind.startswith("array<"):
+                return _listed(known[name], kind[len("array<") : -1])
+            return _present(known[name]).try_cast(kind)
 
-    def field(name: str, kind: str) -> Column:
-        if kind == "boolean":
-            return F.coalesce(F.exists(pairs, lambda p: p["key"] == name), F.lit(False))
-        text = F.get(F.filter(pairs, lambda p: p["key"] == name), F.lit(0))["text"]
-        if kind.startswith("array<"):
-            return _listed(text, kind[len("array<") : -1])
-        return _present(text).try_cast(kind)
+        return F.struct(*[field(n, t).alias(n) for n, t in types.items()])
 
-    return F.struct(*[field(n, t).alias(n) for n, t in types.items()])
+    return let(F.map_from_entries(first), fields)
+
+
+def check_build(build: str | None) -> None:
+    if build is not None and build not in CONTIG_LENGTHS:
+        raise ValueError(f"unknown genome build {build}; known are {', '.join(CONTIG_LENGTHS)}")
+
+
+def contig_lengths(header: DataFrame) -> dict[str, int]:
+    """Contig -> length, from the ``##contig`` lines of all files: one row a contig."""
+    lines = header.where(F.startswith("value", F.lit("##contig="))).select("value").distinct()
+    found = lines.select(
+        F.regexp_extract("value", r"[<,]ID=([^,>]+)", 1).alias("contig"),
+        F.regexp_extract("value", r"[<,]length=(\d+)", 1).try_cast("int").alias("length"),
+    )
+    return {r.contig: r.length for r in found.where("length IS NOT NULL").collect()}
 
 
 def recode_contig(contig: Column, build: str) -> Column:
-    """Add or remove ``chr`` so that the contig matches the build; other names stay."""
+    """Add or remove ``chr`` so that the contig matches the build; other names stay.
+
+    Build 38 names all contigs with ``chr``. On build 37 the prefix goes, also from the names of
+    contigs that are no chromosomes.
+    """
+    check_build(build)
+    if build == "37":
+        plain = F.when(contig == "chrM", "MT").when(F.startswith(contig, F.lit("chr")), F.substr(contig, F.lit(4)))
+        return F.coalesce(plain, contig)
     names = CONTIG_LENGTHS[build]
-    other = {name.removeprefix("chr") if name.startswith("chr") else f"chr{name}": name for name in names}
+    other = {name.removeprefix("chr"): name for name in names} | {"MT": "chrM"}
     return F.coalesce(literal_map(other)[contig], contig)
 
 
-def valid_locus(contig: Column, position: Column, build: str) -> Column:
-    """Whether the locus lies on a contig of the build."""
-    length = literal_map(CONTIG_LENGTHS[build])[contig]
-    return F.coalesce(position.between(F.lit(1), length), F.lit(False))
+def valid_locus(contig: Column, position: Column, build: str, lengths: dict[str, int] | None = None) -> Column:
+    """Whether the locus can lie on a contig of the build.
+
+    The lengths of chromosomes are known, and those that ``lengths`` names (see
+    :func:`contig_lengths`). A contig of another name is an alternate, unplaced or decoy one if it
+    has the form of the build's names for these; its position must then be positive.
+    """
+    check_build(build)
+    known = CONTIG_LENGTHS[build] | (lengths or {})
+    length = literal_map(known)[contig]
+    inside = F.when(length.isNotNull(), position.between(F.lit(1), length)).otherwise(
+        contig.rlike(OTHER_CONTIGS[build]) & (position >= 1)
+    )
+    return F.coalesce(inside, F.lit(False))
 
 
-def parse_records(lines: DataFrame, build: str | None = None, skip_invalid_loci: bool = False) -> DataFrame:
-    """One row per data line with its columns still as text.
+def parse_records(
+    lines: DataFrame,
+    build: str | None = None,
+    skip_invalid_loci: bool = False,
+    lengths: dict[str, int] | None = None,
+) -> DataFrame:
+    """One row per data line with its columns still as text, the genotypes as one string.
 
-    ``site_id`` numbers the lines. It is taken straight from the scan, so a retried task gives
-    the same ids and frames derived from one result agree.
+    ``site_id`` is a hash of the line and its path, with the ``line`` number that readers make
+    where they read (see :func:`locusmill.sources.text.read_lines`). It is the same in every
+    evaluation and after every retry, in whatever order partitions arrive. Lines without a number
+    have a second hash instead; of these, equal lines of one path share an id.
     """
+    check_build(build)
     data = lines.where(~F.startswith("value", F.lit("#")) & (F.col("value") != ""))
-    split = data.select(F.monotonically_increasing_id().alias("site_id"), F.split("value", "\t").alias("c"))
+    place = ["path"] if "path" in lines.columns else []
+    number = F.col("line") if "line" in lines.columns else F.hex(F.xxhash64(F.lit("second"), "value", *place))
+    named = data.select(
+        F.concat_ws("-", F.hex(F.xxhash64("value", *place)), number).alias("site_id"),
+        F.split("value", "\t", FIXED_COLUMNS + 1).alias("c"),
+    )
+    # filters on the columns below would otherwise each split the line again
+    split = computed_once(named, "c")
     column = lambda i: F.get("c", F.lit(i))
     contig = column(0) if build is None else recode_contig(column(0), build)
     records = split.select(
@@ -122,14 +171,24 @@ def parse_records(lines: DataFrame, build: str | None = None, skip_invalid_loci:
         .otherwise(F.array_sort(F.array_distinct(F.split(_present(column(6)), ";"))))
         .alias("filters"),
         column(7).alias("info_text"),
-        F.split(column(8), ":").alias("format"),
-        F.slice("c", FIXED_COLUMNS + 1, F.greatest(F.size("c") - FIXED_COLUMNS, F.lit(0))).alias("calls"),
+        column(8).alias("format_text"),
+        column(FIXED_COLUMNS).alias("calls_text"),
     )
     if skip_invalid_loci:
-        records = records.where(valid_locus(F.col("contig"), F.col("position"), build or "38"))
+        if build is None:
+            raise ValueError("loci can be checked only against a build")
+        records = records.where(valid_locus(F.col("contig"), F.col("position"), build, lengths))
     return records
 
 
+def malformed_lines(lines: DataFrame) -> DataFrame:
+    """``value, reason`` of data lines that lack columns or whose position is no number."""
+    data = lines.where(~F.startswith("value", F.lit("#")) & (F.col("value") != ""))
+    c = F.split("value", "\t", FIXED_COLUMNS + 1)
+    reason = F.when(F.size(c) < FIXED_COLUMNS - 1, "columns").when(F.get(c, F.lit(1)).try_cast("int").isNull(), "position")
+    return data.select("value", reason.alias("reason")).where("reason IS NOT NULL")
+
+
 def site_rows(records: DataFrame, types: dict[str, str]) -> DataFrame:
     """Row fields only; the genotype columns are not projected."""
     info = info_struct(F.col("info_text"), types) if types else F.struct(F.col("info_text").alias("text"))
@@ -138,10 +197,25 @@ def site_rows(records: DataFrame, types: dict[str, str]) -> DataFrame:
     )
 
 
-def entry_rows(records: DataFrame, fields: tuple[str, ...] = ENTRY_FIELDS) -> DataFrame:
-    """One row per site and sample number. Field places are looked up once per line."""
-    places = [(F.array_position("format", name) - 1).cast("int").alias(f"_{name}") for name in fields]
-    numbered = records.select("site_id", "alleles", *places, F.posexplode("calls").alias("sample", "call"))
+def entry_rows(
+    records: DataFrame, fields: tuple[str, ...] = ENTRY_FIELDS, samples: list[int] | None = None
+) -> DataFrame:
+    """One row per site and sample number. Field places are looked up once per line.
+
+    ``samples`` names the numbers to read; the others are dropped before a row is made of them.
+    """
+    names = F.split("format_text", ":")
+    places = [(F.array_position(names, name) - 1).cast("int").alias(f"_{name}") for name in fields]
+    calls = F.split("calls_text", "\t")
+    if samples is None:
+        placed = F.posexplode(calls)
+        numbered = records.select("site_id", "alleles", *places, placed.alias("sample", "call"))
+    else:
+        wanted = F.array(*[F.lit(i) for i in samples]).cast("array<int>")
+        chosen = let(calls, lambda c: F.transform(wanted, lambda i: F.struct(i.alias("sample"), F.get(c, i).alias("call"))))
+        numbered = records.select("site_id", "alleles", *places, F.explode(chosen).alias("e")).select(
+            "site_id", "alleles", *[f"_{name}" for name in fields], "e.sample", "e.call"
+        )
     parts = numbered.withColumn("parts", F.split("call", ":"))
 
     def text(name: str) -> Column:
@@ -158,17 +232,18 @@ def entry_rows(records: DataFrame, fields: tuple[str, ...] = ENTRY_FIELDS) -> Da
     return parts.select("site_id", "alleles", "sample", *[parsers[f](text(f)).alias(f) for f in fields])
 
 
-def sample_rows(lines: DataFrame) -> DataFrame:
-    """``sample`` number and id ``s`` from the ``#CHROM`` line.
+def sample_rows(header: DataFrame) -> DataFrame:
+    """``sample`` number and id ``s`` from the ``#CHROM`` lines.
 
-    All files of one call set must name the same samples in the same order.
+    All files of one call set must name the same samples in the same order; evaluating the result
+    fails where they don't.
     """
-    headers = lines.where(F.startswith("value", F.lit("#CHROM"))).select("value").distinct()
+    headers = header.where(F.startswith("value", F.lit("#CHROM"))).select("value").distinct()
     names = headers.select(F.split("value", "\t").alias("c")).select(
         F.slice("c", FIXED_COLUMNS + 1, F.greatest(F.size("c") - FIXED_COLUMNS, F.lit(0))).alias("names")
     )
-    listed = names.select(F.posexplode("names").alias("sample", "s")).distinct()
-    # two ids for one number mean that the headers differ
+    listed = names.select(F.posexplode("names").alias("sample", "s"), F.size("names").alias("n")).distinct()
+    # two ids for one number, or two numbers of samples, mean that the headers differ
     return listed.groupBy("sample").agg(
         F.when(F.count("s") == 1, F.min("s"))
         .otherwise(F.raise_error(F.lit("files of one call set name different samples")))
@@ -190,7 +265,8 @@ def read_cohort(
     types; ``types`` names the INFO fields to read.
     """
     header = lines if header is None else header
-    records = parse_records(lines, build, skip_invalid_loci)
+    lengths = contig_lengths(header) if skip_invalid_loci else None
+    records = parse_records(lines, build, skip_invalid_loci, lengths)
     types = info_types(header) if types is None else types
     samples = sample_rows(header)
     entries = entry_rows(records, fields).join(broadcast_if_bounded(samples), "sample").drop("sample")
@@ -204,16 +280,17 @@ def read_sites(
     types: dict[str, str] | None = None,
     skip_invalid_loci: bool = False,
 ) -> DataFrame:
-    """Sites alone: genotype text is never parsed."""
-    types = info_types(lines if header is None else header) if types is None else types
-    return site_rows(parse_records(lines, build, skip_invalid_loci), types)
+    """Sites alone: genotype text stays one string, which is not read."""
+    header = lines if header is None else header
+    types = info_types(header) if types is None else types
+    lengths = contig_lengths(header) if skip_invalid_loci else None
+    return site_rows(parse_records(lines, build, skip_invalid_loci, lengths), types)
 
 
-def release_dates(lines: DataFrame) -> DataFrame:
-    """``path, release_date`` for every file; NULL where no header line states it."""
-    stated = lines.where(F.startswith("value", F.lit("##fileDate="))).select(
-        "path", "value", F.monotonically_increasing_id().alias("line")
-    )
-    first = stated.groupBy("path").agg(F.min_by("value", "line").alias("value"))
-    dated = first.select("path", F.trim(F.substring_index("value", "=", -1)).alias("release_date"))
-    return lines.select("path").distinct().join(dated, "path", "left")
+def release_dates(header: DataFrame) -> DataFrame:
+    """``path, release_date`` for every file of :func:`read_header`; NULL where none is stated.
+
+    Only lines above the first data line count, and of several dates in a file the first.
+    """
+    stated = F.when(F.startswith("value", F.lit("##fileDate=")), F.trim(F.substring_index("value", "=", -1)))
+    return header.groupBy("path").agg(F.min_by(stated, F.when(stated.isNotNull(), F.col("line"))).alias("release_date"))

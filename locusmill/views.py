@@ -344,12 +344,12 @@ VCF_HEADER = [
 def vcf_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header lines, from one row of ``region``."""
     return table(spark, sf_dir, "region").where("r_regionkey = 0").select(
-        F.explode(_strings(VCF_HEADER)).alias("value")
+        F.explode(_strings(VCF_HEADER)).alias("value"), F.lit("header").alias("path")
     )
 
 
 def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VCF text: the header, and one data line with three samples per order line."""
+    """VCF text: the header, and one data line with three samples per order line, which names its path."""
     key, q, ep = F.col("l_partkey"), F.floor("l_quantity"), F.floor("l_extendedprice")
     text = lambda c: c.cast("string")
     alleles = _one_of(KINDS, q)
@@ -372,7 +372,7 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     contig = F.when(ep % 29 == 0, "chrUn_1").when(ep % 2 == 0, contig_of(key)).otherwise(
         F.regexp_replace(contig_of(key), "chr", "")
     )
-    lines = spread(table(spark, sf_dir, "lineitem").select("l_partkey", "l_quantity", "l_extendedprice"))
+    lines = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"))
     data = lines.select(
         F.concat_ws(
             "\t",
@@ -380,12 +380,13 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             text(position_of(key)),
             F.when(q % 2 == 0, ".").otherwise(text(F.concat(F.lit("rs"), text(key)))),
             F.get(alleles, F.lit(0)),
-            F.array_join(F.slice(alleles, 2, 5), ","),
+            F.array_join(A.alternates(alleles), ","),
             F.when(q % 6 == 0, ".").otherwise(text(q)),
             filters,
             F.when(q % 17 == 0, F.concat(info, F.lit(";MONOALLELIC"))).otherwise(info),
             F.lit("GT:AD:DP:GQ"),
             *[sample(i) for i in range(3)],
-        ).alias("value")
+        ).alias("value"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("path"),
     )
     return vcf_header(spark, sf_dir).union(computed_once(data, "value"))

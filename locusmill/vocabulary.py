@@ -103,6 +103,7 @@ POPMAX_FIELDS = [
 # Field lists of the dormant release and constraint projections.
 RELEASE_HISTOGRAMS = [
     "ab_hist_alt", "dp_hist_all", "dp_hist_alt", "gq_hist_all", "gq_hist_alt",
+    "gnomad_age_hist_het", "gnomad_age_hist_hom",
 ]
 SITE_QUALITY_FIELDS = [
     "BaseQRankSum", "ClippingRankSum", "DP", "FS", "InbreedingCoeff", "MQ",

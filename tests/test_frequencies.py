@@ -64,10 +64,25 @@ def test_sites_without_entries_keep_zero_counts(spark, entries):
     assert (row.AC_adj, row.AN_raw, row.nhomalt_adj_afr, row.AF_adj) == (0, 0, 0, None)
 
 
-def test_too_many_groups(spark):
-    frame = spark.range(5).selectExpr("cast(id AS string) AS pop")
-    with pytest.raises(ValueError, match="more than 3"):
-        FQ.observed_values(frame, limit=3)
+def test_any_number_of_groups(spark):
+    rows = [(1, i % 1500, i) for i in range(3000)]
+    entries = spark.createDataFrame(rows, "v int, p int, i int").selectExpr(
+        "v", "named_struct('a0', 0, 'a1', i % 2, 'phased', false) AS GT", "i % 3 > 0 AS adj", "concat('p', p) AS pop",
+        "if(i % 5 = 0, 'Yes', 'No') AS proband", "if(i % 4 = 0, 'M', 'F') AS sex",
+    )
+    groups = FQ.group_table(entries)
+    assert groups.count() == 1505
+    found = {r.tag: r for r in FQ.frequencies_by_group(entries, ["v"], groups).collect()}
+    assert len(found) == 1505 and found["raw"].AC == 1500 and found["raw"].AN == 6000
+    assert found["adj_p7"].AN == 2 * sum(i % 3 > 0 for i in (7, 1507))
+    assert found["adj_p0"].idx == 2 and found["adj_p0"].AF is None
+
+
+def test_long_forms_agree(entries):
+    pops = FQ.observed_values(entries)
+    long = FQ.frequencies_long(entries, KEYS, pops)
+    by_group = FQ.frequencies_by_group(entries, KEYS, FQ.group_table(entries)).select(long.columns)
+    assert sorted(map(tuple, by_group.collect()), key=repr) == sorted(map(tuple, long.collect()), key=repr)
 
 
 def test_labels():

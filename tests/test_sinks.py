@@ -48,7 +48,16 @@ def test_rejects(collections, tmp_path):
     with pytest.raises(ValueError, match="refused"):
         D.write_merged(*collections, str(tmp_path / "m"), "id", "update")
     D.write_merged(*collections, str(tmp_path / "m"), "id", "update", ignore_errors=True)
-    assert collections[0].sparkSession.read.parquet(str(tmp_path / "m")).count() == 2
+    assert D.read_merged(collections[0].sparkSession, str(tmp_path / "m")).count() == 2
+
+
+def test_merging_onto_its_own_folder_keeps_every_row(spark, tmp_path):
+    path = str(tmp_path / "own")
+    D.write_merged(spark.createDataFrame([], "id int, name string"), spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string"), path, "id")
+    for i in (3, 4):
+        existing = D.read_merged(spark, path)
+        assert D.write_merged(existing, spark.createDataFrame([(i, "new"), (1, f"v{i}")], "id int, name string"), path, "id").isEmpty()
+    assert sorted(map(tuple, D.read_merged(spark, path).collect())) == [(1, "v4"), (2, "b"), (3, "new"), (4, "new")]
 
 
 def test_null_policy(spark):

@@ -93,7 +93,7 @@ def test_release_dates(spark, tmp_path):
     (tmp_path / "a.vcf").write_text("##x=1\n##fileDate=2024-05-01\n##fileDate=2020-01-01\n1\t2\n")
     with gzip.open(tmp_path / "b.vcf.gz", "wt") as f:
         f.write("##x=1\n1\t2\n")
-    found = {r.path[-1]: r.release_date for r in vcf.release_dates(text.read_lines(spark, str(tmp_path))).collect()}
+    found = {r.path[-1]: r.release_date for r in vcf.release_dates(vcf.read_header(spark, str(tmp_path))).collect()}
     assert found == {"f": "2024-05-01", "z": None}
 
 
@@ -186,3 +186,50 @@ def test_vep_schema_reads_annotator_lines(spark):
     row = tables.vep_by_variant(spark.createDataFrame([(line,), ("not json",)], "value string")).where("contig IS NOT NULL").first()
     assert (row.contig, row.position, row.ref, row.alt) == ("chr1", 100, "A", "G")
     assert row.vep.transcript_consequences[0].sift_score == 0.5 and row.vep.colocated_variants[0].pubmed == [1]
+
+
+HEAD_A = ["##fileformat=VCFv4.2", '##INFO=<ID=DP,Number=1,Type=Integer,Description="d">', "##contig=<ID=chrUn_X1v1,length=500>"]
+COLUMNS = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t"
+
+
+def test_headers_of_all_files(spark, tmp_path):
+    (tmp_path / "a.vcf").write_text("\n".join([*HEAD_A, COLUMNS + "S1\tS2", "chr1\t5\t.\tA\tT\t.\tPASS\tDP=3\tGT\t0/1\t0/0"]) + "\n")
+    more = '##INFO=<ID=XX,Number=0,Type=Flag,Description="x">'
+    (tmp_path / "b.vcf").write_text("\n".join([*HEAD_A, more, COLUMNS + "S1\tS2", "chr1\t9\t.\tA\tT\t.\tPASS\tXX\tGT\t0/0\t0/1"]) + "\n")
+    header = vcf.read_header(spark, str(tmp_path))
+    assert vcf.info_types(header) == {"DP": "int", "XX": "boolean"} and vcf.contig_lengths(header) == {"chrUn_X1v1": 500}
+    cohort = vcf.read_cohort(text.read_lines(spark, str(tmp_path)), header)
+    placed = cohort.sites.join(cohort.entries, "site_id").where("GT.a1 = 1").select("position", "s")
+    assert sorted(map(tuple, placed.collect())) == [(5, "S1"), (9, "S2")]
+    (tmp_path / "c.vcf").write_text("\n".join([*HEAD_A, COLUMNS + "S2\tS1", "chr1\t7\t.\tA\tT\t.\tPASS\t.\tGT\t0/1\t0/0"]) + "\n")
+    with pytest.raises(Exception, match="different samples"):
+        vcf.sample_rows(vcf.read_header(spark, str(tmp_path))).collect()
+
+
+def test_site_ids_do_not_depend_on_the_order_of_partitions(spark):
+    lines = [f"chr1\t{i}\t.\tA\tT\t.\tPASS\t.\tGT\t0/{i % 2}" for i in range(1, 200)]
+    frame = spark.createDataFrame([(x, "f") for x in lines], "value string, path string")
+    ids = lambda f: {r.position: r.site_id for r in vcf.parse_records(f).select("position", "site_id").collect()}
+    found = ids(frame.repartition(7))
+    assert len(set(found.values())) == 199 and found == ids(frame.orderBy(F.desc("value")).repartition(3))
+    entries = vcf.entry_rows(vcf.parse_records(frame.repartition(5)), samples=[0])
+    assert {(r.site_id, r.GT.a1) for r in entries.collect()} == {(i, p % 2) for p, i in found.items()}
+
+
+def test_contigs_of_a_build(evaluate):
+    valid = lambda c, p, b, **k: vcf.valid_locus(F.lit(c), F.lit(p), b, **k)
+    assert evaluate(
+        valid("chr1_KI270706v1_random", 100, "38"), valid("chrUn_GL000195v1", 1, "38"), valid("GL000192.1", 1, "37"),
+        valid("chrUn_GL000195v1", 600, "38", lengths={"chrUn_GL000195v1": 500}), valid("chr1_KI270706v1_random", 0, "38"),
+        vcf.recode_contig(F.lit("chrGL000192.1"), "37"), vcf.recode_contig(F.lit("chrM"), "37"), vcf.recode_contig(F.lit("MT"), "38"),
+    ) == (True, True, True, False, False, "GL000192.1", "MT", "chrM")
+    with pytest.raises(ValueError, match="build"):
+        vcf.recode_contig(F.lit("1"), "19")
+
+
+def test_malformed_lines_and_annotator_rejects(spark):
+    lines = spark.createDataFrame([("chr1\tx\t.\tA\tT\t.\t.\t.",), ("chr1\t5",), ("chr1\t5\t.\tA\tT\t.\t.\t.",)], "value string")
+    assert sorted(r.reason for r in vcf.malformed_lines(lines).collect()) == ["columns", "position"]
+    vep = spark.createDataFrame([('{"input": "1\\t5\\t.\\tA\\tT,G"}',), ("no json",), ("{}",)], "value string")
+    assert sorted(r.alt for r in tables.vep_by_variant(vep).collect()) == ["G", "T"]
+    assert tables.vep_rejects(vep).count() == 2
