@@ -7,6 +7,7 @@ columns; the last returns counts and digests of the encoded texts.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from locusmill.llm import contamination, lines, near, pieces, toxicity
 from locusmill.llm.shared import table, written
@@ -19,7 +20,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of three lines that stand earlier in the corpus go; all documents stay."""
-    return lines.without_repeats(docs)
+    left = lines.without_repeats(docs)
+    return left.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
