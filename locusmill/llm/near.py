@@ -11,8 +11,9 @@ bits), so copies never meet in a band. In a band's bucket no pairs of all member
 each class is compared with the bucket's smallest. Then only buckets whose members still lie in
 several components go on, without the members that a bound rules out: a set of which more than 15
 percent of the shingles are in no other of the sets is linked with nothing. What lies outside a
-bucket's commonest component is compared with all that lies in other components and that the same
-bound allows. So every pair of a bucket is compared, joined already, or proven not to be a link.
+bucket's commonest component is compared with all that lies in other components and that a second
+bound allows: two sets have no more in common than the smaller of their parts inside a third set,
+the name of the commonest component, and the smaller of their shared parts outside of it. So every pair of a bucket is compared, joined already, or proven not to be a link.
 """
 
 from __future__ import annotations
@@ -169,10 +170,21 @@ def _shared_sizes(sets: DataFrame) -> DataFrame:
     )
 
 
-def _can_link(size_a: str, shared_a: str, size_b: str, shared_b: str) -> Column:
-    """A bound: sets can only have shingles in common that are shared at all."""
-    most = F.least(shared_a, shared_b)
-    return 100 * most >= PERCENT * (F.col(size_a) + F.col(size_b) - most)
+def _in_pivots(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``rep, core, inside``: shingles that a member has in common with its bucket's core."""
+    one = sets.select(F.col("doc_id").alias("rep"), F.col("hashes").alias("own"))
+    two = sets.select(F.col("doc_id").alias("core"), F.col("hashes").alias("pivot"))
+    pairs = members.select("rep", "core").distinct()
+    return pairs.join(one, "rep").join(two, "core").select(
+        "rep", "core", F.size(F.array_intersect("own", "pivot")).alias("inside")
+    )
+
+
+def _can_link() -> Column:
+    """A bound on what two sets have in common: within the bucket's core, and outside of it only
+    shingles that are shared at all."""
+    most = F.least("inside", "inside_b") + F.least(F.col("shared") - F.col("inside"), F.col("shared_b") - F.col("inside_b"))
+    return 100 * most >= PERCENT * (F.col("size") + F.col("size_b") - most)
 
 
 def _remaining_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
@@ -188,16 +200,17 @@ def _remaining_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame) ->
     left = rest.select(F.col("rep").alias("doc_id")).distinct()
     shared = _shared_sizes(sets.join(left, "doc_id", "left_semi"))
     able = rest.join(shared, "rep").where(100 * F.col("shared") >= PERCENT * F.col("size"))
-    able = written(_mixed_buckets(able), "near-able")
+    able = written(_mixed_buckets(able), "near-mixed")
+    able = written(able.join(_in_pivots(able, sets), ["rep", "core"]), "near-able")
     others = able.select(
         "band", "hash", F.col("rep").alias("b"), F.col("size").alias("size_b"),
-        F.col("shared").alias("shared_b"), F.col("component").alias("component_b"),
+        F.col("shared").alias("shared_b"), F.col("inside").alias("inside_b"), F.col("component").alias("component_b"),
     )
     return (
         able.where("component != core")
         .join(others, ["band", "hash"])
         .where((F.col("component_b") == F.col("core")) | (F.col("component") < F.col("component_b")))
-        .where(_can_link("size", "shared", "size_b", "shared_b"))
+        .where(_can_link())
         .select(F.col("rep").alias("a"), "b")
         .distinct()
     )
