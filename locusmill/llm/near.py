@@ -187,7 +187,7 @@ def _can_link() -> Column:
     return 100 * most >= PERCENT * (F.col("size") + F.col("size_b") - most)
 
 
-def _remaining_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+def _remaining_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs ``a, b`` of different components in one bucket that may still be linked.
 
     Members outside a bucket's commonest component meet all members that lie in another one, so
@@ -201,16 +201,20 @@ def _remaining_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame) ->
     shared = _shared_sizes(sets.join(left, "doc_id", "left_semi"))
     able = rest.join(shared, "rep").where(100 * F.col("shared") >= PERCENT * F.col("size"))
     able = written(_mixed_buckets(able), "near-mixed")
-    able = written(able.join(_in_pivots(able, sets), ["rep", "core"]), "near-able")
+    able = able.join(_in_pivots(able, sets), ["rep", "core"]).join(classes.select("rep", "bands"), "rep")
+    able = written(able, "near-able")
+    # a pair comes from the first bucket that both are in
+    first_common = F.array_position(F.zip_with("bands", "bands_b", lambda x, y: x == y), True)
     others = able.select(
         "band", "hash", F.col("rep").alias("b"), F.col("size").alias("size_b"),
-        F.col("shared").alias("shared_b"), F.col("inside").alias("inside_b"), F.col("component").alias("component_b"),
+        F.col("shared").alias("shared_b"), F.col("inside").alias("inside_b"), F.col("bands").alias("bands_b"), F.col("component").alias("component_b"),
     )
     return (
         able.where("component != core")
         .join(others, ["band", "hash"])
         .where((F.col("component_b") == F.col("core")) | (F.col("component") < F.col("component_b")))
         .where(_can_link())
+        .where(first_common == F.col("band") + 1)
         .select(F.col("rep").alias("a"), "b")
         .distinct()
     )
@@ -230,7 +234,7 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     )
     edges = written(_linked(firsts.distinct(), sets), "near-links")
     labels = components(edges)
-    more = written(_linked(written(_remaining_pairs(members, labels, sets), "near-pairs"), sets), "near-links")
+    more = written(_linked(written(_remaining_pairs(members, labels, sets, classes), "near-pairs"), sets), "near-links")
     return labels if more.isEmpty() else components(edges.unionByName(more))
 
 
