@@ -13,7 +13,8 @@ several components go on, without the members that a bound rules out: a set of w
 percent of the shingles are in no other of the sets is linked with nothing. What lies outside a
 bucket's commonest component is compared with all that lies in other components and that a second
 bound allows: two sets have no more in common than the smaller of their parts inside a third set,
-the name of the commonest component, and the smaller of their shared parts outside of it. So every pair of a bucket is compared, joined already, or proven not to be a link.
+the name of the commonest component, and the smaller of their parts outside of it that other sets
+share. So every pair of a bucket is compared, joined already, or proven not to be a link.
 """
 
 from __future__ import annotations
@@ -182,8 +183,13 @@ def _in_pivots(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _can_link() -> Column:
     """A bound on what two sets have in common: within the bucket's core, and outside of it only
-    shingles that are shared at all."""
-    most = F.least("inside", "inside_b") + F.least(F.col("shared") - F.col("inside"), F.col("shared_b") - F.col("inside_b"))
+    shingles that are shared at all.
+
+    The sets that ``shared`` counts hold all cores, so a set's part inside its core is shared; a
+    core itself has nothing outside, but shingles of its own inside.
+    """
+    outside = [F.greatest(F.col("shared" + x) - F.col("inside" + x), F.lit(0)) for x in ("", "_b")]
+    most = F.least("inside", "inside_b") + F.least(*outside)
     return 100 * most >= PERCENT * (F.col("size") + F.col("size_b") - most)
 
 
@@ -197,7 +203,8 @@ def _remaining_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame, cla
         "band", "hash", "rep", "size", F.coalesce("component", "rep").alias("component")
     )
     rest = written(_mixed_buckets(named).drop("core"), "near-mixed")
-    left = rest.select(F.col("rep").alias("doc_id")).distinct()
+    # names of components too: each may be a core, though it is in no such bucket itself
+    left = rest.select(F.explode(F.array("rep", "component")).alias("doc_id")).distinct()
     shared = _shared_sizes(sets.join(left, "doc_id", "left_semi"))
     able = rest.join(shared, "rep").where(100 * F.col("shared") >= PERCENT * F.col("size"))
     able = written(_mixed_buckets(able), "near-mixed")

@@ -89,6 +89,29 @@ def test_near_duplicates_nulls_repeats_and_empty(spark):
     assert near.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_near_duplicates_beside_many_just_below_the_limit(spark):
+    """A linked pair with the largest ids, whose buckets all hold smaller ids that are not linked."""
+    base = [f"w{i}" for i in range(95)]
+    docs = [(i, " ".join(base + [f"s{i}k{k}" for k in range(10)])) for i in range(60)]
+    docs += [(i, " ".join(base + [f"s{i}k{k}" for k in range(7)])) for i in (900, 901)]
+    want = brute_components(docs)
+    assert [i for i, (_, c) in want.items() if i != c] == [901] and want[901][1] == 900
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near.near_duplicates(frame).collect()} == want
+
+
+def test_bound_counts_shingles_shared_with_a_core_outside_the_buckets(spark):
+    """Set 1 names the component of 2 and 3 but is in no bucket; 10 has 8 shingles with it alone."""
+    sets = {1: range(92, 192), 2: range(100), 3: range(200, 300), 10: [*range(92), *range(100, 108)]}
+    assert 100 * 92 >= 85 * 108 == 85 * len({*sets[2], *sets[10]})
+    table = spark.createDataFrame([(i, [int(x) for x in s]) for i, s in sets.items()], "doc_id long, hashes array<long>")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "node long, component long")
+    members = spark.createDataFrame([(0, 5, i, 100) for i in (2, 3, 10)], "band int, hash long, rep long, size int")
+    classes = spark.createDataFrame([(i, [5]) for i in (2, 3, 10)], "rep long, bands array<long>")
+    pairs = near._remaining_pairs(members, labels, table, classes)
+    assert {2, 10} in [set(r) for r in pairs.collect()]
+
+
 def test_components_of_a_path(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 102), (102, 101), (101, 101)]
     frame = spark.createDataFrame(edges, "a long, b long").repartition(7)
