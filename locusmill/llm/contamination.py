@@ -10,6 +10,10 @@ word. Walks over two sequences meet again soon after an edit, so that edit dista
 number of places (Hamming distance) in which the written words differ. Repeated draws of a few
 places give bucket keys; a window and an item that agree in one key are compared exactly.
 
+The share of steps on which two walks agree falls with length. So an item of more than ``WHOLE``
+words is looked up by pieces of at most ``PIECE`` words: of an item within its limit, one piece at
+least is within its own. A piece found has the whole item compared around it.
+
 Windows may start at every word, but most can't be within the limit and are left out first by a
 bound that loses nothing: ``d`` edits leave ``n - 2 - 3 d`` of the three-word runs of an item of
 ``n`` words as they are, and these stand within the first ``n`` words of the stretch; so a window
@@ -36,6 +40,8 @@ WORDS = re.compile(r"[^\W_]+")
 #: Draws, and places in each. With them a window at the limit is found in tests of planted edits
 #: with a probability of over 0.99.
 DRAWS, PLACES, SEED = 64, 3, 11
+#: Words up to which an item is looked up as a whole, and words of a longer item's pieces.
+WHOLE, PIECE = 60, 48
 #: Windows that are embedded at once.
 WINDOWS = 1_000
 #: Text of the benchmark that one pass over the documents compares; there are as many passes as needed.
@@ -53,6 +59,13 @@ def allowed(n: int) -> int:
     return int(round((1 - SIMILARITY) * n * 1000)) // 1000
 
 
+def pieces_of(n: int) -> list[tuple[int, int]]:
+    """Offsets and sizes of the pieces by which an item of ``n`` words is looked up."""
+    count = 1 if n <= WHOLE else -(-n // PIECE)
+    cuts = [n * i // count for i in range(count + 1)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
 def embedded(windows: np.ndarray, steps: int) -> np.ndarray:
     """CGK walks over rows of word numbers: by step and draw, the number written down."""
     count, n = windows.shape
@@ -118,15 +131,20 @@ class Items:
     """A benchmark's items as word numbers, and their keys in each draw."""
 
     def __init__(self, ids: list[int], texts: list[str | None]):
-        self.ids, self.number, self.by_size = ids, {}, {}
+        self.ids, self.number = ids, {}
+        #: by size: the pieces, each an item and an offset in it
+        self.by_size: dict[int, list[tuple[int, int]]] = {}
         self.words = [
             np.array([self.number.setdefault(w, len(self.number)) for w in words_of(t)], np.int64) for t in texts
         ]
         for k, words in enumerate(self.words):
             if len(words):
-                self.by_size.setdefault(len(words), []).append(k)
-        self.keys = {n: keys_of(np.stack([self.words[k] for k in members])) for n, members in self.by_size.items()}
-        runs = {n: np.unique(np.concatenate([run_hashes(self.words[k]) for k in m])) for n, m in self.by_size.items()}
+                for offset, size in pieces_of(len(words)):
+                    self.by_size.setdefault(size, []).append((k, offset))
+        pieces = {n: [self.words[k][o : o + n] for k, o in members] for n, members in self.by_size.items()}
+        self.keys = {n: keys_of(np.stack(each)) for n, each in pieces.items()}
+        self.members = {n: np.unique(np.concatenate(each)) for n, each in pieces.items()}
+        runs = {n: np.unique(np.concatenate([run_hashes(x) for x in each])) for n, each in pieces.items()}
         self.runs = np.unique(np.concatenate(list(runs.values()) or [np.zeros(0, U64)]))
         self.has_run = {n: np.isin(self.runs, own) for n, own in runs.items()}
 
@@ -135,20 +153,20 @@ class Items:
         listed = (words_of(t) for t in texts)
         return [np.fromiter(map(self.number.get, w, itertools.repeat(-2)), np.int64, len(w)) for w in listed]
 
-    def candidates(self, flat: np.ndarray, ends: np.ndarray) -> set[tuple[int, int]]:
-        """Start of a window and item, for windows within texts that end at ``ends``.
+    def candidates(self, flat: np.ndarray, ends: np.ndarray) -> set[tuple[int, int, int]]:
+        """Start of a window, item, and offset of the piece in it, for windows within texts that end at ``ends``.
 
         ``ends`` holds, for each word, where its text ends. A window that its text cuts short is
         filled up with a number that nothing has.
         """
-        found: set[tuple[int, int]] = set()
+        found: set[tuple[int, int, int]] = set()
         at, run = self._run_places(flat, ends)
         for n, members in self.by_size.items():
             needed = n - 2 - 3 * allowed(n)
             if needed > 0:
                 starts = run_starts(at[self.has_run[n][run]], needed, n)
             else:
-                words = np.isin(flat, np.concatenate([self.words[k] for k in members]))
+                words = np.isin(flat, self.members[n])
                 own = np.concatenate([[0], np.cumsum(words)])
                 place = np.arange(len(flat))
                 starts = np.flatnonzero(own[np.minimum(place + n, ends)] - own[:-1] >= n - allowed(n))
@@ -158,9 +176,9 @@ class Items:
                 cells = part[:, None] + np.arange(n)
                 windows = np.where(cells < stop[a : a + WINDOWS, None], flat[np.minimum(cells, len(flat) - 1)], -1)
                 keys = keys_of(windows)
-                for k, item in enumerate(members):
+                for k, (item, offset) in enumerate(members):
                     agree = (keys == self.keys[n][:, k : k + 1]).any(0)
-                    found.update((int(s), item) for s in part[agree])
+                    found.update((int(s), item, offset) for s in part[agree])
         return found
 
     def _run_places(self, flat: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,15 +196,22 @@ class Items:
     def matches(self, flat: np.ndarray, first: np.ndarray, ends: np.ndarray) -> dict[int, set[int]]:
         """Items found, by the word at which their text begins."""
         hits: dict[int, set[int]] = {}
-        for start, item in sorted(self.candidates(flat, ends)):
-            text = int(first[start])
-            if item in hits.get(text, ()):
-                continue
+        begins: dict[tuple[int, int, int], list[int]] = {}
+        for start, item, offset in self.candidates(flat, ends):
+            begins.setdefault((int(first[start]), int(ends[start]), item), []).append(start - offset)
+        for (text, end, item), places in begins.items():
             words = self.words[item]
-            d = allowed(len(words))
-            stretch = flat[max(text, start - d) : min(int(ends[start]), start + len(words) + d)]
-            if edits_within(words, stretch) <= d:
-                hits.setdefault(text, set()).add(item)
+            n, d = len(words), allowed(len(words))
+            # a long item's pieces agree on where it may begin: places close together are one stretch
+            span = n if n > WHOLE else 0
+            low = None
+            for place in sorted(set(places)):
+                if low is None or place > low + span:
+                    low = place
+                    stretch = flat[max(text, low - d) : max(0, min(end, low + span + n + d))]
+                    if edits_within(words, stretch) <= d:
+                        hits.setdefault(text, set()).add(item)
+                        break
         return hits
 
     def found(self, texts: list[str | None]) -> list[list[int]]:
