@@ -25,7 +25,7 @@ SHORTEST, LONGEST = 3, 5
 BUCKETS, WIDTH = 1 << 20, 4
 #: Labelled rows in the sample that the vectors are fitted on.
 SAMPLE_ROWS = 8_000
-#: N-grams in fewer sampled texts, or in a larger share of them, have no vector.
+#: N-grams in fewer sampled texts, or in a larger share of them and of the clean ones, have no vector.
 LEAST_TEXTS, MOST_TEXTS = 8, 0.12
 #: The vectors' step is large, as their gradients are shares of a mean; plain descent leaves the
 #: many n-grams that occur by chance near zero.
@@ -70,20 +70,22 @@ def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _text_counts(rows: DataFrame) -> np.ndarray:
-    """For each bucket the number of texts that have it."""
-    schema = "bucket int, n long"
+    """For clean and toxic texts and each bucket, the number of texts that have it."""
+    schema = "bucket int, clean long, toxic long"
 
     def run(batches):
-        counts = np.zeros(BUCKETS, np.int64)
+        counts = np.zeros((2, BUCKETS), np.int64)
         for part in slices(batches, "text"):
-            for text in part.column("text").to_pylist():
-                counts[bag(text)[0]] += 1
-        (found,) = np.nonzero(counts)
-        yield batch(schema, found.astype(np.int32), counts[found])
-
-    found = rows.select("text").mapInArrow(run, schema).groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(BUCKETS, np.int64)
-    counts[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
+            for toxic, text in zip(part.column("toxic").to_pylist(), part.column("text").to_pylist(), strict=True):
+                counts[toxic, bag(text)[0]] += 1
+        (found,) = np.nonzero(counts.sum(0))
+        yield batch(schema, found.astype(np.int32), *counts[:, found])
+
+    sums = [F.sum(c).alias(c) for c in ("clean", "toxic")]
+    found = rows.select("toxic", "text").mapInArrow(run, schema).groupBy("bucket").agg(*sums).toArrow()
+    counts = np.zeros((2, BUCKETS), np.int64)
+    for k, name in enumerate(("clean", "toxic")):
+        counts[k, found.column("bucket").to_numpy()] = found.column(name).to_numpy()
     return counts
 
 
@@ -150,10 +152,14 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> Model:
     texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text")
     # the sample is bounded by its own size, so it may be sent to all tasks
     rows = written(texts.join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
-    counts = _text_counts(rows)
-    n = rows.count()
-    used = (counts >= min(LEAST_TEXTS, 1 + n // 100)) & (counts <= max(2, MOST_TEXTS * n))
-    weight = np.where(used, np.log((n + 1) / (counts + 1)), 0.0).astype(np.float32)
+    clean, toxic = _text_counts(rows)
+    counts = clean + toxic
+    n, n_clean = rows.count(), rows.where("toxic = 0").count()
+    # what is common only as much of the sample is toxic tells the classes apart
+    limit = max(2, MOST_TEXTS * n)
+    common = (counts > limit) & (clean > max(2, MOST_TEXTS * n_clean))
+    used = (counts >= min(LEAST_TEXTS, 1 + n // 100)) & ~common
+    weight = np.where(used, np.log((n + 1) / (np.minimum(counts, limit) + 1)), 0.0).astype(np.float32)
     found = _bags(rows, weight).toArrow()
     toxic = found.column("toxic").to_numpy()
     if len(set(toxic.tolist())) < 2:
