@@ -25,8 +25,12 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    return near.without_near_duplicates(docs)
+    """Of each group of near duplicates the document with the smallest id stays.
+
+    Groups are those of shingles of five words at 80 percent, and those of op10, as either rule
+    links texts that the other doesn't.
+    """
+    return near.without_near_duplicates(docs, ((5, 80), (near.SHINGLE, near.PERCENT)))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

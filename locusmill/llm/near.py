@@ -9,8 +9,8 @@ close sets share bands, and texts that share a band are compared on their full s
 Texts with equal sets are one class from the start (a sum of two mixed hashes over the set, 128
 bits), so copies never meet in a band. In a band's bucket no pairs of all members are made. First
 each class is compared with the bucket's smallest. Then only buckets whose members still lie in
-several components go on, without the members that a bound rules out: a set of which more than 15
-percent of the shingles are in no other of the sets is linked with nothing. What lies outside a
+several components go on, without the members that a bound rules out: a set of which more than
+the limit allows (at 85 percent, 15 of 100 shingles) are in no other of the sets is linked with nothing. What lies outside a
 bucket's commonest component is compared with all that lies in other components and that a second
 bound allows: two sets have no more in common than the smaller of their parts inside a third set,
 the name of the commonest component, and the smaller of their parts outside of it that other sets
@@ -19,6 +19,9 @@ share. So every pair of a bucket is compared, joined already, or proven not to b
 
 from __future__ import annotations
 
+import functools
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -28,16 +31,27 @@ from pyspark.sql import functions as F
 from locusmill.llm.groups import components
 from locusmill.llm.shared import batch, slices, table, written
 
-#: Links have 100 * intersection >= PERCENT * union.
+#: Links have 100 * intersection >= PERCENT * union, for sets of shingles of SHINGLE words, unless
+#: a caller gives other values.
 PERCENT = 85
 SHINGLE = 3
-#: A pair at the limit misses all bands with a probability of (1 - 0.85 ** ROWS) ** BANDS = 3e-7.
-BANDS, ROWS = 32, 6
-SLOTS = BANDS * ROWS
+#: A pair at the limit misses all bands with this probability at most.
+MISSED, MOST_SLOTS = 3e-7, 192
 U64 = np.uint64
 SKETCH = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows for a limit: the most rows with which the bands that it takes fit the slots."""
+    need = {r: math.ceil(math.log(MISSED) / math.log1p(-((percent / 100) ** r))) for r in range(1, 13)}
+    rows = max((r for r, bands in need.items() if bands * r <= MOST_SLOTS), default=1)
+    return need[rows], rows
+
+
+BANDS, ROWS = banding(PERCENT)
+SLOTS = BANDS * ROWS
+
+
 def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     """A well-mixed 64-bit hash of 64-bit numbers."""
     z = x + U64((salt + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
@@ -101,10 +115,10 @@ def signatures(sets: list[np.ndarray], slots: int = SLOTS) -> np.ndarray:
     return best
 
 
-def band_hashes(signature: np.ndarray) -> np.ndarray:
-    grouped = signature.reshape(len(signature), BANDS, ROWS)
-    h = np.broadcast_to(np.arange(BANDS, dtype=U64), (len(signature), BANDS))
-    for r in range(ROWS):
+def band_hashes(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    grouped = signature.reshape(len(signature), bands, rows)
+    h = np.broadcast_to(np.arange(bands, dtype=U64), (len(signature), bands))
+    for r in range(rows):
         h = mixed(h ^ grouped[:, :, r], r)
     return h.view(np.int64)
 
@@ -113,26 +127,27 @@ def _nested(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.reshape(-1)))
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id``, the size of its set, the set's 128-bit digest, and its band hashes."""
+    n_bands, n_rows = banding(percent)
 
     def run(batches):
         for part in slices(batches, "text"):
-            sets = shingle_sets(part.column("text"))
+            sets = shingle_sets(part.column("text"), width)
             sums = [np.array([mixed(s, salt).sum(dtype=U64) for s in sets], U64).view(np.int64) for salt in (101, 202)]
-            bands = band_hashes(signatures(sets))
+            bands = band_hashes(signatures(sets, n_bands * n_rows), n_bands, n_rows)
             yield batch(SKETCH, part.column("doc_id"), [len(s) for s in sets], *sums, _nested(bands))
 
     return docs.select("doc_id", "text").mapInArrow(run, SKETCH)
 
 
-def _sets(docs: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id`` and its set."""
     schema = "doc_id long, hashes array<long>"
 
     def run(batches):
         for part in slices(batches, "text"):
-            sets = shingle_sets(part.column("text"))
+            sets = shingle_sets(part.column("text"), width)
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32))
             flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
             yield batch(schema, part.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(flat)))
@@ -140,14 +155,14 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose full sets are close enough."""
     one = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("in_a"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("in_b"))
     both = F.size(F.array_intersect("in_a", "in_b"))
     return (
         pairs.join(one, "a").join(two, "b")
-        .where(100 * both >= PERCENT * (F.size("in_a") + F.size("in_b") - both))
+        .where(100 * both >= percent * (F.size("in_a") + F.size("in_b") - both))
         .select("a", "b")
     )
 
@@ -181,7 +196,7 @@ def _in_pivots(members: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _can_link() -> Column:
+def _can_link(percent: int) -> Column:
     """A bound on what two sets have in common: within the bucket's core, and outside of it only
     shingles that are shared at all.
 
@@ -190,10 +205,10 @@ def _can_link() -> Column:
     """
     outside = [F.greatest(F.col("shared" + x) - F.col("inside" + x), F.lit(0)) for x in ("", "_b")]
     most = F.least("inside", "inside_b") + F.least(*outside)
-    return 100 * most >= PERCENT * (F.col("size") + F.col("size_b") - most)
+    return 100 * most >= percent * (F.col("size") + F.col("size_b") - most)
 
 
-def _remaining_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
+def _remaining_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs ``a, b`` of different components in one bucket that may still be linked.
 
     Members outside a bucket's commonest component meet all members that lie in another one, so
@@ -206,7 +221,7 @@ def _remaining_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame, cla
     # names of components too: each may be a core, though it is in no such bucket itself
     left = rest.select(F.explode(F.array("rep", "component")).alias("doc_id")).distinct()
     shared = _shared_sizes(sets.join(left, "doc_id", "left_semi"))
-    able = rest.join(shared, "rep").where(100 * F.col("shared") >= PERCENT * F.col("size"))
+    able = rest.join(shared, "rep").where(100 * F.col("shared") >= percent * F.col("size"))
     able = written(_mixed_buckets(able), "near-mixed")
     able = able.join(_in_pivots(able, sets), ["rep", "core"]).join(classes.select("rep", "bands"), "rep")
     able = written(able, "near-able")
@@ -220,14 +235,14 @@ def _remaining_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame, cla
         able.where("component != core")
         .join(others, ["band", "hash"])
         .where((F.col("component_b") == F.col("core")) | (F.col("component") < F.col("component_b")))
-        .where(_can_link())
+        .where(_can_link(percent))
         .where(first_common == F.col("band") + 1)
         .select(F.col("rep").alias("a"), "b")
         .distinct()
     )
 
 
-def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+def links(docs: DataFrame, classes: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``node, component`` of the classes (by their smallest document) that are linked."""
     members = classes.select("rep", F.col("n_shingles").alias("size"), F.posexplode("bands").alias("band", "hash"))
     buckets = members.groupBy("band", "hash").agg(F.count("*").alias("n"), F.min(F.struct("rep", "size")).alias("first"))
@@ -235,22 +250,23 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     members = written(members.join(buckets, ["band", "hash"]), "near-members")
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     # rows that repeat a document are equal
-    sets = written(_sets(docs.join(wanted, "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "near-sets")
-    firsts = members.where((F.col("rep") != F.col("first.rep")) & _close_sizes("size", "first.size")).select(
+    sets = written(_sets(docs.join(wanted, "doc_id", "left_semi"), width).dropDuplicates(["doc_id"]), "near-sets")
+    firsts = members.where((F.col("rep") != F.col("first.rep")) & _close_sizes("size", "first.size", percent)).select(
         F.col("first.rep").alias("a"), F.col("rep").alias("b")
     )
-    edges = written(_linked(firsts.distinct(), sets), "near-links")
+    edges = written(_linked(firsts.distinct(), sets, percent), "near-links")
     labels = components(edges)
-    more = written(_linked(written(_remaining_pairs(members, labels, sets, classes), "near-pairs"), sets), "near-links")
+    pairs = written(_remaining_pairs(members, labels, sets, classes, percent), "near-pairs")
+    more = written(_linked(pairs, sets, percent), "near-links")
     return labels if more.isEmpty() else components(edges.unionByName(more))
 
 
-def _close_sizes(a: str, b: str) -> Column:
+def _close_sizes(a: str, b: str, percent: int) -> Column:
     """Sets whose sizes differ more can't be close enough."""
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs`` (``doc_id, text``).
 
     Documents without words, and null texts, have an empty set and are linked with nothing. Rows
@@ -258,14 +274,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     document without id belongs to the component of its copies, but names none: alone, its
     component is null and it is kept. Other columns are not read.
     """
-    sketch = written(sketches(docs), "near-sketches")
+    sketch = written(sketches(docs, width, percent), "near-sketches")
     full = sketch.where("n_shingles > 0")
     classes = full.where("doc_id IS NOT NULL").groupBy("d1", "d2").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")
     )
     classes = written(classes, "near-classes")
     named = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
-    labels = links(named, classes)
+    labels = links(named, classes, width, percent)
     own = classes.join(labels, F.col("rep") == F.col("node"), "left").select(
         "d1", "d2", "n", "rep", F.coalesce("component", "rep").alias("component")
     )
@@ -280,15 +296,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return found.withColumn("kept", kept)
 
 
-def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows whose document is the smallest of its component, with all their columns."""
-    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_near_gone")).distinct()
-    gone = written(gone, "near-gone")
+def without_near_duplicates(docs: DataFrame, limits: tuple[tuple[int, int], ...] = ((SHINGLE, PERCENT),)) -> DataFrame:
+    """The rows whose document is the smallest of its component, with all their columns.
+
+    With several limits (words of a shingle, percent), it is the smallest by each of them.
+    """
+    each = [near_duplicates(docs, *limit).where("NOT kept").select(F.col("doc_id").alias("_near_gone")) for limit in limits]
+    gone = written(functools.reduce(DataFrame.unionByName, each).distinct(), "near-gone")
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_near_gone"]), "left_anti")
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), 3, 85)
 
 
 OP10_SQL = r"""
