@@ -216,7 +216,7 @@ def test_url_keys():
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for name in ("documents", "pages", "conversations"):
+    for name in ("documents", "pages", "conversations", "embeddings"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
     return connection
 
