@@ -7,7 +7,8 @@ whose slots are all below j is ready, which for most texts is after two rounds.
 close sets share bands, and texts that share a band are compared on their full sets.
 
 Texts with equal sets are one class from the start (a sum of two mixed hashes over the set, 128
-bits), so copies never meet in a band. In a band's bucket no pairs of all members are made. First
+bits), so copies never meet in a band. A class has a number of its own, and is named by the
+smallest id of its rows; so an id that comes with several texts is in several classes. In a band's bucket no pairs of all members are made. First
 each class is compared with the bucket's smallest. Then only buckets whose members still lie in
 several components go on, without the members that a bound rules out: a set of which more than
 the limit allows (at 85 percent, 15 of 100 shingles) are in no other of the sets is linked with nothing. What lies outside a
@@ -19,7 +20,6 @@ share. So every pair of a bucket is compared, joined already, or proven not to b
 
 from __future__ import annotations
 
-import functools
 import math
 
 import numpy as np
@@ -38,7 +38,7 @@ SHINGLE = 3
 #: A pair at the limit misses all bands with this probability at most.
 MISSED, MOST_SLOTS = 3e-7, 192
 U64 = np.uint64
-SKETCH = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
+SKETCH = "doc_id long, version long, n_shingles long, d1 long, d2 long, bands array<long>"
 
 
 def banding(percent: int) -> tuple[int, int]:
@@ -127,8 +127,13 @@ def _nested(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.reshape(-1)))
 
 
+def _version() -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64("text").alias("version")
+
+
 def sketches(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``doc_id``, the size of its set, the set's 128-bit digest, and its band hashes."""
+    """``doc_id``, a hash of the text, the size of its set, the set's 128-bit digest, and its band hashes."""
     n_bands, n_rows = banding(percent)
 
     def run(batches):
@@ -136,29 +141,32 @@ def sketches(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> D
             sets = shingle_sets(part.column("text"), width)
             sums = [np.array([mixed(s, salt).sum(dtype=U64) for s in sets], U64).view(np.int64) for salt in (101, 202)]
             bands = band_hashes(signatures(sets, n_bands * n_rows), n_bands, n_rows)
-            yield batch(SKETCH, part.column("doc_id"), [len(s) for s in sets], *sums, _nested(bands))
+            yield batch(SKETCH, part.column("doc_id"), part.column("version"), [len(s) for s in sets], *sums, _nested(bands))
 
-    return docs.select("doc_id", "text").mapInArrow(run, SKETCH)
+    return docs.select("doc_id", _version(), "text").mapInArrow(run, SKETCH)
 
 
-def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id`` and its set."""
-    schema = "doc_id long, hashes array<long>"
+def _sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """``node`` of each class and its set, made from the text that names it."""
+    schema = "node long, hashes array<long>"
+    named = classes.select("node", F.col("rep").alias("doc_id"), "version")
+    texts = docs.select("doc_id", _version(), "text").join(named, ["doc_id", "version"])
 
     def run(batches):
         for part in slices(batches, "text"):
             sets = shingle_sets(part.column("text"), width)
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32))
             flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-            yield batch(schema, part.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(flat)))
+            yield batch(schema, part.column("node"), pa.ListArray.from_arrays(offsets, pa.array(flat)))
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    # rows that repeat a document are equal
+    return texts.select("node", "text").mapInArrow(run, schema).dropDuplicates(["node"])
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose full sets are close enough."""
-    one = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("in_a"))
-    two = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("in_b"))
+    one = sets.select(F.col("node").alias("a"), F.col("hashes").alias("in_a"))
+    two = sets.select(F.col("node").alias("b"), F.col("hashes").alias("in_b"))
     both = F.size(F.array_intersect("in_a", "in_b"))
     return (
         pairs.join(one, "a").join(two, "b")
@@ -177,22 +185,22 @@ def _mixed_buckets(members: DataFrame) -> DataFrame:
 
 
 def _shared_sizes(sets: DataFrame) -> DataFrame:
-    """``rep, shared``: how many shingles of each set are in another of these sets too."""
-    shingles = sets.select("doc_id", F.explode("hashes").alias("h"))
-    alone = shingles.groupBy("h").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).where("n = 1")
-    counts = alone.groupBy("doc_id").agg(F.count("*").alias("alone"))
-    return sets.join(counts, "doc_id", "left").select(
-        F.col("doc_id").alias("rep"), (F.size("hashes") - F.coalesce("alone", F.lit(0))).alias("shared")
+    """``node, shared``: how many shingles of each set are in another of these sets too."""
+    shingles = sets.select("node", F.explode("hashes").alias("h"))
+    alone = shingles.groupBy("h").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
+    counts = alone.groupBy("node").agg(F.count("*").alias("alone"))
+    return sets.join(counts, "node", "left").select(
+        "node", (F.size("hashes") - F.coalesce("alone", F.lit(0))).alias("shared")
     )
 
 
 def _in_pivots(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """``rep, core, inside``: shingles that a member has in common with its bucket's core."""
-    one = sets.select(F.col("doc_id").alias("rep"), F.col("hashes").alias("own"))
-    two = sets.select(F.col("doc_id").alias("core"), F.col("hashes").alias("pivot"))
-    pairs = members.select("rep", "core").distinct()
-    return pairs.join(one, "rep").join(two, "core").select(
-        "rep", "core", F.size(F.array_intersect("own", "pivot")).alias("inside")
+    """``node, core, inside``: shingles that a member has in common with its bucket's core."""
+    one = sets.select("node", F.col("hashes").alias("own"))
+    two = sets.select(F.col("node").alias("core"), F.col("hashes").alias("pivot"))
+    pairs = members.select("node", "core").distinct()
+    return pairs.join(one, "node").join(two, "core").select(
+        "node", "core", F.size(F.array_intersect("own", "pivot")).alias("inside")
     )
 
 
@@ -214,21 +222,21 @@ def _remaining_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame, cla
     Members outside a bucket's commonest component meet all members that lie in another one, so
     members that are joined already are not paired with each other again.
     """
-    named = members.join(labels, F.col("rep") == F.col("node"), "left").select(
-        "band", "hash", "rep", "size", F.coalesce("component", "rep").alias("component")
+    named = members.join(labels, "node", "left").select(
+        "band", "hash", "node", "size", F.coalesce("component", "node").alias("component")
     )
     rest = written(_mixed_buckets(named).drop("core"), "near-mixed")
     # names of components too: each may be a core, though it is in no such bucket itself
-    left = rest.select(F.explode(F.array("rep", "component")).alias("doc_id")).distinct()
-    shared = _shared_sizes(sets.join(left, "doc_id", "left_semi"))
-    able = rest.join(shared, "rep").where(100 * F.col("shared") >= percent * F.col("size"))
+    left = rest.select(F.explode(F.array("node", "component")).alias("node")).distinct()
+    shared = _shared_sizes(sets.join(left, "node", "left_semi"))
+    able = rest.join(shared, "node").where(100 * F.col("shared") >= percent * F.col("size"))
     able = written(_mixed_buckets(able), "near-mixed")
-    able = able.join(_in_pivots(able, sets), ["rep", "core"]).join(classes.select("rep", "bands"), "rep")
+    able = able.join(_in_pivots(able, sets), ["node", "core"]).join(classes.select("node", "bands"), "node")
     able = written(able, "near-able")
     # a pair comes from the first bucket that both are in
     first_common = F.array_position(F.zip_with("bands", "bands_b", lambda x, y: x == y), True)
     others = able.select(
-        "band", "hash", F.col("rep").alias("b"), F.col("size").alias("size_b"),
+        "band", "hash", F.col("node").alias("b"), F.col("size").alias("size_b"),
         F.col("shared").alias("shared_b"), F.col("inside").alias("inside_b"), F.col("bands").alias("bands_b"), F.col("component").alias("component_b"),
     )
     return (
@@ -237,22 +245,21 @@ def _remaining_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame, cla
         .where((F.col("component_b") == F.col("core")) | (F.col("component") < F.col("component_b")))
         .where(_can_link(percent))
         .where(first_common == F.col("band") + 1)
-        .select(F.col("rep").alias("a"), "b")
+        .select(F.col("node").alias("a"), "b")
         .distinct()
     )
 
 
 def links(docs: DataFrame, classes: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``node, component`` of the classes (by their smallest document) that are linked."""
-    members = classes.select("rep", F.col("n_shingles").alias("size"), F.posexplode("bands").alias("band", "hash"))
-    buckets = members.groupBy("band", "hash").agg(F.count("*").alias("n"), F.min(F.struct("rep", "size")).alias("first"))
+    """``node, component`` of the classes that are linked; the smallest number is the component's."""
+    members = classes.select("node", F.col("n_shingles").alias("size"), F.posexplode("bands").alias("band", "hash"))
+    buckets = members.groupBy("band", "hash").agg(F.count("*").alias("n"), F.min(F.struct("node", "size")).alias("first"))
     buckets = written(buckets.where("n > 1").drop("n"), "near-buckets")
     members = written(members.join(buckets, ["band", "hash"]), "near-members")
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    # rows that repeat a document are equal
-    sets = written(_sets(docs.join(wanted, "doc_id", "left_semi"), width).dropDuplicates(["doc_id"]), "near-sets")
-    firsts = members.where((F.col("rep") != F.col("first.rep")) & _close_sizes("size", "first.size", percent)).select(
-        F.col("first.rep").alias("a"), F.col("rep").alias("b")
+    wanted = classes.join(members.select("node").distinct(), "node", "left_semi")
+    sets = written(_sets(docs, wanted, width), "near-sets")
+    firsts = members.where((F.col("node") != F.col("first.node")) & _close_sizes("size", "first.size", percent)).select(
+        F.col("first.node").alias("a"), F.col("node").alias("b")
     )
     edges = written(_linked(firsts.distinct(), sets, percent), "near-links")
     labels = components(edges)
@@ -266,44 +273,47 @@ def _close_sizes(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _decided(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``doc_id, version, n_shingles, component_id, kept`` for each row."""
+    sketch = written(sketches(docs, width, percent), "near-sketches")
+    grouped = sketch.where("n_shingles > 0").groupBy("d1", "d2").agg(
+        F.min("doc_id").alias("rep"), F.min_by("version", "doc_id").alias("version"), F.count("*").alias("n"),
+        F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
+    )
+    # the numbers are made once, as the table is
+    classes = written(grouped.withColumn("node", F.monotonically_increasing_id()), "near-classes")
+    labels = links(docs, classes.where("rep IS NOT NULL"), width, percent)
+    linked = classes.join(labels, "node").select("d1", "d2", "rep", "component")
+    named = linked.join(linked.groupBy("component").agg(F.min("rep").alias("name")), "component").select("d1", "d2", "name")
+    # most classes are one row that has no link; only the others need a lookup
+    alone = classes.where("n > 1").join(labels, "node", "left_anti").select("d1", "d2", F.col("rep").alias("name"))
+    moved = written(named.unionByName(alone), "near-moved")
+    component = F.when(F.col("n_shingles") > 0, F.col("name"))
+    found = sketch.drop("bands").join(moved, ["d1", "d2"], "left").select(
+        "doc_id", "version", "n_shingles", F.coalesce(component, "doc_id").alias("component_id")
+    )
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+
+
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs`` (``doc_id, text``).
 
     Documents without words, and null texts, have an empty set and are linked with nothing. Rows
-    that repeat a ``doc_id`` with the same text count as one document and get the same result. A
-    document without id belongs to the component of its copies, but names none: alone, its
-    component is null and it is kept. Other columns are not read.
+    that repeat a ``doc_id`` with the same text count as one document and get the same result;
+    the texts of an id that has several are documents of that id each, linked or not by
+    themselves. A document without id belongs to the component of the rows with an equal set but
+    names none, and no near copy is looked for; where no such row has an id, its component is null
+    and it is kept. Other columns are not read.
     """
-    sketch = written(sketches(docs, width, percent), "near-sketches")
-    full = sketch.where("n_shingles > 0")
-    classes = full.where("doc_id IS NOT NULL").groupBy("d1", "d2").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")
-    )
-    classes = written(classes, "near-classes")
-    named = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
-    labels = links(named, classes, width, percent)
-    own = classes.join(labels, F.col("rep") == F.col("node"), "left").select(
-        "d1", "d2", "n", "rep", F.coalesce("component", "rep").alias("component")
-    )
-    # most classes are one document that has no link; only the others need a lookup
-    moved = written(own.where("n > 1 OR component != rep").select("d1", "d2", "component"), "near-moved")
-    rows = sketch.select("doc_id", "n_shingles", "d1", "d2")
-    component = F.when(F.col("n_shingles") > 0, F.col("component"))
-    found = rows.join(moved, ["d1", "d2"], "left").select(
-        "doc_id", "n_shingles", F.coalesce(component, "doc_id").alias("component_id")
-    )
-    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
-    return found.withColumn("kept", kept)
-
+    return _decided(docs, width, percent).drop("version")
 
-def without_near_duplicates(docs: DataFrame, limits: tuple[tuple[int, int], ...] = ((SHINGLE, PERCENT),)) -> DataFrame:
-    """The rows whose document is the smallest of its component, with all their columns.
 
-    With several limits (words of a shingle, percent), it is the smallest by each of them.
-    """
-    each = [near_duplicates(docs, *limit).where("NOT kept").select(F.col("doc_id").alias("_near_gone")) for limit in limits]
-    gone = written(functools.reduce(DataFrame.unionByName, each).distinct(), "near-gone")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_near_gone"]), "left_anti")
+def without_near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows whose document is the smallest of its component, with all their columns, whatever their names."""
+    gone = _decided(docs, width, percent).where("NOT kept")
+    gone = written(gone.select(F.col("doc_id").alias("_near_gone"), F.col("version").alias("_near_version")).distinct(), "near-gone")
+    same = docs["doc_id"].eqNullSafe(gone["_near_gone"]) & (F.xxhash64(docs["text"]) == gone["_near_version"])
+    return docs.join(gone, same, "left_anti")
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
