@@ -1,34 +1,36 @@
 """Operator 5: toxicity by bags of subwords.
 
 A word is the character n-grams of it between ``<`` and ``>``, and a text the mean of the vectors
-of all n-grams of its words, rare n-grams weighing more; a softmax over that mean gives the score. Vectors and softmax are
-trained together, in numpy, on a bounded sample of labelled rows. A misspelt word shares most
-n-grams with the word that it stands for.
-
-As the softmax is linear, an n-gram adds the same amount to a text's score wherever it stands, so
-scoring sums one number a word, which tasks remember.
+of all n-grams of its words, rare n-grams weighing more; a softmax over that mean gives the score.
+Vectors and softmax are trained together, in numpy, on a bounded sample of labelled rows. A
+misspelt word shares most n-grams with the word that it stands for. Every n-gram has a vector;
+the weight of one that many texts have is small, and plain descent leaves those that occur by
+chance near zero.
+
+Bags are made where the sample lies, and one task trains: the driver gets the finished model
+alone. As the softmax is linear, an n-gram adds the same amount to a text's score wherever it
+stands, so scoring sums one number a word, which tasks remember.
 """
 
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusmill.llm.shared import batch, checksum, sampled, slices, table, written
 
-#: Words are read in lower case, without the marks around them, in parts of this many characters.
-WORDS = re.compile(r"[^\W_]{1,64}|[^\w\s]")
+#: Words are read in lower case, without the marks around them.
+WORDS = re.compile(r"[^\W_]+|[^\w\s]")
 SHORTEST, LONGEST = 3, 5
 BUCKETS, WIDTH = 1 << 20, 4
 #: Labelled rows in the sample that the vectors are fitted on.
 SAMPLE_ROWS = 8_000
-#: N-grams in fewer sampled texts, or in a larger share of them and of the clean ones, have no vector.
-LEAST_TEXTS, MOST_TEXTS = 8, 0.12
-#: The vectors' step is large, as their gradients are shares of a mean; plain descent leaves the
-#: many n-grams that occur by chance near zero.
+#: The vectors' step is large, as their gradients are shares of a mean.
 STEPS, BATCH, VECTOR_STEP, SOFTMAX_STEP, SEED = 2_000, 64, 5_000.0, 0.1, 7
 REMEMBERED = 400_000
 
@@ -69,106 +71,154 @@ def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(ngrams(words)[1] if words else np.zeros(0, np.int64), return_counts=True)
 
 
-def _text_counts(rows: DataFrame) -> np.ndarray:
-    """For clean and toxic texts and each bucket, the number of texts that have it."""
-    schema = "bucket int, clean long, toxic long"
+@dataclass
+class Bags:
+    """Labelled bags one after another: ``ends`` closes each one's ``buckets`` and ``shares``."""
 
-    def run(batches):
-        counts = np.zeros((2, BUCKETS), np.int64)
-        for part in slices(batches, "text"):
-            for toxic, text in zip(part.column("toxic").to_pylist(), part.column("text").to_pylist(), strict=True):
-                counts[toxic, bag(text)[0]] += 1
-        (found,) = np.nonzero(counts.sum(0))
-        yield batch(schema, found.astype(np.int32), *counts[:, found])
+    labels: np.ndarray
+    ends: np.ndarray
+    buckets: np.ndarray
+    shares: np.ndarray
 
-    sums = [F.sum(c).alias(c) for c in ("clean", "toxic")]
-    found = rows.select("toxic", "text").mapInArrow(run, schema).groupBy("bucket").agg(*sums).toArrow()
-    counts = np.zeros((2, BUCKETS), np.int64)
-    for k, name in enumerate(("clean", "toxic")):
-        counts[k, found.column("bucket").to_numpy()] = found.column(name).to_numpy()
-    return counts
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Buckets and shares of some bags, and the place in ``rows`` that each belongs to."""
+        start, stop = np.where(rows > 0, self.ends[rows - 1], 0), self.ends[rows]
+        sizes = stop - start
+        at = np.arange(sizes.sum()) + np.repeat(start - (np.cumsum(sizes) - sizes), sizes)
+        return self.buckets[at], self.shares[at], np.repeat(np.arange(len(rows)), sizes)
 
 
-def _bags(rows: DataFrame, weight: np.ndarray) -> DataFrame:
-    """Label, and the weighted buckets of each text with their shares: at most ``BUCKETS`` of them."""
-    schema = "toxic int, bucket array<int>, share array<float>"
+def weighed(labels: np.ndarray, ends: np.ndarray, buckets: np.ndarray, counts: np.ndarray) -> tuple[Bags, np.ndarray]:
+    """The bags with each bucket's share of its text, and the buckets' weights.
 
-    def run(batches):
-        for part in slices(batches, "text"):
-            buckets, shares = [], []
-            for text in part.column("text").to_pylist():
-                ids, counts = bag(text)
-                ids, share = ids[weight[ids] > 0], (counts * weight[ids])[weight[ids] > 0]
-                buckets.append(ids.astype(np.int32))
-                shares.append((share / max(1e-9, share.sum())).astype(np.float32))
-            yield batch(schema, part.column("toxic"), buckets, shares)
-
-    return rows.select("toxic", "text").mapInArrow(run, schema)
-
-
-def train(labels: np.ndarray, buckets: list[np.ndarray], shares: list[np.ndarray], weight: np.ndarray) -> Model:
-    """Vectors and softmax, trained together by gradient descent on small batches of bags."""
-    kept = np.flatnonzero(weight)
-    place = np.zeros(BUCKETS, np.int64)
-    place[kept] = np.arange(len(kept))
-    buckets = [place[b] for b in buckets]
-    rng = np.random.default_rng(SEED)
-    vectors = rng.normal(0, 0.1, (len(kept), WIDTH)).astype(np.float32)
-    softmax = rng.normal(0, 0.3, (WIDTH, 2)).astype(np.float32)
-    bias = np.zeros(2, np.float32)
-    done = 0
+    A weight is the logarithm of one text in how many has the bucket; one that all texts have
+    tells nothing and weighs nothing.
+    """
+    n = len(labels)
+    weight = np.log((n + 1) / (np.bincount(buckets, minlength=BUCKETS) + 1)).astype(np.float32)
+    doc = np.repeat(np.arange(n), np.diff(ends, prepend=0))
+    share = (counts * weight[buckets]).astype(np.float32)
+    total = np.maximum(np.bincount(doc, share, n), 1e-9).astype(np.float32)
+    return Bags(labels, ends, buckets, share / total[doc]), weight
+
+
+class Network:
+    """Vectors of the buckets and the softmax over a text's mean vector."""
+
+    def __init__(self, size: int):
+        rng = np.random.default_rng(SEED)
+        self.vectors = rng.normal(0, 0.1, (size, WIDTH)).astype(np.float32)
+        self.softmax = rng.normal(0, 0.3, (WIDTH, 2)).astype(np.float32)
+        self.bias = np.zeros(2, np.float32)
+
+    def forward(self, flat: np.ndarray, share: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Mean vectors of ``n`` bags, and the probabilities of their classes."""
+        mean = np.stack([np.bincount(doc, share * self.vectors[flat, d], n) for d in range(WIDTH)], 1)
+        logits = mean @ self.softmax + self.bias
+        p = np.exp(logits - logits.max(1, keepdims=True))
+        return mean, p / p.sum(1, keepdims=True)
+
+    def gradients(self, flat, share, doc, labels: np.ndarray, row_weight: np.ndarray):
+        """Of the weighted mean of the cross entropies: by vectors, softmax and bias."""
+        mean, p = self.forward(flat, share, doc, len(labels))
+        error = (p - np.eye(2)[labels]) * row_weight[:, None] / len(labels)
+        pull = error @ self.softmax.T
+        by_vector = [np.bincount(flat, share * pull[doc, d], len(self.vectors)) for d in range(WIDTH)]
+        return np.stack(by_vector, 1), mean.T @ error, error.sum(0)
+
+
+def train(bags: Bags) -> Network:
+    """Vectors and softmax, trained together by gradient descent on small batches of bags.
+
+    Rows weigh by the square root of how rare their class is, so that a rare class counts without
+    outvoting the common one. Bags must come in an order of their own, as batches go by it.
+    """
+    net = Network(BUCKETS)
+    classes = np.maximum(np.bincount(bags.labels, minlength=2), 1)
+    row_weight = np.sqrt(classes.sum() / classes)[bags.labels]
+    row_weight /= row_weight.mean()
+    # only buckets that occur have gradients
+    kept, flat = np.unique(bags.buckets, return_inverse=True)
+    own = Bags(bags.labels, bags.ends, flat.astype(np.int32), bags.shares)
+    all_vectors, net.vectors = net.vectors, net.vectors[kept]
+    rng, done = np.random.default_rng(SEED), 0
     while done < STEPS:
-        order = rng.permutation(len(labels))
+        order = rng.permutation(len(bags.labels))
         for at in range(0, len(order), BATCH)[: STEPS - done]:
-            rows = order[at : at + BATCH]
-            flat = np.concatenate([buckets[i] for i in rows])
-            share = np.concatenate([shares[i] for i in rows])
-            doc = np.repeat(np.arange(len(rows)), [len(buckets[i]) for i in rows])
-            mean = np.stack([np.bincount(doc, share * vectors[flat, d], len(rows)) for d in range(WIDTH)], 1)
-            logits = mean @ softmax + bias
-            p = np.exp(logits - logits.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            error = (p - np.eye(2)[labels[rows]]) / len(rows)
-            pull, rate = error @ softmax.T, 1 - done / STEPS
-            for d in range(WIDTH):
-                vectors[:, d] -= VECTOR_STEP * rate * np.bincount(flat, share * pull[doc, d], len(kept))
-            softmax -= SOFTMAX_STEP * rate * (mean.T @ error)
-            bias -= SOFTMAX_STEP * rate * error.sum(0)
+            rows, rate = order[at : at + BATCH], 1 - done / STEPS
+            vectors, softmax, bias = net.gradients(*own.take(rows), bags.labels[rows], row_weight[rows])
+            net.vectors -= (VECTOR_STEP * rate * vectors).astype(np.float32)
+            net.softmax -= (SOFTMAX_STEP * rate * softmax).astype(np.float32)
+            net.bias -= (SOFTMAX_STEP * rate * bias).astype(np.float32)
             done += 1
-    gain = np.zeros(BUCKETS)
-    gain[kept] = weight[kept] * (vectors @ (softmax[:, 1] - softmax[:, 0]))
-    return Model(weight, gain, float(bias[1] - bias[0]))
+    all_vectors[kept] = net.vectors
+    net.vectors = all_vectors
+    return net
+
+
+def model_of(bags: Bags, weight: np.ndarray) -> Model:
+    """The trained model; of bags of one class, or of none, a model that always says that class (none: 0)."""
+    if len(np.unique(bags.labels)) < 2:
+        constant = 40.0 if len(bags.labels) and bags.labels[0] else -40.0
+        return Model(np.zeros(BUCKETS), np.zeros(BUCKETS), constant)
+    net = train(bags)
+    # n-grams that the sample lacks say nothing, but belong to the mean
+    seen = np.zeros(BUCKETS, bool)
+    seen[bags.buckets] = True
+    gain = weight * (net.vectors @ (net.softmax[:, 1] - net.softmax[:, 0])) * seen
+    return Model(weight, gain, float(net.bias[1] - net.bias[0]))
+
+
+def _bags(rows: DataFrame) -> DataFrame:
+    """Label, digest and bag of each text."""
+    schema = "toxic int, digest long, bucket array<int>, times array<int>"
+
+    def run(batches):
+        for part in slices(batches, "text"):
+            found = [bag(t) for t in part.column("text").to_pylist()]
+            yield batch(schema, part.column("toxic"), part.column("digest"), [f[0].astype(np.int32) for f in found], [f[1].astype(np.int32) for f in found])
+
+    return rows.select("toxic", F.xxhash64("text").alias("digest"), "text").mapInArrow(run, schema)
+
+
+def _trained(bags: DataFrame) -> DataFrame:
+    """``weight, gain, constant`` of the model, made in one task from all bags of the sample."""
+    schema = "weight binary, gain binary, constant double"
+
+    def run(batches):
+        held = [b for b in batches if len(b)]
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        # rows arrive in any order; training goes by their content
+        table = table.sort_by([("digest", "ascending"), ("toxic", "ascending")]).combine_chunks()
+        columns = [table.column(c).combine_chunks() for c in ("toxic", "bucket", "times")]
+        labels, ends = columns[0].to_numpy(), np.cumsum(columns[1].value_lengths().to_numpy(zero_copy_only=False))
+        model = model_of(*weighed(labels, ends, *(c.flatten().to_numpy() for c in columns[1:])))
+        yield batch(schema, [model.weight.tobytes()], [model.gain.tobytes()], [model.constant])
+
+    return bags.repartition(1).mapInArrow(run, schema)
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> Model:
     """A model from the texts of ``docs`` and the ``doc_id, toxic`` rows of ``labels``.
 
-    About ``most`` labelled rows are taken; the driver gets their bags, each of at most
-    ``BUCKETS`` numbers. Rows without a label or text are left out. With rows of one class,
-    every score is that class; without rows, every score is 0.
+    About ``most`` labelled documents are taken. One task holds their bags; the driver gets the
+    model. Labels other than 0 and 1, labels of an id that contradict each other, and rows without
+    id, label or text are left out; labels that repeat count once, and rows that repeat an id are
+    each a text of it. With rows of one class, every score is that class; without rows, every
+    score is 0.
     """
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "toxic")
-    chosen = sampled(usable, None, most, "doc_id", "toxicity")
+    agreed = usable.groupBy("doc_id").agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").alias("most"))
+    chosen = sampled(agreed.where("toxic = most").drop("most"), None, most, "doc_id", "toxicity")
     texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text")
     # the sample is bounded by its own size, so it may be sent to all tasks
     rows = written(texts.join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
-    clean, toxic = _text_counts(rows)
-    counts = clean + toxic
-    n, n_clean = rows.count(), rows.where("toxic = 0").count()
-    # what is common only as much of the sample is toxic tells the classes apart
-    limit = max(2, MOST_TEXTS * n)
-    common = (counts > limit) & (clean > max(2, MOST_TEXTS * n_clean))
-    used = (counts >= min(LEAST_TEXTS, 1 + n // 100)) & ~common
-    weight = np.where(used, np.log((n + 1) / (np.minimum(counts, limit) + 1)), 0.0).astype(np.float32)
-    found = _bags(rows, weight).toArrow()
-    toxic = found.column("toxic").to_numpy()
-    if len(set(toxic.tolist())) < 2:
-        constant = 40.0 if len(toxic) and toxic[0] else -40.0
-        return Model(np.zeros(BUCKETS), np.zeros(BUCKETS), constant)
-    buckets, shares = ([x.values.to_numpy() for x in found.column(c)] for c in ("bucket", "share"))
-    # rows arrive in any order; training goes by their content
-    order = sorted(range(n), key=lambda i: (len(buckets[i]), buckets[i].tobytes(), toxic[i]))
-    return train(toxic[order], [buckets[i] for i in order], [shares[i] for i in order], weight)
+    found = _trained(_bags(rows)).collect()
+    if not found:
+        return Model(np.zeros(BUCKETS), np.zeros(BUCKETS), -40.0)
+    return Model(np.frombuffer(found[0].weight, np.float32), np.frombuffer(found[0].gain, np.float32), found[0].constant)
 
 
 class Scorer:
@@ -208,7 +258,6 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """The rows whose text scores below the threshold, with all their columns, which may have any
     names. Rows are scored where they are read, so nothing is shuffled or joined."""
-    import pyarrow as pa
 
     def run(batches):
         scorer = Scorer(model)
