@@ -14,6 +14,7 @@ lies across the border of sequences is cut there.
 from __future__ import annotations
 
 import functools
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,14 @@ END = 2
 LENGTH = 4096
 #: Places of the hashed vector, dimensions of the grid, and bits of each.
 PLACES, DIMENSIONS, BITS, SEED = 256, 4, 15, 13
-#: Words whose ids a task remembers. When there are more, it starts anew.
-REMEMBERED = 400_000
+#: Words whose ids a task remembers (when there are more, it starts anew), and words encoded at once.
+REMEMBERED, WORDS_AT_ONCE = 800_000, 200
+#: Bytes of text whose ids are gathered at once; small arrays are used again, large ones cost more to get.
+AT_ONCE = 1 << 20
+#: A full stop or comma behind a letter or digit that ends a word.
+TAIL = "([0-9A-Za-zß-öø-ÿ])[.,]$"
+#: Fixed value: the vocabulary's control string that stands between words encoded at once.
+BETWEEN = "<|endoftext|>"
 U64 = np.uint64
 TOKENS = np.dtype("<u4")
 
@@ -50,6 +57,8 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # a task has one core; threads of the library's own would only take turns on it
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.forget()
 
@@ -57,28 +66,72 @@ class Encoder:
         self.known: dict[str, int] = {}
         self.flat, self.ends = np.zeros(0, np.uint16), np.zeros(1, np.int64)
 
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and how many each word has.
+
+        Words go through the library by the hundred, a control string between them; those that
+        hold that string themselves go alone.
+        """
+        between = self.tokenizer.token_to_id(BETWEEN)
+        groups: list[list[str]] = [[]]
+        for word in words:
+            if BETWEEN in word:
+                groups += [[word], []]
+            else:
+                if len(groups[-1]) == WORDS_AT_ONCE:
+                    groups.append([])
+                groups[-1].append(word)
+        ids, sizes = [], []
+        for group in filter(None, groups):
+            (found,) = self.tokenizer.encode_batch_fast([BETWEEN.join(group)], add_special_tokens=False)
+            each = np.array(found.ids, np.uint16)
+            if BETWEEN in group[0]:
+                ids.append(each)
+                sizes.append([len(each)])
+            else:
+                at = np.flatnonzero(each == between)
+                ids.append(np.delete(each, at))
+                sizes.append(np.diff(at, prepend=-1, append=len(each)) - 1)
+        return np.concatenate(ids), np.concatenate(sizes)
+
     def run(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and how many each text has."""
-        listed = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        coded = listed.flatten().dictionary_encode()
-        names = coded.dictionary.to_pylist()
         if len(self.known) > REMEMBERED:
             self.forget()
-        new = [w for w in names if w not in self.known]
-        if new:
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-            ids = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.flat = np.concatenate([self.flat, np.fromiter((i for each in ids for i in each), np.uint16, sizes.sum())])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
-        own = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
-        word = own[coded.indices.to_numpy()] if len(names) else np.zeros(0, np.int64)
+        listed = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = listed.flatten().dictionary_encode()
+        stems, tails = _parted(coded.dictionary)
+        stems, tails = stems.dictionary_encode(), tails.dictionary_encode()
+        both = [self._numbers(x.dictionary.to_pylist())[x.indices.to_numpy()] for x in (stems, tails)]
+        word = np.stack(both, 1)[coded.indices.to_numpy()].reshape(-1)
         first, sizes = self.ends[word], self.ends[word + 1] - self.ends[word]
         stops = np.cumsum(sizes)
         ids = self.flat[np.arange(sizes.sum()) + np.repeat(first - (stops - sizes), sizes)]
-        owner = np.repeat(np.arange(len(texts)), pc.list_value_length(listed).to_numpy(zero_copy_only=False))
+        owner = np.repeat(np.arange(len(texts)), 2 * pc.list_value_length(listed).to_numpy(zero_copy_only=False))
         return ids, np.bincount(owner, sizes, len(texts)).astype(np.int64)
 
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """Numbers of words, whose ids are known afterwards."""
+        new = [w for w in words if w not in self.known]
+        if new:
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+            ids, sizes = self._encoded(new)
+            self.flat = np.concatenate([self.flat, ids])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
+
+def _parted(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Words as stems and what follows them, so that fewer have to be encoded.
+
+    The vocabulary cuts a full stop or comma from a letter or digit before it, and reads letters in
+    lower case; in a word of ASCII characters without control strings nothing else changes.
+    """
+    plain = pc.and_(pc.string_is_ascii(words), pc.invert(pc.match_substring(words, "<")))
+    words = pc.if_else(plain, pc.ascii_lower(words), words)
+    stems = pc.replace_substring_regex(words, TAIL, r"\1")
+    return stems, pc.if_else(pc.equal(words, stems), "", pc.utf8_slice_codeunits(words, -1))
+
 
 @functools.lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
@@ -141,7 +194,7 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         row = TaskContext.get().partitionId() << 40
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", AT_ONCE):
             ids, counts = encoder(path).run(part.column("text"))
             places = curve_places(ids, counts)
             stops = np.cumsum(counts)
@@ -187,7 +240,8 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
     null or empty text is its end id alone. An empty table has no pieces. Other columns are not
     read.
     """
-    placed = written(along_curve(tokenised(docs, path)), "packing-ranges")
+    # a table of its own, as finding the ranges reads it once more than sorting does
+    placed = written(along_curve(written(tokenised(docs, path), "packing-tokens")), "packing-ranges")
     # one row for each partition of the sort, however many documents there are
     totals = placed.groupBy("range").agg(F.max(F.col("before") + F.col("n")).alias("tokens"))
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)

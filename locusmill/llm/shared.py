@@ -74,13 +74,13 @@ def sampled(frame: DataFrame, group: str | None, most: int, key: str, salt: str)
     return frame.where(place < F.get(F.map_values(rates), F.lit(0)) if group is None else place < rates[name])
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Parts of the batches with about ``SLICE_BYTES`` of text, one row at least."""
+def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches with about ``most`` bytes of text, one row at least."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = held = 0
         for row, size in enumerate(sizes):
-            if held and held + size > SLICE_BYTES:
+            if held and held + size > most:
                 yield batch.slice(start, row - start)
                 start, held = row, 0
             held += size
