@@ -40,6 +40,8 @@ AT_ONCE = 1 << 20
 TAIL = "([0-9A-Za-zß-öø-ÿ])[.,]$"
 #: Fixed value: the vocabulary's control string that stands between words encoded at once.
 BETWEEN = "<|endoftext|>"
+#: Documents sampled to find a range's bounds, and documents in a range at least. Null ids are sorted as this.
+RANGE_SAMPLE, RANGE_ROWS, NO_ID = 100, 1_000, -(1 << 63)
 U64 = np.uint64
 TOKENS = np.dtype("<u4")
 
@@ -187,47 +189,86 @@ def curve_places(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return hilbert_keys(np.minimum((share * (1 << BITS)).astype(np.int64), (1 << BITS) - 1))
 
 
-def tokenised(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id, place, row, n, ids``: the ids and their end id as 16-bit numbers, the place on the
-    curve, and a number of the row, which spreads rows that are equal."""
-    schema = "doc_id long, place long, row long, n long, ids binary"
+KEYED = "place long, id long, row long"
+
+
+def _keyed(docs: DataFrame, path: str, schema: str, finish) -> DataFrame:
+    """Batches made by ``finish`` from rows, their ids and counts, and their keys: the place on the
+    curve, the document's id, and a number of the row, which tells rows apart that are equal."""
 
     def run(batches):
         row = TaskContext.get().partitionId() << 40
         for part in slices(batches, "text", AT_ONCE):
             ids, counts = encoder(path).run(part.column("text"))
-            places = curve_places(ids, counts)
-            stops = np.cumsum(counts)
-            closed = np.insert(ids, stops, END).astype("<u2")
-            ends = TOKENS_16 * (stops + np.arange(1, len(counts) + 1))
-            offsets = np.concatenate([[0], ends]).astype(np.int64)
-            data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(closed)])
-            yield batch(schema, part.column("doc_id"), places, np.arange(row, row + len(counts)), counts + 1, data)
+            names = pc.fill_null(part.column("doc_id").cast(pa.int64()), NO_ID).to_numpy()
+            keys = np.stack([curve_places(ids, counts), names, np.arange(row, row + len(counts))])
+            yield batch(schema, *finish(part, ids, counts, keys))
             row += len(counts)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def range_bounds(docs: DataFrame, path: str) -> np.ndarray:
+    """Keys between ranges of about equal numbers of documents, one column each.
+
+    They come from a sample of about ``RANGE_SAMPLE`` rows a range, and decide only which task
+    sorts a document: the order that the tasks make together does not depend on them.
+    """
+    n = docs.count()
+    ranges = max(1, min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // RANGE_ROWS))
+    sample = docs.where(F.rand(SEED) < min(1.0, ranges * RANGE_SAMPLE / max(1, n)))
+    found = _keyed(sample, path, KEYED, lambda part, ids, counts, keys: keys).toArrow()
+    keys = np.stack([found.column(c).to_numpy() for c in ("place", "id", "row")])
+    keys = keys[:, np.lexsort(keys[::-1])]
+    return keys[:, [keys.shape[1] * k // ranges for k in range(1, ranges)]] if keys.shape[1] else keys[:, :0]
+
+
+def ranges_of(keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """How many of the bounds are not above each key."""
+    both = np.concatenate([bounds, keys], 1)
+    bound = np.arange(both.shape[1]) < bounds.shape[1]
+    order = np.lexsort([~bound, *both[::-1]])
+    out = np.empty(both.shape[1], np.int64)
+    out[order] = np.cumsum(bound[order])
+    return out[bounds.shape[1] :]
+
+
+def tokenised(docs: DataFrame, path: str, bounds: np.ndarray) -> DataFrame:
+    """``doc_id, range, place, id, row, n, ids``: keys, and the ids with their end id as 16-bit numbers."""
+
+    def finish(part, ids, counts, keys):
+        stops = np.cumsum(counts)
+        closed = np.insert(ids, stops, END).astype("<u2")
+        ends = TOKENS_16 * (stops + np.arange(1, len(counts) + 1))
+        offsets = np.concatenate([[0], ends]).astype(np.int64)
+        data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(closed)])
+        return part.column("doc_id"), ranges_of(keys, bounds), *keys, counts + 1, data
+
+    return _keyed(docs, path, "doc_id long, range int, " + KEYED + ", n long, ids binary", finish)
+
+
 #: Bytes of an id while documents are sorted.
 TOKENS_16 = 2
 
 
-def along_curve(tokens: DataFrame) -> DataFrame:
+def along_curve(tokens: DataFrame, ranges: int) -> DataFrame:
     """``range, before, doc_id, n, ids`` in order of the curve; ``before`` counts the tokens before a
     document in its range. Ties are sorted by id and row, so that equal texts fill no range alone."""
     schema = "range int, before long, doc_id long, n long, ids binary"
 
     def run(batches):
-        number, before = TaskContext.get().partitionId(), 0
+        before: dict[int, int] = {}
         for part in batches:
-            sizes = part.column("n").to_numpy()
-            starts = before + np.cumsum(sizes) - sizes
-            before += int(sizes.sum())
-            yield batch(schema, np.full(len(part), number), starts, *(part.column(c) for c in ("doc_id", "n", "ids")))
+            number, sizes = part.column("range").to_numpy(), part.column("n").to_numpy()
+            starts = np.cumsum(sizes) - sizes
+            for k in np.unique(number).tolist():
+                own = number == k
+                starts[own] += before.get(k, 0) - starts[own][0]
+                before[k] = before.get(k, 0) + int(sizes[own].sum())
+            yield batch(schema, number, starts, *(part.column(c) for c in ("doc_id", "n", "ids")))
 
-    order = ["place", "doc_id", "row"]
-    ranges = tokens.repartitionByRange(*order).sortWithinPartitions(*order)
-    return ranges.mapInArrow(run, schema)
+    sorted_ = tokens.repartitionById(ranges, "range").sortWithinPartitions("range", "place", "id", "row")
+    return sorted_.select("range", "doc_id", "n", "ids").mapInArrow(run, schema)
 
 
 def pieces(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
@@ -240,9 +281,9 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
     null or empty text is its end id alone. An empty table has no pieces. Other columns are not
     read.
     """
-    # a table of its own, as finding the ranges reads it once more than sorting does
-    placed = written(along_curve(written(tokenised(docs, path), "packing-tokens")), "packing-ranges")
-    # one row for each partition of the sort, however many documents there are
+    bounds = range_bounds(docs, path)
+    placed = written(along_curve(tokenised(docs, path, bounds), bounds.shape[1] + 1), "packing-ranges")
+    # one row for each range, however many documents there are
     totals = placed.groupBy("range").agg(F.max(F.col("before") + F.col("n")).alias("tokens"))
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select(F.col("range"), F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))

@@ -66,12 +66,24 @@ def check(rows, docs, length):
     assert not held and sorted(got, key=str) == left
 
 
-def test_pieces_hold_every_id_once(spark):
+def test_ranges_are_divided_by_all_keys():
+    rng = np.random.default_rng(4)
+    keys, bounds = rng.integers(0, 3, (3, 200)), rng.integers(0, 3, (3, 7))
+    bounds = bounds[:, np.lexsort(bounds[::-1])]
+    want = [sum(tuple(b) <= tuple(k) for b in bounds.T) for k in keys.T]
+    assert packing.ranges_of(keys, bounds).tolist() == want
+    assert packing.ranges_of(keys, bounds[:, :0]).tolist() == [0] * 200
+
+
+@pytest.mark.parametrize("least", [1, 1000])
+def test_pieces_hold_every_id_once(spark, monkeypatch, least):
+    monkeypatch.setattr(packing, "RANGE_ROWS", least)
     docs = [(i, " ".join(f"word{i % 7} {k}" for k in range(i))) for i in range(60)] + [(70, None), (71, ""), (72, " \n")]
     docs += [(None, "no id"), (None, "no id"), (5, "a b"), (5, "a b"), (80, "long text " * 3000)] + [(90 + i, "copy of one") for i in range(50)]
     frame = spark.createDataFrame([(*d, 1, "x") for d in docs], "doc_id long, text string, start int, ids string").repartition(3)
     rows = packing.pieces(frame, PATH, 64)
     check(rows.collect(), docs, 64)
+    assert packing.range_bounds(frame, PATH).shape[1] == (3 if least == 1 else 0)
     whole = {r.sequence_id: r for r in packing.sequences(rows).collect()}
     assert all(len(r.ids) == 4 * r.length <= 256 and r.starts[0] == 0 for r in whole.values())
     assert packing.pieces(frame.limit(0), PATH).collect() == []
