@@ -20,8 +20,7 @@ from locusmill.operators import summary
 from locusmill.plans import cohort as cohort_plan
 from locusmill.plans import companions
 from locusmill.sinks import documents as D
-from locusmill.sources import tables, vcf
-from locusmill.sources.text import drop_lines
+from locusmill.sources import tables, text, vcf
 from locusmill.vocabulary import (
     CONSTRAINT_FIELDS,
     FILTERING_AF_FIELDS,
@@ -672,9 +671,11 @@ def denovo_union(spark, sf):
 # --- text sources
 
 
-def _call_set(spark, sf):
-    lines = drop_lines(V.vcf_lines(spark, sf), "MONOALLELIC")
-    return vcf.read_cohort(lines, V.vcf_header(spark, sf), build="38", skip_invalid_loci=True)
+def _call_set(spark, sf, **options):
+    """The call set read from text files."""
+    path = V.written_text(V.vcf_lines(spark, sf), "calls")
+    lines = text.read_lines(spark, path, drop_matching="MONOALLELIC")
+    return vcf.read_cohort(lines, vcf.read_header(spark, path), build="38", skip_invalid_loci=True, **options)
 
 
 @query
@@ -694,9 +695,7 @@ def vcf_roundtrip(spark, sf):
 
 @query
 def vcf_entries(spark, sf):
-    cohort = _call_set(spark, sf)
-    placed = cohort.sites.select("site_id", "contig", "position").join(cohort.entries, "site_id")
-    return placed.select(
+    return _call_set(spark, sf, carry=("contig", "position")).entries.select(
         "contig", "position", "s", G.format_call(F.col("GT")).alias("gt"),
         F.size("AD").alias("n_ad"),
         F.get("AD", F.lit(0)).alias("ad0"), F.get("AD", F.lit(1)).alias("ad1"), F.get("AD", F.lit(2)).alias("ad2"),
@@ -707,11 +706,9 @@ def vcf_entries(spark, sf):
 @query
 def vcf_call_stats(spark, sf):
     """Text to call statistics: parse, split, count; totals per contig."""
-    calls = _call_set(spark, sf)
-    entries = C.split_entries(calls.entries)
-    sites = C.split_sites(calls.sites).select(*KEYS, "contig")
+    entries = C.split_entries(_call_set(spark, sf, fields=("GT", "AD"), carry=("contig",)).entries)
     return (
-        sites.join(FQ.call_stats(entries, KEYS), KEYS)
+        FQ.call_stats(entries, [*KEYS, "contig"])
         .groupBy("contig")
         .agg(F.sum("AC").alias("ac"), F.sum("AN").alias("an"), F.sum("nhomalt").alias("nhom"), F.count(F.lit(1)).alias("n"))
     )
@@ -719,17 +716,17 @@ def vcf_call_stats(spark, sf):
 
 @query
 def vcf_samples(spark, sf):
-    return vcf.sample_rows(V.vcf_lines(spark, sf)).select(F.col("sample").cast("long").alias("sample"), "s")
+    """Samples of a call set whose header names a sample per nation."""
+    path = V.written_text(V.vcf_header(spark, sf, "nation", "n_nationkey").coalesce(1), "header")
+    return vcf.sample_rows(vcf.read_header(spark, path)).select(F.col("sample").cast("long").alias("sample"), "s")
 
 
 @query
 def contig_recoding(spark, sf):
-    return V.sites(spark, sf).select(
-        "site_id",
-        vcf.recode_contig(F.col("contig"), "37").alias("contig_37"),
-        vcf.recode_contig(identifiers.chromosome(F.col("contig")), "38").alias("contig_38"),
-        vcf.valid_locus(F.col("contig"), F.col("position") * 100_000, "38").alias("valid_38"),
-    )
+    """Names recoded and loci checked by a sequence dictionary."""
+    names = vcf.contig_names(vcf.sequence_dictionary(V.sequence_lines(spark, sf)))
+    rows = V.called_names(spark, sf).withColumn("named", F.col("contig"))
+    return vcf.recode_contigs(rows, names, "valid").select("site_id", "named", "contig", "valid")
 
 
 @query

@@ -79,16 +79,19 @@ def interval_coverage(intervals: DataFrame, width: int = INTERVAL_BIN) -> DataFr
 
 
 def within_intervals(sites: DataFrame, intervals: DataFrame, width: int = INTERVAL_BIN) -> DataFrame:
-    """Sites that lie in any interval.
+    """Sites that lie in any interval, with all their columns, whatever their names.
 
     An equi-join with at most one coverage row per site: no pairs of sites and intervals are
-    formed, and Spark may broadcast the coverage or split large keys of the site side.
+    formed. The coverage is sent to all tasks if it measures as small, so that wide rows are
+    filtered where they are read; otherwise Spark may split large keys of the site side.
     """
-    coverage = interval_coverage(intervals, width)
-    binned = sites.withColumn("bin", F.expr(f"cast(position as bigint) div {width}"))
-    joined = binned.join(coverage, ["contig", "bin"])
-    inside = F.exists("pieces", lambda p: F.col("position").between(p["start"], p["end"]))
-    return joined.where(inside).select(*sites.columns)
+    coverage = interval_coverage(intervals, width).select(
+        F.col("contig").alias("_covered_contig"), F.col("bin").alias("_covered_bin"), F.col("pieces").alias("_covered_pieces")
+    )
+    bin_ = F.expr(f"cast(position as bigint) div {width}")
+    joined = sites.join(broadcast_if_bounded(coverage), (F.col("contig") == F.col("_covered_contig")) & (bin_ == F.col("_covered_bin")))
+    inside = F.exists("_covered_pieces", lambda p: F.col("position").between(p["start"], p["end"]))
+    return joined.where(inside).drop("_covered_contig", "_covered_bin", "_covered_pieces")
 
 
 # Fixed value: a range is a contig, or contig:start-end with K or M for thousands or millions.

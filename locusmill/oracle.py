@@ -7,7 +7,6 @@ from locusmill.vocabulary import (
     AMINO_ACIDS,
     CONSEQUENCE_TERMS,
     CONSTRAINT_FIELDS,
-    CONTIG_LENGTHS,
     FILTERING_AF_FIELDS,
     FILTERING_AF_POPULATIONS,
     FREQUENCY_FIELDS,
@@ -516,7 +515,7 @@ VCF = f"""vcf AS (SELECT l_partkey AS key, CAST(floor(l_quantity) AS BIGINT) AS
 good AS (SELECT *, len(alleles) - 1 AS n_alts FROM vcf WHERE ep % 29 <> 0 AND q % 17 <> 0),
 sample_call AS (SELECT *, 'S' || i AS s, (q + i) % 10 = 0 AS only_gt,
   (ep + i) % 11 = 0 AS no_call, (ep + i) % 11 <> 0 AND (ep + i) % 13 = 0 AS hap, (ep + i) % (n_alts + 1) AS g0, (q + i) % 3 = 0 AS ph
-  FROM good, unnest(range(3)) AS t(i))"""
+  FROM good, (SELECT r_regionkey::BIGINT AS i FROM region))"""
 ORACLE["vcf_roundtrip"] = _with(VCF) + """
 SELECT contig, position, CASE WHEN q % 2 = 1 THEN 'rs' || key END AS rsid, array_to_string(alleles, ',') AS alleles,
   CASE WHEN q % 6 > 0 THEN CAST(q AS DOUBLE) END AS qual, CASE q % 4 WHEN 0 THEN '' WHEN 2 THEN 'q10' WHEN 3 THEN 'q10,s50' END AS filters,
@@ -528,11 +527,17 @@ SELECT contig, position, s, CASE WHEN no_call THEN NULL WHEN hap THEN CAST(g0 AS
   CASE WHEN NOT only_gt THEN q + ep % 50 END AS dp, CASE WHEN NOT only_gt THEN (ep + i) % 100 END AS gq FROM sample_call"""
 ORACLE["vcf_call_stats"] = _with(VCF, """coded AS (SELECT contig, CAST(NOT no_call AND g0 = a AS BIGINT) AS d0, CAST(NOT no_call AND NOT hap AND n_alts = a AS BIGINT) AS d1,
   CASE WHEN no_call THEN 0 WHEN hap THEN 1 ELSE 2 END AS ploidy FROM sample_call, unnest(range(1, n_alts + 1)) AS u(a) WHERE alleles[a + 1] <> '*')""") + """
-SELECT contig, CAST(sum(d0 + d1) AS BIGINT) AS ac, CAST(sum(ploidy) AS BIGINT) AS an, CAST(sum(d0 * d1) AS BIGINT) AS nhom, count(*) // 3 AS n FROM coded GROUP BY contig"""
-ORACLE["vcf_samples"] = "SELECT r_regionkey::BIGINT AS sample, 'S' || r_regionkey AS s FROM region WHERE r_regionkey < 3"
-_LENGTHS = "CASE contig " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in CONTIG_LENGTHS["38"].items()) + " END"
-ORACLE["contig_recoding"] = _with(SITE) + f"""
-SELECT site_id, regexp_replace(contig, '^chr', '') AS contig_37, contig AS contig_38, position * 100000 BETWEEN 1 AND {_LENGTHS} AS valid_38 FROM site"""
+SELECT contig, CAST(sum(d0 + d1) AS BIGINT) AS ac, CAST(sum(ploidy) AS BIGINT) AS an, CAST(sum(d0 * d1) AS BIGINT) AS nhom, count(*) // (SELECT count(*) FROM region) AS n FROM coded GROUP BY contig"""
+ORACLE["vcf_samples"] = "SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS sample, 'S' || n_nationkey AS s FROM nation"
+ORACLE["contig_recoding"] = f"""WITH sequence AS (
+  SELECT {_contig('n_nationkey')} AS contig, 1000000 + n_nationkey * 1000 AS length FROM nation WHERE n_nationkey < 24
+  UNION ALL SELECT 'chrUn_' || s_suppkey || 'v1', 5000 + s_suppkey FROM supplier
+), called AS (
+  SELECT p_partkey AS site_id, p_partkey * 37 % 1100000 AS position, CASE p_partkey % 4 WHEN 0 THEN {_contig('p_partkey')}
+    WHEN 1 THEN replace({_contig('p_partkey')}, 'chr', '') WHEN 2 THEN 'Un_' || (p_partkey % 150) || 'v1' ELSE 'chr99_X' || p_partkey || 'v1_alt' END AS named FROM part
+)
+SELECT site_id, named, coalesce(contig, named) AS contig, contig IS NOT NULL AND position BETWEEN 1 AND length AS valid
+FROM called LEFT JOIN sequence ON contig IN (named, 'chr' || named)"""
 ORACLE["release_dates"] = """SELECT 'file' || (p_partkey % 37) AS path,
   max(CASE WHEN p_size % 5 = 0 AND p_partkey % 37 % 4 > 0 THEN '2024-02-' || (p_partkey % 37 + 10) END) AS release_date FROM part GROUP BY 1"""
 ORACLE["impute_types"] = """SELECT l_orderkey AS key, l_partkey + 3000000000 AS large_key, CASE WHEN l_quantity > 5 THEN l_quantity END AS quantity,

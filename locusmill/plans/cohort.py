@@ -16,6 +16,7 @@ from locusmill.operators.lookups import (
     variant_lookup,
 )
 from locusmill.operators.reshape import search_row
+from locusmill.sinks.scratch import fresh_folder
 from locusmill.vocabulary import POPULATIONS
 
 KEYS = ["site_id", "a_index"]
@@ -109,8 +110,8 @@ def cohort_variants(
     """The whole product. ``sheet`` is ``s, pop, proband, sex``; ``requested`` lists samples to keep.
 
     ``pops`` names the population columns; by default those of the fixed list that the samples
-    have. With ``store`` the entries are written there once and read back, so that text input is
-    parsed once for both aggregations and a lost executor does not parse it again.
+    have. With ``store`` the entries are written once to a new folder there and read back, so that a
+    lost executor does not parse text input again.
     """
     if requested is not None:
         cohort = C.subset_cohort(cohort, requested)
@@ -120,8 +121,9 @@ def cohort_variants(
         pops = [pop for pop in POPULATIONS if pop in observed]
     entries = prepare_entries(C.Cohort(cohort.sites, cohort.entries, broadcast_if_bounded(samples)))
     if store is not None:
-        entries.write.mode("overwrite").parquet(f"{store}/entries")
-        entries = entries.sparkSession.read.parquet(f"{store}/entries")
+        folder = fresh_folder(entries.sparkSession, "entries", store)
+        entries.write.parquet(folder)
+        entries = entries.sparkSession.read.parquet(folder)
     counted = count_variants(cohort, entries, pops)
     annotated = counted.transform(annotate_reference, rsids, predictors).transform(annotate_consequences, vep)
     return annotated.transform(export_projection).transform(search_row)

@@ -2,39 +2,28 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RANGE_BYTES = 64 << 20
-_BATCH_BYTES = 4 << 20
-# Start of a block-gzip member, and the extra field that holds its size.
-_MAGIC = b"\x1f\x8b\x08\x04"
-_SIZE_FIELD = b"BC\x02\x00"
-_MAX_BLOCK = 1 << 16
+from locusmill.sources.ranges import RANGE_BYTES, LineRanges, top_lines
 
 
 def read_lines(
-    spark: SparkSession, path: str, block_gzip: bool = False, drop_matching: str | None = None
+    spark: SparkSession, path: str, block_gzip: bool = False, drop_matching: str | None = None, range_bytes: int = RANGE_BYTES
 ) -> DataFrame:
     """``value, path, line`` per line. Lines that match ``drop_matching`` go before any parsing.
 
-    ``line`` tells the lines of one reading apart. It is made where the line is read: from the
-    place in the scan, whose division into tasks is fixed with the frame, or in block-gzip files
-    from the byte range and the line's number in it. No shuffle lies below it.
-
-    Plain text is split by Spark; ``.gz`` takes one task per file. ``block_gzip`` reads
-    block-gzip files, whatever their suffix, in byte ranges over many tasks.
+    ``line`` is where the line begins in its file (see :mod:`locusmill.sources.ranges`): the same in
+    every reading. ``path`` may be a file, a folder or a pattern. Plain and block-gzip text is read
+    in ranges of ``range_bytes``; ``.gz`` takes one task per file, unless ``block_gzip`` says that
+    the files, whatever their suffix, are block-gzip.
     """
-    if block_gzip:
-        lines = _read_block_gzip(spark, path)
-    else:
-        lines = spark.read.text(path).select(
-            "value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("line")
-        )
+    spark.dataSource.register(LineRanges)
+    options = {"block_gzip": str(block_gzip).lower(), "range_bytes": str(range_bytes)}
+    lines = spark.read.format(LineRanges.name()).options(**options).load(path)
     return lines if drop_matching is None else drop_lines(lines, drop_matching)
 
 
@@ -43,122 +32,14 @@ def drop_lines(lines: DataFrame, pattern: str) -> DataFrame:
     return lines.where(~F.col("value").rlike(pattern))
 
 
-def _read_block_gzip(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    files = spark.read.format("binaryFile").load(path).select("path", "length").where("length > 0")
-    ranges = files.select(
-        "path", F.explode(F.expr(f"sequence(0L, length - 1, {range_bytes}L)")).alias("start")
-    ).withColumn("end", F.col("start") + range_bytes)
-    n_ranges = files.agg(F.sum(F.ceil(F.col("length") / range_bytes))).first()[0] or 1
-    return ranges.repartition(int(n_ranges)).mapInPandas(_read_ranges, "value string, path string, line long")
-
-
-def _read_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for row in batch.itertuples(index=False):
-            filesystem, name = _opened(row.path)
-            with filesystem.open_input_file(name) as source:
-                number = int(row.start) // int(row.end - row.start) << 40
-                for lines in _lines_of_range(source, int(row.start), int(row.end)):
-                    yield pd.DataFrame({"value": lines, "path": row.path, "line": range(number, number + len(lines))})
-                    number += len(lines)
-
-
 def header_lines(block_gzip: bool):
-    """A function for mapInPandas over ``path`` rows: the ``#`` lines at the top of each file."""
+    """A function for mapInArrow over ``path`` rows: the ``#`` lines at the top of each file."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch["path"]:
-                top = list(_top_lines(path, block_gzip))
-                yield pd.DataFrame({"value": top, "path": path, "line": range(len(top))})
+            for path in batch.column("path").to_pylist():
+                top = list(top_lines(path, block_gzip))
+                columns = [pa.array(top, pa.string()), pa.array([path] * len(top), pa.string()), pa.array(range(len(top)), pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, names=["value", "path", "line"])
 
     return read
-
-
-def _opened(uri: str):
-    """File system and path of a URI; pyarrow knows some stores by other schemes than Spark."""
-    from pyarrow import fs
-
-    scheme, colon, rest = uri.partition(":")
-    return fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3", "abfss": "abfs"}.get(scheme, scheme) + colon + rest)
-
-
-def _top_lines(path: str, block_gzip: bool) -> Iterator[str]:
-    filesystem, name = _opened(path)
-    compressed = "gzip" if block_gzip or path.endswith((".gz", ".bgz")) else None
-    with filesystem.open_input_stream(name, compression=compressed, buffer_size=_MAX_BLOCK) as source:
-        pending = b""
-        while chunk := source.read(_MAX_BLOCK):
-            *complete, pending = (pending + chunk).split(b"\n")
-            for line in complete:
-                if line and not line.startswith(b"#"):
-                    return
-                yield line.decode().rstrip("\r")
-        if pending.startswith(b"#"):
-            yield pending.decode().rstrip("\r")
-
-
-def _blocks(source, start: int) -> Iterator[tuple[int, bytes]]:
-    """Offset and content of every block that begins at or after ``start``."""
-    size = source.size()
-    offset = _first_block(source, start, size)
-    while offset is not None and offset < size:
-        length = _block_length(source.read_at(18, offset)) if offset + 18 <= size else None
-        if length is None:
-            raise ValueError(f"not a block-gzip member at byte {offset}")
-        yield offset, zlib.decompress(source.read_at(length, offset), 31)
-        offset += length
-
-
-def _block_length(header: bytes) -> int | None:
-    if len(header) < 18 or header[:4] != _MAGIC or header[12:16] != _SIZE_FIELD:
-        return None
-    return int.from_bytes(header[16:18], "little") + 1
-
-
-def _first_block(source, start: int, size: int) -> int | None:
-    """The first true member: its size must lead to another member or to the end."""
-    if start == 0:
-        return 0
-    window = source.read_at(min(2 * _MAX_BLOCK + 36, size - start), start)
-    at = window.find(_MAGIC)
-    while 0 <= at < _MAX_BLOCK:
-        length = _block_length(window[at : at + 18])
-        if length is not None:
-            following = start + at + length
-            if following == size or window[at + length : at + length + 4] == _MAGIC:
-                return start + at
-        at = window.find(_MAGIC, at + 1)
-    return None
-
-
-def _lines_of_range(source, start: int, end: int) -> Iterator[list[str]]:
-    """Lines owned by a byte range.
-
-    Every range but the first leaves out text up to its first newline, and every range reads on
-    past its end up to the next newline; so each line is read exactly once.
-    """
-    skipping = start > 0
-    pending = b""
-    for offset, text in _blocks(source, start):
-        past_end = offset >= end
-        if past_end and skipping:
-            return
-        if skipping:
-            _, newline, text = text.partition(b"\n")
-            if not newline:
-                continue
-            skipping = False
-        if past_end:
-            rest, newline, _ = text.partition(b"\n")
-            pending += rest
-            if newline:
-                break
-            continue
-        pending += text
-        if len(pending) >= _BATCH_BYTES and b"\n" in pending:
-            complete, _, pending = pending.rpartition(b"\n")
-            yield [line.rstrip("\r") for line in complete.decode().split("\n")]
-    if pending:
-        lines = pending.decode().split("\n")
-        yield [line.rstrip("\r") for line in (lines[:-1] if lines[-1] == "" else lines)]

@@ -7,21 +7,16 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusmill.functions.basics import computed_once, let, literal_map
+from locusmill.functions.basics import computed_once, let
 from locusmill.functions.genotypes import parse_call
 from locusmill.operators.cohort import Cohort
-from locusmill.operators.lookups import broadcast_if_bounded
+from locusmill.operators.lookups import broadcast_if_bounded, within_intervals
 from locusmill.sources.text import header_lines
 from locusmill.vocabulary import CONTIG_LENGTHS
 
 FIXED_COLUMNS = 9
 ENTRY_FIELDS = ("GT", "AD", "DP", "GQ", "PL")
 # INFO types and the Spark types they become.
-# Forms of the names of contigs that are no chromosomes.
-OTHER_CONTIGS = {
-    "37": r"^(GL\d{6}\.\d|NC_\d{6}|hs37d5)$",
-    "38": r"^(chr(\w{1,2}|Un)_[A-Z0-9]+v\d+(_random|_alt|_decoy|_fix)?|chrEBV|HLA-.+)$",
-}
 INFO_TYPES = {"Integer": "int", "Float": "double", "String": "string", "Character": "string", "Flag": "boolean"}
 
 
@@ -44,7 +39,7 @@ def read_header(spark: SparkSession, path: str, block_gzip: bool = False) -> Dat
     differ are all seen.
     """
     files = spark.read.format("binaryFile").load(path).select("path").where("length > 0")
-    return files.repartition("path").mapInPandas(header_lines(block_gzip), "value string, path string, line int")
+    return files.repartition("path").mapInArrow(header_lines(block_gzip), "value string, path string, line int")
 
 
 def info_types(lines: DataFrame) -> dict[str, str]:
@@ -89,80 +84,90 @@ def info_struct(info: Column, types: dict[str, str]) -> Column:
     return let(F.map_from_entries(first), fields)
 
 
-def check_build(build: str | None) -> None:
-    if build is not None and build not in CONTIG_LENGTHS:
+def check_build(build: str) -> None:
+    if build not in CONTIG_LENGTHS:
         raise ValueError(f"unknown genome build {build}; known are {', '.join(CONTIG_LENGTHS)}")
 
 
-def contig_lengths(header: DataFrame) -> dict[str, int]:
-    """Contig -> length, from the ``##contig`` lines of all files: one row a contig."""
-    lines = header.where(F.startswith("value", F.lit("##contig="))).select("value").distinct()
-    found = lines.select(
-        F.regexp_extract("value", r"[<,]ID=([^,>]+)", 1).alias("contig"),
-        F.regexp_extract("value", r"[<,]length=(\d+)", 1).try_cast("int").alias("length"),
-    )
-    return {r.contig: r.length for r in found.where("length IS NOT NULL").collect()}
+def sequence_dictionary(lines: DataFrame) -> DataFrame:
+    """``contig, length`` of the sequences named by lines of a ``.dict``, a ``.fai`` or a VCF header.
 
+    Other lines are skipped. A sequence that is named again with the same length counts once;
+    evaluating the result fails where lengths differ.
+    """
+    forms = (
+        (r"^@SQ\t(?:.*\t)?SN:([^\t]+)", r"\tLN:(\d+)"),
+        (r"^##contig=.*[<,]ID=([^,>]+)", r"^##contig=.*[<,]length=(\d+)"),
+        (r"^([^\t#@]+)\t\d+\t\d+\t\d+\t\d+$", r"^[^\t#@]+\t(\d+)\t\d+\t\d+\t\d+$"),
+    )
+    first = lambda k: F.coalesce(*[F.nullif(F.regexp_extract("value", f[k], 1), F.lit("")) for f in forms])
+    named = lines.select(first(0).alias("contig"), first(1).try_cast("int").alias("length")).where("contig IS NOT NULL")
+    clash = F.raise_error(F.concat(F.lit("sequence with several lengths: "), F.col("contig")))
+    return named.groupBy("contig").agg(F.min("length").alias("least"), F.max("length").alias("length")).select(
+        "contig", F.when(F.col("least").eqNullSafe(F.col("length")), F.col("length")).otherwise(clash).alias("length")
+    )
 
-def recode_contig(contig: Column, build: str) -> Column:
-    """Add or remove ``chr`` so that the contig matches the build; other names stay.
 
-    Build 38 names all contigs with ``chr``. On build 37 the prefix goes, also from the names of
-    contigs that are no chromosomes.
-    """
+def build_dictionary(spark: SparkSession, build: str) -> DataFrame:
+    """The chromosomes of a build, for call sets that come without a dictionary."""
     check_build(build)
-    if build == "37":
-        plain = F.when(contig == "chrM", "MT").when(F.startswith(contig, F.lit("chr")), F.substr(contig, F.lit(4)))
-        return F.coalesce(plain, contig)
-    names = CONTIG_LENGTHS[build]
-    other = {name.removeprefix("chr"): name for name in names} | {"MT": "chrM"}
-    return F.coalesce(literal_map(other)[contig], contig)
+    return spark.createDataFrame(list(CONTIG_LENGTHS[build].items()), "contig string, length int")
 
 
-def valid_locus(contig: Column, position: Column, build: str, lengths: dict[str, int] | None = None) -> Column:
-    """Whether the locus can lie on a contig of the build.
+def contig_names(dictionary: DataFrame) -> DataFrame:
+    """``name, contig, length``: what call sets may call each sequence of the dictionary.
 
-    The lengths of chromosomes are known, and those that ``lengths`` names (see
-    :func:`contig_lengths`). A contig of another name is an alternate, unplaced or decoy one if it
-    has the form of the build's names for these; its position must then be positive.
+    A sequence has its own name, and the one without ``chr`` if it has that, or else with it. Where
+    such a name is another sequence's own one, it means that other one.
     """
-    check_build(build)
-    known = CONTIG_LENGTHS[build] | (lengths or {})
-    length = literal_map(known)[contig]
-    inside = F.when(length.isNotNull(), position.between(F.lit(1), length)).otherwise(
-        contig.rlike(OTHER_CONTIGS[build]) & (position >= 1)
+    contig = F.col("contig")
+    other = F.when(F.contains(contig, F.lit("chr")), F.replace(contig, F.lit("chr"), F.lit(""))).otherwise(F.concat(F.lit("chr"), contig))
+    names = dictionary.select(
+        contig, "length", F.explode(F.array(F.struct(contig.alias("name"), F.lit(0).alias("rank")), F.struct(other.alias("name"), F.lit(1).alias("rank")))).alias("n")
     )
-    return F.coalesce(inside, F.lit(False))
+    chosen = F.min_by(F.struct("contig", "length"), F.struct("n.rank", "contig")).alias("found")
+    return names.groupBy(F.col("n.name").alias("name")).agg(chosen).select("name", "found.contig", "found.length")
 
 
-def parse_records(
-    lines: DataFrame,
-    build: str | None = None,
-    skip_invalid_loci: bool = False,
-    lengths: dict[str, int] | None = None,
-) -> DataFrame:
+def recode_contigs(rows: DataFrame, names: DataFrame, valid: str | None = None) -> DataFrame:
+    """Rows with ``contig`` as the dictionary spells it; names that it lacks stay.
+
+    With ``valid``, a column of that name says whether the row's ``position`` lies on a sequence of
+    the dictionary. A sequence without a length has no end. The names are sent to all tasks if
+    they measure as few, and joined otherwise.
+    """
+    known = names.select(F.col("name").alias("_name"), F.col("contig").alias("_contig"), F.col("length").alias("_length"))
+    joined = rows.join(broadcast_if_bounded(known), F.col("contig") == F.col("_name"), "left")
+    if valid is not None:
+        inside = (F.col("position") >= 1) & (F.col("_length").isNull() | (F.col("position") <= F.col("_length")))
+        joined = joined.withColumn(valid, F.coalesce(F.col("_contig").isNotNull() & inside, F.lit(False)))
+    return joined.withColumn("contig", F.coalesce("_contig", "contig")).drop("_name", "_contig", "_length")
+
+
+def parse_records(lines: DataFrame, names: DataFrame | None = None, skip_invalid_loci: bool = False) -> DataFrame:
     """One row per data line with its columns still as text, the genotypes as one string.
 
-    ``site_id`` is a hash of the line and its path, with the ``line`` number that readers make
-    where they read (see :func:`locusmill.sources.text.read_lines`). It is the same in every
-    evaluation and after every retry, in whatever order partitions arrive. Lines without a number
-    have a second hash instead; of these, equal lines of one path share an id.
+    ``site_id`` is the line's file, hashed, and its place there (``path`` and ``line`` of
+    :func:`locusmill.sources.text.read_lines`), so every reading gives a line the same id. Lines
+    without a place have two hashes of their text instead; of these, equal lines of one path share
+    an id. ``names`` (see :func:`contig_names`) recodes the contigs; with ``skip_invalid_loci``,
+    lines whose locus lies on none of them go.
     """
-    check_build(build)
+    if skip_invalid_loci and names is None:
+        raise ValueError("loci can be checked only against the names of contigs")
     data = lines.where(~F.startswith("value", F.lit("#")) & (F.col("value") != ""))
-    place = ["path"] if "path" in lines.columns else []
-    number = F.col("line") if "line" in lines.columns else F.hex(F.xxhash64(F.lit("second"), "value", *place))
-    named = data.select(
-        F.concat_ws("-", F.hex(F.xxhash64("value", *place)), number).alias("site_id"),
-        F.split("value", "\t", FIXED_COLUMNS + 1).alias("c"),
-    )
+    path = ["path"] if "path" in lines.columns else []
+    if path and "line" in lines.columns:
+        site_id = F.concat_ws("-", F.hex(F.xxhash64("path")), "line")
+    else:
+        site_id = F.concat_ws("-", F.hex(F.xxhash64("value", *path)), F.hex(F.xxhash64(F.lit("second"), "value", *path)))
+    named = data.select(site_id.alias("site_id"), F.split("value", "\t", FIXED_COLUMNS + 1).alias("c"))
     # filters on the columns below would otherwise each split the line again
     split = computed_once(named, "c")
     column = lambda i: F.get("c", F.lit(i))
-    contig = column(0) if build is None else recode_contig(column(0), build)
     records = split.select(
         "site_id",
-        contig.alias("contig"),
+        column(0).alias("contig"),
         column(1).try_cast("int").alias("position"),
         _present(column(2)).alias("rsid"),
         F.concat(F.array(column(3)), F.coalesce(F.split(_present(column(4)), ","), F.array())).alias("alleles"),
@@ -174,11 +179,10 @@ def parse_records(
         column(8).alias("format_text"),
         column(FIXED_COLUMNS).alias("calls_text"),
     )
-    if skip_invalid_loci:
-        if build is None:
-            raise ValueError("loci can be checked only against a build")
-        records = records.where(valid_locus(F.col("contig"), F.col("position"), build, lengths))
-    return records
+    if names is None:
+        return records
+    recoded = recode_contigs(records, names, "_valid" if skip_invalid_loci else None)
+    return recoded.where("_valid").drop("_valid") if skip_invalid_loci else recoded
 
 
 def malformed_lines(lines: DataFrame) -> DataFrame:
@@ -198,23 +202,23 @@ def site_rows(records: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def entry_rows(
-    records: DataFrame, fields: tuple[str, ...] = ENTRY_FIELDS, samples: list[int] | None = None
+    records: DataFrame, fields: tuple[str, ...] = ENTRY_FIELDS, samples: list[int] | None = None, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """One row per site and sample number. Field places are looked up once per line.
 
     ``samples`` names the numbers to read; the others are dropped before a row is made of them.
+    ``carry`` names columns of the records that entries take along, which saves joining the sites.
     """
     names = F.split("format_text", ":")
     places = [(F.array_position(names, name) - 1).cast("int").alias(f"_{name}") for name in fields]
-    calls = F.split("calls_text", "\t")
+    calls, kept = F.split("calls_text", "\t"), ["site_id", "alleles", *carry]
     if samples is None:
-        placed = F.posexplode(calls)
-        numbered = records.select("site_id", "alleles", *places, placed.alias("sample", "call"))
+        numbered = records.select(*kept, *places, F.posexplode(calls).alias("sample", "call"))
     else:
         wanted = F.array(*[F.lit(i) for i in samples]).cast("array<int>")
         chosen = let(calls, lambda c: F.transform(wanted, lambda i: F.struct(i.alias("sample"), F.get(c, i).alias("call"))))
-        numbered = records.select("site_id", "alleles", *places, F.explode(chosen).alias("e")).select(
-            "site_id", "alleles", *[f"_{name}" for name in fields], "e.sample", "e.call"
+        numbered = records.select(*kept, *places, F.explode(chosen).alias("e")).select(
+            *kept, *[f"_{name}" for name in fields], "e.sample", "e.call"
         )
     parts = numbered.withColumn("parts", F.split("call", ":"))
 
@@ -229,7 +233,7 @@ def entry_rows(
         "PL": lambda t: _listed(t, "int"),
     }
     # a field that the line's format lacks has place -1, for which get gives NULL
-    return parts.select("site_id", "alleles", "sample", *[parsers[f](text(f)).alias(f) for f in fields])
+    return parts.select(*kept, "sample", *[parsers[f](text(f)).alias(f) for f in fields])
 
 
 def sample_rows(header: DataFrame) -> DataFrame:
@@ -251,6 +255,21 @@ def sample_rows(header: DataFrame) -> DataFrame:
     )
 
 
+def _names(lines: DataFrame, build: str | None, dictionary: DataFrame | None) -> DataFrame | None:
+    if dictionary is None:
+        return None if build is None else contig_names(build_dictionary(lines.sparkSession, build))
+    return contig_names(dictionary)
+
+
+def requested_numbers(samples: DataFrame, requested: DataFrame) -> list[int]:
+    """Numbers of the requested samples in the call set's lines, in order.
+
+    The driver gets one number for each requested sample that the call set has.
+    """
+    found = samples.join(broadcast_if_bounded(requested.select("s").distinct()), "s", "left_semi")
+    return sorted(r.sample for r in found.select("sample").collect())
+
+
 def read_cohort(
     lines: DataFrame,
     header: DataFrame | None = None,
@@ -258,33 +277,64 @@ def read_cohort(
     types: dict[str, str] | None = None,
     skip_invalid_loci: bool = False,
     fields: tuple[str, ...] = ENTRY_FIELDS,
+    dictionary: DataFrame | None = None,
+    intervals: DataFrame | None = None,
+    requested: DataFrame | None = None,
+    carry: tuple[str, ...] = (),
 ) -> Cohort:
     """Sites, entries and samples of VCF lines.
 
     ``header`` (see :func:`read_header`) saves a pass over all lines for sample names and INFO
-    types; ``types`` names the INFO fields to read.
+    types; ``types`` names the INFO fields to read. Contigs are recoded to the names of
+    ``dictionary`` (see :func:`sequence_dictionary`), or of the chromosomes of ``build``.
+
+    ``intervals`` and ``requested`` (samples, by ``s``) filter lines before any genotype is made a
+    row: a line outside of the intervals goes whole, of the others only the requested samples'
+    columns are read, and sites stay where one of these carries an alternate. ``carry`` is what
+    entries take along from the sites.
     """
     header = lines if header is None else header
-    lengths = contig_lengths(header) if skip_invalid_loci else None
-    records = parse_records(lines, build, skip_invalid_loci, lengths)
+    records = parse_records(lines, _names(lines, build, dictionary), skip_invalid_loci)
+    if intervals is not None:
+        records = within_intervals(records, intervals)
+    samples, numbers = sample_rows(header), None
+    if requested is not None:
+        numbers = requested_numbers(samples, requested)
+        samples = samples.where(F.col("sample").isin(numbers))
+        records = records.where(carried(numbers))
     types = info_types(header) if types is None else types
-    samples = sample_rows(header)
-    entries = entry_rows(records, fields).join(broadcast_if_bounded(samples), "sample").drop("sample")
+    entries = entry_rows(records, fields, numbers, carry).join(broadcast_if_bounded(samples), "sample").drop("sample")
     return Cohort(site_rows(records, types), entries, samples.select("s"))
 
 
+def carried(samples: list[int]) -> Column:
+    """Whether one of the numbered samples of a line has an alternate in its call.
+
+    Reads each genotype's text, in the line: the call is its part at the place that the line's
+    format gives. A call without any missing allele and with a number other than 0 counts.
+    """
+    place = F.array_position(F.split("format_text", ":"), "GT").cast("int")
+    wanted = F.array(*[F.lit(i) for i in samples]).cast("array<int>")
+    call = lambda text: F.try_element_at(F.split(text, ":"), place)
+    carries = let(
+        F.split("calls_text", "\t"),
+        lambda c: F.exists(wanted, lambda i: F.coalesce(call(F.get(c, i)).rlike(r"^(0*[1-9]\d*([/|]\d+)?|\d+[/|]0*[1-9]\d*)$"), F.lit(False))),
+    )
+    return F.when(place > 0, carries).otherwise(F.lit(False))
+
+
 def read_sites(
     lines: DataFrame,
     header: DataFrame | None = None,
     build: str | None = None,
     types: dict[str, str] | None = None,
     skip_invalid_loci: bool = False,
+    dictionary: DataFrame | None = None,
 ) -> DataFrame:
     """Sites alone: genotype text stays one string, which is not read."""
     header = lines if header is None else header
     types = info_types(header) if types is None else types
-    lengths = contig_lengths(header) if skip_invalid_loci else None
-    return site_rows(parse_records(lines, build, skip_invalid_loci, lengths), types)
+    return site_rows(parse_records(lines, _names(lines, build, dictionary), skip_invalid_loci), types)
 
 
 def release_dates(header: DataFrame) -> DataFrame:

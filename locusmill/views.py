@@ -14,6 +14,7 @@ from locusmill.functions import alleles as A
 from locusmill.functions import genotypes as G
 from locusmill.functions.basics import computed_once
 from locusmill.operators.cohort import Cohort
+from locusmill.sinks.scratch import fresh_folder
 from locusmill.vocabulary import CONSEQUENCE_TERMS, POPULATIONS
 
 # Allele lists by kind of site.
@@ -338,25 +339,31 @@ VCF_HEADER = [
     '##INFO=<ID=DP,Number=1,Type=Integer,Description="depth">',
     '##INFO=<ID=AF,Number=A,Type=Float,Description="frequencies">',
     '##INFO=<ID=DB,Number=0,Type=Flag,Description="known">',
-    "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS0\tS1\tS2",
 ]
+VCF_COLUMNS = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT"
 
 
-def vcf_header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Header lines, from one row of ``region``."""
-    return table(spark, sf_dir, "region").where("r_regionkey = 0").select(
-        F.explode(_strings(VCF_HEADER)).alias("value"), F.lit("header").alias("path")
-    )
+def _sample_numbers(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """One row: the numbers of the call set's samples, in order, from the keys of a small table."""
+    return table(spark, sf_dir, name).agg(F.array_sort(F.collect_list(F.col(key).cast("int"))).alias("numbers"))
+
+
+def vcf_header(spark: SparkSession, sf_dir: str, name: str = "region", key: str = "r_regionkey") -> DataFrame:
+    """Header lines of a call set whose samples are the rows of a small table."""
+    named = F.transform("numbers", lambda i: F.concat(F.lit("S"), i.cast("string")))
+    columns = F.array_join(F.concat(F.array(F.lit(VCF_COLUMNS)), named), "\t")
+    lines = F.concat(_strings(VCF_HEADER), F.array(columns))
+    return _sample_numbers(spark, sf_dir, name, key).select(F.explode(lines).alias("value"), F.lit("header").alias("path"))
 
 
 def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VCF text: the header, and one data line with three samples per order line, which names its path."""
+    """VCF text: the header, and a data line per order line with a sample per region."""
     key, q, ep = F.col("l_partkey"), F.floor("l_quantity"), F.floor("l_extendedprice")
     text = lambda c: c.cast("string")
     alleles = _one_of(KINDS, q)
     n_alts = F.size(alleles) - 1
 
-    def sample(i: int) -> Column:
+    def sample(i: Column) -> Column:
         first = text((ep + i) % (n_alts + 1))
         gt = F.when((ep + i) % 11 == 0, "./.").when((ep + i) % 13 == 0, first).otherwise(
             F.concat(first, F.when((q + i) % 3 == 0, "|").otherwise("/"), text(n_alts))
@@ -374,6 +381,10 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_replace(contig_of(key), "chr", "")
     )
     lines = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"))
+    # the one row of sample numbers goes to all tasks
+    lines = lines.withColumn("one", F.lit(1)).join(
+        F.broadcast(_sample_numbers(spark, sf_dir, "region", "r_regionkey").withColumn("one", F.lit(1))), "one"
+    )
     data = lines.select(
         F.concat_ws(
             "\t",
@@ -386,8 +397,36 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             filters,
             F.when(q % 17 == 0, F.concat(info, F.lit(";MONOALLELIC"))).otherwise(info),
             F.lit("GT:AD:DP:GQ"),
-            *[sample(i) for i in range(3)],
+            F.array_join(F.transform("numbers", sample), "\t"),
         ).alias("value"),
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("path"),
     )
     return vcf_header(spark, sf_dir).union(computed_once(data, "value"))
+
+
+def written_text(lines: DataFrame, label: str) -> str:
+    """The lines as text files in a folder of their own; its path."""
+    folder = fresh_folder(lines.sparkSession, label)
+    lines.select("value").write.text(folder)
+    return folder
+
+
+def sequence_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sequence dictionary: a chromosome per nation below 24, and an unplaced sequence per supplier."""
+    line = lambda name, length: F.concat(F.lit("@SQ\tSN:"), name, F.lit("\tLN:"), length.cast("string"), F.lit("\tM5:x")).alias("value")
+    nation, supplier = F.col("n_nationkey"), F.col("s_suppkey")
+    chromosomes = table(spark, sf_dir, "nation").where(nation < 24).select(line(contig_of(nation), 1_000_000 + nation * 1000))
+    unplaced = table(spark, sf_dir, "supplier").select(line(F.concat(F.lit("chrUn_"), supplier, F.lit("v1")), 5000 + supplier))
+    return chromosomes.union(unplaced)
+
+
+def called_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loci as call sets name them: with and without ``chr``, unplaced, and made up."""
+    key = F.col("p_partkey")
+    name = (
+        F.when(key % 4 == 0, contig_of(key))
+        .when(key % 4 == 1, F.replace(contig_of(key), F.lit("chr"), F.lit("")))
+        .when(key % 4 == 2, F.concat(F.lit("Un_"), (key % 150).cast("string"), F.lit("v1")))
+        .otherwise(F.concat(F.lit("chr99_X"), key.cast("string"), F.lit("v1_alt")))
+    )
+    return table(spark, sf_dir, "part").select(key.alias("site_id"), name.alias("contig"), (key * 37 % 1_100_000).cast("int").alias("position"))

@@ -1,5 +1,6 @@
 import gzip
 import random
+import re
 import struct
 import zlib
 
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from locusmill.functions.genotypes import format_call
+from locusmill.operators.cohort import Cohort, subset_cohort
 from locusmill.operators.lookups import in_range, within_intervals
 from locusmill.sources import tables, text, vcf
 
@@ -81,12 +83,37 @@ def test_differing_headers_are_an_error(spark, tmp_path):
         vcf.sample_rows(lines).collect()
 
 
-def test_contig_recoding(evaluate):
-    found = evaluate(*[vcf.recode_contig(F.lit(c), b) for c, b in
-                       (("1", "38"), ("chr1", "38"), ("chrX", "37"), ("X", "37"), ("odd", "38"))])
-    assert found == ("chr1", "chr1", "X", "X", "odd")
-    assert evaluate(vcf.valid_locus(F.lit("chrM"), F.lit(16569), "38"), vcf.valid_locus(F.lit("chrM"), F.lit(16570), "38"),
-                    vcf.valid_locus(F.lit("odd"), F.lit(1), "38")) == (True, False, False)
+DICTIONARY = [
+    "@HD\tVN:1.6", "@SQ\tSN:chr1\tLN:1000", "@SQ\tAS:x\tSN:chr1_KI270706v1_random\tLN:500\tM5:y", "chrM\t16569\t5\t60\t61",
+    "##contig=<ID=HLA-A*01:01:01:01,length=300>", "##contig=<assembly=b,ID=chrEBV>", "#CHROM\tPOS", "chr1\t5\t.\tA\tT", "@SQ\tSN:chr1\tLN:1000",
+]
+
+
+def test_contigs_by_dictionary(spark):
+    dictionary = vcf.sequence_dictionary(spark.createDataFrame([(x,) for x in DICTIONARY], "value string"))
+    found = {r.contig: r.length for r in dictionary.collect()}
+    assert found == {"chr1": 1000, "chr1_KI270706v1_random": 500, "chrM": 16569, "HLA-A*01:01:01:01": 300, "chrEBV": None}
+    asked = [
+        ("1", 1000, "chr1", True), ("chr1", 1001, "chr1", False), ("chr1", 0, "chr1", False), ("1_KI270706v1_random", 500, "chr1_KI270706v1_random", True),
+        ("chr99_X1v1_alt", 5, "chr99_X1v1_alt", False), ("M", 16569, "chrM", True), ("MT", 1, "MT", False), ("EBV", 10**9, "chrEBV", True),
+        ("chrHLA-A*01:01:01:01", 300, "HLA-A*01:01:01:01", True), (None, 5, None, False), ("chr1", None, "chr1", False),
+    ]
+    rows = spark.createDataFrame([(i, *a[:2], "x") for i, a in enumerate(asked)], "i int, contig string, position int, name string")
+    got = vcf.recode_contigs(rows, vcf.contig_names(dictionary), "fits")
+    assert got.columns == ["i", "contig", "position", "name", "fits"]
+    assert [tuple(r) for r in got.orderBy("i").select("contig", "fits").collect()] == [a[2:] for a in asked]
+    with pytest.raises(Exception, match="several lengths: chr1"):
+        vcf.sequence_dictionary(spark.createDataFrame([("@SQ\tSN:chr1\tLN:1",), ("chr1\t2\t0\t60\t61",)], "value string")).collect()
+
+
+def test_builds_without_a_dictionary(spark):
+    def names(build):
+        return {r.name: r.contig for r in vcf.contig_names(vcf.build_dictionary(spark, build)).collect()}
+
+    assert names("38")["1"] == "chr1" and names("38")["M"] == "chrM" and "MT" not in names("38")
+    assert names("37")["chrX"] == "X" and names("37")["chrMT"] == "MT" and "chrM" not in names("37")
+    with pytest.raises(ValueError, match="build"):
+        vcf.build_dictionary(spark, "19")
 
 
 def test_release_dates(spark, tmp_path):
@@ -113,7 +140,7 @@ def test_block_gzip_ranges_read_every_line_once(spark, tmp_path, block_size, ran
     content = ("\n".join(lines) + "\n").encode()
     path = tmp_path / "x.vcf.bgz"
     path.write_bytes(b"".join(block(content[i : i + block_size]) for i in range(0, len(content), block_size)) + block(b""))
-    found = text._read_block_gzip(spark, str(path), range_bytes)
+    found = text.read_lines(spark, str(path), block_gzip=True, range_bytes=range_bytes)
     assert sorted(r.value for r in found.collect()) == sorted(lines)
 
 
@@ -188,6 +215,18 @@ def test_vep_schema_reads_annotator_lines(spark):
     assert row.vep.transcript_consequences[0].sift_score == 0.5 and row.vep.colocated_variants[0].pubmed == [1]
 
 
+def nodes_above(plan, leaf):
+    """Names of the nodes between the root of a plan and its one leaf of a name."""
+    lines = [(re.search(r"[A-Za-z]", line).start(), line) for line in plan.splitlines() if re.search(r"[A-Za-z]", line)]
+    (at,) = [i for i, (_, line) in enumerate(lines) if leaf in line]
+    depth, above = lines[at][0], []
+    for d, line in reversed(lines[:at]):
+        if d < depth:
+            depth = d
+            above.append(line[d:])
+    return above
+
+
 HEAD_A = ["##fileformat=VCFv4.2", '##INFO=<ID=DP,Number=1,Type=Integer,Description="d">', "##contig=<ID=chrUn_X1v1,length=500>"]
 COLUMNS = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t"
 
@@ -197,7 +236,8 @@ def test_headers_of_all_files(spark, tmp_path):
     more = '##INFO=<ID=XX,Number=0,Type=Flag,Description="x">'
     (tmp_path / "b.vcf").write_text("\n".join([*HEAD_A, more, COLUMNS + "S1\tS2", "chr1\t9\t.\tA\tT\t.\tPASS\tXX\tGT\t0/0\t0/1"]) + "\n")
     header = vcf.read_header(spark, str(tmp_path))
-    assert vcf.info_types(header) == {"DP": "int", "XX": "boolean"} and vcf.contig_lengths(header) == {"chrUn_X1v1": 500}
+    assert vcf.info_types(header) == {"DP": "int", "XX": "boolean"}
+    assert [tuple(r) for r in vcf.sequence_dictionary(header).collect()] == [("chrUn_X1v1", 500)]
     cohort = vcf.read_cohort(text.read_lines(spark, str(tmp_path)), header)
     placed = cohort.sites.join(cohort.entries, "site_id").where("GT.a1 = 1").select("position", "s")
     assert sorted(map(tuple, placed.collect())) == [(5, "S1"), (9, "S2")]
@@ -216,15 +256,27 @@ def test_site_ids_do_not_depend_on_the_order_of_partitions(spark):
     assert {(r.site_id, r.GT.a1) for r in entries.collect()} == {(i, p % 2) for p, i in found.items()}
 
 
-def test_contigs_of_a_build(evaluate):
-    valid = lambda c, p, b, **k: vcf.valid_locus(F.lit(c), F.lit(p), b, **k)
-    assert evaluate(
-        valid("chr1_KI270706v1_random", 100, "38"), valid("chrUn_GL000195v1", 1, "38"), valid("GL000192.1", 1, "37"),
-        valid("chrUn_GL000195v1", 600, "38", lengths={"chrUn_GL000195v1": 500}), valid("chr1_KI270706v1_random", 0, "38"),
-        vcf.recode_contig(F.lit("chrGL000192.1"), "37"), vcf.recode_contig(F.lit("chrM"), "37"), vcf.recode_contig(F.lit("MT"), "38"),
-    ) == (True, True, True, False, False, "GL000192.1", "MT", "chrM")
-    with pytest.raises(ValueError, match="build"):
-        vcf.recode_contig(F.lit("1"), "19")
+def test_lines_filtered_before_entries_equal_a_filtered_cohort(spark, tmp_path):
+    """Intervals and requested samples in the reader against the same on the whole cohort."""
+    draw = random.Random(2)
+    calls = ["0/0", "0|1", "1/1", "./.", "./1", ".", "1", "0", "2/0", "10/0", "00/0"]
+    lines = [
+        f"chr{draw.randint(1, 2)}\t{draw.randint(1, 500)}\t.\tA\tC,G\t.\tPASS\t.\t{draw.choice(['GT', 'DP:GT', 'DP'])}\t"
+        + "\t".join(draw.choice(["3:", ""]) + draw.choice(calls) for _ in range(4)) for _ in range(300)
+    ]
+    (tmp_path / "c.vcf").write_text("\n".join([COLUMNS + "S1\tS2\tS3\tS4", *lines]) + "\n")
+    path = str(tmp_path / "c.vcf")
+    intervals = spark.createDataFrame([("chr1", 1, 250), ("chr2", 100, 110)], "contig string, start int, end int")
+    requested = spark.createDataFrame([("S3",), ("S1",), ("S1",), ("S9",)], "s string")
+    read = lambda **k: vcf.read_cohort(text.read_lines(spark, path), vcf.read_header(spark, path), **k)
+    whole = read()
+    inside = within_intervals(whole.sites, intervals)
+    want = subset_cohort(Cohort(inside, whole.entries.join(inside.select("site_id"), "site_id", "left_semi"), whole.samples), requested)
+    got = read(intervals=intervals, requested=requested, carry=("contig",))
+    both = lambda c: [sorted(map(str, f.select(sorted(f.columns)).collect())) for f in (c.sites, c.entries.select("site_id", "s", "alleles", "GT", "DP"), c.samples)]
+    assert both(got) == both(want) and got.sites.count() > 20
+    above = nodes_above(got.entries._jdf.queryExecution().executedPlan().toString(), "line_ranges")
+    assert any(n.startswith("Generate") for n in above) and not any(n.startswith("Exchange") for n in above)
 
 
 def test_malformed_lines_and_annotator_rejects(spark):
