@@ -9,7 +9,7 @@ close sets share bands, and texts that share a band are compared on their full s
 Texts with equal sets are one class from the start (a sum of two mixed hashes over the set, 128
 bits), so copies never meet in a band. A class has a number of its own, and is named by the
 smallest id of its rows; so an id that comes with several texts is in several classes. In a band's bucket no pairs of all members are made. First
-each class is compared with the bucket's smallest. Then only buckets whose members still lie in
+each class is compared with one of the bucket, the one that meets most others over all buckets. Then only buckets whose members still lie in
 several components go on, without the members that a bound rules out: a set of which more than
 the limit allows (at 85 percent, 15 of 100 shingles) are in no other of the sets is linked with nothing. What lies outside a
 bucket's commonest component is compared with all that lies in other components and that a second
@@ -37,6 +37,8 @@ PERCENT = 85
 SHINGLE = 3
 #: A pair at the limit misses all bands with this probability at most.
 MISSED, MOST_SLOTS = 3e-7, 192
+#: Bytes of text whose signatures are made at once.
+AT_ONCE = 1 << 20
 U64 = np.uint64
 SKETCH = "doc_id long, version long, n_shingles long, d1 long, d2 long, bands array<long>"
 
@@ -137,7 +139,7 @@ def sketches(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> D
     n_bands, n_rows = banding(percent)
 
     def run(batches):
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", AT_ONCE):
             sets = shingle_sets(part.column("text"), width)
             sums = [np.array([mixed(s, salt).sum(dtype=U64) for s in sets], U64).view(np.int64) for salt in (101, 202)]
             bands = band_hashes(signatures(sets, n_bands * n_rows), n_bands, n_rows)
@@ -253,9 +255,12 @@ def _remaining_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame, cla
 def links(docs: DataFrame, classes: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``node, component`` of the classes that are linked; the smallest number is the component's."""
     members = classes.select("node", F.col("n_shingles").alias("size"), F.posexplode("bands").alias("band", "hash"))
-    buckets = members.groupBy("band", "hash").agg(F.count("*").alias("n"), F.min(F.struct("node", "size")).alias("first"))
-    buckets = written(buckets.where("n > 1").drop("n"), "near-buckets")
-    members = written(members.join(buckets, ["band", "hash"]), "near-members")
+    counts = written(members.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1"), "near-buckets")
+    members = written(members.join(counts, ["band", "hash"]), "near-members")
+    # the member that shares bands with most others is the likeliest to be close to all of a bucket
+    central = members.groupBy("node").agg(F.sum("n").alias("met"))
+    firsts = members.join(central, "node").groupBy("band", "hash").agg(F.max(F.struct("met", "node", "size")).alias("first"))
+    members = written(members.drop("n").join(firsts, ["band", "hash"]), "near-members")
     wanted = classes.join(members.select("node").distinct(), "node", "left_semi")
     sets = written(_sets(docs, wanted, width), "near-sets")
     firsts = members.where((F.col("node") != F.col("first.node")) & _close_sizes("size", "first.size", percent)).select(
