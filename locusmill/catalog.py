@@ -20,6 +20,7 @@ from locusmill.operators import summary
 from locusmill.plans import cohort as cohort_plan
 from locusmill.plans import companions
 from locusmill.sinks import documents as D
+from locusmill.sinks.scratch import fresh_folder
 from locusmill.sources import tables, text, vcf
 from locusmill.vocabulary import (
     CONSTRAINT_FIELDS,
@@ -150,6 +151,18 @@ def genotype_predicates(spark, sf):
     )
 
 
+@query
+def likelihood_split(spark, sf):
+    """Likelihoods of genotypes with several alternates, down-coded to each, and the quality from them."""
+    n = F.size("alleles")
+    places = F.sequence(F.lit(0), (n * (n + 1) / 2).cast("int") - 1)
+    value = lambda j: F.when((F.col("GQ") + j) % 17 > 0, (j * (F.col("GQ") % 9 + 1) + F.col("DP") * (j + 1)) % 60)
+    likelihoods = F.when(F.col("GQ") % 13 > 0, F.transform(places, value)).cast("array<int>")
+    split = C.split_entries(V.entries(spark, sf).withColumn("PL", likelihoods), likelihoods=True)
+    pl = lambda k: F.get("PL", F.lit(k)).alias(f"pl{k}")
+    return split.select(*KEYS, "s", pl(0), pl(1), pl(2), F.col("GQ").alias("gq"))
+
+
 # --- frequencies
 
 
@@ -362,6 +375,19 @@ def exome_entries(spark, sf):
     return subset.entries.select("site_id", "s", G.format_call(F.col("GT")).alias("gt"))
 
 
+@query
+def exome_from_text(spark, sf):
+    """VCF text and an interval list to written tables: only what lies inside."""
+    calls = V.written_text(V.vcf_lines(spark, sf), "exome-calls")
+    targets = V.intervals(spark, sf).select(F.concat_ws("\t", "contig", "start", "end", F.lit("+"), F.lit("target")).alias("value"))
+    header = V.table(spark, sf, "region").select(F.concat(F.lit("@HD\tSO:"), "r_name").alias("value"))
+    listed = V.written_text(header.union(targets), "exome-intervals")
+    subset = companions.exome_from_text(spark, calls, listed, fresh_folder(spark, "exome"))
+    return subset.entries.join(subset.sites.select("site_id", "contig", "position"), "site_id").select(
+        "contig", "position", "s", G.format_call(F.col("GT")).alias("gt")
+    )
+
+
 @query
 def locus_range_filter(spark, sf):
     return V.sites(spark, sf).where(L.in_range("chr2:1K-6,010")).select("site_id", "contig", "position")
@@ -478,12 +504,24 @@ def vep_json_ingest(spark, sf):
     )
 
 
+@query
+def vep_alleles(spark, sf):
+    """Annotator output for sites with several alternates, dealt to the split variants."""
+    variants = C.split_sites(V.sites(spark, sf)).select(*KEYS, *L.VARIANT_KEYS)
+    return cohort_plan.annotate_consequences(variants, V.annotator_site_output(spark, sf)).select(
+        *KEYS,
+        F.col("vep.most_severe_consequence").alias("most_severe"),
+        F.size("vep.transcript_consequences").alias("n_transcripts"),
+        _joined(F.transform("vep.transcript_consequences", lambda t: t["transcript_id"])).alias("transcript_ids"),
+    )
+
+
 # --- expression
 
 
 @query
 def tissue_means(spark, sf):
-    table = companions.tissue_table(V.expression(spark, sf), V.tissue_attributes(spark, sf))
+    table = companions.tissue_table_long(V.expression(spark, sf), V.tissue_attributes(spark, sf))
     return table.select(
         "transcriptId", "geneId",
         *[F.round(c, 7).alias(c) for c in table.columns if c not in ("transcriptId", "geneId")],
@@ -504,21 +542,19 @@ def tissue_stats(spark, sf):
 @query
 def matrix_long(spark, sf):
     """A wide text matrix in long form."""
-    header = V.table(spark, sf, "region").where("r_regionkey = 0").select(
-        F.lit("transcript_id\tgene_id\tC0\tC1\tC2").alias("value")
-    )
-    size = F.col("p_size")
-    rows = V.table(spark, sf, "part").select(
-        F.concat_ws(
-            "\t", F.concat(F.lit("T"), "p_partkey"), F.concat(F.lit("G"), F.col("p_partkey") % 10),
-            size.cast("string"), F.when(size % 5 == 0, "NA").otherwise((size / 4).cast("string")),
-            (size * 2).cast("string"),
-        ).alias("value")
-    )
-    matrix = tables.read_matrix(header.union(rows), ["transcript_id", "gene_id"])
+    path = V.written_text(V.matrix_lines(spark, sf), "matrix")
+    matrix = tables.read_matrix(text.read_lines(spark, path), companions.MATRIX_FIELDS)
     return matrix.select("transcript_id", "gene_id", "col_id", F.col("x").cast("double").alias("x"))
 
 
+@query
+def tissue_means_from_text(spark, sf):
+    """Means per tissue made in the lines of a wide text matrix."""
+    path = V.written_text(V.matrix_lines(spark, sf), "matrix")
+    table = companions.tissue_table(text.read_lines(spark, path), V.matrix_attributes(spark, sf))
+    return table.select("transcriptId", "geneId", *[F.round(c, 7).alias(c) for c in table.columns[2:]])
+
+
 # --- clinical
 
 
@@ -545,6 +581,22 @@ def clinical_table(spark, sf):
     return table.select(*[_joined(F.col(c)).alias(c) if c in arrays else F.col(c) for c in table.columns])
 
 
+@query
+def clinical_from_text(spark, sf):
+    """The clinical table from VCF text and annotator lines, written and read back."""
+    calls, notes = V.written_text(V.clinical_lines(spark, sf), "clinical-calls"), V.written_text(V.annotator_output(spark, sf), "clinical-notes")
+    table, _ = companions.clinical_from_text(spark, calls, notes, fresh_folder(spark, "clinical-table"))
+    arrays = {"domains", "gene_ids", "transcript_consequence_terms", "transcript_ids"}
+    return table.drop("sourceFilePath").select(*[_joined(F.col(c)).alias(c) if c in arrays else F.col(c) for c in table.columns if c != "sourceFilePath"])
+
+
+@query
+def clinical_summary(spark, sf):
+    """The summary that comes with the clinical table from text: of split variants."""
+    calls, notes = V.written_text(V.clinical_lines(spark, sf), "clinical-calls"), V.written_text(V.annotator_output(spark, sf), "clinical-notes")
+    return companions.clinical_from_text(spark, calls, notes, fresh_folder(spark, "clinical-table"))[1]
+
+
 @query
 def unknown_review_statuses(spark, sf):
     return companions.unknown_review_statuses(_clinical_table(spark, sf))

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from locusmill.functions.basics import let
+
 
 def call(a0: Column, a1: Column, phased: Column) -> Column:
     return F.struct(
@@ -84,6 +86,43 @@ def downcode_depths(ad: Column, allele: Column) -> Column:
     return F.when(ad.isNotNull(), F.array(total - kept, kept))
 
 
+def _genotypes(n_alleles: Column, allele: Column) -> Column:
+    """``place, copies`` of every unordered pair of alleles, in the order of likelihoods."""
+    return F.flatten(
+        F.transform(
+            F.sequence(F.lit(0), n_alleles - 1),
+            lambda b: F.transform(
+                F.sequence(F.lit(0), b),
+                lambda a: F.struct(
+                    ((b * (b + 1) / 2).cast("int") + a).alias("place"),
+                    ((a == allele).cast("int") + (b == allele).cast("int")).alias("copies"),
+                ),
+            ),
+        )
+    )
+
+
+def downcode_likelihoods(pl: Column, n_alleles: Column, allele: Column) -> Column:
+    """Likelihoods of 0, 1 and 2 copies of one allele: of each, the least of the genotypes that have so many.
+
+    The genotype called before the split has likelihood 0 and keeps it, so nothing has to be
+    rescaled. NULL stays NULL; a missing value of one genotype does not count.
+    """
+
+    def least(pairs: Column, copies: int) -> Column:
+        own = F.filter(pairs, lambda g: g["copies"] == copies)
+        return F.array_min(F.transform(own, lambda g: F.get(pl, g["place"])))
+
+    each = let(_genotypes(n_alleles, allele), lambda pairs: F.array(*[least(pairs, k) for k in range(3)]))
+    return F.when(pl.isNotNull(), each)
+
+
+def quality_from_likelihoods(pl: Column) -> Column:
+    """Difference of the two smallest likelihoods; NULL without two."""
+    present = F.array_sort(F.filter(pl, lambda x: x.isNotNull()))
+    return F.get(present, F.lit(1)) - F.get(present, F.lit(0))
+
+
 def high_quality(
     gt: Column,
     gq: Column,

@@ -51,19 +51,24 @@ def split_sites(sites: DataFrame) -> DataFrame:
     ).drop("_variant")
 
 
-def split_entries(entries: DataFrame) -> DataFrame:
+def split_entries(entries: DataFrame, likelihoods: bool = False) -> DataFrame:
     """Entries of the split rows, keyed by ``site_id`` and ``a_index``; row-local.
 
-    Needs the site's ``alleles`` beside each entry. PL is nulled before the split, so GQ stays
-    as it is. Sites do not have to be joined: the minimal representation is site work.
+    Needs the site's ``alleles`` beside each entry. Sites do not have to be joined: the minimal
+    representation is site work. By default PL is dropped before the split, so GQ stays as it is;
+    with ``likelihoods`` PL is down-coded and GQ follows from it, where there is PL.
     """
     exploded = explode_computed(entries, _kept_alternates(F.col("alleles")), "a_index")
-    return exploded.withColumns(
+    split = exploded.withColumns(
         {
             "GT": G.downcode(F.col("GT"), F.col("a_index")),
             "AD": G.downcode_depths(F.col("AD"), F.col("a_index")),
         }
-    ).drop("alleles", "PL")
+    )
+    if not likelihoods:
+        return split.drop("alleles", "PL")
+    split = split.withColumn("PL", G.downcode_likelihoods(F.col("PL"), F.size("alleles"), F.col("a_index")))
+    return split.withColumn("GQ", F.coalesce(G.quality_from_likelihoods(F.col("PL")), "GQ")).drop("alleles")
 
 
 def add_allele_type(split: DataFrame) -> DataFrame:

@@ -168,6 +168,12 @@ def _stats(condition: str = "true", suffix: str = "", names=("AC", "AN", "AF", "
 
 
 _SMALL = ("ac", "an", "af", "nhom")
+ORACLE["likelihood_split"] = _with(SITE, ENTRY, """pair AS (SELECT site_id, s, gq, dp, CAST(i AS BIGINT) AS a_index, b * (b + 1) // 2 + a AS j, CAST(a = i AS INT) + CAST(b = i AS INT) AS copies
+  FROM entry, unnest(range(1, len(alleles))) AS t(i), unnest(range(0, len(alleles))) AS u(b), unnest(range(0, b + 1)) AS w(a) WHERE alleles[i + 1] <> '*'),
+least_of AS (SELECT site_id, a_index, s, gq, copies, min(CASE WHEN gq % 13 > 0 AND (gq + j) % 17 > 0 THEN (j * (gq % 9 + 1) + dp * (j + 1)) % 60 END) AS pl FROM pair GROUP BY ALL),
+three AS (SELECT site_id, a_index, s, gq, min(pl) FILTER (WHERE copies = 0) AS pl0, min(pl) FILTER (WHERE copies = 1) AS pl1, min(pl) FILTER (WHERE copies = 2) AS pl2,
+  list_sort(list(pl) FILTER (WHERE pl IS NOT NULL)) AS present FROM least_of GROUP BY ALL)""") + """
+SELECT site_id, a_index, s, pl0, pl1, pl2, coalesce(present[2] - present[1], gq) AS gq FROM three"""
 ORACLE["call_stats_raw"] = _with(SITE, ENTRY, SPLIT_ENTRY) + f"""
 SELECT site_id, a_index, {_stats(names=_SMALL)} FROM called GROUP BY site_id, a_index"""
 
@@ -405,6 +411,17 @@ SELECT site_id, a_index, CASE WHEN hit THEN {_TERMS}[(site_id + 7) % 39 + 1] END
   CASE WHEN hit THEN array_to_string(list_transform(range(1, site_id % 7 + 1), lambda i: 'T' || (site_id * 10 + i)), ',') END AS transcript_ids
 FROM (SELECT *, site_id % 6 <> 5 AND ref = alleles[1] AND alt = alleles[2] AS hit FROM variant)"""
 
+ORACLE["vep_alleles"] = _with(SPLIT_SITE, "asked AS (SELECT site_id AS rid, site_id AS seed, p_size AS size, 'A' AS flag FROM site WHERE site_id % 6 <> 5)", _transcripts("asked"),
+    f"""dealt AS (SELECT v.site_id, v.a_index, t.i, t.transcript_id, t.terms FROM variant v JOIN t1 t ON t.rid = v.site_id
+  WHERE len(v.alleles) = 2 OR v.site_id % 11 = 0 OR t.i % (len(v.alleles) - 1) + 1 = v.a_index),
+every_term AS (SELECT site_id, a_index, i, unnest(terms) AS term, generate_subscripts(terms, 1) AS p FROM dealt),
+worst AS (SELECT site_id, a_index, term FROM every_term
+  QUALIFY row_number() OVER (PARTITION BY site_id, a_index ORDER BY coalesce(nullif(list_position({_TERMS}, term), 0), 99), i, p) = 1),
+gathered AS (SELECT site_id, a_index, count(*) AS n, string_agg(transcript_id, ',' ORDER BY i) AS ids FROM dealt GROUP BY site_id, a_index)""") + f"""
+SELECT v.site_id, v.a_index, CASE WHEN v.site_id % 6 <> 5 THEN CASE WHEN len(alleles) = 2 THEN {_TERMS}[(v.site_id + 7) % 39 + 1] ELSE term END END AS most_severe,
+  CASE WHEN v.site_id % 6 <> 5 THEN coalesce(n, 0) END AS n_transcripts, CASE WHEN v.site_id % 6 <> 5 THEN coalesce(ids, '') END AS transcript_ids
+FROM variant v LEFT JOIN worst USING (site_id, a_index) LEFT JOIN gathered USING (site_id, a_index)"""
+
 # --- expression
 EXPRESSION = """tissue AS (SELECT c_custkey AS s, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Brain - Spinal cord (cervical c-1)' WHEN 'BUILDING' THEN 'Liver'
   WHEN 'FURNITURE' THEN 'Lung' WHEN 'MACHINERY' THEN 'Whole Blood' END AS tissue FROM customer),
@@ -417,9 +434,12 @@ ORACLE["tissue_means"] = _with(EXPRESSION) + "SELECT transcript_id AS transcript
 ORACLE["tissue_stats"] = _with(EXPRESSION) + """
 SELECT transcript_id, tissue, round(avg(x), 7) AS mean, round(stddev_pop(x), 4) AS stdev, min(x) AS min, max(x) AS max, count(x) AS n, round(sum(x), 2) AS total
 FROM expression WHERE tissue IS NOT NULL GROUP BY transcript_id, tissue"""
-ORACLE["matrix_long"] = """SELECT 'T' || p_partkey AS transcript_id, 'G' || (p_partkey % 10) AS gene_id, 'C' || c AS col_id,
-  CAST(CASE c WHEN 0 THEN p_size WHEN 1 THEN CASE WHEN p_size % 5 <> 0 THEN p_size / 4 END ELSE p_size * 2 END AS DOUBLE) AS x
-FROM part, unnest(range(3)) AS t(c)"""
+MATRIX = """matrix AS (SELECT 'T' || p_partkey AS transcript_id, 'G' || (p_partkey % 10) AS gene_id, 'N' || n_nationkey AS col_id, n_regionkey,
+  CASE WHEN (p_size + n_nationkey) % 7 <> 0 THEN (p_size * (n_nationkey + 1) % 97) / 4 END::DOUBLE AS x FROM part, nation)"""
+ORACLE["matrix_long"] = _with(MATRIX) + "SELECT transcript_id, gene_id, col_id, x FROM matrix"
+ORACLE["tissue_means_from_text"] = _with(MATRIX) + "SELECT transcript_id AS transcriptId, gene_id AS geneId, " + ", ".join(
+    f"round(avg(x) FILTER (WHERE n_regionkey = {r}), 7) AS {name}" for r, name in enumerate(["liver", "lung", "wholeBlood", "spleen"])
+) + " FROM matrix GROUP BY transcript_id, gene_id"
 
 # --- clinical
 STATUS = f"""status AS (SELECT site_id, {_nested(V.SIGNIFICANCES)}[p_size % {len(V.SIGNIFICANCES)} + 1] AS sig, {_nested(V.REVIEW_STATUSES)}[p_size % {len(V.REVIEW_STATUSES)} + 1] AS rev FROM site),
@@ -449,6 +469,7 @@ SELECT h.site_id AS allele_id, h.alt, h.chrom, clinical_significance, {_if_asked
   {_if_asked("coalesce(transcript_json, '{}')")} AS transcript_id_to_consequence_json, variant_id, xpos
 FROM hit h JOIN sig_text USING (site_id) JOIN rev_text USING (site_id) LEFT JOIN a ON a.rid = asked_id LEFT JOIN c ON c.rid = asked_id LEFT JOIN d ON d.rid = asked_id
 LEFT JOIN gene_text g ON g.rid = asked_id LEFT JOIN transcript_text x ON x.rid = asked_id LEFT JOIN ranked r ON r.rid = asked_id AND r.transcript_rank = 0"""
+ORACLE["clinical_from_text"] = ORACLE["clinical_table"].replace("\nSELECT h.site_id AS allele_id", "\nSELECT '2024-03-02' AS version, '38' AS genomeVersion, h.site_id AS allele_id")
 ORACLE["unknown_review_statuses"] = _with(SPLIT_SITE, STATUS) + f"""
 SELECT review_status, count(*) AS n FROM variant JOIN rev_text USING (site_id) WHERE ({_STARS}) IS NULL GROUP BY review_status"""
 
@@ -457,6 +478,9 @@ ORACLE["variant_summary"] = _with(SITE, "every AS (SELECT alleles[1] AS ref, unn
 SELECT 'variants' AS section, 'total' AS label, count(*) AS n FROM site UNION ALL SELECT 'contig', contig, count(*) FROM site GROUP BY contig
 UNION ALL SELECT 'alleles_per_site', CAST(len(alleles) AS VARCHAR), count(*) FROM site GROUP BY len(alleles)
 UNION ALL SELECT 'allele_type', {_CLASS}, count(*) FROM every GROUP BY ALL"""
+ORACLE["clinical_summary"] = _with(SPLIT_SITE) + f"""
+SELECT 'variants' AS section, 'total' AS label, count(*) AS n FROM variant UNION ALL SELECT 'contig', contig, count(*) FROM variant GROUP BY contig
+UNION ALL SELECT 'alleles_per_site', '2', count(*) FROM variant UNION ALL SELECT 'allele_type', {_CLASS}, count(*) FROM variant GROUP BY ALL"""
 ORACLE["ordered_variants"] = _with(SPLIT_SITE, ID_FIELDS) + "SELECT variant_id, xpos FROM identified ORDER BY variant_id"
 
 # --- names and documents
@@ -528,6 +552,9 @@ SELECT contig, position, s, CASE WHEN no_call THEN NULL WHEN hap THEN CAST(g0 AS
 ORACLE["vcf_call_stats"] = _with(VCF, """coded AS (SELECT contig, CAST(NOT no_call AND g0 = a AS BIGINT) AS d0, CAST(NOT no_call AND NOT hap AND n_alts = a AS BIGINT) AS d1,
   CASE WHEN no_call THEN 0 WHEN hap THEN 1 ELSE 2 END AS ploidy FROM sample_call, unnest(range(1, n_alts + 1)) AS u(a) WHERE alleles[a + 1] <> '*')""") + """
 SELECT contig, CAST(sum(d0 + d1) AS BIGINT) AS ac, CAST(sum(ploidy) AS BIGINT) AS an, CAST(sum(d0 * d1) AS BIGINT) AS nhom, count(*) // (SELECT count(*) FROM region) AS n FROM coded GROUP BY contig"""
+ORACLE["exome_from_text"] = _with(VCF, f"target AS (SELECT {_contig('p_partkey')} AS c, p_partkey * 10 + 1000 AS a, p_partkey * 10 + 1200 AS b FROM part WHERE p_partkey % 50 = 0)") + """
+SELECT contig, position, s, CASE WHEN no_call THEN NULL WHEN hap THEN CAST(g0 AS VARCHAR) ELSE g0 || CASE WHEN ph THEN '|' ELSE '/' END || n_alts END AS gt
+FROM sample_call WHERE EXISTS (FROM target WHERE c = contig AND position BETWEEN a AND b)"""
 ORACLE["vcf_samples"] = "SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS sample, 'S' || n_nationkey AS s FROM nation"
 ORACLE["contig_recoding"] = f"""WITH sequence AS (
   SELECT {_contig('n_nationkey')} AS contig, 1000000 + n_nationkey * 1000 AS length FROM nation WHERE n_nationkey < 24

@@ -16,7 +16,8 @@ from locusmill.operators.lookups import (
     variant_lookup,
 )
 from locusmill.operators.reshape import search_row
-from locusmill.sinks.scratch import fresh_folder
+from locusmill.sinks.scratch import stored
+from locusmill.sources.tables import parsed_vep, vep_lines_by_variant
 from locusmill.vocabulary import POPULATIONS
 
 KEYS = ["site_id", "a_index"]
@@ -78,8 +79,14 @@ def annotate_reference(variants: DataFrame, rsids: DataFrame, predictors: DataFr
 
 
 def annotate_consequences(variants: DataFrame, vep: DataFrame) -> DataFrame:
-    """The annotator's output for each variant; a repeated variant is taken once."""
-    return variant_lookup(variants, vep, ["vep"])
+    """The annotator's output for each variant; a repeated variant is taken once.
+
+    ``vep`` is parsed output (with a column ``vep``), or the annotator's lines (``value``). Lines
+    are keyed and joined first, so that only those of variants that are there are parsed.
+    """
+    if "vep" in vep.columns:
+        return variant_lookup(variants, vep, ["vep"])
+    return parsed_vep(variants.join(vep_lines_by_variant(vep), VARIANT_KEYS, "left"))
 
 
 def export_projection(variants: DataFrame) -> DataFrame:
@@ -121,9 +128,7 @@ def cohort_variants(
         pops = [pop for pop in POPULATIONS if pop in observed]
     entries = prepare_entries(C.Cohort(cohort.sites, cohort.entries, broadcast_if_bounded(samples)))
     if store is not None:
-        folder = fresh_folder(entries.sparkSession, "entries", store)
-        entries.write.parquet(folder)
-        entries = entries.sparkSession.read.parquet(folder)
+        entries = stored(entries, "entries", store)
     counted = count_variants(cohort, entries, pops)
     annotated = counted.transform(annotate_reference, rsids, predictors).transform(annotate_consequences, vep)
     return annotated.transform(export_projection).transform(search_row)

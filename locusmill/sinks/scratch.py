@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 @functools.lru_cache(maxsize=1)
@@ -27,3 +27,10 @@ def fresh_folder(spark: SparkSession, label: str, under: str | None = None) -> s
     if under is not None and under.startswith("file:") and not local:
         raise ValueError(f"{under} is a folder of one machine")
     return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(frame: DataFrame, label: str, under: str | None = None) -> DataFrame:
+    """The frame as a table in a folder of its own: computed once, and kept when executors go."""
+    folder = fresh_folder(frame.sparkSession, label, under)
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusmill.functions.basics import computed_once
+from locusmill.functions import alleles as A
+from locusmill.functions.basics import computed_once, let
+from locusmill.functions.consequences import major_term
+from locusmill.operators.lookups import broadcast_if_bounded
 
 # Fixed value: the missing token of delimited tables.
 MISSING = "NA"
@@ -45,24 +48,71 @@ def impute_types(table: DataFrame) -> DataFrame:
     return table.select(*[F.col(f"`{n}`").cast(t).alias(n) for n, t in types.items()])
 
 
+def _matrix_lines(lines: DataFrame, row_fields: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Header lines and the others, as cells ``c``."""
+    head = "\t".join(row_fields) + "\t"
+    cells = lines.where("value <> ''").select("value", F.split("value", "\t").alias("c"))
+    is_header = F.startswith("value", F.lit(head))
+    return cells.where(is_header), cells.where(~is_header)
+
+
+def _number(text: Column) -> Column:
+    return F.when(text != MISSING, text.try_cast("float"))
+
+
+def matrix_columns(lines: DataFrame, row_fields: list[str]) -> DataFrame:
+    """``place, col_id`` of a wide matrix's columns, from its header line.
+
+    The header line is the one that starts with the row fields. Evaluating the result fails where
+    files have different ones.
+    """
+    headers, _ = _matrix_lines(lines, row_fields)
+    distinct = headers.select("value").distinct().agg(
+        F.when(F.count("value") <= 1, F.min("value")).otherwise(F.raise_error(F.lit("files of one matrix have different headers"))).alias("value")
+    )
+    width = len(row_fields)
+    named = F.split("value", "\t")
+    return distinct.select(F.posexplode(F.slice(named, width + 1, F.greatest(F.size(named) - width, F.lit(0)))).alias("place", "col_id"))
+
+
 def read_matrix(lines: DataFrame, row_fields: list[str]) -> DataFrame:
     """A wide numeric matrix in long form: the row fields, ``col_id`` and ``x`` (float).
 
-    Lines are split and exploded, so the plan does not grow with the number of columns. The
-    header line holds the column ids and must be the one that starts with the row fields.
+    Lines are split and exploded, so the plan does not grow with the number of columns. For sums
+    over groups of columns, :func:`matrix_means` needs no such rows.
     """
     width = len(row_fields)
-    head = "\t".join(row_fields) + "\t"
-    cells = lines.select("value", F.split("value", "\t").alias("c"))
-    is_header = F.startswith("value", F.lit(head))
+    _, data = _matrix_lines(lines, row_fields)
     values = F.slice("c", width + 1, F.greatest(F.size("c") - width, F.lit(0)))
-    columns = cells.where(is_header).select(F.posexplode(values).alias("col", "col_id")).distinct()
-    long = cells.where(~is_header & (F.col("value") != "")).select(
+    long = data.select(
+        *[F.get("c", F.lit(i)).alias(name) for i, name in enumerate(row_fields)], F.posexplode(values).alias("place", "text")
+    )
+    columns = broadcast_if_bounded(matrix_columns(lines, row_fields))
+    return long.join(columns, "place").select(*row_fields, "col_id", _number(F.col("text")).alias("x"))
+
+
+def matrix_means(lines: DataFrame, row_fields: list[str], groups: dict[str, list[int]]) -> DataFrame:
+    """The row fields and, for each group, the mean over its columns' values in the line.
+
+    ``groups`` names places of columns, as :func:`matrix_columns` numbers them. All is done in the
+    line: one scan, no row for each cell, and no shuffle. A missing value, or a place behind the
+    end of its line, does not count; a group without values has NULL.
+    """
+    _, data = _matrix_lines(lines, row_fields)
+    width = len(row_fields)
+    numbers = data.select(
         *[F.get("c", F.lit(i)).alias(name) for i, name in enumerate(row_fields)],
-        F.posexplode(values).alias("col", "text"),
+        F.transform(F.slice("c", width + 1, F.greatest(F.size("c") - width, F.lit(0))), _number).alias("_x"),
     )
-    x = F.when(F.col("text") != MISSING, F.col("text").try_cast("float"))
-    return long.join(columns, "col").select(*row_fields, "col_id", x.alias("x"))
+    pinned = computed_once(numbers, "_x")
+
+    def mean(places: list[int]) -> Column:
+        own = F.transform(F.array(*[F.lit(p) for p in places]).cast("array<int>"), lambda p: F.get("_x", p).cast("double"))
+        zero = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
+        add = lambda a, x: F.struct((a["sum"] + x).alias("sum"), (a["n"] + 1).alias("n"))
+        return F.aggregate(F.filter(own, lambda x: x.isNotNull()), zero, add, lambda a: F.try_divide(a["sum"], a["n"]))
+
+    return pinned.select(*row_fields, *[mean(places).alias(name) for name, places in groups.items()])
 
 
 def parse_intervals(lines: DataFrame) -> DataFrame:
@@ -120,26 +170,80 @@ variant_class string
 """
 
 
+# Lists of the output that name an allele by number.
+CONSEQUENCE_LISTS = [
+    "intergenic_consequences", "motif_feature_consequences", "regulatory_feature_consequences", "transcript_consequences",
+]
+
+
 def parse_vep(text: Column) -> Column:
     """Annotator JSON as the ``vep`` struct."""
     return F.from_json(text, VEP_SCHEMA)
 
 
-def vep_by_variant(lines: DataFrame) -> DataFrame:
-    """Annotator output keyed by the variant it was asked about (a VCF line in ``input``).
+def vep_lines_by_variant(lines: DataFrame) -> DataFrame:
+    """Annotator lines keyed by the variants they were asked about: one line for each variant.
 
-    An input with several alternates gives a row for each. Lines that are no such output give
-    none; :func:`vep_rejects` has them.
+    ``contig, position, ref, alt`` are in minimal representation, as split sites are; ``value`` is
+    the line, and ``allele_num`` and ``n_alts`` say which of its alternates the variant is. The
+    keys are read from the line's ``input`` (a VCF line) without parsing the rest, and of several
+    lines for a variant the one with the smallest hash is taken. ``*`` is no variant. Lines that
+    are no annotator output give none; :func:`vep_rejects` has them.
     """
-    asked = F.split("vep.input", "\t")
-    parsed = computed_once(lines.select(parse_vep(F.col("value")).alias("vep")), "vep")
-    return parsed.where(F.size(asked) >= 5).select(
-        F.get(asked, F.lit(0)).alias("contig"),
-        F.get(asked, F.lit(1)).try_cast("int").alias("position"),
-        F.get(asked, F.lit(3)).alias("ref"),
-        F.explode(F.split(F.get(asked, F.lit(4)), ",")).alias("alt"),
-        "vep",
+    asked = computed_once(lines.select("value", F.split(F.get_json_object("value", "$.input"), "\t").alias("asked")), "asked")
+    alts = F.split(F.get("asked", F.lit(4)), ",")
+    each = asked.where(F.size("asked") >= 5).select(
+        "value",
+        F.get("asked", F.lit(0)).alias("contig"),
+        F.get("asked", F.lit(1)).try_cast("int").alias("position"),
+        F.get("asked", F.lit(3)).alias("ref"),
+        F.size(alts).alias("n_alts"),
+        F.posexplode(alts).alias("place", "alt"),
     )
+    trimmed = each.where("alt <> '*'").select(
+        "value", "contig", "n_alts", (F.col("place") + 1).alias("allele_num"),
+        A.minimal(F.col("position"), F.col("ref"), F.col("alt")).alias("v"),
+    )
+    chosen = F.min_by(F.struct("value", "allele_num", "n_alts"), F.struct(F.xxhash64("value"), "allele_num")).alias("line")
+    return (
+        trimmed.select("contig", "v.position", "v.ref", "v.alt", "value", "allele_num", "n_alts")
+        .groupBy("contig", "position", "ref", "alt").agg(chosen)
+        .select("contig", "position", "ref", "alt", "line.value", "line.allele_num", "line.n_alts")
+    )
+
+
+def allele_consequences(vep: Column, allele_num: Column, n_alts: Column) -> Column:
+    """The annotator's output with the consequences of one of its alternates.
+
+    Consequences that name an allele by number are dealt to it; one without a number counts for
+    all. The most severe consequence of an output for several alternates is that of the
+    consequences left.
+    """
+
+    def own(name: str) -> Column:
+        return F.filter(vep[name], lambda c: c["allele_num"].isNull() | (c["allele_num"] == allele_num))
+
+    dealt = vep
+    for name in CONSEQUENCE_LISTS:
+        dealt = dealt.withField(name, own(name))
+
+    def with_worst(left: Column) -> Column:
+        terms = F.flatten(F.array(*[F.coalesce(F.flatten(left[n]["consequence_terms"]), F.array().cast("array<string>")) for n in CONSEQUENCE_LISTS]))
+        return left.withField("most_severe_consequence", major_term(F.filter(terms, lambda t: t.isNotNull()))["term"])
+
+    return F.when(vep.isNull() | (n_alts < 2), vep).otherwise(let(dealt, with_worst))
+
+
+def parsed_vep(rows: DataFrame) -> DataFrame:
+    """Rows of :func:`vep_lines_by_variant`, or joined to it, with ``vep`` in place of the line."""
+    parsed = computed_once(rows.withColumn("vep", parse_vep(F.col("value"))), "vep")
+    dealt = allele_consequences(F.col("vep"), F.col("allele_num"), F.col("n_alts"))
+    return parsed.withColumn("vep", dealt).drop("value", "allele_num", "n_alts")
+
+
+def vep_by_variant(lines: DataFrame) -> DataFrame:
+    """``contig, position, ref, alt, vep``: annotator output parsed, one row for each variant."""
+    return parsed_vep(vep_lines_by_variant(lines))
 
 
 def vep_rejects(lines: DataFrame) -> DataFrame:

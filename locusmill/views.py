@@ -233,14 +233,16 @@ TRANSCRIPT_FIELDS = {
     "protein_start": _START,
     "transcript_id": _TRANSCRIPT_ID,
 }
+# The alternate that a transcript's consequences belong to; some outputs don't say.
+ALLELE_NUMBER = {"allele_num": "if(v.seed % 11 = 0, cast(NULL AS int), cast(i % v.n_alts + 1 AS int))"}
 
 
-def _vep_struct(seed: Column, size: Column, flag: Column, asked: Column) -> Column:
-    """Annotator output of one variant, with up to six transcripts."""
+def _vep_struct(seed: Column, asked: Column, fields: dict[str, str]) -> Column:
+    """Annotator output of one variant or site, with up to six transcripts."""
     most_severe = F.get(F.expr(_sql_list(CONSEQUENCE_TERMS)), ((seed + 7) % len(CONSEQUENCE_TERMS)).cast("int"))
-    fields = ", ".join(f"'{name}', {text}" for name, text in TRANSCRIPT_FIELDS.items())
+    fields = ", ".join(f"'{name}', {text}" for name, text in fields.items())
     transcripts = F.expr(
-        f"""transform(array(named_struct('seed', _seed, 'size', _size, 'flag', _flag)), v ->
+        f"""transform(array(named_struct('seed', _seed, 'size', _size, 'flag', _flag, 'n_alts', _n_alts)), v ->
           transform(filter(sequence(0, cast(v.seed % 7 AS int)), i -> i > 0), i -> named_struct({fields})))[0]"""
     )
     return F.struct(
@@ -248,11 +250,12 @@ def _vep_struct(seed: Column, size: Column, flag: Column, asked: Column) -> Colu
     )
 
 
-def _with_vep(frame: DataFrame, seed: Column, size: Column, flag: Column, asked: Column) -> DataFrame:
-    drawn = frame.withColumns({"_seed": seed.cast("long"), "_size": size, "_flag": flag})
-    return drawn.withColumn("vep", _vep_struct(F.col("_seed"), F.col("_size"), F.col("_flag"), asked)).drop(
-        "_seed", "_size", "_flag"
-    )
+def _with_vep(
+    frame: DataFrame, seed: Column, size: Column, flag: Column, asked: Column, n_alts: Column | None = None
+) -> DataFrame:
+    fields = TRANSCRIPT_FIELDS | ({} if n_alts is None else ALLELE_NUMBER)
+    drawn = frame.withColumns({"_seed": seed.cast("long"), "_size": size, "_flag": flag, "_n_alts": F.lit(1) if n_alts is None else n_alts})
+    return drawn.withColumn("vep", _vep_struct(F.col("_seed"), asked, fields)).drop("_seed", "_size", "_flag", "_n_alts")
 
 
 def annotated_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,6 +286,44 @@ def annotator_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annotated.select(F.to_json("vep").alias("value"))
 
 
+def annotator_site_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One annotator JSON line per site with all its alternates, for five sites in six; every fourth line twice."""
+    key, alternates = F.col("p_partkey"), A.alternates(F.col("alleles"))
+    parts = spread(table(spark, sf_dir, "part").select("p_partkey", "p_size").where("p_partkey % 6 <> 5"))
+    parts = parts.withColumn("alleles", alleles_of(F.col("p_size")))
+    asked = F.concat_ws(
+        "\t", contig_of(key), position_of(key).cast("string"), F.lit("."), F.get("alleles", F.lit(0)), F.array_join(alternates, ",")
+    )
+    annotated = _with_vep(parts, key, F.col("p_size").cast("long"), F.lit("A"), asked, F.size(alternates))
+    copies = F.sequence(F.lit(1), F.when(key % 4 == 0, 2).otherwise(1))
+    return annotated.select(F.to_json("vep").alias("value"), F.explode(copies).alias("copy")).select("value")
+
+
+def matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A wide expression matrix as text: a row per part, a column per nation."""
+    numbers = _sample_numbers(spark, sf_dir, "nation", "n_nationkey")
+    named = F.transform("numbers", lambda i: F.concat(F.lit("N"), i.cast("string")))
+    header = numbers.select(F.array_join(F.concat(F.array(F.lit("transcript_id"), F.lit("gene_id")), named), "\t").alias("value"))
+    size = F.col("p_size")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_size", F.lit(1).alias("one"))
+    cell = lambda i: F.when((size + i) % 7 == 0, "NA").otherwise(((size * (i + 1) % 97) / 4).cast("string"))
+    rows = parts.join(F.broadcast(numbers.withColumn("one", F.lit(1))), "one").select(
+        F.concat_ws(
+            "\t", F.concat(F.lit("T"), "p_partkey"), F.concat(F.lit("G"), F.col("p_partkey") % 10), F.array_join(F.transform("numbers", cell), "\t")
+        ).alias("value")
+    )
+    return header.union(rows)
+
+
+def matrix_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tissues of the matrix's columns by region; those of one region have none, and one more column is not in it."""
+    tissues = {0: "Liver", 1: "Lung", 2: "Whole Blood", 3: "Spleen"}
+    tissue = F.coalesce(*[F.when(F.col("n_regionkey") == r, t) for r, t in tissues.items()])
+    rows = table(spark, sf_dir, "nation").select(F.concat(F.lit("N"), "n_nationkey").alias("SAMPID"), tissue.alias("SMTSD"))
+    absent = table(spark, sf_dir, "region").where("r_regionkey = 0").select(F.lit("N99").alias("SAMPID"), F.lit("Uterus").alias("SMTSD"))
+    return rows.union(absent)
+
+
 def expression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Value of each order line: transcript, sample and tissue."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
@@ -430,3 +471,31 @@ def called_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("chr99_X"), key.cast("string"), F.lit("v1_alt")))
     )
     return table(spark, sf_dir, "part").select(key.alias("site_id"), name.alias("contig"), (key * 37 % 1_100_000).cast("int").alias("position"))
+
+
+CLINICAL_HEADER = [
+    "##fileformat=VCFv4.1",
+    "##fileDate=2024-03-02",
+    '##INFO=<ID=ALLELEID,Number=1,Type=Integer,Description="id">',
+    '##INFO=<ID=CLNSIG,Number=.,Type=String,Description="significance">',
+    '##INFO=<ID=CLNREVSTAT,Number=.,Type=String,Description="status">',
+    "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO",
+]
+
+
+def clinical_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clinical sites as VCF text without genotypes and without ``chr``, and one line of an unknown contig."""
+    found = clinical_sites(spark, sf_dir)
+    listed = lambda c: F.array_join(F.col(f"info.{c}"), ",")
+    info = F.concat(
+        F.lit("ALLELEID="), F.col("info.ALLELEID").cast("string"), F.lit(";CLNSIG="), listed("CLNSIG"), F.lit(";CLNREVSTAT="), listed("CLNREVSTAT")
+    )
+    text = lambda contig: F.concat_ws(
+        "\t", contig, F.col("position").cast("string"), F.lit("."), F.get("alleles", F.lit(0)), F.array_join(A.alternates(F.col("alleles")), ","),
+        F.lit("."), F.lit("."), info,
+    ).alias("value")
+    top = table(spark, sf_dir, "region").where("r_regionkey = 0")
+    rows = found.select(text(F.replace("contig", F.lit("chr"), F.lit(""))))
+    return top.select(F.explode(_strings(CLINICAL_HEADER)).alias("value")).union(rows).union(
+        found.where("site_id % 100 = 0").select(text(F.lit("NW_0001")))
+    )

@@ -82,3 +82,26 @@ def test_split_entries_leaves_quality_alone(spark):
     assert rows[1].AD == [8, 4] and rows[2].AD == [7, 5]
     assert {(r.DP, r.GQ) for r in rows.values()} == {(12, 50)}
     assert tuple(rows[1].GT) == (0, 1, False)
+
+
+def test_likelihoods_are_downcoded_by_copies(evaluate):
+    """0/0 0/1 1/1 0/2 1/2 2/2 of three alleles; two missing values, and a site of two alleles."""
+    pl = lambda *x: F.array(*[F.lit(v) for v in x]).cast("array<int>")
+    down = lambda p, n, k: G.downcode_likelihoods(p, F.lit(n), F.lit(k))
+    three = pl(40, 30, 50, 0, 10, 20)
+    nothing = F.lit(None).cast("array<int>")
+    assert evaluate(
+        down(three, 3, 1), down(three, 3, 2), down(pl(5, None, None, 7, None, None), 3, 1), down(pl(9, 0, 3), 2, 1), down(nothing, 3, 1),
+    ) == ([0, 10, 50], [30, 0, 20], [5, None, None], [9, 0, 3], None)
+    assert evaluate(
+        G.quality_from_likelihoods(pl(0, 10, 50)), G.quality_from_likelihoods(pl(7, None, 4)), G.quality_from_likelihoods(pl(None, 3)), G.quality_from_likelihoods(nothing),
+    ) == (10, 3, None, None)
+
+
+def test_split_takes_quality_from_likelihoods_only_when_asked(spark):
+    rows = [(1, ["A", "C", "G"], "0/2", [40, 30, 50, 0, 10, 20], 99), (2, ["A", "C"], "0/1", None, 7)]
+    frame = spark.createDataFrame(rows, "site_id int, alleles array<string>, t string, PL array<int>, GQ int").withColumn("GT", G.parse_call(F.col("t")))
+    entries = frame.withColumn("AD", F.lit(None).cast("array<int>"))
+    found = {(r.site_id, r.a_index): (r.PL, r.GQ) for r in C.split_entries(entries, likelihoods=True).collect()}
+    assert found == {(1, 1): ([0, 10, 50], 10), (1, 2): ([30, 0, 20], 20), (2, 1): (None, 7)}
+    assert {r.GQ for r in C.split_entries(entries).collect()} == {99, 7} and "PL" not in C.split_entries(entries).columns

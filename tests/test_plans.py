@@ -147,11 +147,16 @@ def test_clinical(spark, tmp_path):
 
 def test_expression(spark, tmp_path):
     (tmp_path / "m.tsv").write_text("transcript_id\tgene_id\tA\tB\tC\nt1\tg\t1\t3\t9\nt2\tg\tNA\t5\t1\n")
-    matrix = tables.read_matrix(text.read_lines(spark, str(tmp_path / "m.tsv")), ["transcript_id", "gene_id"])
-    attributes = spark.createDataFrame([("A", "Liver"), ("B", "Liver"), ("C", "Lung"), ("Z", "Spleen")], "SAMPID string, SMTSD string")
-    table = companions.tissue_table(matrix, attributes)
-    assert table.columns == ["transcriptId", "geneId", "liver", "lung"]
-    assert sorted(map(tuple, table.collect())) == [("t1", "g", 2.0, 9.0), ("t2", "g", 5.0, 1.0)]
+    lines = text.read_lines(spark, str(tmp_path / "m.tsv"))
+    matrix = tables.read_matrix(lines, ["transcript_id", "gene_id"])
+    attributes = spark.createDataFrame(
+        [("A", "Liver"), ("B", "Liver"), ("C", "Lung"), ("Z", "Spleen"), ("C", "Lung"), ("Q", None)], "SAMPID string, SMTSD string"
+    )
+    for table in (companions.tissue_table(lines, attributes), companions.tissue_table_long(matrix, attributes)):
+        assert table.columns == ["transcriptId", "geneId", "liver", "lung"]
+        assert sorted(map(tuple, table.collect())) == [("t1", "g", 2.0, 9.0), ("t2", "g", 5.0, 1.0)]
+    plan = companions.tissue_table(lines, attributes)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan") == 1 and "Exchange" not in plan and "Join" not in plan
     with pytest.raises(KeyError):
         X.tissue_columns(["Moon"])
     (tmp_path / "med.tsv").write_text("transcript_id\tgene_id\tLiver\nt1\tg\t1.5\n")

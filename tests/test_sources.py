@@ -1,4 +1,5 @@
 import gzip
+import json
 import random
 import re
 import struct
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from locusmill.functions.genotypes import format_call
 from locusmill.operators.cohort import Cohort, subset_cohort
 from locusmill.operators.lookups import in_range, within_intervals
+from locusmill.plans.cohort import annotate_consequences
 from locusmill.sources import tables, text, vcf
 
 HEADER = [
@@ -285,3 +287,55 @@ def test_malformed_lines_and_annotator_rejects(spark):
     vep = spark.createDataFrame([('{"input": "1\\t5\\t.\\tA\\tT,G"}',), ("no json",), ("{}",)], "value string")
     assert sorted(r.alt for r in tables.vep_by_variant(vep).collect()) == ["G", "T"]
     assert tables.vep_rejects(vep).count() == 2
+
+
+def test_matrix_means_of_ragged_and_odd_lines(spark):
+    rows = ["t\tg\tA\tB\tC\tD", "t1\tg1\t1\tNA\t3\tx", "t2\tg1\t2", "t3\tg1", "", "t1\tg1\t5\t6\t7\t8"]
+    lines = spark.createDataFrame([(x,) for x in rows], "value string")
+    assert [tuple(r) for r in tables.matrix_columns(lines, ["t", "g"]).orderBy("place").collect()] == list(enumerate("ABCD"))
+    means = tables.matrix_means(lines, ["t", "g"], {"one": [0, 1, 2], "two": [3], "none": [9]})
+    assert sorted((r.t, r.one, r.two, r.none) for r in means.collect()) == [("t1", 2.0, None, None), ("t1", 6.0, 8.0, None), ("t2", 2.0, None, None), ("t3", None, None, None)]
+    twice = lines.union(spark.createDataFrame([("t\tg\tB\tA",)], "value string"))
+    with pytest.raises(Exception, match="different headers"):
+        tables.matrix_columns(twice, ["t", "g"]).collect()
+
+
+def vep_line(asked, transcripts, worst="intron_variant", **others):
+    return json.dumps({"input": asked, "most_severe_consequence": worst, "transcript_consequences": transcripts, **others})
+
+
+def test_annotator_output_is_dealt_to_alleles(spark):
+    two = vep_line(
+        "chr1\t100\t.\tAT\tA,GT,*\t.\t.",
+        [
+            {"transcript_id": "a", "allele_num": 1, "consequence_terms": ["intron_variant", "stop_gained"]},
+            {"transcript_id": "b", "allele_num": 2, "consequence_terms": ["synonymous_variant"]},
+            {"transcript_id": "c", "consequence_terms": ["upstream_gene_variant"]},
+            {"transcript_id": "d", "allele_num": 3, "consequence_terms": ["frameshift_variant"]},
+        ],
+        "frameshift_variant",
+        intergenic_consequences=[{"allele_num": 2, "consequence_terms": ["missense_variant"]}],
+    )
+    one = vep_line("chr2\t5\t.\tCAA\tCA\t.\t.", [{"transcript_id": "e", "allele_num": 1, "consequence_terms": ["intron_variant"]}], "its own word")
+    none = vep_line("chr3\t7\t.\tG\tC,T\t.\t.", None)
+    lines = spark.createDataFrame([(x,) for x in (two, two, one, none, "no json", "{}")], "value string")
+    found = {
+        (r.contig, r.position, r.ref, r.alt): (r.vep.most_severe_consequence, [t.transcript_id for t in r.vep.transcript_consequences or []])
+        for r in tables.vep_by_variant(lines).collect()
+    }
+    assert found == {
+        ("chr1", 100, "AT", "A"): ("stop_gained", ["a", "c"]), ("chr1", 100, "A", "G"): ("missense_variant", ["b", "c"]),
+        ("chr2", 5, "CA", "C"): ("its own word", ["e"]), ("chr3", 7, "G", "C"): (None, []), ("chr3", 7, "G", "T"): (None, []),
+    }
+    assert tables.vep_by_variant(lines).count() == 5 and tables.vep_rejects(lines).count() == 2
+    # joined as lines, only what is asked for is parsed, and the row count stays
+    variants = spark.createDataFrame([("chr1", 100, "A", "G", 1), ("chr1", 100, "A", "G", 2), ("chr9", 1, "A", "G", 3)], "contig string, position int, ref string, alt string, k int")
+    rows = annotate_consequences(variants, lines).orderBy("k").collect()
+    assert [(r.k, r.vep and r.vep.most_severe_consequence) for r in rows] == [(1, "missense_variant"), (2, "missense_variant"), (3, None)]
+
+
+def test_of_several_lines_for_a_variant_one_is_taken_whole(spark):
+    lines = [vep_line("chr1\t5\t.\tA\tT", [{"transcript_id": f"t{i}", "consequence_terms": ["intron_variant"]}], f"w{i}") for i in range(6)]
+    frame = spark.createDataFrame([(x,) for x in lines], "value string")
+    found = [{(r.vep.most_severe_consequence, r.vep.transcript_consequences[0].transcript_id) for r in tables.vep_by_variant(f).collect()} for f in (frame, frame.repartition(5))]
+    assert found[0] == found[1] and len(found[0]) == 1 and [x[0][1:] == x[1][1:] for x in found[0]] == [True]
