@@ -6,7 +6,7 @@ probability of all ways of cutting it into pieces, summed by a forward pass; a t
 product of its words. Piece probabilities are fitted by expectation maximisation: the expected
 count of each piece over all cuts of the words of a bounded sample of labelled rows.
 
-Words of over ``WORD_CHARS`` characters are read as several of that length, so no pass is longer.
+Passes add logarithms, so that words of any length are read whole and keep their probabilities.
 """
 
 from __future__ import annotations
@@ -22,8 +22,7 @@ from locusmill.llm.pieces import SPACE, model_path
 from locusmill.llm.shared import batch, checksum, sampled, slices, table, written
 
 UNDETERMINED = "und"
-WORD_CHARS = 64
-WORDS = re.compile(r"[^\x20\x09-\x0D]{1,%d}" % (WORD_CHARS - 1))
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LETTER = re.compile(r"[^\W\d_]")
 #: Labelled rows of each language in the sample that the probabilities are fitted on.
 SAMPLE_ROWS = 800
@@ -106,39 +105,54 @@ class Lattice:
         """Log-probability of each word in each language, all cuts summed.
 
         ``table`` holds a row of probabilities for each piece, and a last one for a character
-        that is no piece. With ``backward``: also the edges and the expected count of each.
+        that is no piece. With ``backward``: also the word, piece and expected count of each edge.
         """
+        logs = np.log(table)
         first, start, size, piece = self.edges(words)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         word = np.repeat(np.arange(len(words)), lengths)
-        within = start - first[word[start]]
-        order = np.lexsort((within + size,))
         # a cell for each character and one for each word's end; the pass goes by distance from the start
         cell = start + word[start]
         target = cell + size
-        depth = within + size
-        forward = np.zeros((len(word) + len(words), table.shape[1]))
+        depth = start - first[word[start]] + size
         origin = first + np.arange(len(words))
-        forward[origin] = 1.0
-        cuts = np.searchsorted(depth[order], np.arange(1, lengths.max(initial=0) + 2))
-        steps = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        for step in steps:
-            step = step[np.argsort(target[step], kind="stable")]
-            to = target[step]
-            heads = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(to) else []
-            if len(to):
-                forward[to[heads]] = np.add.reduceat(forward[cell[step]] * table[piece[step]], heads)
+        forward = np.full((len(word) + len(words), table.shape[1]), -np.inf)
+        forward[origin] = 0.0
+        for step in _steps(depth, target):
+            to, heads = _groups(target[step])
+            forward[to] = _log_sums(forward[cell[step]] + logs[piece[step]], heads)
         total = forward[origin + lengths]
-        logs = np.log(np.maximum(total, 1e-300))
         if not backward:
-            return logs
-        back = np.zeros_like(forward)
-        back[origin + lengths] = 1.0
-        for step in reversed(steps):
+            return total
+        back = np.full_like(forward, -np.inf)
+        back[origin + lengths] = 0.0
+        for step in reversed(_steps(depth, cell)):
             # edges that end at this depth: their ends are whole, so pass them on to their starts
-            np.add.at(back, cell[step], back[target[step]] * table[piece[step]])
-        share = forward[cell] * table[piece] * back[target] / np.maximum(total, 1e-300)[word[start]]
-        return logs, word[start], piece, share
+            to, heads = _groups(cell[step])
+            back[to] = np.logaddexp(back[to], _log_sums(back[target[step]] + logs[piece[step]], heads))
+        share = np.exp(forward[cell] + logs[piece] + back[target] - total[word[start]])
+        return total, word[start], piece, share
+
+
+def _steps(depth: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+    """Edges by depth, those of a depth in order of ``end``."""
+    order = np.lexsort((end, depth))
+    return np.split(order, np.searchsorted(depth[order], np.arange(2, depth.max(initial=1) + 1)))
+
+
+def _groups(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values of a sorted array, and where each begins."""
+    heads = np.flatnonzero(np.append(True, ends[1:] != ends[:-1])) if len(ends) else np.zeros(0, np.int64)
+    return ends[heads], heads
+
+
+def _log_sums(values: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Logarithm of the sum of each group's exponentials."""
+    if not len(heads):
+        return values[:0]
+    top = np.maximum.reduceat(values, heads)
+    shifted = np.exp(values - np.repeat(top, np.diff(np.append(heads, len(values))), axis=0))
+    return top + np.log(np.add.reduceat(shifted, heads))
 
 
 @functools.lru_cache(maxsize=1)

@@ -1,16 +1,16 @@
 """Operator 6: SentencePiece byte-pair encoding and decoding, by vectorised merge rounds.
 
 Symbols of many units (a run of spaces with the word after it, or a newline) lie in flat numpy
-arrays. A round finds the smallest pair rank of every unit, merges the leftmost pair that has
-it in all units at once, and drops the merged symbols and the units in which no pair is left.
-One merge a round and unit is what the library does one after another, so the ids are the same.
-Units of over ``LONG_UNIT`` characters would need as many rounds as they have merges; they take
-the same merges from a heap.
+arrays. A round finds the smallest pair rank of every unit, merges the pairs that have it in all
+units at once, leftmost first where they overlap, and drops the merged symbols and the units in
+which no pair is left. The library merges one pair after another. That gives the same as long as
+no merge makes a pair of smaller rank, which the library would take first; so of the places in a
+unit only those up to the first such merge are merged in a round. A long unit has about as many
+rounds as there are ranks in it.
 """
 
 from __future__ import annotations
 
-import heapq
 import hashlib
 import re
 
@@ -23,7 +23,6 @@ from locusmill.llm.shared import batch, slices, table
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 UNITS = re.compile(r"\n| *[^ \n]+| +")
-LONG_UNIT = 256
 #: Encoded units that a task remembers. When there are more, it starts anew.
 REMEMBERED = 600_000
 NO_RANK = np.iinfo(np.int32).max
@@ -89,13 +88,13 @@ class Pieces:
         rank[last] = NO_RANK
         while len(flat):
             heads = np.flatnonzero(np.append(True, last[:-1]))
-            best = np.minimum.reduceat(rank << 32 | np.arange(len(rank)), heads)
-            live = best >> 32 != NO_RANK
-            keep = np.repeat(live, np.diff(np.append(heads, len(flat))))
-            if not live.all():
+            sizes = np.diff(np.append(heads, len(flat)))
+            lowest = np.repeat(np.minimum.reduceat(rank, heads), sizes)
+            keep = lowest != NO_RANK
+            if not keep.all():
                 done_unit.append(unit[~keep])
                 done_symbol.append(flat[~keep])
-            at = best[live] & 0xFFFFFFFF
+            at = self.in_turn(np.flatnonzero((rank == lowest) & keep), flat, unit, last, rank, merged)
             flat[at] = merged[at]
             last[at] = last[at + 1]
             keep[at + 1] = False
@@ -113,38 +112,28 @@ class Pieces:
         listed = symbols[order].astype(np.int64).tolist()
         return [listed[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
-    def merge_long(self, unit: str) -> list[int]:
-        """The same merges of one long unit, from a heap of pairs."""
-        symbols = [int(x) for x in self.first[np.frombuffer(unit.encode("utf-32-le"), np.uint32)]]
-        n = len(symbols)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap: list[tuple[int, int, int, int, int]] = []
-        ranks, merged = self.look_up(np.array(symbols[:-1], np.int64), np.array(symbols[1:], np.int64))
-        heap = [
-            (int(ranks[i]), i, symbols[i], symbols[i + 1], int(merged[i]))
-            for i in np.flatnonzero(ranks != NO_RANK).tolist()
-        ]
-        heapq.heapify(heap)
-        known: dict[tuple[int, int], tuple[int, int]] = {}
-        while heap:
-            _, i, a, b, into = heapq.heappop(heap)
-            j = after[i]
-            if symbols[i] != a or j >= n or symbols[j] != b:
-                continue
-            symbols[i], symbols[j] = into, -1
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-            for left, right in ((before[i], i), (i, after[i])):
-                if left >= 0 and right < n:
-                    pair = symbols[left], symbols[right]
-                    if pair not in known:
-                        r, m = self.look_up(np.array(pair[:1], np.int64), np.array(pair[1:], np.int64))
-                        known[pair] = int(r[0]), int(m[0])
-                    r, m = known[pair]
-                    if r != NO_RANK:
-                        heapq.heappush(heap, (r, left, *pair, m))
-        return [s for s in symbols if s >= 0]
+    def in_turn(self, at, flat, unit, last, rank, merged) -> np.ndarray:
+        """Of the places of the smallest rank, those that the library merges before any other."""
+        if len(at) < 2 or not (unit[at[1:]] == unit[at[:-1]]).any():
+            return at
+        # of places that overlap every other one, from the left
+        number = np.arange(len(at))
+        first = np.maximum.accumulate(np.where(np.append(True, np.diff(at) > 1), number, 0))
+        at = at[(number - first) % 2 == 0]
+        into, own = merged[at], unit[at]
+        # the pairs that a merge makes: to the right as it stands, to the left after earlier merges
+        right = ~last[at + 1]
+        after = np.full(len(at), NO_RANK, rank.dtype)
+        after[right] = self.look_up(into[right], flat[at[right] + 2])[0]
+        before = flat[at - 1]
+        merged_too = np.append(False, at[1:] == at[:-1] + 2)
+        before[merged_too] = into[np.flatnonzero(merged_too) - 1]
+        left = (at > 0) & (unit[at - 1] == own)
+        after[left] = np.minimum(after[left], self.look_up(before[left], into[left])[0])
+        hazard = np.cumsum(after <= rank[at])
+        earlier = np.append(0, hazard[:-1])
+        heads = np.maximum.accumulate(np.where(np.append(True, own[1:] != own[:-1]), np.arange(len(at)), 0))
+        return at[earlier == earlier[heads]]
 
     def ids(self, symbols: list[int]) -> list[int]:
         """Ids of symbols; a character without a piece is the pieces of its UTF-8 bytes."""
@@ -156,9 +145,7 @@ class Pieces:
         ]
 
     def encode_units(self, units: list[str]) -> list[list[int]]:
-        short = [u for u in units if len(u) <= LONG_UNIT]
-        found = dict(zip(short, self.merge_units(short), strict=True))
-        return [self.ids(found[u] if len(u) <= LONG_UNIT else self.merge_long(u)) for u in units]
+        return [self.ids(symbols) for symbols in self.merge_units(units)]
 
     def decode_unit(self, ids: list[int]) -> str:
         return b"".join([self.decoded[i] for i in ids]).decode("utf-8", "replace")
