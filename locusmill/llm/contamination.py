@@ -23,16 +23,21 @@ needs that many runs that items of its size have. Items so short that this says
 
 from __future__ import annotations
 
+import functools
 import itertools
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from locusmill.llm.blobs import opened
 from locusmill.llm.near import mixed
-from locusmill.llm.shared import batch, slices, table
+from locusmill.llm.shared import batch, fresh_folder, slices, table
 
 SIMILARITY = 0.8
 #: Words of a text or item; the alphabet of the edit distance.
@@ -44,8 +49,8 @@ DRAWS, PLACES, SEED = 64, 3, 11
 WHOLE, PIECE = 60, 48
 #: Windows that are embedded at once.
 WINDOWS = 1_000
-#: Text of the benchmark that one pass over the documents compares; there are as many passes as needed.
-PASS_BYTES = 16 << 20
+#: Text of a part of the benchmark, and of the documents that a task holds while it goes through the parts.
+PART_BYTES, HELD_BYTES = 4 << 20, 32 << 20
 U64 = np.uint64
 SALTS = mixed(np.arange(DRAWS, dtype=U64), 5)
 
@@ -130,7 +135,7 @@ def run_starts(at: np.ndarray, needed: int, n: int) -> np.ndarray:
 class Items:
     """A benchmark's items as word numbers, and their keys in each draw."""
 
-    def __init__(self, ids: list[int], texts: list[str | None]):
+    def __init__(self, ids: list[int | None], texts: list[str | None]):
         self.ids, self.number = ids, {}
         #: by size: the pieces, each an item and an offset in it
         self.by_size: dict[int, list[tuple[int, int]]] = {}
@@ -214,8 +219,8 @@ class Items:
                         break
         return hits
 
-    def found(self, texts: list[str | None]) -> list[list[int]]:
-        """Ids of the items in each text, in order."""
+    def found(self, texts: list[str | None]) -> list[list[int | None]]:
+        """Ids of the items in each text, in order; those without an id come last, as None."""
         listed = self.numbers(texts)
         sizes = np.array([len(x) for x in listed], np.int64)
         out: list[list[int]] = [[] for _ in texts]
@@ -225,57 +230,97 @@ class Items:
         first = np.repeat(np.cumsum(sizes) - sizes, sizes)
         text_at = {int(f): i for i, f in enumerate(np.cumsum(sizes) - sizes) if sizes[i]}
         for start, items in self.matches(np.concatenate(listed), first, ends).items():
-            out[text_at[start]] = sorted(self.ids[k] for k in items)
+            out[text_at[start]] = in_order(self.ids[k] for k in items)
         return out
 
 
-def _passes(benchmark: DataFrame) -> list[Items]:
-    """The benchmark in parts of at most about ``PASS_BYTES``, each small enough for every task."""
-    named = benchmark.where("item_id IS NOT NULL").select("item_id", "text")
-    total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-total // PASS_BYTES)
-    parts = []
-    for k in range(n):
-        part = named.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).orderBy("item_id", "text").toArrow()
-        parts.append(Items(part.column("item_id").to_pylist(), part.column("text").to_pylist()))
-    return parts
+def in_order(ids) -> list[int | None]:
+    return sorted(ids, key=lambda i: (i is None, i or 0))
+
+
+def _parts(benchmark: DataFrame) -> list[str]:
+    """Files of the benchmark's different items, of about ``PART_BYTES`` of text each, in the shared folder.
+
+    The driver gets their names alone.
+    """
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text IS NOT NULL").distinct()
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = -(-total // PART_BYTES)
+    if not n:
+        return []
+    folder = fresh_folder(spark, "benchmark-parts")
+    numbered = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)).cast("int"))
+    numbered.repartitionById(n, "part").sortWithinPartitions("item_id", "text").drop("part").write.parquet(folder)
+    return sorted(spark.read.parquet(folder).inputFiles())
+
+
+@functools.lru_cache(maxsize=1)
+def _loaded(file: str) -> Items:
+    """The items of a part. A worker keeps the last one, which is the only one of a small benchmark."""
+    store, path = opened(file)
+    with store.open_input_file(path) as source:
+        rows = pq.read_table(source)
+    return Items(rows.column("item_id").to_pylist(), rows.column("text").to_pylist())
+
+
+def _held(batches) -> Iterator[list[pa.RecordBatch]]:
+    """Parts of the batches with about ``HELD_BYTES`` of text together."""
+    held, size = [], 0
+    for part in slices(batches, "text"):
+        held.append(part)
+        size += pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
+        if size >= HELD_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _found(batches, files: list[str]) -> Iterator[tuple[pa.RecordBatch, list[list[int | None]]]]:
+    """Rows, and the ids of the items in each; one part of the benchmark is loaded at a time."""
+    for held in _held(batches):
+        hits: list[list[list[int | None]]] = [[[] for _ in range(len(part))] for part in held]
+        for file in files:
+            items = _loaded(file)
+            for own, part in zip(hits, held, strict=True):
+                for row, ids in zip(own, items.found(part.column("text").to_pylist()), strict=True):
+                    row.extend(ids)
+        for own, part in zip(hits, held, strict=True):
+            yield part, [in_order(ids) for ids in own]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, items``: for each row the ids of the items its whole text holds, in order.
+    """``doc_id, n_items, items``: for each row how many items its whole text holds, and the ids of
+    those that have one, in order.
 
     Null and empty texts hold nothing, and items without words are in nothing. Rows that repeat
-    give equal rows, and items that repeat are each named. Nothing is shuffled: a pass over the
-    documents takes a part of the benchmark of bounded size along.
+    give equal rows; items that agree in id and text are one, others are each counted. Nothing is
+    shuffled but the benchmark: each task goes through its parts, with one of them in memory.
     """
-    schema = "doc_id long, text string, items array<long>"
-    rows = docs.select("doc_id", "text", F.array().cast("array<bigint>").alias("items"))
-    for items in _passes(benchmark):
+    files = _parts(benchmark)
+    schema = "doc_id long, n_items long, items array<long>"
 
-        def run(batches, items=items):
-            for part in slices(batches, "text"):
-                found = items.found(part.column("text").to_pylist())
-                both = [sorted([*a, *b]) for a, b in zip(part.column("items").to_pylist(), found, strict=True)]
-                yield batch(schema, part.column("doc_id"), part.column("text"), both)
+    def run(batches):
+        for part, found in _found(batches, files):
+            named = [[i for i in ids if i is not None] for ids in found]
+            yield batch(schema, part.column("doc_id"), [len(ids) for ids in found], named)
 
-        rows = rows.mapInArrow(run, schema)
-    return rows.select("doc_id", "items")
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows whose text holds no item, with all their columns, whatever their names."""
-    rows = docs
-    for items in _passes(benchmark):
+    """The rows whose text holds no item, named or not, with all their columns, whatever their names."""
+    files = _parts(benchmark)
 
-        def run(batches, items=items):
-            for part in slices(batches, "text"):
-                found = items.found(part.column("text").to_pylist())
-                yield part.filter(pa.array([not f for f in found], pa.bool_()))
+    def run(batches):
+        for part, found in _found(batches, files):
+            yield part.filter(pa.array([not ids for ids in found], pa.bool_()))
 
-        rows = rows.mapInArrow(run, docs.schema)
-    return rows
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, n_items, items, contaminated`` of every whole text of ``documents``."""
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", F.size("items").cast("long").alias("n_items"), "items", (F.size("items") > 0).alias("contaminated"))
+    return found.select("doc_id", "n_items", "items", (F.col("n_items") > 0).alias("contaminated"))

@@ -159,26 +159,58 @@ def test_contamination_recall_at_the_limit():
     assert found >= 0.98 * tried
 
 
-def test_contamination_frames(spark, monkeypatch):
-    monkeypatch.setattr(contamination, "PASS_BYTES", 150)
+@pytest.mark.parametrize("part, held", [(150, 100), (1 << 20, 1 << 20)])
+def test_contamination_frames(spark, monkeypatch, part, held):
+    monkeypatch.setattr(contamination, "PART_BYTES", part)
+    monkeypatch.setattr(contamination, "HELD_BYTES", held)
     item = " ".join(f"q{i}" for i in range(20))
     benchmark = spark.createDataFrame(
-        [(1, item), (2, item), (3, None), (4, ""), (None, item), (5, "only three words"), (6, "one two three four five")], "item_id long, text string"
-    )
+        [(1, item, 0), (2, item, 0), (2, item, 1), (3, None, 0), (4, "", 0), (None, item, 0), (None, "an item without any id", 0), (5, "only three words", 0), (6, "one two three four five", 0)],
+        "item_id long, text string, doc_id int",
+    )
     rows = [
         (1, f"start. {item.upper()}, end", 0), (1, f"start. {item.upper()}, end", 0), (2, None, 0), (3, "", 0), (4, "three words only", 0),
         (None, "say: only THREE words!", 0), (5, "one two x four five", 0), (6, "clean " * 9000, 0), (7, item[: len(item) // 2], 0),
+        (8, "here is an item without any id", 0),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string, items int")
-    got = sorted(((r.doc_id, r["items"]) for r in contamination.contaminated(docs, benchmark).collect()), key=str)
-    want = [(1, [1, 2]), (1, [1, 2]), (2, []), (3, []), (4, []), (None, [5]), (5, [6]), (6, []), (7, [])]
+    found = contamination.contaminated(docs, benchmark)
+    got = sorted(((r.doc_id, r.n_items, r["items"]) for r in found.collect()), key=str)
+    want = [(1, 3, [1, 2]), (1, 3, [1, 2]), (2, 0, []), (3, 0, []), (4, 0, []), (None, 1, [5]), (5, 1, [6]), (6, 0, []), (7, 0, []), (8, 1, [])]
     assert got == sorted(want, key=str)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
     left = contamination.without_contaminated(docs, benchmark)
     assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [2, 3, 4, 6, 7]
-    assert contamination.contaminated(docs, benchmark.limit(0)).where("size(items) > 0").isEmpty()
+    assert contamination.contaminated(docs, benchmark.limit(0)).where("n_items > 0").isEmpty()
+    assert contamination.without_contaminated(docs, benchmark.limit(0)).count() == len(rows)
     assert contamination.contaminated(docs.limit(0), benchmark).collect() == []
 
 
+def test_contamination_in_many_parts_equals_one_part(spark, monkeypatch):
+    rng = random.Random(9)
+    vocabulary = [f"v{i}" for i in range(300)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randint(5, 80))) for _ in range(60)]
+    benchmark = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    docs = [(i, " ".join(rng.choices(vocabulary, k=30)) + " " + " ".join(rng.sample(texts, i % 4))) for i in range(40)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    one = sorted(map(tuple, contamination.contaminated(frame, benchmark).collect()))
+    monkeypatch.setattr(contamination, "PART_BYTES", 700)
+    assert len(contamination._parts(benchmark)) > 10
+    assert sorted(map(tuple, contamination.contaminated(frame, benchmark).collect())) == one and any(r[1] > 2 for r in one)
+
+
+def test_decontamination_query_against_brute_force(spark):
+    docs = {r.doc_id: r.text for r in shared.table(spark, SF_DIR, "documents").collect()}
+    items = {r.item_id: contamination.words_of(r.text) for r in shared.table(spark, SF_DIR, "benchmark").collect()}
+    rows = QUERIES["op3_decontamination"](spark, SF_DIR).collect()
+    assert {r.doc_id for r in rows} == set(docs)
+    assert all(r.n_items == len(r["items"]) and r.contaminated == (r.n_items > 0) for r in rows)
+    for r in rows[:40]:
+        words = contamination.words_of(docs[r.doc_id])[:400]
+        want = [i for i, w in items.items() if w and brute_edits(w, words) <= contamination.allowed(len(w))]
+        assert set(want) <= set(r["items"])
+
+
 def test_warc_round_trip(spark, monkeypatch):
     monkeypatch.setattr(warc, "BLOCK_LINES", 3)
     urls = ["http://a.example.com/x", "https://b.example.com:8080/y?q=1 2", None, "http://[bad", "http://a.example.com/x"]
