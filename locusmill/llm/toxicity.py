@@ -88,18 +88,24 @@ class Bags:
         return self.buckets[at], self.shares[at], np.repeat(np.arange(len(rows)), sizes)
 
 
-def weighed(labels: np.ndarray, ends: np.ndarray, buckets: np.ndarray, counts: np.ndarray) -> tuple[Bags, np.ndarray]:
-    """The bags with each bucket's share of its text, and the buckets' weights.
+def weighed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> tuple[Bags, np.ndarray]:
+    """Bags with each bucket's share of its text, and the buckets' weights.
 
-    A weight is the logarithm of one text in how many has the bucket; one that all texts have
-    tells nothing and weighs nothing.
+    ``parts`` hold labels, sizes of bags, and their buckets and counts. A weight is the logarithm
+    of one text in how many has the bucket; one that all texts have tells nothing and weighs
+    nothing. Work goes part by part, and each part's counts make room for its shares.
     """
-    n = len(labels)
-    weight = np.log((n + 1) / (np.bincount(buckets, minlength=BUCKETS) + 1)).astype(np.float32)
-    doc = np.repeat(np.arange(n), np.diff(ends, prepend=0))
-    share = (counts * weight[buckets]).astype(np.float32)
-    total = np.maximum(np.bincount(doc, share, n), 1e-9).astype(np.float32)
-    return Bags(labels, ends, buckets, share / total[doc]), weight
+    n = sum(len(p[0]) for p in parts)
+    texts = sum((np.bincount(p[2], minlength=BUCKETS) for p in parts), np.zeros(BUCKETS, np.int64))
+    weight = np.log((n + 1) / (texts + 1)).astype(np.float32)
+    shares = []
+    for _, sizes, buckets, counts in parts:
+        share = counts * weight[buckets]
+        doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        total = np.maximum(np.bincount(doc, share, len(sizes)), 1e-9).astype(np.float32)
+        shares.append((share / total[doc]).astype(np.float32))
+    labels, sizes, buckets = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    return Bags(labels, np.cumsum(sizes), buckets, np.concatenate(shares)), weight
 
 
 class Network:
@@ -127,23 +133,29 @@ class Network:
         return np.stack(by_vector, 1), mean.T @ error, error.sum(0)
 
 
-def train(bags: Bags) -> Network:
+def train(bags: Bags, own_order: np.ndarray | None = None) -> Network:
     """Vectors and softmax, trained together by gradient descent on small batches of bags.
 
     Rows weigh by the square root of how rare their class is, so that a rare class counts without
-    outvoting the common one. Bags must come in an order of their own, as batches go by it.
+    outvoting the common one. Batches are drawn from ``own_order``, an order of the bags that does
+    not depend on how they arrived.
     """
     net = Network(BUCKETS)
     classes = np.maximum(np.bincount(bags.labels, minlength=2), 1)
     row_weight = np.sqrt(classes.sum() / classes)[bags.labels]
     row_weight /= row_weight.mean()
     # only buckets that occur have gradients
-    kept, flat = np.unique(bags.buckets, return_inverse=True)
-    own = Bags(bags.labels, bags.ends, flat.astype(np.int32), bags.shares)
+    seen = np.zeros(BUCKETS, bool)
+    seen[bags.buckets] = True
+    kept = np.flatnonzero(seen)
+    place = np.zeros(BUCKETS, np.int32)
+    place[kept] = np.arange(len(kept))
+    own = Bags(bags.labels, bags.ends, place[bags.buckets], bags.shares)
     all_vectors, net.vectors = net.vectors, net.vectors[kept]
     rng, done = np.random.default_rng(SEED), 0
+    own_order = np.arange(len(bags.labels)) if own_order is None else own_order
     while done < STEPS:
-        order = rng.permutation(len(bags.labels))
+        order = own_order[rng.permutation(len(bags.labels))]
         for at in range(0, len(order), BATCH)[: STEPS - done]:
             rows, rate = order[at : at + BATCH], 1 - done / STEPS
             vectors, softmax, bias = net.gradients(*own.take(rows), bags.labels[rows], row_weight[rows])
@@ -156,12 +168,12 @@ def train(bags: Bags) -> Network:
     return net
 
 
-def model_of(bags: Bags, weight: np.ndarray) -> Model:
+def model_of(bags: Bags, weight: np.ndarray, own_order: np.ndarray | None = None) -> Model:
     """The trained model; of bags of one class, or of none, a model that always says that class (none: 0)."""
     if len(np.unique(bags.labels)) < 2:
         constant = 40.0 if len(bags.labels) and bags.labels[0] else -40.0
         return Model(np.zeros(BUCKETS), np.zeros(BUCKETS), constant)
-    net = train(bags)
+    net = train(bags, own_order)
     # n-grams that the sample lacks say nothing, but belong to the mean
     seen = np.zeros(BUCKETS, bool)
     seen[bags.buckets] = True
@@ -186,15 +198,18 @@ def _trained(bags: DataFrame) -> DataFrame:
     schema = "weight binary, gain binary, constant double"
 
     def run(batches):
-        held = [b for b in batches if len(b)]
-        if not held:
+        parts, digests = [], []
+        for part in batches:
+            lists = [part.column(c) for c in ("bucket", "times")]
+            sizes = lists[0].value_lengths().to_numpy(zero_copy_only=False)
+            # copies, so that the batch can go
+            parts.append((part.column("toxic").to_numpy(), sizes, *(x.flatten().to_numpy().copy() for x in lists)))
+            digests.append(part.column("digest").to_numpy())
+        if not parts:
             return
-        table = pa.Table.from_batches(held)
-        # rows arrive in any order; training goes by their content
-        table = table.sort_by([("digest", "ascending"), ("toxic", "ascending")]).combine_chunks()
-        columns = [table.column(c).combine_chunks() for c in ("toxic", "bucket", "times")]
-        labels, ends = columns[0].to_numpy(), np.cumsum(columns[1].value_lengths().to_numpy(zero_copy_only=False))
-        model = model_of(*weighed(labels, ends, *(c.flatten().to_numpy() for c in columns[1:])))
+        bags, weight = weighed(parts)
+        parts.clear()
+        model = model_of(bags, weight, np.lexsort([bags.labels, np.concatenate(digests)]))
         yield batch(schema, [model.weight.tobytes()], [model.gain.tobytes()], [model.constant])
 
     return bags.repartition(1).mapInArrow(run, schema)

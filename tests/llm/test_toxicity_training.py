@@ -16,7 +16,11 @@ def small_bags(n=40, seed=3):
     rng = random.Random(seed)
     found = [toxicity.bag(" ".join(rng.choices(["stone", "river", "vexhollow", "vexhollows", "lamp"], k=5))) for _ in range(n)]
     labels = np.array([rng.randrange(2) for _ in range(n)])
-    return toxicity.weighed(labels, np.cumsum([len(f[0]) for f in found]), *(np.concatenate(c) for c in zip(*found, strict=True)))
+    parts = [found[: n // 3], found[n // 3 :]]
+    cut = np.split(labels, [n // 3])
+    return toxicity.weighed(
+        [(y, np.array([len(f[0]) for f in p]), *(np.concatenate(c) for c in zip(*p, strict=True))) for y, p in zip(cut, parts, strict=True)]
+    )
 
 
 def test_ngrams_of_long_words_are_those_of_the_whole_word():
@@ -31,6 +35,14 @@ def test_ngrams_of_long_words_are_those_of_the_whole_word():
     assert len({tuple(v) for v in alone.values()}) == 1 and len(set(bucket.tolist())) >= len(want) - 2
 
 
+def test_shares_add_up_and_weights_are_inverse_frequencies():
+    bags, weight = small_bags()
+    starts = np.concatenate([[0], bags.ends[:-1]])
+    assert np.allclose(np.add.reduceat(bags.shares, starts), 1, atol=1e-5)
+    texts = np.bincount(bags.buckets, minlength=toxicity.BUCKETS)
+    assert np.allclose(weight, np.log(41 / (texts + 1)))
+
+
 def test_gradients_equal_differences_of_the_loss():
     bags, weight = small_bags()
     net, rows = toxicity.Network(toxicity.BUCKETS), np.arange(20)
