@@ -197,9 +197,10 @@ def group_labels(spark: SparkSession, pops: list[str] = POPULATIONS) -> DataFram
     return spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in labels])).alias("label")).withColumn("tag", F.col("label"))
 
 
-def with_frequencies(sites: DataFrame, wide: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach frequencies; a site without any entry gets zero counts and no frequency."""
-    counts = [c for c in wide.columns if c not in keys and not c.startswith("AF_")]
+def with_frequencies(sites: DataFrame, wide: DataFrame, keys: list[str], *others: str) -> DataFrame:
+    """Attach frequencies; a site without any entry gets zero counts and no frequency. ``others``
+    are columns of ``wide`` that are no counts."""
+    counts = [c for c in wide.columns if c not in [*keys, *others] and not c.startswith("AF_")]
     return sites.join(wide, keys, "left").fillna(0, subset=counts)
 
 

@@ -41,6 +41,16 @@ def histogram_names(with_calls: bool = True, with_adj: bool = True, measures=("g
     return names + ([f"{n}_adj" for n in names] if with_adj else [])
 
 
+def entry_measures(with_calls: bool = True, measures=("gq", "dp", "ab")) -> dict[str, Column]:
+    """The measured values of an entry; the balance of het calls alone."""
+    values = {"gq": F.col("GQ"), "dp": F.col("DP")}
+    if with_calls:
+        depths = [F.coalesce(F.get("AD", F.lit(i)), F.lit(0)) for i in (0, 1)]
+        ratio = F.try_divide(F.get("AD", F.lit(1)), depths[0] + depths[1])
+        values["ab"] = F.when(G.is_het(F.col("GT")), ratio)
+    return {m: values[m] for m in measures if m in values}
+
+
 def quality_bins(entries: DataFrame, keys: list[str], with_calls: bool = True, with_adj: bool = True,
                  measures=("gq", "dp", "ab")) -> DataFrame:
     """Counts per variant, measure and bin, for all four sample selections at once.
@@ -49,16 +59,10 @@ def quality_bins(entries: DataFrame, keys: list[str], with_calls: bool = True, w
     the counts are combined before the shuffle: a task sends 22 bins per measure at most.
     """
     gt = F.col("GT")
-    values = {"gq": F.col("GQ"), "dp": F.col("DP")}
-    if with_calls and "ab" in measures:
-        depths = [F.coalesce(F.get("AD", F.lit(i)), F.lit(0)) for i in (0, 1)]
-        ratio = F.try_divide(F.get("AD", F.lit(1)), depths[0] + depths[1])
-        values["ab"] = F.when(G.is_het(gt), ratio)
     pairs = F.array(
         *[
-            F.struct(F.lit(m).alias("measure"), bin_number(values[m], *MEASURES[m]).alias("bin"))
-            for m in measures
-            if m in values
+            F.struct(F.lit(m).alias("measure"), bin_number(value, *MEASURES[m]).alias("bin"))
+            for m, value in entry_measures(with_calls, measures).items()
         ]
     )
     non_ref = F.coalesce(G.is_non_ref(gt), F.lit(False)) if with_calls else F.lit(False)
@@ -131,6 +135,11 @@ def _bundle(names: list[str], counts) -> str:
     return "named_struct(" + ", ".join(f"'{n}', {histogram(n)}" for n in names) + ")"
 
 
+def dense_bundle() -> str:
+    """SQL of the whole bundle from the maps ``_gq``, ``_dp`` and ``_ab`` of bins."""
+    return _bundle(histogram_names(), _dense)
+
+
 def _dense(name: str) -> tuple[str, str, str]:
     measure, selection = _count_column(name)
     count = lambda key: f"coalesce(_{measure}[{key}].`{selection}`, 0L)"

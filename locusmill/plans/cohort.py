@@ -16,6 +16,7 @@ from locusmill.operators.lookups import (
     variant_lookup,
 )
 from locusmill.operators.reshape import search_row
+from locusmill.operators.statistics import variant_statistics
 from locusmill.sinks.scratch import stored
 from locusmill.sources.tables import parsed_vep, vep_lines_by_variant
 from locusmill.vocabulary import POPULATIONS
@@ -50,19 +51,17 @@ def prepare_entries(cohort: C.Cohort) -> DataFrame:
 def count_variants(cohort: C.Cohort, entries: DataFrame, pops: list[str]) -> DataFrame:
     """Split sites with flat frequency fields in ``info`` and the histogram bundle.
 
-    Both aggregations end partitioned by variant, so the joins back to the sites move only the
-    sites. Sites without entries keep their row with zero counts.
+    Frequencies and histograms come from one aggregation of the entries, which ends partitioned by
+    variant, so the join back to the sites moves only the sites. Sites without entries keep their
+    row with zero counts.
     """
     sites = (
         cohort.sites.transform(C.add_site_allele_data).transform(C.split_sites).transform(C.add_allele_type)
     )
-    wide = FQ.frequencies_wide(entries, KEYS, pops)
-    counted = FQ.with_frequencies(sites, wide, KEYS)
-    hists = H.quality_histograms(entries, KEYS)
-    counted = counted.join(hists, KEYS, "left").withColumn(
+    counted = FQ.with_frequencies(sites, variant_statistics(entries, KEYS, pops), KEYS, "raw_qual_hists").withColumn(
         "raw_qual_hists", F.coalesce("raw_qual_hists", H.empty_histograms(H.histogram_names()))
     )
-    flat = [c for c in wide.columns if c not in KEYS]
+    flat = [c for c in counted.columns if c not in sites.columns and c != "raw_qual_hists"]
     return counted.withColumn("info", _with_fields("info", counted, flat)).drop(*flat)
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from locusmill.functions import genotypes as G
 from locusmill.operators import frequencies as FQ
 from locusmill.operators import histograms as H
+from locusmill.operators.statistics import variant_statistics
 
 
 @pytest.fixture
@@ -142,3 +143,30 @@ def test_regrouped_edges(spark):
     row = hists.select(*H.regrouped()).first()
     assert row.allele_balance.alt_raw.bin_edges[3] == 0.15
     assert row.genotype_depth.all_raw.bin_freq == hists.first().raw_qual_hists.dp_hist_all.bin_freq
+
+
+def test_fused_statistics_equal_frequencies_and_histograms(spark):
+    """One aggregation against the two that it stands for, over odd and random entries."""
+    import random
+
+    draw = random.Random(11)
+    rows = [
+        (
+            draw.randint(0, 9), draw.randint(1, 2), draw.choice(["0/1", "1/1", "0/0", "./.", "1", "0", "1|0"]),
+            draw.choice([None, [], [5], [draw.randint(0, 9), draw.randint(0, 9)], [0, 0], [None, 3]]),
+            draw.choice([None, 0, 7, 100, 101, 250]), draw.choice([None, -1, 0, 50, 99, 100, 101]), draw.choice([True, False, None]),
+            draw.choice(["afr", "eas", "xyz", None]), draw.choice(["Yes", "No", None]), draw.choice(["M", "F", "U", None]),
+        )
+        for _ in range(600)
+    ]
+    schema = "site_id int, a_index int, t string, AD array<int>, DP int, GQ int, adj boolean, pop string, proband string, sex string"
+    entries = spark.createDataFrame(rows, schema).withColumn("GT", G.parse_call(F.col("t")))
+    pops = ["afr", "eas"]
+    fused = {(r.site_id, r.a_index): r.asDict(True) for r in variant_statistics(entries, KEYS, pops).collect()}
+    wide = FQ.frequencies_wide(entries, KEYS, pops)
+    for r in wide.join(H.quality_histograms(entries, KEYS), KEYS, "left").collect():
+        want = r.asDict(True)
+        assert fused[r.site_id, r.a_index] == want
+    assert len(fused) == wide.count() and variant_statistics(entries, KEYS, pops).columns == [*wide.columns, "raw_qual_hists"]
+    plan = variant_statistics(entries, KEYS, pops)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode") == 1 and "Join" not in plan
