@@ -959,6 +959,28 @@ def cohort_variants(spark, sf):
     )
 
 
+@query
+def cohort_from_text(spark, sf):
+    """The whole product from files, for some of the samples."""
+    reference = V.combined_reference(spark, sf)
+    row = cohort_plan.cohort_from_text(
+        spark, V.written_text(V.vcf_lines(spark, sf), "cohort-calls"), V.written_text(V.call_set_sheet(spark, sf), "cohort-sheet", one_file=True),
+        reference.select(*L.VARIANT_KEYS, "rsid"), reference, V.written_text(V.annotator_output(spark, sf), "cohort-notes"),
+        V.written_text(V.requested_list(spark, sf), "cohort-list", one_file=True),
+        block_gzip=False, drop_matching="MONOALLELIC", skip_invalid_loci=True,
+    )
+    return row.select(
+        "variant_id", "chrom", "pos", "ref", "alt", "qual", "rsid",
+        *["AC", "AN", "AF", "nhomalt", "AC_raw", "AN_raw", "nhomalt_raw", "AC_proband", "AC_male", "AN_female"],
+        F.col(f"AC_adj.{POPULATIONS[1]}").alias("AC_second"),
+        F.size(F.array(*[F.col(f"AN_adj.{c}") for c in row.schema["AN_adj"].dataType.names])).alias("n_pops"),
+        F.col("in_silico_predictors.cadd").alias("cadd"),
+        F.col("in_silico_predictors.revel").alias("revel"),
+        _joined(F.col("genotype_depth.all_raw.bin_freq").cast("array<string>")).alias("dp_all_raw"),
+        F.col("sortedTranscriptConsequences").isNotNull().alias("annotated"),
+    )
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested search-ready rows themselves."""
     return _cohort_variants(spark, sf_dir)

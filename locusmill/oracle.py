@@ -637,3 +637,26 @@ LEFT JOIN reference ref_row ON ref_row.contig = h.contig AND ref_row.position =
 LEFT JOIN variant_flag f ON f.rid = asked_id LEFT JOIN counts ON counts.rid = asked_id
 LEFT JOIN ranked r ON r.rid = asked_id AND r.transcript_rank = 0
 LEFT JOIN gene_flag gf ON gf.rid = r.rid AND gf.gene_id = r.gene_id"""
+_LINES = VCF.replace("vcf AS (SELECT", "vcf AS MATERIALIZED (SELECT row_number() OVER () AS line_id,")
+ORACLE["cohort_from_text"] = _with(
+    _LINES, """kept AS (SELECT * FROM sample_call WHERE i <> 2),
+carrier AS (SELECT line_id FROM kept GROUP BY line_id HAVING bool_or(NOT no_call AND (NOT hap OR g0 > 0))),
+alternate AS (SELECT line_id, key, q, contig, position, alleles, alleles[1] AS ref, alleles[a + 1] AS alt, CAST(a AS BIGINT) AS a_index
+  FROM good JOIN carrier USING (line_id), unnest(range(1, n_alts + 1)) AS u(a) WHERE alleles[a + 1] <> '*')""",
+    _minimal("alternate", "variant"), f"""coded AS (SELECT v.line_id, a_index, i, no_call, hap, CASE WHEN NOT only_gt THEN q + ep % 50 END AS dp, CASE WHEN NOT only_gt THEN (ep + i) % 100 END AS gq,
+  CAST(g0 = a_index AS BIGINT) AS d0, CASE WHEN NOT hap THEN CAST(n_alts = a_index AS BIGINT) END AS d1,
+  CASE WHEN NOT only_gt THEN CASE a_index WHEN 1 THEN CASE WHEN (q + i) % 7 <> 0 THEN ep % 50 + i END ELSE ep % 9 END END AS ad_alt
+  FROM (SELECT line_id, a_index FROM variant) v JOIN kept USING (line_id)),
+fact AS (SELECT *, NOT no_call AND gq >= 20 AND dp >= 10 AND (hap OR d0 = d1 OR coalesce(ad_alt / dp >= 0.2, false)) AS adj,
+  CASE WHEN no_call THEN 0 ELSE d0 + coalesce(d1, 0) END AS ac, CASE WHEN no_call THEN 0 WHEN hap THEN 1 ELSE 2 END AS an,
+  CASE WHEN NOT no_call AND d0 = 1 AND d1 = 1 THEN 1 ELSE 0 END AS hom FROM coded),
+counted AS (SELECT line_id, a_index, coalesce(sum(ac) FILTER (adj), 0)::BIGINT AS AC, coalesce(sum(an) FILTER (adj), 0)::BIGINT AS AN, coalesce(sum(hom) FILTER (adj), 0)::BIGINT AS nhomalt,
+  sum(ac)::BIGINT AS AC_raw, sum(an)::BIGINT AS AN_raw, sum(hom)::BIGINT AS nhomalt_raw, coalesce(sum(ac) FILTER (adj AND i = 0), 0)::BIGINT AS AC_proband,
+  coalesce(sum(ac) FILTER (adj AND i % 2 = 0), 0)::BIGINT AS AC_male, coalesce(sum(an) FILTER (adj AND i % 2 = 1), 0)::BIGINT AS AN_female,
+  coalesce(sum(ac) FILTER (adj AND i = 1), 0)::BIGINT AS AC_second, list(dp) FILTER (dp IS NOT NULL) AS depths FROM fact GROUP BY line_id, a_index)""", SITE, REFERENCE) + f"""
+SELECT replace(v.contig, 'chr', '') || '-' || v.position || '-' || v.ref || '-' || v.alt AS variant_id, replace(v.contig, 'chr', '') AS chrom, v.position AS pos, v.ref, v.alt,
+  CASE WHEN q % 6 > 0 THEN CAST(q AS DOUBLE) END AS qual, r.rsid, AC, AN, AC / nullif(AN, 0) AS AF, nhomalt, AC_raw, AN_raw, nhomalt_raw, AC_proband, AC_male, AN_female, AC_second, 4 AS n_pops,
+  CAST(r.cadd AS DOUBLE) AS cadd, CASE WHEN r.p_size % 2 > 0 THEN r.p_size / 256 END AS revel, array_to_string(list_transform(range(20), lambda b: len(list_filter(coalesce(depths, []), lambda d: d // 5 = b))), ',') AS dp_all_raw,
+  s.site_id IS NOT NULL AS annotated
+FROM variant v JOIN counted USING (line_id, a_index) LEFT JOIN reference r ON r.contig = v.contig AND r.position = v.position AND r.ref = v.ref AND r.alt = v.alt
+LEFT JOIN site s ON s.site_id = v.key AND s.site_id % 6 <> 5 AND s.position = v.position AND s.alleles[1] = v.ref AND s.alleles[2] = v.alt"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusmill.operators import cohort as C
@@ -18,11 +18,20 @@ from locusmill.operators.lookups import (
 from locusmill.operators.reshape import search_row
 from locusmill.operators.statistics import variant_statistics
 from locusmill.sinks.scratch import stored
-from locusmill.sources.tables import parsed_vep, vep_lines_by_variant
+from locusmill.sources.tables import parsed_vep, read_table, vep_lines_by_variant
+from locusmill.sources.text import read_lines
+from locusmill.sources.vcf import read_cohort, read_header
 from locusmill.vocabulary import POPULATIONS
 
 KEYS = ["site_id", "a_index"]
 PREDICTORS = ["splice_ai", "primate_ai", "cadd", "revel"]
+# Where a combined reference table holds the scores.
+PREDICTOR_SOURCES = {
+    "splice_ai": "splice_ai.delta_score",
+    "primate_ai": "primate_ai.score",
+    "cadd": "cadd.PHRED",
+    "revel": "dbnsfp.REVEL_score",
+}
 
 
 def sample_sheet(meta: DataFrame) -> DataFrame:
@@ -70,6 +79,11 @@ def _with_fields(struct: str, frame: DataFrame, added: list[str]) -> Column:
     return F.struct(*[F.col(f"{struct}.`{n}`").alias(n) for n in old], *added)
 
 
+def predictor_columns(reference: DataFrame, sources: dict[str, str] = PREDICTOR_SOURCES) -> DataFrame:
+    """Locus, alleles and one column per predictor, from the fields of a combined reference table."""
+    return reference.select(*VARIANT_KEYS, *[F.col(path).alias(name) for name, path in sources.items()])
+
+
 def annotate_reference(variants: DataFrame, rsids: DataFrame, predictors: DataFrame) -> DataFrame:
     """rsid and predictor scores by locus and alleles."""
     known = variant_lookup(variants.drop("rsid"), rsids, ["rsid"])
@@ -131,3 +145,36 @@ def cohort_variants(
     counted = count_variants(cohort, entries, pops)
     annotated = counted.transform(annotate_reference, rsids, predictors).transform(annotate_consequences, vep)
     return annotated.transform(export_projection).transform(search_row)
+
+
+def cohort_from_text(
+    spark: SparkSession,
+    calls: str,
+    sheet: str,
+    rsids: DataFrame,
+    reference: DataFrame,
+    annotations: str,
+    requested: str | None = None,
+    build: str = "38",
+    block_gzip: bool = True,
+    dictionary: DataFrame | None = None,
+    drop_matching: str | None = None,
+    skip_invalid_loci: bool = False,
+    sources: dict[str, str] = PREDICTOR_SOURCES,
+    store: str | None = None,
+) -> DataFrame:
+    """The whole product from files: VCF text, a sample sheet, annotator lines and a list of samples.
+
+    ``requested`` names a table with a column ``s``. Lines in which none of its samples carries an
+    alternate go before any genotype is made a row, and of the others only its samples are read.
+    ``rsids`` and ``reference`` are tables by locus and alleles; ``sources`` says which fields of
+    the reference are the predictors.
+    """
+    wanted = None if requested is None else read_table(spark, requested).select("s")
+    cohort = read_cohort(
+        read_lines(spark, calls, block_gzip, drop_matching), read_header(spark, calls, block_gzip), build,
+        skip_invalid_loci=skip_invalid_loci, dictionary=dictionary, requested=wanted,
+    )
+    people = sample_sheet(read_table(spark, sheet))
+    notes = read_lines(spark, annotations)
+    return cohort_variants(cohort, people, rsids, predictor_columns(reference, sources), notes, store=store)

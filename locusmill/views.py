@@ -445,10 +445,11 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vcf_header(spark, sf_dir).union(computed_once(data, "value"))
 
 
-def written_text(lines: DataFrame, label: str) -> str:
-    """The lines as text files in a folder of their own; its path."""
+def written_text(lines: DataFrame, label: str, one_file: bool = False) -> str:
+    """The lines as text files in a folder of their own; its path. Short tables go to one file, header first."""
     folder = fresh_folder(lines.sparkSession, label)
-    lines.select("value").write.text(folder)
+    rows = lines.select("value")
+    (rows.coalesce(1) if one_file else rows).write.text(folder)
     return folder
 
 
@@ -499,3 +500,34 @@ def clinical_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select(F.explode(_strings(CLINICAL_HEADER)).alias("value")).union(rows).union(
         found.where("site_id % 100 = 0").select(text(F.lit("NW_0001")))
     )
+
+
+def call_set_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the sample sheet of :func:`vcf_lines`, a sample per region."""
+    r = F.col("r_regionkey")
+    fields = [
+        F.concat(F.lit("S"), r.cast("string")), F.get(_strings(POPULATIONS), r.cast("int")),
+        F.when(r % 2 == 0, "M").otherwise("F"), F.when(r == 0, "Yes").otherwise("No"),
+    ]
+    regions = table(spark, sf_dir, "region")
+    header = regions.where("r_regionkey = 0").select(F.lit("ID\tEthnicity\tSex\tProband").alias("value"))
+    return header.union(regions.select(F.concat_ws("\t", *fields).alias("value")))
+
+
+def requested_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a list of samples: those of all regions but one, and one that the call set lacks."""
+    regions = table(spark, sf_dir, "region")
+    name = F.when(F.col("r_regionkey") == 2, "nobody").otherwise(F.concat(F.lit("S"), F.col("r_regionkey").cast("string")))
+    return regions.where("r_regionkey = 0").select(F.lit("s").alias("value")).union(regions.select(name.alias("value")))
+
+
+def combined_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference rows as one table with a struct for each source of scores."""
+    rows = reference_rows(spark, sf_dir)
+    return rows.select(
+        "contig", "position", "ref", "alt", "rsid",
+        F.struct(F.col("splice_ai").alias("delta_score"), F.lit("x").alias("consequence")).alias("splice_ai"),
+        F.struct(F.col("primate_ai").alias("score")).alias("primate_ai"),
+        F.struct(F.col("cadd").alias("PHRED")).alias("cadd"),
+        F.struct(F.col("revel").alias("REVEL_score")).alias("dbnsfp"),
+    )
