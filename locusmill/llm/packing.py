@@ -5,10 +5,10 @@ projects to four numbers. Each is mapped to equal shares of a normal distributio
 bits, and the four are the cell of a grid through which a Hilbert curve runs. Texts with like
 words have near cells, and cells that are close on the curve are close in the grid.
 
-Documents are sorted by their place on the curve, in ranges, and laid end to end: the tokens
-before a document are those before it in its range and those of all ranges before. A sequence is
-the next ``LENGTH`` tokens of that line, so only the last one of all is not full. A document that
-lies across the border of sequences is cut there.
+Documents are sorted by their place on the curve, in ranges, and those of a range are laid end to
+end. A sequence is the next ``LENGTH`` tokens of that line, and a document that lies across the
+border of sequences is cut there. What is left of a range, less than a sequence, is cut at powers
+of two, which need no padding. So nothing is padded, and a range has a dozen short sequences at most.
 """
 
 from __future__ import annotations
@@ -20,11 +20,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusmill.llm.near import mixed
-from locusmill.llm.shared import batch, slices, table, written
+from locusmill.llm.shared import batch, slices, table
 
 VOCABULARY = "word_bpe_49k.json"
 #: Put after each document.
@@ -32,10 +32,9 @@ END = 2
 LENGTH = 4096
 #: Places of the hashed vector, dimensions of the grid, and bits of each.
 PLACES, DIMENSIONS, BITS, SEED = 256, 4, 15, 13
-#: Words whose ids a task remembers (when there are more, it starts anew), and words encoded at once.
-REMEMBERED, WORDS_AT_ONCE = 800_000, 200
-#: Bytes of text whose ids are gathered at once; small arrays are used again, large ones cost more to get.
-AT_ONCE = 1 << 20
+#: Bytes of text whose different words are encoded at once, words that one call of the library
+#: gets, and words whose ids are gathered at once: small arrays are used again, large ones cost more.
+AT_ONCE, WORDS_AT_ONCE, GATHERED = 32 << 20, 200, 1 << 16
 #: A full stop or comma behind a letter or digit that ends a word.
 TAIL = "([0-9A-Za-zß-öø-ÿ])[.,]$"
 #: Fixed value: the vocabulary's control string that stands between words encoded at once.
@@ -54,7 +53,7 @@ def vocabulary_path() -> str:
 
 class Encoder:
     """Ids of texts. The vocabulary drops white space and no token reaches over it, so that a
-    text's ids are those of its words one after another; words are encoded once and remembered."""
+    text's ids are those of its words one after another; each different word is encoded once."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -62,11 +61,25 @@ class Encoder:
         # a task has one core; threads of the library's own would only take turns on it
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
+        self.between = self.tokenizer.token_to_id(BETWEEN)
 
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.ends = np.zeros(0, np.uint16), np.zeros(1, np.int64)
+    def run(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and how many each text has."""
+        listed = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = listed.flatten().dictionary_encode()
+        stems, tails = (part.dictionary_encode() for part in _parted(coded.dictionary))
+        flat, sizes = self._encoded([*stems.dictionary.to_pylist(), *tails.dictionary.to_pylist()])
+        starts = np.cumsum(sizes) - sizes
+        both = np.stack([stems.indices.to_numpy(), tails.indices.to_numpy() + len(stems.dictionary)], 1)
+        numbers, ids = coded.indices.to_numpy(), [np.zeros(0, np.uint16)]
+        for at in range(0, len(numbers), GATHERED):
+            word = both[numbers[at : at + GATHERED]].reshape(-1)
+            n = sizes[word]
+            place = np.repeat(starts[word] - (np.cumsum(n) - n), n)
+            ids.append(flat[place + np.arange(len(place))])
+        ends = np.cumsum(np.append(0, sizes[both].sum(1)[numbers]))
+        words = np.cumsum(np.append(0, pc.list_value_length(listed).to_numpy(zero_copy_only=False)))
+        return np.concatenate(ids), np.diff(ends[words])
 
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, and how many each word has.
@@ -74,7 +87,6 @@ class Encoder:
         Words go through the library by the hundred, a control string between them; those that
         hold that string themselves go alone.
         """
-        between = self.tokenizer.token_to_id(BETWEEN)
         groups: list[list[str]] = [[]]
         for word in words:
             if BETWEEN in word:
@@ -83,45 +95,19 @@ class Encoder:
                 if len(groups[-1]) == WORDS_AT_ONCE:
                     groups.append([])
                 groups[-1].append(word)
-        ids, sizes = [], []
+        ids, sizes = [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)]
         for group in filter(None, groups):
             (found,) = self.tokenizer.encode_batch_fast([BETWEEN.join(group)], add_special_tokens=False)
             each = np.array(found.ids, np.uint16)
             if BETWEEN in group[0]:
                 ids.append(each)
-                sizes.append([len(each)])
+                sizes.append(np.array([len(each)]))
             else:
-                at = np.flatnonzero(each == between)
-                ids.append(np.delete(each, at))
-                sizes.append(np.diff(at, prepend=-1, append=len(each)) - 1)
+                word = each != self.between
+                ids.append(each[word])
+                sizes.append(np.diff(np.flatnonzero(~word), prepend=-1, append=len(each)) - 1)
         return np.concatenate(ids), np.concatenate(sizes)
 
-    def run(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, and how many each text has."""
-        if len(self.known) > REMEMBERED:
-            self.forget()
-        listed = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        coded = listed.flatten().dictionary_encode()
-        stems, tails = _parted(coded.dictionary)
-        stems, tails = stems.dictionary_encode(), tails.dictionary_encode()
-        both = [self._numbers(x.dictionary.to_pylist())[x.indices.to_numpy()] for x in (stems, tails)]
-        word = np.stack(both, 1)[coded.indices.to_numpy()].reshape(-1)
-        first, sizes = self.ends[word], self.ends[word + 1] - self.ends[word]
-        stops = np.cumsum(sizes)
-        ids = self.flat[np.arange(sizes.sum()) + np.repeat(first - (stops - sizes), sizes)]
-        owner = np.repeat(np.arange(len(texts)), 2 * pc.list_value_length(listed).to_numpy(zero_copy_only=False))
-        return ids, np.bincount(owner, sizes, len(texts)).astype(np.int64)
-
-    def _numbers(self, words: list[str]) -> np.ndarray:
-        """Numbers of words, whose ids are known afterwards."""
-        new = [w for w in words if w not in self.known]
-        if new:
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-            ids, sizes = self._encoded(new)
-            self.flat = np.concatenate([self.flat, ids])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-
 
 def _parted(words: pa.Array) -> tuple[pa.Array, pa.Array]:
     """Words as stems and what follows them, so that fewer have to be encoded.
@@ -249,64 +235,92 @@ def tokenised(docs: DataFrame, path: str, bounds: np.ndarray) -> DataFrame:
 
 #: Bytes of an id while documents are sorted.
 TOKENS_16 = 2
+PIECES = "doc_id long, start long, doc_tokens long, sequence_id long, offset long, length long, ids binary"
 
 
-def along_curve(tokens: DataFrame, ranges: int) -> DataFrame:
-    """``range, before, doc_id, n, ids`` in order of the curve; ``before`` counts the tokens before a
-    document in its range. Ties are sorted by id and row, so that equal texts fill no range alone."""
-    schema = "range int, before long, doc_id long, n long, ids binary"
+class Line:
+    """A range's documents end to end, cut into sequences as they come.
+
+    The pieces of the sequence that is not full yet are held back: if the range ends there, they
+    are cut once more.
+    """
+
+    def __init__(self, number: int, length: int):
+        self.number, self.length = number, length
+        self.full, self.used, self.held = 0, 0, []
+
+    def add(self, part: pa.RecordBatch) -> list[tuple]:
+        """Pieces of the sequences that the documents fill."""
+        n, names, data = part.column("n").to_numpy(), part.column("doc_id").to_pylist(), part.column("ids")
+        first = self.used + np.cumsum(n) - n
+        count = (first + n - 1) // self.length - first // self.length + 1
+        doc = np.repeat(np.arange(len(part)), count)
+        sequence = first[doc] // self.length + np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+        start = np.maximum(sequence * self.length, first[doc])
+        stop = np.minimum((sequence + 1) * self.length, first[doc] + n[doc])
+        wide = [np.frombuffer(x.as_buffer(), "<u2").astype(TOKENS) for x in data]
+        made = [
+            (names[d], a, int(n[d]), s, o, wide[d][a : a + size])
+            for d, a, s, o, size in zip(doc.tolist(), (start - first[doc]).tolist(), sequence.tolist(), (start % self.length).tolist(), (stop - start).tolist(), strict=True)
+        ]
+        total = self.used + int(n.sum())
+        filled = total // self.length
+        done = [(*p[:3], self.full + p[3], *p[4:]) for p in self.held + made if p[3] < filled]
+        self.held = [(*p[:3], 0, *p[4:]) for p in self.held + made if p[3] == filled]
+        self.full, self.used = self.full + filled, total % self.length
+        return done
+
+    def close(self) -> list[tuple]:
+        """Pieces of what is left, in sequences whose lengths are powers of two, the largest first."""
+        sizes = [1 << k for k in reversed(range(self.used.bit_length())) if self.used >> k & 1]
+        ends, out = np.cumsum(sizes).tolist(), []
+        for name, begin, n, _, offset, ids in self.held:
+            for k, (end, size) in enumerate(zip(ends, sizes, strict=True)):
+                a, b = max(offset, end - size), min(offset + len(ids), end)
+                if a < b:
+                    out.append((name, begin + a - offset, n, self.full + k, a - (end - size), ids[a - offset : b - offset]))
+        return out
+
+    def rows(self, pieces: list[tuple]) -> pa.RecordBatch:
+        names, start, n, sequence, offset, ids = zip(*pieces, strict=True) if pieces else [[]] * 6
+        numbers = np.array(sequence, np.int64) + (self.number << 32)
+        return batch(PIECES, names, start, n, numbers, offset, [len(x) for x in ids], [x.tobytes() for x in ids])
+
+
+def along_curve(tokens: DataFrame, ranges: int, length: int) -> DataFrame:
+    """The pieces of each range's line. Ties are sorted by id and row, so that equal texts fill no
+    range alone."""
 
     def run(batches):
-        before: dict[int, int] = {}
-        for part in batches:
-            number, sizes = part.column("range").to_numpy(), part.column("n").to_numpy()
-            starts = np.cumsum(sizes) - sizes
-            for k in np.unique(number).tolist():
-                own = number == k
-                starts[own] += before.get(k, 0) - starts[own][0]
-                before[k] = before.get(k, 0) + int(sizes[own].sum())
-            yield batch(schema, number, starts, *(part.column(c) for c in ("doc_id", "n", "ids")))
+        line = None
+        for part in slices(batches, "ids"):
+            number = part.column("range").to_numpy()
+            for rows in np.split(np.arange(len(part)), np.flatnonzero(np.diff(number)) + 1):
+                if len(rows):
+                    if line is None or line.number != number[rows[0]]:
+                        if line is not None:
+                            yield line.rows(line.close())
+                        line = Line(int(number[rows[0]]), length)
+                    yield line.rows(line.add(part.slice(rows[0], len(rows))))
+        if line is not None:
+            yield line.rows(line.close())
 
     sorted_ = tokens.repartitionById(ranges, "range").sortWithinPartitions("range", "place", "id", "row")
-    return sorted_.select("range", "doc_id", "n", "ids").mapInArrow(run, schema)
+    return sorted_.select("range", "doc_id", "n", "ids").mapInArrow(run, PIECES)
 
 
 def pieces(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
     """``doc_id, start, doc_tokens, sequence_id, offset, length, ids`` of each piece of a document.
 
-    Sequences have ``length`` tokens and are numbered along the curve; the last one alone may be
-    shorter. ``offset`` is a piece's place in its sequence, ``start`` the ids of its document
+    Sequences have ``length`` tokens, or a power of two at the end of a range; their ids rise along
+    the curve. ``offset`` is a piece's place in its sequence, ``start`` the ids of its document
     before it, and ``ids`` are its ids as little-endian unsigned 32-bit numbers. Each row of
     ``docs`` is a document: rows that repeat and rows without id have pieces of their own, and a
     null or empty text is its end id alone. An empty table has no pieces. Other columns are not
-    read.
+    read. Tokens are made once and shuffled once.
     """
     bounds = range_bounds(docs, path)
-    placed = written(along_curve(tokenised(docs, path, bounds), bounds.shape[1] + 1), "packing-ranges")
-    # one row for each range, however many documents there are
-    totals = placed.groupBy("range").agg(F.max(F.col("before") + F.col("n")).alias("tokens"))
-    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select(F.col("range"), F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
-    lined = placed.join(F.broadcast(bases), "range").select("doc_id", (F.col("base") + F.col("before")).alias("first"), "n", "ids")
-    schema = "doc_id long, start long, doc_tokens long, sequence_id long, offset long, length long, ids binary"
-
-    def run(batches):
-        for part in batches:
-            first, n = part.column("first").to_numpy(), part.column("n").to_numpy()
-            pieces = (first + n - 1) // length - first // length + 1
-            doc = np.repeat(np.arange(len(part)), pieces)
-            number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            sequence = first[doc] // length + number
-            start = np.maximum(sequence * length, first[doc])
-            stop = np.minimum((sequence + 1) * length, first[doc] + n[doc])
-            data = part.column("ids")
-            wide = [
-                np.frombuffer(data[i].as_buffer(), "<u2", b - a, TOKENS_16 * a).astype(TOKENS).tobytes()
-                for i, a, b in zip(doc.tolist(), (start - first[doc]).tolist(), (stop - first[doc]).tolist(), strict=True)
-            ]
-            yield batch(schema, part.column("doc_id").take(pa.array(doc)), start - first[doc], n[doc], sequence, start % length, stop - start, wide)
-
-    return lined.mapInArrow(run, schema)
+    return along_curve(tokenised(docs, path, bounds), bounds.shape[1] + 1, length)
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
