@@ -2,9 +2,11 @@
 
 Rules count what a text holds. Texts that pass them are then compared within their language and
 source: the counts become five transformed numbers, whose centre and covariance come from the
-minimum covariance determinant: start from medians and quartiles, and repeat a concentration
-step, which refits mean and covariance on the ``KEPT_SHARE`` of texts that lie closest. Texts
-whose squared Mahalanobis distance exceeds ``LIMIT`` are rejected.
+minimum covariance determinant. From two starts, the medians with the quartiles and the mean with
+the covariance of all, a concentration step refits mean and covariance on the ``KEPT_SHARE`` of
+texts that lie closest, as long as that lessens the determinant; of the two, a group takes the
+estimate of the smaller determinant. Texts whose squared Mahalanobis distance exceeds ``LIMIT``
+are rejected.
 
 Numbers are whole 256ths and sums are whole numbers, so results don't depend on the order of
 rows. Each step sums by group and distance bin within the tasks, so a group that holds a third of
@@ -29,7 +31,9 @@ UNIT = 256
 FEATURES = ("size", "word", "symbols", "lines", "repeats")
 #: Spread below which a feature's differences are noise; added to its variance.
 LEAST_SPREAD = {"size": 0.3, "word": 0.1, "symbols": 0.15, "lines": 0.15, "repeats": 0.15}
-KEPT_SHARE, STEPS, BINS = 0.75, 3, 32
+KEPT_SHARE, BINS = 0.75, 32
+#: A step counts if it lessens the logarithm of the determinant by more.
+LEAST_GAIN = 1e-6
 
 
 def _chi_square(x: float, degrees: int) -> float:
@@ -123,7 +127,7 @@ def _features() -> list[Column]:
     return [F.round(v * UNIT).cast("long").alias(n) for n, v in values.items()]
 
 
-def _first_estimates(points: DataFrame) -> DataFrame:
+def _robust_start(points: DataFrame) -> DataFrame:
     """Centre and spread of each feature from its quartiles; ``w_ij`` whitens."""
     long = points.select("group", F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).alias("x")) for f in FEATURES])).alias("v"))
     counts = long.groupBy("group", F.col("v.f").alias("f"), F.col("v.x").alias("x")).agg(F.count("*").alias("n"))
@@ -155,11 +159,13 @@ def _distance() -> Column:
 
 
 def _whitening(moments: DataFrame) -> DataFrame:
-    """Inverse of the Cholesky factor of each group's covariance, from sums of features."""
+    """Inverse of the Cholesky factor of each covariance, from sums of features, and the logarithm
+    of the covariance's determinant."""
     n = F.col("n")
     mean = {f: F.col(f"s_{f}") / n / UNIT for f in FEATURES}
     frame = moments.select(
         "group",
+        "start",
         *[mean[f].alias(f"m_{f}") for f in FEATURES],
         *[
             (
@@ -182,7 +188,27 @@ def _whitening(moments: DataFrame) -> DataFrame:
             for k in range(j, i):
                 rest = rest - col("l", i, k) * col("w", k, j)
             frame = frame.withColumn(f"w_{i}{j}", rest / col("l", i, i))
-    return frame.select("group", *[f"m_{f}" for f in FEATURES], *[f"w_{i}{j}" for i in range(P) for j in range(i + 1)])
+    logdet = sum((2 * F.log(col("l", i, i)) for i in range(1, P)), 2 * F.log(col("l", 0, 0)))
+    return frame.select("group", "start", *ESTIMATE, logdet.alias("logdet"))
+
+
+#: Columns of an estimate: centre and whitening matrix.
+ESTIMATE = [*[f"m_{f}" for f in FEATURES], *[f"w_{i}{j}" for i in range(P) for j in range(i + 1)]]
+CROSSES = [(f, g) for i, f in enumerate(FEATURES) for g in FEATURES[: i + 1]]
+
+
+def _sums() -> list[Column]:
+    products = [F.sum(F.col(f) * F.col(g)).alias(f"s_{f}_{g}") for f, g in CROSSES]
+    return [F.count("*").alias("n"), *[F.sum(f).alias(f"s_{f}") for f in FEATURES], *products]
+
+
+def _starts(points: DataFrame) -> DataFrame:
+    """``group, start`` and the estimates that steps begin with, which any step betters."""
+    plain = _whitening(points.groupBy("group", F.lit(1).alias("start")).agg(*_sums()))
+    both = _robust_start(points).withColumn("start", F.lit(0)).select("group", "start", *ESTIMATE).unionByName(
+        plain.select("group", "start", *ESTIMATE)
+    )
+    return both.withColumns({"logdet": F.lit(math.inf), "moved": F.lit(True)})
 
 
 def _concentrated(points: DataFrame, estimates: DataFrame) -> DataFrame:
@@ -190,20 +216,30 @@ def _concentrated(points: DataFrame, estimates: DataFrame) -> DataFrame:
 
     Distances fall into bins, and whole bins are taken until they hold the share.
     """
-    crosses = [(f, g) for i, f in enumerate(FEATURES) for g in FEATURES[: i + 1]]
     near = points.join(estimates, "group").withColumn("bin", F.floor(F.log(_distance() + 1e-6) * BINS))
-    binned = near.groupBy("group", "bin").agg(
-        F.count("*").alias("n"),
-        *[F.sum(f).alias(f"s_{f}") for f in FEATURES],
-        *[F.sum(F.col(f) * F.col(g)).alias(f"s_{f}_{g}") for f, g in crosses],
-    )
-    by = Window.partitionBy("group")
+    binned = near.groupBy("group", "start", "bin").agg(*_sums())
+    by = Window.partitionBy("group", "start")
     upto = F.sum("n").over(by.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
     taken = binned.select("*", (upto - F.col("n")).alias("before"), F.sum("n").over(by).alias("all")).where(
         F.col("before") < F.ceil(KEPT_SHARE * F.col("all"))
     )
-    sums = ["n", *[f"s_{f}" for f in FEATURES], *[f"s_{f}_{g}" for f, g in crosses]]
-    return _whitening(taken.groupBy("group").agg(*[F.sum(c).alias(c) for c in sums]))
+    sums = ["n", *[f"s_{f}" for f in FEATURES], *[f"s_{f}_{g}" for f, g in CROSSES]]
+    return _whitening(taken.groupBy("group", "start").agg(*[F.sum(c).alias(c) for c in sums]))
+
+
+def estimated(points: DataFrame) -> DataFrame:
+    """``group`` and its estimate of the smaller determinant, from steps that go on in each group and
+    start as long as they lessen it."""
+    now = written(_starts(points), "quality-estimates")
+    while not now.where("moved").isEmpty():
+        step = _concentrated(points, now.where("moved").select("group", "start", *ESTIMATE))
+        new = step.select("group", "start", F.struct(*ESTIMATE, "logdet").alias("new"))
+        joined = now.join(new, ["group", "start"], "left")
+        better = F.coalesce(F.col("new.logdet") < F.col("logdet") - LEAST_GAIN, F.lit(False))
+        taken = [F.when(better, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in (*ESTIMATE, "logdet")]
+        now = written(joined.select("group", "start", *taken, better.alias("moved")), "quality-estimates")
+    chosen = F.min_by(F.struct(*ESTIMATE), F.struct("logdet", "start")).alias("e")
+    return now.groupBy("group").agg(chosen).select("group", "e.*")
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -219,9 +255,7 @@ def judged(docs: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     base = written(counted.select("*", failed.alias("base_failed"), *_features()), "quality-counts")
     points = base.where(~F.col("base_failed")).select("group", *FEATURES)
-    estimates = written(_first_estimates(points), "quality-estimates")
-    for _ in range(STEPS):
-        estimates = written(_concentrated(points, estimates), "quality-estimates")
+    estimates = estimated(points)
     distance = F.when(~F.col("base_failed"), _distance()).alias("distance")
     found = base.join(estimates, "group", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", distance
