@@ -720,6 +720,77 @@ def denovo_union(spark, sf):
     return D.unite_collections(customers, suppliers)
 
 
+def _written_lines(spark, path):
+    """Totals of the bulk text below a path: documents, requests after a file's first, and characters."""
+    lines = spark.read.text(path)
+    return lines.agg(
+        F.count_if(F.startswith("value", F.lit('{"index":{'))).alias("n_actions"),
+        F.count_if(F.startswith("value", F.lit('{"o_'))).alias("n_bodies"),
+        F.sum(F.length("value")).cast("long").alias("characters"),
+    )
+
+
+@query
+def bulk_written(spark, sf):
+    """Bulk text written, replaced and appended to, as read back."""
+    path = fresh_folder(spark, "bulk")
+    rows = _order_documents(spark, sf)
+    for replace in (True, True, False):
+        D.write_bulk(rows, path, "orders", "o_orderkey", block_size=100, num_shards=3, replace=replace)
+    return _written_lines(spark, path)
+
+
+@query
+def publish_saved(spark, sf):
+    """A saved table as bulk documents: without ids, appended to what is there."""
+    table, path = fresh_folder(spark, "saved"), fresh_folder(spark, "published")
+    D.write_table(_order_documents(spark, sf).withColumnRenamed("cust.key", "o_cust"), table)
+    for _ in range(2):
+        companions.publish_saved(spark, table, path, "exomes")
+    return _written_lines(spark, path)
+
+
+def _tab_lines(frame, *columns):
+    """A header and rows as lines of a delimited table; a missing value is NA."""
+    header = frame.sparkSession.range(1).select(F.lit("\t".join(name for name, _ in columns)).alias("value"))
+    cells = [F.coalesce(c.cast("string"), F.lit("NA")) for _, c in columns]
+    return header.union(frame.select(F.concat_ws("\t", *cells).alias("value")))
+
+
+@query
+def constraint_from_text(spark, sf):
+    """The constraint table from delimited text, with types imputed and columns renamed."""
+    size = F.col("p_size")
+    lines = _tab_lines(
+        V.table(spark, sf, "part"),
+        ("gene", F.col("p_brand")), ("transcript", F.concat(F.lit("ENST"), "p_partkey")), ("obs_lof", size),
+        ("exp_lof", size / 4), ("oe_lof", F.when(size % 3 > 0, size / 8)), ("classic", size % 2 == 0),
+    )
+    path = V.written_text(lines, "constraint", one_file=True)
+    return companions.constraint_table(tables.read_table(spark, path, impute=True))
+
+
+@query
+def denovo_from_text(spark, sf):
+    """Two typed tables of text in one collection."""
+    first = _tab_lines(V.table(spark, sf, "supplier"), ("variant_id", F.col("s_name")), ("key", F.col("s_suppkey")), ("confidence", F.col("s_nationkey")))
+    second = _tab_lines(
+        V.table(spark, sf, "customer"), ("variant_id", F.col("c_name")), ("key", F.col("c_custkey")), ("study", F.col("c_mktsegment")),
+    )
+    return companions.denovo_table(spark, V.written_text(first, "denovo", one_file=True), V.written_text(second, "denovo", one_file=True))
+
+
+@query
+def medians_from_text(spark, sf):
+    """The ready-made table of medians per tissue, from delimited text."""
+    size = F.col("p_size")
+    lines = _tab_lines(
+        V.table(spark, sf, "part"), ("transcript_id", F.concat(F.lit("ENST"), "p_partkey")), ("gene_id", F.concat(F.lit("ENSG"), F.col("p_partkey") % 97)),
+        ("liver", size / 4), ("lung", F.when(size % 5 > 0, size / 2)),
+    )
+    return companions.expression_medians(spark, V.written_text(lines, "medians", one_file=True))
+
+
 # --- text sources
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from locusmill.functions import genotypes as G
+from locusmill.operators.lookups import broadcast_if_bounded
 from locusmill.vocabulary import LABEL_ORDER, POPULATIONS, PROBAND_LABEL, QUALITY_GROUPS, SEX_LABELS
 
 STATS = ["AC", "AN", "AF", "nhomalt"]
@@ -171,10 +172,10 @@ def frequencies_by_group(entries: DataFrame, keys: list[str], groups: DataFrame)
     cells = sums(counted, *keys, "adj", "pop", "proband", "sex")
     dealt = sums(cells.select(*keys, F.explode(_tags(F.col("adj"))).alias("tag"), *stats), *keys, "tag")
     by_tag = dealt.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("tag", F.struct(*stats)))).alias("by_tag"))
-    # all groups as one row, which every variant needs anyway: its result has a row for each
-    listed = groups.agg(F.array_sort(F.collect_list(F.struct("idx", "tag"))).alias("groups"))
-    found = by_tag.join(F.broadcast(listed)).select(*keys, "by_tag", F.explode("groups").alias("g")).select(
-        *keys, "g.idx", "g.tag", F.col("by_tag")[F.col("g.tag")].alias("f")
+    # every variant has a row for each group; groups are numbered from 0, and looked up by number
+    numbers = F.sequence(F.lit(0), F.lit(groups.count() - 1))
+    found = by_tag.select(*keys, "by_tag", F.explode(numbers).alias("idx")).join(broadcast_if_bounded(groups.select("idx", "tag")), "idx").select(
+        *keys, "idx", "tag", F.col("by_tag")[F.col("tag")].alias("f")
     )
     zero = lambda c: F.coalesce(F.col(f"f.{c}"), F.lit(0)).cast("long")
     return found.select(*keys, "idx", "tag", *[zero(c).alias(c) for c in stats]).select(

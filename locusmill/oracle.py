@@ -533,6 +533,17 @@ ORACLE["merge_rejects_update"] = _with(MERGE) + "SELECT id, 'missing' AS reason,
 ORACLE["denovo_union"] = """SELECT c_custkey AS key, c_name AS variant_id, c_mktsegment AS study, NULL::INTEGER AS confidence FROM customer
 UNION ALL SELECT s_suppkey, s_name, NULL, s_nationkey FROM supplier"""
 
+_WRITTEN = """SELECT {times} * count(*) AS n_actions, {times} * count(*) AS n_bodies, ({times} * sum(length(action) + length(body)))::BIGINT AS characters FROM (
+  SELECT '{{"index":{{"_index":"{index}"{id}}}}}' AS action, '{{"o_orderkey":' || o_orderkey || ',"{cust}":' || o_custkey || coalesce(',"o_orderstatus":"' || st || '"', '') || ',"o_orderpriority":"' || pr || '"}}' AS body
+  FROM (SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 5 > 0 THEN o_orderstatus END AS st, o_orderpriority AS pr FROM orders))"""
+ORACLE["bulk_written"] = _WRITTEN.format(times=2, index="orders", id=""","_id":"' || o_orderkey || '\"""", cust="cust_key")
+ORACLE["publish_saved"] = _WRITTEN.format(times=2, index="exomes", id="", cust="o_cust")
+ORACLE["constraint_from_text"] = """SELECT 'ENST' || p_partkey AS transcript, p_size AS obs_lof, p_size / 4 AS exp_lof, CASE WHEN p_size % 3 > 0 THEN p_size / 8 END AS oe_lof,
+  p_size % 2 = 0 AS classic, p_brand AS gene_name, 'ENST' || p_partkey AS transcript_id FROM part"""
+ORACLE["denovo_from_text"] = """SELECT s_name AS variant_id, s_suppkey AS key, s_nationkey AS confidence, NULL::VARCHAR AS study FROM supplier
+UNION ALL SELECT c_name, c_custkey, NULL, c_mktsegment FROM customer"""
+ORACLE["medians_from_text"] = """SELECT 'ENST' || p_partkey AS transcriptId, 'ENSG' || (p_partkey % 97) AS geneId, p_size / 4 AS liver, CASE WHEN p_size % 5 > 0 THEN p_size / 2 END AS lung FROM part"""
+
 # --- text sources
 VCF = f"""vcf AS (SELECT l_partkey AS key, CAST(floor(l_quantity) AS BIGINT) AS q, CAST(floor(l_extendedprice) AS BIGINT) AS ep,
   {_contig('l_partkey')} AS contig, l_partkey * 10 + 1000 AS position, {_nested(V.KINDS)}[CAST(floor(l_quantity) AS BIGINT) % 6 + 1] AS alleles FROM lineitem),

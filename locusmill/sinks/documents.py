@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,23 +67,46 @@ def write_bulk(
     num_shards: int = 10,
     replace: bool = True,
     dot: str | None = "_",
+    file_records: int = 500_000,
 ) -> None:
-    """Write bulk text, ``block_size`` documents per file at most.
+    """Write bulk text: requests of ``block_size`` documents at most, an empty line between them.
 
     The shard is a folder that rows are routed to by hash, not a task: writing stays as parallel
-    as the input even with one shard.
+    as the input even with one shard. ``file_records`` bounds the documents of a file, so files
+    have a size of their own, however small the requests. A new file starts a new request.
     """
     documents = bulk_documents(rows, collection, id_column, mode, dot)
-    shard = F.pmod(F.xxhash64(F.coalesce("id", "body")), F.lit(num_shards)).alias("shard")
+    shard = F.pmod(F.xxhash64(F.coalesce("id", "body")), F.lit(num_shards)).cast("int").alias("shard")
     lines = documents.select(shard, F.concat_ws("\n", "action", "body").alias("value"))
     (
-        lines.write.mode("overwrite" if replace else "append")
-        .option("maxRecordsPerFile", block_size)
+        lines.mapInArrow(request_blocks(block_size, file_records), "shard int, value string")
+        .write.mode("overwrite" if replace else "append")
+        .option("maxRecordsPerFile", file_records)
         .partitionBy("shard")
         .text(path)
     )
 
 
+def request_blocks(block_size: int, file_records: int):
+    """A function for mapInArrow over ``shard, value`` rows: an empty line goes before the first
+    document of each request but the first of a file."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        written: dict[int, int] = {}
+        for part in batches:
+            shards, first = part.column("shard").to_numpy(), np.zeros(len(part), bool)
+            for shard in np.unique(shards).tolist():
+                own = np.flatnonzero(shards == shard)
+                place = (written.get(shard, 0) + np.arange(len(own))) % file_records
+                first[own] = (place % block_size == 0) & (place > 0)
+                written[shard] = written.get(shard, 0) + len(own)
+            marks = pc.if_else(pa.array(first), "\n", "")
+            values = pc.binary_join_element_wise(marks, part.column("value"), "")
+            yield pa.RecordBatch.from_arrays([part.column("shard"), values], names=["shard", "value"])
+
+    return run
+
+
 def unite_collections(first: DataFrame, *others: DataFrame) -> DataFrame:
     """Several sources in one collection; a missing column is NULL."""
     united = first

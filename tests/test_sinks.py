@@ -74,9 +74,11 @@ def test_bulk_files(spark, tmp_path):
     D.write_bulk(spark.read.parquet(table), str(path), "things", "id", block_size=10, num_shards=3)
     files = list(path.glob("shard=*/*.txt"))
     assert {f.parent.name for f in files} == {"shard=0", "shard=1", "shard=2"}
-    lines = [f.read_text().splitlines() for f in files]
-    assert max(len(x) for x in lines) <= 20 and sum(len(x) for x in lines) == 190
-    action, body = map(json.loads, lines[0][:2])
+    # requests of ten documents, an empty line between them, whatever the number of files
+    requests = [[block.splitlines() for block in f.read_text().removesuffix("\n").split("\n\n")] for f in files]
+    assert all(len(block) == 20 for blocks in requests for block in blocks[:-1]) and any(len(blocks) > 1 for blocks in requests)
+    assert all(0 < len(blocks[-1]) <= 20 for blocks in requests) and sum(len(b) for blocks in requests for b in blocks) == 190
+    action, body = map(json.loads, requests[0][0][:2])
     assert action["index"]["_index"] == "things" and body["name_x"] == f"n{action['index']['_id']}"
     # one shard is one folder, but not one task; publishing appends
     publish_saved(spark, table, str(tmp_path / "one"), "things", id_column="id")
@@ -84,6 +86,14 @@ def test_bulk_files(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "one")).count() == 380
 
 
+def test_a_new_file_starts_a_new_request(spark, tmp_path):
+    rows = spark.range(47).coalesce(1).selectExpr("id", "'x' AS name")
+    D.write_bulk(rows, str(tmp_path / "bulk"), "things", "id", block_size=4, num_shards=1, file_records=10)
+    texts = sorted((f.read_text() for f in (tmp_path / "bulk").glob("shard=*/*.txt")), key=len, reverse=True)
+    assert [[len(b.splitlines()) // 2 for b in t.removesuffix("\n").split("\n\n")] for t in texts] == [[4, 4, 2]] * 4 + [[4, 3]]
+    assert D.write_bulk(rows.limit(0), str(tmp_path / "none"), "things", "id") is None
+
+
 def test_unite(spark):
     first = spark.createDataFrame([(1, "a")], "x int, y string")
     second = spark.createDataFrame([(2, 0.5)], "x int, z double")
