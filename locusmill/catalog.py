@@ -495,7 +495,7 @@ def lof_flags_transcript(spark, sf):
 def vep_json_ingest(spark, sf):
     """Annotator JSON parsed, keyed by variant and joined to the split sites."""
     variants = C.split_sites(V.sites(spark, sf)).select(*KEYS, *L.VARIANT_KEYS)
-    vep = tables.vep_by_variant(V.annotator_output(spark, sf))
+    vep = V.annotator_output(spark, sf)
     return cohort_plan.annotate_consequences(variants, vep).select(
         *KEYS,
         F.col("vep.most_severe_consequence").alias("most_severe"),
@@ -570,7 +570,7 @@ def clin_sig_stars(spark, sf):
 
 
 def _clinical_table(spark, sf):
-    vep = tables.vep_by_variant(V.annotator_output(spark, sf))
+    vep = V.annotator_output(spark, sf)
     return companions.clinical_table(V.clinical_sites(spark, sf), vep)
 
 
@@ -697,6 +697,17 @@ for _mode in ("index", "create", "update", "upsert"):
     _merge(_mode)
 
 
+@query
+def merge_versions(spark, sf):
+    """A collection in buckets after two merges: one of a twentieth of the ids, one of new ids."""
+    existing, incoming = _collections(spark, sf)
+    path = fresh_folder(spark, "collection")
+    D.write_collection(existing, path, "id", buckets=8)
+    D.merge_collection(incoming.where("id % 20 = 1").select("id", "status"), path, "id", "update", ignore_errors=True)
+    D.merge_collection(incoming.where("id % 3 = 0").select("id", "part"), path, "id", "create", ignore_errors=True, order_by=["part"])
+    return D.read_collection(spark, path).select("id", "status", "cust", "part")
+
+
 @query
 def merge_rejects_create(spark, sf):
     return D.merge_rejects(*_collections(spark, sf), "id", "create")
@@ -1001,7 +1012,7 @@ def _cohort_variants(spark, sf):
         V.samples(spark, sf),
         reference.select(*L.VARIANT_KEYS, "rsid"),
         reference.select(*L.VARIANT_KEYS, *cohort_plan.PREDICTORS),
-        tables.vep_by_variant(V.annotator_output(spark, sf)),
+        V.annotator_output(spark, sf),
     )
 
 

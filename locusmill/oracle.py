@@ -544,6 +544,12 @@ ORACLE["denovo_from_text"] = """SELECT s_name AS variant_id, s_suppkey AS key, s
 UNION ALL SELECT c_name, c_custkey, NULL, c_mktsegment FROM customer"""
 ORACLE["medians_from_text"] = """SELECT 'ENST' || p_partkey AS transcriptId, 'ENSG' || (p_partkey % 97) AS geneId, p_size / 4 AS liver, CASE WHEN p_size % 5 > 0 THEN p_size / 2 END AS lung FROM part"""
 
+ORACLE["merge_versions"] = """WITH line AS (SELECT l_orderkey AS id, l_partkey AS part, CASE WHEN l_linenumber % 3 > 0 THEN l_linestatus END AS status FROM lineitem),
+last_status AS (SELECT id, status FROM line WHERE id % 20 = 1 QUALIFY row_number() OVER (PARTITION BY id ORDER BY status DESC NULLS LAST) = 1)
+SELECT o_orderkey AS id, CASE WHEN l.id IS NOT NULL THEN l.status ELSE o_orderstatus END AS status, o_custkey AS cust, NULL::BIGINT AS part
+FROM orders LEFT JOIN last_status l ON l.id = o_orderkey WHERE o_orderkey % 3 <> 0
+UNION ALL SELECT id, NULL, NULL, min(part) FROM line WHERE id % 3 = 0 GROUP BY id"""
+
 # --- text sources
 VCF = f"""vcf AS (SELECT l_partkey AS key, CAST(floor(l_quantity) AS BIGINT) AS q, CAST(floor(l_extendedprice) AS BIGINT) AS ep,
   {_contig('l_partkey')} AS contig, l_partkey * 10 + 1000 AS position, {_nested(V.KINDS)}[CAST(floor(l_quantity) AS BIGINT) % 6 + 1] AS alleles FROM lineitem),

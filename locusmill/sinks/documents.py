@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -218,3 +219,80 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
 
 def write_table(rows: DataFrame, path: str, replace: bool = True) -> None:
     rows.write.mode("overwrite" if replace else "append").parquet(path)
+
+
+#: Buckets of a collection, unless it says otherwise when it is made.
+BUCKETS = 64
+
+
+def _bucket(id_column: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(id_column).cast("string")), F.lit(buckets)).cast("int")
+
+
+def _newest(spark: SparkSession, path: str) -> dict[int, str | None] | None:
+    """Folder of each bucket in the newest version that was written whole; None without any."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/versions/*/_SUCCESS")
+    found = done.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(done) or []
+    versions = [str(f.getPath().getParent()) for f in found]
+    return {r.bucket: r.folder for r in spark.read.parquet(max(versions)).collect()} if versions else None
+
+
+def _write_version(spark: SparkSession, path: str, folders: dict[int, str | None]) -> None:
+    """A version is a small table of buckets and folders; readers see it once it is whole."""
+    rows = spark.createDataFrame(sorted(folders.items()), "bucket int, folder string").coalesce(1)
+    rows.write.parquet(f"{path}/versions/{time.time_ns():020d}")
+
+
+def _write_buckets(rows: DataFrame, path: str, id_column: str, buckets: int, touched: list[int]) -> dict[int, str | None]:
+    """Write the rows to a new folder, a file for each bucket, and name the folder of each touched bucket."""
+    folder = f"{path}/data/{uuid.uuid4().hex}"
+    dealt = rows.withColumn("_bucket", _bucket(id_column, buckets)).repartitionById(buckets, "_bucket")
+    dealt.write.partitionBy("_bucket").parquet(folder)
+    spark = rows.sparkSession
+    # a bucket that lost its last row has no folder; the driver gets at most one row for each bucket
+    filled = {r[0] for r in spark.read.parquet(folder).select("_bucket").distinct().collect()} if touched else set()
+    return {b: f"{folder}/_bucket={b}" if b in filled else None for b in touched}
+
+
+def write_collection(rows: DataFrame, path: str, id_column: str, buckets: int = BUCKETS) -> None:
+    """Start a collection of documents by id below ``path``, dealt to buckets by a hash of the id."""
+    _write_version(rows.sparkSession, path, _write_buckets(rows, path, id_column, buckets, list(range(buckets))))
+
+
+def merge_collection(
+    incoming: DataFrame, path: str, id_column: str, mode: str = "index", ignore_errors: bool = False, order_by: list[str] | None = None
+) -> DataFrame:
+    """Merge documents into a collection and return the rejects; see :func:`merge_documents`.
+
+    Only buckets that incoming ids fall into are read and written anew; the files of the others
+    stay as they are. Nothing is overwritten: readers see the old version until the new one is
+    whole, and a merge that fails leaves no version. Without ``ignore_errors`` rejects stop it.
+    """
+    spark = incoming.sparkSession
+    folders = _newest(spark, path)
+    if folders is None:
+        raise ValueError(f"no collection at {path}")
+    buckets = len(folders)
+    touched = sorted(r[0] for r in incoming.select(_bucket(id_column, buckets)).distinct().collect())
+    read = [folders[b] for b in touched if folders[b]]
+    some = next((f for f in folders.values() if f), None)
+    if some is None:
+        raise ValueError(f"the collection at {path} is empty")
+    existing = spark.read.option("mergeSchema", "true").parquet(*read) if read else spark.read.parquet(some).limit(0)
+    rejects = merge_rejects(existing, incoming, id_column, mode)
+    folder = f"{path}/rejects/{uuid.uuid4().hex}"
+    write_table(rejects, folder)
+    rejects = spark.read.schema(rejects.schema).parquet(folder)
+    if not ignore_errors and not rejects.isEmpty():
+        raise ValueError(f"{mode} refused documents of {path}; see {folder}")
+    merged = merge_documents(existing, incoming, id_column, mode, order_by)
+    _write_version(spark, path, folders | _write_buckets(merged, path, id_column, buckets, touched))
+    return rejects
+
+
+def read_collection(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of a collection that was written whole. Columns that came later are NULL elsewhere."""
+    folders = [f for f in (_newest(spark, path) or {}).values() if f]
+    if not folders:
+        raise ValueError(f"no documents at {path}")
+    return spark.read.option("mergeSchema", "true").parquet(*folders)

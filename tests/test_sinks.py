@@ -98,3 +98,38 @@ def test_unite(spark):
     first = spark.createDataFrame([(1, "a")], "x int, y string")
     second = spark.createDataFrame([(2, 0.5)], "x int, z double")
     assert sorted(map(tuple, D.unite_collections(first, second).collect())) == [(1, "a", None), (2, None, 0.5)]
+
+
+def files_of(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in (path / "data").rglob("*.parquet")}
+
+
+def test_a_merge_leaves_other_buckets_alone(spark, tmp_path):
+    path = tmp_path / "collection"
+    D.write_collection(spark.range(1000).selectExpr("id", "id * 2 AS v"), str(path), "id", buckets=64)
+    before = files_of(path)
+    some = spark.range(0, 1000, 100).selectExpr("id", "-id AS v")
+    assert D.merge_collection(some, str(path), "id", "update").count() == 0
+    after = files_of(path)
+    assert before.items() <= after.items() and 0 < len(after) - len(before) <= 10
+    rows = {r.id: r.v for r in D.read_collection(spark, str(path)).collect()}
+    assert rows == {i: -i if i % 100 == 0 else 2 * i for i in range(1000)}
+
+
+def test_collections_keep_versions_whole(spark, tmp_path):
+    path = str(tmp_path / "collection")
+    with pytest.raises(ValueError, match="no collection"):
+        D.merge_collection(spark.range(1), path, "id")
+    D.write_collection(spark.range(20).selectExpr("id", "'a' AS v"), path, "id", buckets=4)
+    new = spark.createDataFrame([(5, "x"), (50, "y"), (None, "z")], "id long, v string")
+    with pytest.raises(ValueError, match="refused"):
+        D.merge_collection(new, path, "id", "create")
+    assert D.read_collection(spark, path).count() == 20
+    rejects = D.merge_collection(new, path, "id", "create", ignore_errors=True)
+    assert [tuple(r) for r in rejects.collect()] == [(5, "exists", 1)]
+    assert D.read_collection(spark, path).count() == 22
+    # a column that comes later, and a merge of nothing
+    D.merge_collection(spark.createDataFrame([(3, 9)], "id long, n int"), path, "id", "upsert")
+    D.merge_collection(new.limit(0), path, "id")
+    rows = {r.id: (r.v, r.n) for r in D.read_collection(spark, path).collect()}
+    assert rows[3] == ("a", 9) and rows[4] == ("a", None) and len(rows) == 22
