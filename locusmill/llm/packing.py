@@ -35,6 +35,8 @@ PLACES, DIMENSIONS, BITS, SEED = 256, 4, 15, 13
 #: Bytes of text whose different words are encoded at once, words that one call of the library
 #: gets, and words whose ids are gathered at once: small arrays are used again, large ones cost more.
 AT_ONCE, WORDS_AT_ONCE, GATHERED = 32 << 20, 200, 1 << 16
+#: Ids whose texts are hashed into vectors at once.
+IDS_AT_ONCE = 1 << 18
 #: A full stop or comma behind a letter or digit that ends a word.
 TAIL = "([0-9A-Za-zß-öø-ÿ])[.,]$"
 #: Fixed value: the vocabulary's control string that stands between words encoded at once.
@@ -156,22 +158,36 @@ def hilbert_keys(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 
 @functools.lru_cache(maxsize=1)
-def _projection() -> np.ndarray:
-    return np.random.default_rng(SEED).normal(0, 1, (PLACES, DIMENSIONS))
+def _hashes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place and sign of each id in the hashed vector, and the matrix that projects it."""
+    h = mixed(np.arange(1 << 16, dtype=U64), SEED)
+    sign = np.where(h >> U64(63), 1.0, -1.0)
+    return (h % U64(PLACES)).astype(np.int32), sign, np.random.default_rng(SEED).normal(0, 1, (PLACES, DIMENSIONS))
+
+
+def _vectors(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The projected vector of each text."""
+    place, sign, projection = _hashes()
+    doc = np.repeat(np.arange(len(counts), dtype=np.int32) * PLACES, counts)
+    vectors = np.bincount(doc + place[ids], sign[ids], len(counts) * PLACES).reshape(len(counts), PLACES)
+    # common words shall not outweigh all others
+    vectors = np.sign(vectors) * np.sqrt(np.abs(vectors))
+    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+    return vectors @ projection
 
 
 def curve_places(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Place on the curve of each text, from its ids; the middle cell's for a text without any."""
     from math import erf
 
-    doc = np.repeat(np.arange(len(counts)), counts)
-    h = mixed(ids.astype(U64), SEED)
-    place, sign = (h % U64(PLACES)).astype(np.int64), np.where(h >> U64(63), 1.0, -1.0)
-    vectors = np.bincount(doc * PLACES + place, sign, len(counts) * PLACES).reshape(len(counts), PLACES)
-    # common words shall not outweigh all others
-    vectors = np.sign(vectors) * np.sqrt(np.abs(vectors))
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-    share = np.vectorize(lambda z: 0.5 + 0.5 * erf(z / 2**0.5), otypes=[float])(vectors @ _projection()) if len(counts) else np.zeros((0, DIMENSIONS))
+    ends = np.cumsum(counts)
+    found, first = [np.zeros((0, DIMENSIONS))], 0
+    while first < len(counts):
+        begin = ends[first] - counts[first]
+        last = max(first + 1, int(np.searchsorted(ends, begin + IDS_AT_ONCE, "right")))
+        found.append(_vectors(ids[begin : ends[last - 1]], counts[first:last]))
+        first = last
+    share = np.array([0.5 + 0.5 * erf(z / 2**0.5) for z in np.concatenate(found).reshape(-1).tolist()]).reshape(-1, DIMENSIONS)
     return hilbert_keys(np.minimum((share * (1 << BITS)).astype(np.int64), (1 << BITS) - 1))
 
 

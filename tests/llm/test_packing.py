@@ -94,6 +94,13 @@ def test_pieces_hold_every_id_once(spark, monkeypatch, least):
     assert packing.pieces(frame.limit(0), PATH).collect() == []
 
 
+def test_places_do_not_depend_on_what_is_hashed_at_once(monkeypatch):
+    ids, counts = packing.Encoder(PATH).run(pa.array(["a b c", "", "x " * 3000, None, "long words here"] * 9))
+    want = packing.curve_places(ids, counts).tolist()
+    monkeypatch.setattr(packing, "IDS_AT_ONCE", 10)
+    assert packing.curve_places(ids, counts).tolist() == want and packing.curve_places(ids[:0], counts[:0]).tolist() == []
+
+
 def test_like_texts_are_neighbours():
     rng = random.Random(1)
     words = [[f"{a}{i}" for i in range(40)] for a in ("red", "green", "blue")]
