@@ -279,6 +279,9 @@ def predicted(docs: DataFrame, langs: list[str], probabilities: np.ndarray, path
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text of ``documents``, learned from the three quarters that are not held out.
+
+    Null texts and texts without a letter are ``und`` with score 0; a null id is not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(checksum(F.col("doc_id")) % 4 == 2, F.lit(False))
     langs, probabilities = fit(docs.where(~held_out), model_path())

@@ -99,6 +99,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of ``documents`` without repeated passages, and its lines before and after; null stays null."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("before"), "text")
     n_lines = F.when(F.col("before").isNull(), 0).otherwise(F.size(_lines(F.col("before"))))
     left = F.when(F.col("text") == "", 0).otherwise(F.size(_lines(F.col("text"))))

@@ -322,6 +322,7 @@ def without_near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of ``documents`` by three-word shingles at 85 percent; see :func:`near_duplicates`."""
     return near_duplicates(table(spark, sf_dir, "documents"), 3, 85)
 
 

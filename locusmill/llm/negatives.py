@@ -267,6 +267,7 @@ def hard_negatives(
 
 
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of ``embeddings``, with the labels of every seventh row moved on."""
     label = F.col("label").cast("long")
     moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
     rows = table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")

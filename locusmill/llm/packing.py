@@ -349,5 +349,6 @@ def sequences(pieces: DataFrame) -> DataFrame:
 
 
 def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every whole text of ``documents`` in sequences of 4096 tokens, with a checksum of their ids."""
     found = pieces(table(spark, sf_dir, "documents"), vocabulary_path(), 4096)
     return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

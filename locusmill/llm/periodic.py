@@ -169,6 +169,7 @@ def _planted(doc_id: Column, text: Column) -> Column:
 
 
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every whole text of ``documents``, a tenth of them with a stretch repeated, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", _planted(F.col("doc_id"), F.col("text")).alias("text"))
     runs = periodic_runs(docs, 24, 3)
     zipped = F.arrays_zip("starts", "lengths", "periods")

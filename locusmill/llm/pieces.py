@@ -15,7 +15,6 @@ import hashlib
 import re
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from locusmill.llm.shared import batch, slices, table
@@ -232,4 +231,5 @@ def model_path() -> str:
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digests of the ids and decoding of every whole text of ``documents``; null counts as empty."""
     return digests(table(spark, sf_dir, "documents"), model_path())

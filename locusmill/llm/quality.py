@@ -264,4 +264,5 @@ def judged(docs: DataFrame) -> DataFrame:
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of every whole text of ``documents``; a null text has no words and fails."""
     return judged(table(spark, sf_dir, "documents"))

@@ -295,6 +295,9 @@ def production_model(spark: SparkSession, sf_dir: str) -> Model:
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text of ``documents``, learned from labels that are not held out.
+
+    Null and empty texts have the score of a text without words; a null id is not held out."""
     found = scored(table(spark, sf_dir, "documents"), production_model(spark, sf_dir))
     held_out = F.coalesce(checksum(F.col("doc_id")) % 5 == 0, F.lit(False))
     predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0)
