@@ -15,14 +15,17 @@ stands, so scoring sums one number a word, which tasks remember.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusmill.llm.shared import batch, checksum, sampled, slices, table, written
+from locusmill.llm.blobs import opened
+from locusmill.llm.shared import batch, checksum, fresh_folder, sampled, slices, table, written
 
 #: Words are read in lower case, without the marks around them.
 WORDS = re.compile(r"[^\W_]+|[^\w\s]")
@@ -32,9 +35,11 @@ BUCKETS, WIDTH = 1 << 20, 4
 SAMPLE_ROWS = 8_000
 #: The vectors' step is large, as their gradients are shares of a mean.
 STEPS, BATCH, VECTOR_STEP, SOFTMAX_STEP, SEED = 2_000, 64, 5_000.0, 0.1, 7
+#: Bags that the training task reads at once.
+BAGS_AT_ONCE = 256
 #: Chosen by cross-validation on labelled rows that are not held out.
 RARITY = 2 / 3
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def words_of(text: str) -> list[str]:
@@ -75,12 +80,16 @@ def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Bags:
-    """Labelled bags one after another: ``ends`` closes each one's ``buckets`` and ``shares``."""
+    """Labelled bags one after another: ``ends`` closes each one's ``buckets`` and ``shares``.
+
+    ``order`` is an order of the bags that does not depend on how they arrived.
+    """
 
     labels: np.ndarray
     ends: np.ndarray
     buckets: np.ndarray
     shares: np.ndarray
+    order: np.ndarray
 
     def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Buckets and shares of some bags, and the place in ``rows`` that each belongs to."""
@@ -90,24 +99,36 @@ class Bags:
         return self.buckets[at], self.shares[at], np.repeat(np.arange(len(rows)), sizes)
 
 
-def weighed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> tuple[Bags, np.ndarray]:
+def weighed(parts: Callable[[], Iterable[tuple[np.ndarray, ...]]]) -> tuple[Bags, np.ndarray]:
     """Bags with each bucket's share of its text, and the buckets' weights.
 
-    ``parts`` hold labels, sizes of bags, and their buckets and counts. A weight is the logarithm
-    of one text in how many has the bucket; one that all texts have tells nothing and weighs
-    nothing. Work goes part by part, and each part's counts make room for its shares.
+    ``parts`` gives, each time it is called, labels, digests of texts, sizes of bags, and their
+    buckets and counts, some bags at a time; so the bags are held once. A weight is the logarithm
+    of one text in how many has the bucket; one that all texts have tells nothing and weighs nothing.
     """
-    n = sum(len(p[0]) for p in parts)
-    texts = sum((np.bincount(p[2], minlength=BUCKETS) for p in parts), np.zeros(BUCKETS, np.int64))
+    n, total, texts = 0, 0, np.zeros(BUCKETS, np.int64)
+    for labels, _, _, buckets, _ in parts():
+        n, total = n + len(labels), total + len(buckets)
+        texts += np.bincount(buckets, minlength=BUCKETS)
     weight = np.log((n + 1) / (texts + 1)).astype(np.float32)
-    shares = []
-    for _, sizes, buckets, counts in parts:
+    all_buckets, shares, at = np.empty(total, np.int32), np.empty(total, np.float32), 0
+    rows: list[tuple[np.ndarray, ...]] = []
+    for labels, digests, sizes, buckets, counts in parts():
         share = counts * weight[buckets]
-        doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        total = np.maximum(np.bincount(doc, share, len(sizes)), 1e-9).astype(np.float32)
-        shares.append((share / total[doc]).astype(np.float32))
-    labels, sizes, buckets = (np.concatenate([p[k] for p in parts]) for k in range(3))
-    return Bags(labels, np.cumsum(sizes), buckets, np.concatenate(shares)), weight
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        own = slice(at, at + len(buckets))
+        all_buckets[own], shares[own] = buckets, share / np.maximum(np.bincount(doc, share, len(sizes)), 1e-9)[doc]
+        rows.append((labels, digests, sizes))
+        at += len(buckets)
+    labels, digests, sizes = (np.concatenate(c) for c in zip(*rows, strict=True)) if rows else [np.zeros(0, np.int64)] * 3
+    return Bags(labels, np.cumsum(sizes), all_buckets, shares, np.lexsort([labels, digests])), weight
+
+
+def seen_in(bags: Bags) -> np.ndarray:
+    """Whether each bucket is in any bag."""
+    seen = np.zeros(BUCKETS, bool)
+    seen[bags.buckets] = True
+    return seen
 
 
 class Network:
@@ -135,32 +156,28 @@ class Network:
         return np.stack(by_vector, 1), mean.T @ error, error.sum(0)
 
 
-def train(bags: Bags, own_order: np.ndarray | None = None) -> Network:
+def train(bags: Bags) -> Network:
     """Vectors and softmax, trained together by gradient descent on small batches of bags.
 
     Rows weigh by how rare their class is, to the power of ``RARITY``, so that a rare class counts
-    without outvoting the common one. Batches are drawn from ``own_order``, an order of the bags that does
-    not depend on how they arrived.
+    without outvoting the common one. Batches are drawn from the bags in their order.
     """
     net = Network(BUCKETS)
     classes = np.maximum(np.bincount(bags.labels, minlength=2), 1)
     row_weight = ((classes.sum() / classes) ** RARITY)[bags.labels]
     row_weight /= row_weight.mean()
     # only buckets that occur have gradients
-    seen = np.zeros(BUCKETS, bool)
-    seen[bags.buckets] = True
-    kept = np.flatnonzero(seen)
+    kept = np.flatnonzero(seen_in(bags))
     place = np.zeros(BUCKETS, np.int32)
     place[kept] = np.arange(len(kept))
-    own = Bags(bags.labels, bags.ends, place[bags.buckets], bags.shares)
     all_vectors, net.vectors = net.vectors, net.vectors[kept]
     rng, done = np.random.default_rng(SEED), 0
-    own_order = np.arange(len(bags.labels)) if own_order is None else own_order
     while done < STEPS:
-        order = own_order[rng.permutation(len(bags.labels))]
+        order = bags.order[rng.permutation(len(bags.labels))]
         for at in range(0, len(order), BATCH)[: STEPS - done]:
             rows, rate = order[at : at + BATCH], 1 - done / STEPS
-            vectors, softmax, bias = net.gradients(*own.take(rows), bags.labels[rows], row_weight[rows])
+            buckets, shares, doc = bags.take(rows)
+            vectors, softmax, bias = net.gradients(place[buckets], shares, doc, bags.labels[rows], row_weight[rows])
             net.vectors -= (VECTOR_STEP * rate * vectors).astype(np.float32)
             net.softmax -= (SOFTMAX_STEP * rate * softmax).astype(np.float32)
             net.bias -= (SOFTMAX_STEP * rate * bias).astype(np.float32)
@@ -170,15 +187,14 @@ def train(bags: Bags, own_order: np.ndarray | None = None) -> Network:
     return net
 
 
-def model_of(bags: Bags, weight: np.ndarray, own_order: np.ndarray | None = None) -> Model:
+def model_of(bags: Bags, weight: np.ndarray) -> Model:
     """The trained model; of bags of one class, or of none, a model that always says that class (none: 0)."""
     if len(np.unique(bags.labels)) < 2:
         constant = 40.0 if len(bags.labels) and bags.labels[0] else -40.0
         return Model(np.zeros(BUCKETS), np.zeros(BUCKETS), constant)
-    net = train(bags, own_order)
+    net = train(bags)
     # n-grams that the sample lacks say nothing, but belong to the mean
-    seen = np.zeros(BUCKETS, bool)
-    seen[bags.buckets] = True
+    seen = seen_in(bags)
     gain = weight * (net.vectors @ (net.softmax[:, 1] - net.softmax[:, 0])) * seen
     return Model(weight, gain, float(net.bias[1] - net.bias[0]))
 
@@ -195,26 +211,32 @@ def _bags(rows: DataFrame) -> DataFrame:
     return rows.select("toxic", F.xxhash64("text").alias("digest"), "text").mapInArrow(run, schema)
 
 
+def _stored(file: str) -> Iterator[tuple[np.ndarray, ...]]:
+    """Parts of a file of bags, as :func:`weighed` takes them."""
+    store, path = opened(file)
+    with store.open_input_file(path) as source:
+        for part in pq.ParquetFile(source).iter_batches(BAGS_AT_ONCE, use_threads=False):
+            lists = [part.column(c) for c in ("bucket", "times")]
+            sizes = lists[0].value_lengths().to_numpy(zero_copy_only=False)
+            yield part.column("toxic").to_numpy(), part.column("digest").to_numpy(), sizes, *(x.flatten().to_numpy() for x in lists)
+
+
 def _trained(bags: DataFrame) -> DataFrame:
-    """``weight, gain, constant`` of the model, made in one task from all bags of the sample."""
-    schema = "weight binary, gain binary, constant double"
+    """``weight, gain, constant`` of the model, made in one task from all bags of the sample.
+
+    The bags are a table in the shared folder, which the task reads twice, some bags at a time.
+    """
+    schema, spark = "weight binary, gain binary, constant double", bags.sparkSession
+    folder = fresh_folder(spark, "toxicity-bags")
+    bags.write.parquet(folder)
+    files = sorted(spark.read.schema(bags.schema).parquet(folder).inputFiles())
 
     def run(batches):
-        parts, digests = [], []
-        for part in batches:
-            lists = [part.column(c) for c in ("bucket", "times")]
-            sizes = lists[0].value_lengths().to_numpy(zero_copy_only=False)
-            # copies, so that the batch can go
-            parts.append((part.column("toxic").to_numpy(), sizes, *(x.flatten().to_numpy().copy() for x in lists)))
-            digests.append(part.column("digest").to_numpy())
-        if not parts:
-            return
-        bags, weight = weighed(parts)
-        parts.clear()
-        model = model_of(bags, weight, np.lexsort([bags.labels, np.concatenate(digests)]))
-        yield batch(schema, [model.weight.tobytes()], [model.gain.tobytes()], [model.constant])
+        for _ in batches:
+            model = model_of(*weighed(lambda: (part for file in files for part in _stored(file))))
+            yield batch(schema, [model.weight.tobytes()], [model.gain.tobytes()], [model.constant])
 
-    return bags.repartition(1).mapInArrow(run, schema)
+    return spark.range(0, 1, 1, 1).mapInArrow(run, schema)
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> Model:
@@ -232,10 +254,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> Model:
     texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text")
     # the sample is bounded by its own size, so it may be sent to all tasks
     rows = written(texts.join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
-    found = _trained(_bags(rows)).collect()
-    if not found:
-        return Model(np.zeros(BUCKETS), np.zeros(BUCKETS), -40.0)
-    return Model(np.frombuffer(found[0].weight, np.float32), np.frombuffer(found[0].gain, np.float32), found[0].constant)
+    found = _trained(_bags(rows)).first()
+    return Model(np.frombuffer(found.weight, np.float32), np.frombuffer(found.gain, np.float32), found.constant)
 
 
 class Scorer:

@@ -16,11 +16,11 @@ def small_bags(n=40, seed=3):
     rng = random.Random(seed)
     found = [toxicity.bag(" ".join(rng.choices(["stone", "river", "vexhollow", "vexhollows", "lamp"], k=5))) for _ in range(n)]
     labels = np.array([rng.randrange(2) for _ in range(n)])
-    parts = [found[: n // 3], found[n // 3 :]]
-    cut = np.split(labels, [n // 3])
-    return toxicity.weighed(
-        [(y, np.array([len(f[0]) for f in p]), *(np.concatenate(c) for c in zip(*p, strict=True))) for y, p in zip(cut, parts, strict=True)]
-    )
+    parts = []
+    for y, p in zip(np.split(labels, [n // 3]), (found[: n // 3], found[n // 3 :]), strict=True):
+        sizes = np.array([len(f[0]) for f in p])
+        parts.append((y, np.arange(len(p)) * 7 % 5, sizes, *(np.concatenate(c) for c in zip(*p, strict=True))))
+    return toxicity.weighed(lambda: parts)
 
 
 def test_ngrams_of_long_words_are_those_of_the_whole_word():
