@@ -95,11 +95,12 @@ def annotate_consequences(variants: DataFrame, vep: DataFrame) -> DataFrame:
     """The annotator's output for each variant; a repeated variant is taken once.
 
     ``vep`` is parsed output (with a column ``vep``), or the annotator's lines (``value``). Lines
-    are keyed and joined first, so that only those of variants that are there are parsed.
+    are keyed and joined first, so that only those of variants that are there are parsed. A line
+    is far longer than Spark's estimate for a string, so the join is a merge whatever that says.
     """
     if "vep" in vep.columns:
         return variant_lookup(variants, vep, ["vep"])
-    return parsed_vep(variants.join(vep_lines_by_variant(vep), VARIANT_KEYS, "left"))
+    return parsed_vep(variants.join(vep_lines_by_variant(vep).hint("merge"), VARIANT_KEYS, "left"))
 
 
 def export_projection(variants: DataFrame) -> DataFrame:

@@ -104,6 +104,19 @@ def test_results_do_not_depend_on_broadcast(spark, inputs):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("parsed", [False, True])
+def test_annotator_output_is_never_broadcast(spark, parsed):
+    """Spark estimates a line as a few bytes, so a plan that trusts it sends all lines through the driver."""
+    variants = spark.range(9).selectExpr("'chr1' AS contig", "cast(id AS int) AS position", "'A' AS ref", "'G' AS alt")
+    asked = "concat('{\"input\":\"chr1\\\\t', id, '\\\\t.\\\\tA\\\\tG\",\"most_severe_consequence\":\"stop_gained\"}') AS value"
+    lines = spark.range(6).selectExpr(asked)
+    annotated = P.annotate_consequences(variants, tables.vep_by_variant(lines) if parsed else lines)
+    plan = annotated._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    found = {r.position: r.vep and r.vep.most_severe_consequence for r in annotated.collect()}
+    assert found == {i: "stop_gained" if i < 6 else None for i in range(9)}
+
+
 def test_one_hot_site_and_sample(spark):
     """A third of all entries on one site: counts equal a plain count."""
     entries = spark.range(3000).selectExpr(
