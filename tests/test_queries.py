@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from locusmill import catalog
+from locusmill import catalog, views
 
 SF_DIR = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="test tables are not there")
@@ -48,3 +48,9 @@ def test_entry(spark):
     assert frame.count() == duckdb.sql(
         f"SELECT sum(CASE p_size % 6 WHEN 3 THEN 2 WHEN 4 THEN 2 ELSE 1 END) FROM '{SF_DIR}/part.parquet'"
     ).fetchall()[0][0]
+
+
+def test_tasks_of_slow_rows_do_not_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(views, "SLOW_ROWS", 100, raising=False)
+    orders = views.table(spark, "/root/testdata/sf0.001", "orders").count()
+    assert views.annotated_variants(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= orders / 100
