@@ -122,3 +122,12 @@ def test_entries_stored_by_one_job_meet_sites_read_by_a_later_one(spark, tmp_pat
     vcf.entry_rows(read(300), samples=[0]).write.parquet(str(tmp_path / "entries"))
     sites = vcf.site_rows(read(9000), {})
     assert sites.join(spark.read.parquet(str(tmp_path / "entries")), "site_id").count() == 1999
+
+
+@pytest.mark.parametrize("text", [b"a\n\nbc\n", "é\nüü\n\n".encode(), b"a\r\nb\rc\r\n", b"\xff\xfe\nq\n", b"\n"])
+def test_values_of_a_text_in_one_buffer(text):
+    plain = [line.removesuffix("\r") for line in text.decode("utf-8", "replace").split("\n")]
+    for n in range(text.count(b"\n") + 1):
+        found = ranges._values(text, n)
+        found.validate(full=True)
+        assert found.to_pylist() == plain[:n]
