@@ -54,3 +54,14 @@ def test_tasks_of_slow_rows_do_not_grow_with_the_table(spark, monkeypatch):
     monkeypatch.setattr(views, "SLOW_ROWS", 100, raising=False)
     orders = views.table(spark, "/root/testdata/sf0.001", "orders").count()
     assert views.annotated_variants(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= orders / 100
+
+
+def test_tasks_of_genotypes_do_not_grow_with_the_table(spark, monkeypatch):
+    """Their number follows the order lines; merged by bytes, a larger table meant longer tasks."""
+    usual = views.entries(spark, str(SF_DIR))
+    lines = views.table(spark, str(SF_DIR), "lineitem").count()
+    monkeypatch.setattr(views, "CELL_ROWS", lines // 30)
+    many = views.entries(spark, str(SF_DIR))
+    assert many.rdd.getNumPartitions() >= 30
+    plain = lambda f: sorted(map(str, f.collect()))
+    assert plain(many) == plain(usual)
