@@ -5,6 +5,9 @@ what it adds to the raw and to the high-quality counts, and one for its bin of e
 what it adds to the four selections of samples. All are summed by variant, kind and cell at once,
 map-side first. A variant has at most as many rows then as there are cells and bins, and a second
 aggregation deals the cells out to groups and puts the bins in place.
+
+With few samples there is nothing to sum before the shuffle, and the counter rows are several times
+the entries. The entries of a variant, which are as few as the samples, are then gathered instead.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ SELECTIONS = ["all", "alt", "all_adj", "alt_adj"]
 CALLS = 0
 MEASURE_KINDS = {"gq": 1, "dp": 2, "ab": 3}
 _SEXES = list(SEX_LABELS)
+#: Up to so many samples, a variant's entries are fewer than its cells and bins.
+FEW_SAMPLES = 32
 
 
 def _cell(pops: list[str]) -> Column:
@@ -50,11 +55,19 @@ def _row(kind: int, cell: Column, counters: list[Column]) -> Column:
     )
 
 
+def _calls() -> list[Column]:
+    gt = F.col("GT")
+    return [G.allele_count(gt, F.lit(1)), G.ploidy(gt), (gt["a0"] == 1) & (gt["a1"] == 1)]
+
+
+def _flags() -> tuple[Column, Column]:
+    """Whether an entry carries the alternate, and whether it is of high quality."""
+    return F.coalesce(G.is_non_ref(F.col("GT")), F.lit(False)), F.coalesce(F.col("adj"), F.lit(False))
+
+
 def _counter_rows(pops: list[str]) -> Column:
     """The rows of an entry; NULL where a measure has no bin."""
-    gt, adj = F.col("GT"), F.coalesce(F.col("adj"), F.lit(False))
-    alt = F.coalesce(G.is_non_ref(gt), F.lit(False))
-    calls = [G.allele_count(gt, F.lit(1)), G.ploidy(gt), (gt["a0"] == 1) & (gt["a1"] == 1)]
+    calls, (alt, adj) = _calls(), _flags()
     rows = [_row(CALLS, _cell(pops), [*calls, *[F.when(adj, c.cast("long")) for c in calls]])]
     selected = [F.lit(True), alt, adj, alt & adj]
     for measure, value in H.entry_measures().items():
@@ -63,12 +76,8 @@ def _counter_rows(pops: list[str]) -> Column:
     return F.array(*rows)
 
 
-def variant_statistics(entries: DataFrame, keys: list[str], pops: list[str]) -> DataFrame:
-    """``AC_/AN_/AF_/nhomalt_`` columns of every group, as :func:`frequencies_wide` gives them, and
-    the struct ``raw_qual_hists`` of :func:`quality_histograms`.
-
-    Needs ``GT, AD, DP, GQ, adj, pop, proband, sex`` on the entries, which are read once.
-    """
+def _summed(entries: DataFrame, keys: list[str], pops: list[str]) -> DataFrame:
+    """``_cells, _gq, _dp, _ab`` per variant: its counter rows, summed by cell and by bin."""
     rows = explode_computed(entries.select(*keys, _counter_rows(pops).alias("_rows")), F.col("_rows"), "r")
     summed = rows.groupBy(*keys, F.col("r.kind").alias("kind"), F.col("r.cell").alias("cell")).agg(
         *[F.sum(f"r.{v}").alias(v) for v in COUNTERS]
@@ -80,7 +89,37 @@ def variant_statistics(entries: DataFrame, keys: list[str], pops: list[str]) ->
         F.expr(f"map_from_entries(collect_list(CASE WHEN kind = {kind} THEN struct(cell, struct({selected})) END)) AS _{measure}")
         for measure, kind in MEASURE_KINDS.items()
     ]
-    gathered = summed.groupBy(*keys).agg(cells, *bins)
+    return summed.groupBy(*keys).agg(cells, *bins)
+
+
+def _listed(entries: DataFrame, keys: list[str], pops: list[str]) -> DataFrame:
+    """The same columns from a list of the variant's entries, with a cell for each entry."""
+    alt, adj = _flags()
+    entry = F.struct(
+        _cell(pops).cast("int").alias("cell"), *[c.cast("int").alias(name) for name, c in zip(COUNTS, _calls(), strict=True)],
+        alt.alias("alt"), adj.alias("adj"), *[H.bin_number(value, *H.MEASURES[m]).alias(m) for m, value in H.entry_measures().items()],
+    )
+    gathered = entries.select(*keys, entry.alias("e")).groupBy(*keys).agg(F.collect_list("e").alias("_entries"))
+    raw = [f"coalesce(cast(e.{s} AS bigint), 0L)" for s in COUNTS]
+    counters = ", ".join(f"{v} AS {name}" for v, name in zip([*raw, *[f"if(e.adj, {v}, 0L)" for v in raw]], COUNTERS, strict=True))
+    conditions = dict(zip(SELECTIONS, ("true", "e.alt", "e.adj", "e.alt AND e.adj"), strict=True))
+
+    def bins(m: str) -> str:
+        counts = ", ".join(f"cast(size(filter(_entries, e -> e.{m} = b AND {c})) AS bigint) AS `{name}`" for name, c in conditions.items())
+        found = f"array_distinct(filter(transform(_entries, e -> e.{m}), b -> b IS NOT NULL))"
+        return f"map_from_entries(transform({found}, b -> struct(b, struct({counts})))) AS _{m}"
+
+    return gathered.selectExpr(*keys, f"transform(_entries, e -> struct(e.cell, {counters})) AS _cells", *[bins(m) for m in MEASURE_KINDS])
+
+
+def variant_statistics(entries: DataFrame, keys: list[str], pops: list[str], few_samples: bool = False) -> DataFrame:
+    """``AC_/AN_/AF_/nhomalt_`` columns of every group, as :func:`frequencies_wide` gives them, and
+    the struct ``raw_qual_hists`` of :func:`quality_histograms`.
+
+    Needs ``GT, AD, DP, GQ, adj, pop, proband, sex`` on the entries, which are read once.
+    ``few_samples`` says that there are at most ``FEW_SAMPLES``, with one entry for each variant.
+    """
+    gathered = (_listed if few_samples else _summed)(entries, keys, pops)
     groups = _group_cells(pops)
     counted = gathered.select(
         *keys, F.expr(f"{H.dense_bundle()} AS raw_qual_hists"), *[F.expr(_group_sums(condition, tag)).alias(f"_{tag}") for tag, condition in groups.items()]

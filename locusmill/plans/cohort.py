@@ -16,7 +16,7 @@ from locusmill.operators.lookups import (
     variant_lookup,
 )
 from locusmill.operators.reshape import search_row
-from locusmill.operators.statistics import variant_statistics
+from locusmill.operators.statistics import FEW_SAMPLES, variant_statistics
 from locusmill.sinks.scratch import stored
 from locusmill.sources.tables import parsed_vep, read_table, vep_lines_by_variant
 from locusmill.sources.text import read_lines
@@ -67,7 +67,8 @@ def count_variants(cohort: C.Cohort, entries: DataFrame, pops: list[str]) -> Dat
     sites = (
         cohort.sites.transform(C.add_site_allele_data).transform(C.split_sites).transform(C.add_allele_type)
     )
-    counted = FQ.with_frequencies(sites, variant_statistics(entries, KEYS, pops), KEYS, "raw_qual_hists").withColumn(
+    few = cohort.samples.limit(FEW_SAMPLES + 1).count() <= FEW_SAMPLES
+    counted = FQ.with_frequencies(sites, variant_statistics(entries, KEYS, pops, few), KEYS, "raw_qual_hists").withColumn(
         "raw_qual_hists", F.coalesce("raw_qual_hists", H.empty_histograms(H.histogram_names()))
     )
     flat = [c for c in counted.columns if c not in sites.columns and c != "raw_qual_hists"]

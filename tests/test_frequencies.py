@@ -170,3 +170,21 @@ def test_fused_statistics_equal_frequencies_and_histograms(spark):
     assert len(fused) == wide.count() and variant_statistics(entries, KEYS, pops).columns == [*wide.columns, "raw_qual_hists"]
     plan = variant_statistics(entries, KEYS, pops)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Generate explode") == 1 and "Join" not in plan
+
+
+def test_few_samples_are_gathered_in_one_shuffle(spark):
+    """The same rows as from summed counters, and nothing but the entries is shuffled."""
+    calls, adj, depths = ["0/1", "1/1", "./.", "1", "0|1"], [True, False, None], [None, [0, 0], [5, 5], [None, 3], [9, 1]]
+    rows = [
+        (i // 5, 1, calls[i * 7 % 5], depths[i * 3 % 5], [None, 7, 100, 250][i % 4], [-1, 50, None, 101][i * 3 % 4], adj[i % 3],
+         ["afr", "xyz", None][i * 5 % 3], ["Yes", "No", None][i * 2 % 3], ["M", "F", None][i * 4 % 3])
+        for i in range(200)
+    ]
+    schema = "site_id int, a_index int, t string, AD array<int>, DP int, GQ int, adj boolean, pop string, proband string, sex string"
+    entries = spark.createDataFrame(rows, schema).withColumn("GT", G.parse_call(F.col("t")))
+    summed, listed = (variant_statistics(entries, KEYS, ["afr"], few) for few in (False, True))
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Generate" not in plan
+    assert listed.schema == summed.schema
+    ordered = lambda f: sorted((r.asDict(True) for r in f.collect()), key=lambda r: r["site_id"])
+    assert ordered(listed) == ordered(summed)
