@@ -65,3 +65,10 @@ def test_tasks_of_genotypes_do_not_grow_with_the_table(spark, monkeypatch):
     assert many.rdd.getNumPartitions() >= 30
     plain = lambda f: sorted(map(str, f.collect()))
     assert plain(many) == plain(usual)
+
+
+def test_tasks_that_count_histogram_bins_follow_the_order_lines(spark, monkeypatch):
+    """The split and the lookup of samples keep the tasks of the genotypes, in which bins are counted first."""
+    lines = views.table(spark, str(SF_DIR), "lineitem").count()
+    monkeypatch.setattr(views, "CELL_ROWS", lines // 30, raising=False)
+    assert catalog._entries(spark, str(SF_DIR)).rdd.getNumPartitions() >= 30
