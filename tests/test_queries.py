@@ -72,3 +72,14 @@ def test_tasks_that_count_histogram_bins_follow_the_order_lines(spark, monkeypat
     lines = views.table(spark, str(SF_DIR), "lineitem").count()
     monkeypatch.setattr(views, "CELL_ROWS", lines // 30, raising=False)
     assert catalog._entries(spark, str(SF_DIR)).rdd.getNumPartitions() >= 30
+
+
+def test_entries_are_not_sorted_to_look_up_many_samples(spark, monkeypatch, capsys):
+    usual = catalog._entries(spark, str(SF_DIR))
+    monkeypatch.setattr(views, "MANY_SAMPLES", 10, raising=False)
+    hashed = catalog._entries(spark, str(SF_DIR))
+    hashed.explain()
+    lookup = next(line for line in capsys.readouterr().out.splitlines() if "Join [s#" in line)
+    assert "ShuffledHashJoin" in lookup and "LeftOuter" in lookup
+    plain = lambda f: sorted(map(str, f.collect()))
+    assert plain(hashed) == plain(usual)
