@@ -41,13 +41,18 @@ def histogram_names(with_calls: bool = True, with_adj: bool = True, measures=("g
     return names + ([f"{n}_adj" for n in names] if with_adj else [])
 
 
-def entry_measures(with_calls: bool = True, measures=("gq", "dp", "ab")) -> dict[str, Column]:
+def measured(gt: Column, ad: Column, dp: Column, gq: Column) -> dict[str, Column]:
     """The measured values of an entry; the balance of het calls alone."""
-    values = {"gq": F.col("GQ"), "dp": F.col("DP")}
-    if with_calls:
-        depths = [F.coalesce(F.get("AD", F.lit(i)), F.lit(0)) for i in (0, 1)]
-        ratio = F.try_divide(F.get("AD", F.lit(1)), depths[0] + depths[1])
-        values["ab"] = F.when(G.is_het(F.col("GT")), ratio)
+    depths = [F.coalesce(F.get(ad, F.lit(i)), F.lit(0)) for i in (0, 1)]
+    ratio = F.try_divide(F.get(ad, F.lit(1)), depths[0] + depths[1])
+    return {"gq": gq, "dp": dp, "ab": F.when(G.is_het(gt), ratio)}
+
+
+def entry_measures(with_calls: bool = True, measures=("gq", "dp", "ab")) -> dict[str, Column]:
+    """The measured values by the names of the entry's fields, for those that there are."""
+    if not with_calls:
+        return {m: F.col(m.upper()) for m in measures if m != "ab"}
+    values = measured(*[F.col(c) for c in ("GT", "AD", "DP", "GQ")])
     return {m: values[m] for m in measures if m in values}
 
 
@@ -135,9 +140,9 @@ def _bundle(names: list[str], counts) -> str:
     return "named_struct(" + ", ".join(f"'{n}', {histogram(n)}" for n in names) + ")"
 
 
-def dense_bundle() -> str:
-    """SQL of the whole bundle from the maps ``_gq``, ``_dp`` and ``_ab`` of bins."""
-    return _bundle(histogram_names(), _dense)
+def bundle(counts) -> str:
+    """SQL of the whole bundle; ``counts`` gives the SQL of bins, smaller and larger by name."""
+    return _bundle(histogram_names(), counts)
 
 
 def _dense(name: str) -> tuple[str, str, str]:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusmill.operators import cohort as C
 from locusmill.operators import frequencies as FQ
 from locusmill.operators import histograms as H
+from locusmill.operators import statistics as S
 from locusmill.operators.lookups import (
     VARIANT_KEYS,
     broadcast_if_bounded,
@@ -16,7 +19,6 @@ from locusmill.operators.lookups import (
     variant_lookup,
 )
 from locusmill.operators.reshape import search_row
-from locusmill.operators.statistics import FEW_SAMPLES, variant_statistics
 from locusmill.sinks.scratch import stored
 from locusmill.sources.tables import parsed_vep, read_table, vep_lines_by_variant
 from locusmill.sources.text import read_lines
@@ -57,21 +59,46 @@ def prepare_entries(cohort: C.Cohort) -> DataFrame:
     return C.add_sample_fields(slim, cohort.samples, ["pop", "proband", "sex"]).drop("s")
 
 
-def count_variants(cohort: C.Cohort, entries: DataFrame, pops: list[str]) -> DataFrame:
-    """Split sites with flat frequency fields in ``info`` and the histogram bundle.
+def mark_entries(cohort: C.Cohort, pops: list[str]) -> DataFrame:
+    """The mark of each split entry (see :mod:`locusmill.operators.statistics`), by variant.
 
-    Frequencies and histograms come from one aggregation of the entries, which ends partitioned by
-    variant, so the join back to the sites moves only the sites. Sites without entries keep their
-    row with zero counts.
+    An entry is a few numbers when its sample's cell joins it: where samples are too many to be
+    sent to all tasks, that join shuffles the entries.
     """
-    sites = (
-        cohort.sites.transform(C.add_site_allele_data).transform(C.split_sites).transform(C.add_allele_type)
-    )
-    few = cohort.samples.limit(FEW_SAMPLES + 1).count() <= FEW_SAMPLES
-    counted = FQ.with_frequencies(sites, variant_statistics(entries, KEYS, pops, few), KEYS, "raw_qual_hists").withColumn(
-        "raw_qual_hists", F.coalesce("raw_qual_hists", H.empty_histograms(H.histogram_names()))
-    )
-    flat = [c for c in counted.columns if c not in sites.columns and c != "raw_qual_hists"]
+    flagged = C.add_high_quality(C.split_entries(cohort.entries))
+    marks = flagged.select(*KEYS, "s", S.entry_mark(F.col("GT"), F.col("adj"), H.entry_measures()).alias("mark"))
+    cells = cohort.samples.select("s", S.cell_number(pops).alias("cell"))
+    return C.add_sample_fields(marks, cells, ["cell"]).select(*KEYS, S.in_cell(F.col("mark"), F.col("cell"), pops).alias("mark"))
+
+
+def _split(sites: DataFrame) -> DataFrame:
+    return sites.transform(C.add_site_allele_data).transform(C.split_sites).transform(C.add_allele_type)
+
+
+def gather_variants(cohort: C.Cohort, marked: DataFrame, pops: list[str]) -> DataFrame:
+    """Split sites with ``_marks``, the list of their entries' marks; NULL for sites without entries.
+
+    The entries end partitioned by variant, so the join back to the sites moves only the sites.
+    """
+    few = cohort.samples.limit(S.FEW_SAMPLES + 1).count() <= S.FEW_SAMPLES
+    return _split(cohort.sites).join(S.gathered_marks(marked, KEYS, pops, few), KEYS, "left")
+
+
+def gather_wide(cohort: C.Cohort, pops: list[str]) -> DataFrame:
+    """The same from sites that have their few entries beside them: all in the row, no shuffle."""
+    cells = {r.s: r.cell for r in cohort.samples.select("s", S.cell_number(pops).alias("cell")).collect()}
+    split = C.split_wide(_split(cohort.wide), len(cohort.wide_samples))
+    return S.wide_marks(split, cohort.wide_samples, cells, pops)
+
+
+def count_variants(gathered: DataFrame, pops: list[str], n_marks: int | None = None) -> DataFrame:
+    """Flat frequency fields in ``info`` and the histogram bundle, in place of ``_marks``.
+
+    Sites without entries have zero counts. The row grows to some kilobytes here, so nothing should
+    shuffle or sort it afterwards. ``n_marks`` is the number of samples where they are few.
+    """
+    flat = S.statistic_names(pops)
+    counted = S.with_statistics(gathered, pops, n_marks)
     return counted.withColumn("info", _with_fields("info", counted, flat)).drop(*flat)
 
 
@@ -101,7 +128,8 @@ def annotate_consequences(variants: DataFrame, vep: DataFrame) -> DataFrame:
     """
     if "vep" in vep.columns:
         return variant_lookup(variants, vep, ["vep"])
-    return parsed_vep(variants.join(vep_lines_by_variant(vep).hint("merge"), VARIANT_KEYS, "left"))
+    lines = vep_lines_by_variant(vep, variants.schema["position"].dataType.simpleString())
+    return parsed_vep(variants.join(lines.hint("merge"), VARIANT_KEYS, "left"))
 
 
 def export_projection(variants: DataFrame) -> DataFrame:
@@ -132,8 +160,9 @@ def cohort_variants(
     """The whole product. ``sheet`` is ``s, pop, proband, sex``; ``requested`` lists samples to keep.
 
     ``pops`` names the population columns; by default those of the fixed list that the samples
-    have. With ``store`` the entries are written once to a new folder there and read back, so that a
-    lost executor does not parse text input again.
+    have. With ``store`` the marks of the entries are written once to a new folder there and read back,
+    so that a lost executor does not parse text input again. Variants carry these marks through the
+    lookups; their counts and histograms are made in the end.
     """
     if requested is not None:
         cohort = C.subset_cohort(cohort, requested)
@@ -141,12 +170,16 @@ def cohort_variants(
     if pops is None:
         observed = FQ.observed_values(samples.where(F.col("pop").isin(POPULATIONS)))
         pops = [pop for pop in POPULATIONS if pop in observed]
-    entries = prepare_entries(C.Cohort(cohort.sites, cohort.entries, broadcast_if_bounded(samples)))
-    if store is not None:
-        entries = stored(entries, "entries", store)
-    counted = count_variants(cohort, entries, pops)
-    annotated = counted.transform(annotate_reference, rsids, predictors).transform(annotate_consequences, vep)
-    return annotated.transform(export_projection).transform(search_row)
+    if cohort.wide is not None:
+        gathered = gather_wide(replace(cohort, samples=samples), pops)
+        gathered = gathered if store is None else stored(gathered, "entries", store)
+    else:
+        marked = mark_entries(replace(cohort, samples=broadcast_if_bounded(samples)), pops)
+        marked = marked if store is None else stored(marked, "entries", store)
+        gathered = gather_variants(cohort, marked, pops)
+    annotated = gathered.transform(annotate_reference, rsids, predictors).transform(annotate_consequences, vep)
+    n_marks = None if cohort.wide is None else len(cohort.wide_samples)
+    return annotated.transform(count_variants, pops, n_marks).transform(export_projection).transform(search_row)
 
 
 def cohort_from_text(
@@ -175,7 +208,7 @@ def cohort_from_text(
     wanted = None if requested is None else read_table(spark, requested).select("s")
     cohort = read_cohort(
         read_lines(spark, calls, block_gzip, drop_matching), read_header(spark, calls, block_gzip), build,
-        skip_invalid_loci=skip_invalid_loci, dictionary=dictionary, requested=wanted,
+        skip_invalid_loci=skip_invalid_loci, dictionary=dictionary, requested=wanted, wide_up_to=S.FEW_SAMPLES,
     )
     people = sample_sheet(read_table(spark, sheet))
     notes = read_lines(spark, annotations)

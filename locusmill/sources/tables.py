@@ -181,14 +181,15 @@ def parse_vep(text: Column) -> Column:
     return F.from_json(text, VEP_SCHEMA)
 
 
-def vep_lines_by_variant(lines: DataFrame) -> DataFrame:
+def vep_lines_by_variant(lines: DataFrame, position: str = "int") -> DataFrame:
     """Annotator lines keyed by the variants they were asked about: one line for each variant.
 
     ``contig, position, ref, alt`` are in minimal representation, as split sites are; ``value`` is
     the line, and ``allele_num`` and ``n_alts`` say which of its alternates the variant is. The
     keys are read from the line's ``input`` (a VCF line) without parsing the rest, and of several
     lines for a variant the one with the smallest hash is taken. ``*`` is no variant. Lines that
-    are no annotator output give none; :func:`vep_rejects` has them.
+    are no annotator output give none; :func:`vep_rejects` has them. ``position`` is the type of
+    that key, which saves a join on another one its shuffle.
     """
     asked = computed_once(lines.select("value", F.split(F.get_json_object("value", "$.input"), "\t").alias("asked")), "asked")
     alts = F.split(F.get("asked", F.lit(4)), ",")
@@ -206,7 +207,7 @@ def vep_lines_by_variant(lines: DataFrame) -> DataFrame:
     )
     chosen = F.min_by(F.struct("value", "allele_num", "n_alts"), F.struct(F.xxhash64("value"), "allele_num")).alias("line")
     return (
-        trimmed.select("contig", "v.position", "v.ref", "v.alt", "value", "allele_num", "n_alts")
+        trimmed.select("contig", F.col("v.position").cast(position).alias("position"), "v.ref", "v.alt", "value", "allele_num", "n_alts")
         .groupBy("contig", "position", "ref", "alt").agg(chosen)
         .select("contig", "position", "ref", "alt", "line.value", "line.allele_num", "line.n_alts")
     )

@@ -72,6 +72,50 @@ def test_sample_subset(spark, inputs):
     assert (row.AN_raw, row.AC_adj.asDict()) == (4, {"amr": 1, "eur": 0})
 
 
+def _text_inputs(spark, tmp_path, inputs):
+    for name, content in (("c.vcf", VCF), ("s.tsv", SHEET), ("v.json", VEP + "\n")):
+        (tmp_path / name).write_text(content)
+    predictors = inputs[3]
+    sources = {name: name for name in P.PREDICTORS}
+    return [spark, str(tmp_path / "c.vcf"), str(tmp_path / "s.tsv"), inputs[2], predictors, str(tmp_path / "v.json")], {"block_gzip": False, "sources": sources}
+
+
+def test_few_samples_are_counted_in_the_line(spark, inputs, tmp_path, monkeypatch):
+    """Calls are read once and not shuffled by site; rows are those that gathered entries give."""
+    given, named = _text_inputs(spark, tmp_path, inputs)
+    table = P.cohort_from_text(*given, **named)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan line_ranges") == 2 and "hashpartitioning(site_id" not in plan
+    found = sorted(map(str, table.collect()))
+    assert len(found) == 3 and found == sorted(map(str, P.cohort_variants(*inputs).collect()))
+    kept = P.cohort_from_text(*given, **named, store=str(tmp_path / "kept"))
+    assert sorted(map(str, kept.collect())) == found
+    monkeypatch.setattr(P.S, "FEW_SAMPLES", 3)
+    assert sorted(map(str, P.cohort_from_text(*given, **named).collect())) == found
+
+
+def test_wide_calls_equal_entries(spark, tmp_path):
+    """Odd genotype texts and fields that a line lacks, in columns and in rows."""
+    calls = ["0/1:3,.:9:50", "1|2:0,4,5:.:7", "./1:1,2:12:.", ".", "2:.:30:99", "1/1", "0/0:20,0:101:100", "3/0:1,2,3,4:x:5", "", "0/1/1:5,5:10:30"]
+    lines = ["#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tA\tB\tC"]
+    for i in range(30):
+        own = [calls[(i * k + k) % len(calls)] for k in (1, 3, 7)][: 2 if i == 4 else 3]
+        form = ["GT:AD:DP:GQ", "GT:AD", "AD:GT:GQ"][i % 3]
+        lines.append("\t".join(["chr1", str(100 + i), ".", "A", ["G", "G,T", "*,T", "AC"][i % 4], ".", ".", ".", form, *own]))
+    (tmp_path / "c.vcf").write_text("\n".join(lines) + "\n")
+    path = str(tmp_path / "c.vcf")
+    cohort = vcf.read_cohort(text.read_lines(spark, path), vcf.read_header(spark, path), wide_up_to=3)
+    sheet = spark.createDataFrame([("A", "afr", "Yes", "F"), ("B", "xyz", "No", "M")], "s string, pop string, proband string, sex string")
+    keys = "contig string, position int, ref string, alt string, "
+    nothing = [spark.createDataFrame([], keys + t) for t in ("rsid string", ", ".join(f"{p} double" for p in P.PREDICTORS))]
+    vep = spark.createDataFrame([], "value string")
+    assert cohort.wide_samples == ["A", "B", "C"]
+    narrow = C.Cohort(cohort.sites, cohort.entries, cohort.samples)
+    wide, long = (P.cohort_variants(c, sheet, *nothing, vep) for c in (cohort, narrow))
+    assert wide.columns == long.columns and wide.count() == 38
+    assert sorted(map(str, wide.collect())) == sorted(map(str, long.collect()))
+
+
 def test_lookup_never_multiplies_rows(spark):
     keys = "contig string, position int, ref string, alt string"
     variants = spark.createDataFrame([("1", 1, "A", "C")] * 3 + [("1", 2, "A", "C")], keys)
