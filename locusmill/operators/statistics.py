@@ -251,7 +251,7 @@ def _bins(measure: str) -> str:
     """SQL of a list of counts by place of the bin."""
     zero = ", ".join(f"'{s}', 0L" for s in SELECTIONS)
     added = ", ".join(f"'{s}', a.{s} + {_added(c, 'e.n')}" for s, c in SELECTIONS.items())
-    return f"transform(sequence(0, {_ABOVE}), b -> aggregate(filter(_parts, e -> e.{measure} = b), named_struct({zero}), (a, e) -> named_struct({added})))"
+    return f"transform(sequence(0, {_BELOW}), b -> aggregate(filter(_parts, e -> e.{measure} = b), named_struct({zero}), (a, e) -> named_struct({added})))"
 
 
 def _sums(condition: str, tag: str) -> str:

@@ -188,3 +188,28 @@ def test_few_samples_are_gathered_in_one_shuffle(spark):
     assert listed.schema == summed.schema
     ordered = lambda f: sorted((r.asDict(True) for r in f.collect()), key=lambda r: r["site_id"])
     assert ordered(listed) == ordered(summed)
+
+
+def test_marks_of_many_entries(spark):
+    """Variants of fewer and of more entries than fit into words, many of them equal."""
+    import random
+
+    from locusmill.operators import statistics as S
+
+    draw = random.Random(5)
+    sizes = {0: 63, 1: 64, 2: 400, 3: 1}
+    rows = [
+        (site, 1, draw.choice(["0/1", "1/1", "0/0", "./.", "1"]), draw.choice([None, [3, 5], [0, 0], [8, None]]), draw.choice([None, 3, 99, 250]),
+         draw.choice([-1, 40, 100, 101]), draw.choice([True, False, None]), draw.choice(["afr", "xyz", None]), draw.choice(["Yes", "No"]), draw.choice(["M", "F", "U"]))
+        for site, n in sizes.items() for _ in range(n)
+    ]
+    rows += [(4, 1, "1/1", [0, 9], 30, 60, True, "afr", "Yes", "M")] * 100
+    schema = "site_id int, a_index int, t string, AD array<int>, DP int, GQ int, adj boolean, pop string, proband string, sex string"
+    entries = spark.createDataFrame(rows, schema).withColumn("GT", G.parse_call(F.col("t")))
+    found = {r.site_id: r.asDict(True) for r in variant_statistics(entries, KEYS, ["afr"]).collect()}
+    want = FQ.frequencies_wide(entries, KEYS, ["afr"]).join(H.quality_histograms(entries, KEYS), KEYS).collect()
+    assert found == {r.site_id: r.asDict(True) for r in want} and len(found) == 5
+    cell = S.cell_number(["afr"])
+    marked = entries.select(*KEYS, S.in_cell(S.entry_mark(F.col("GT"), F.col("adj"), H.entry_measures()), cell, ["afr"]).alias("mark"))
+    lists = {r.site_id: len(r._marks) for r in S.gathered_marks(marked, KEYS, ["afr"]).collect()}
+    assert lists[4] == 1 and lists[2] < 400

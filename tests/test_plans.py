@@ -116,6 +116,44 @@ def test_wide_calls_equal_entries(spark, tmp_path):
     assert sorted(map(str, wide.collect())) == sorted(map(str, long.collect()))
 
 
+def _nodes(node):
+    yield node
+    for i in range(node.children().size()):
+        yield from _nodes(node.children().apply(i))
+
+
+def test_variants_are_narrow_until_their_last_join(spark, inputs):
+    """Joins see neither histograms nor depths of genotypes, which were most of what was shuffled."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cohort, *others = inputs
+        table = P.cohort_variants(C.Cohort(cohort.sites, cohort.entries, cohort.samples), *others)
+        joins = [n for n in _nodes(table._jdf.queryExecution().sparkPlan()) if "Join" in n.nodeName()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    read = [n.left().output().mkString(" ") for n in joins]
+    assert any("_marks#" in columns for columns in read) and not any("raw_qual_hists#" in columns for columns in read)
+    assert [columns for columns in read if "mark#" in columns] and not any("AD#" in columns and "mark#" in columns for columns in read)
+
+
+def test_lookups_share_one_shuffle_of_the_variants(spark):
+    """Positions of another width are cast before references are grouped; the variants are shuffled once."""
+    keys = "contig string, position {}, ref string, alt string"
+    near, far = [("chr1", p, "A", "C") for p in (1, 2, 2)], [("chr1", p, "A", "C", p) for p in (2, 2**32 + 1, 3)]
+    line = VEP.replace("100\\t.\\tAT\\tA", "2\\t.\\tA\\tC")
+    lines = spark.createDataFrame([(line,)], "value string")
+    for own, other in (("int", "bigint"), ("bigint", "int")):
+        variants = spark.createDataFrame(near, keys.format(own))
+        reference = spark.createDataFrame([r for r in far if other == "bigint" or r[1] < 2**31], keys.format(other) + ", v bigint")
+        found = variant_lookup(variant_lookup(variants, reference, ["v"]), reference.withColumnRenamed("v", "w"), ["w"])
+        found = P.annotate_consequences(found, lines)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(contig") == 4
+        rows = sorted((r.position, r.v or 0, r.w or 0, r.vep is not None) for r in found.collect())
+        assert rows == [(1, 0, 0, False), (2, 2, 2, True), (2, 2, 2, True)]
+        assert found.schema["position"].dataType.simpleString() == own
+
+
 def test_lookup_never_multiplies_rows(spark):
     keys = "contig string, position int, ref string, alt string"
     variants = spark.createDataFrame([("1", 1, "A", "C")] * 3 + [("1", 2, "A", "C")], keys)
