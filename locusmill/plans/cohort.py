@@ -208,7 +208,7 @@ def cohort_from_text(
     wanted = None if requested is None else read_table(spark, requested).select("s")
     cohort = read_cohort(
         read_lines(spark, calls, block_gzip, drop_matching), read_header(spark, calls, block_gzip), build,
-        skip_invalid_loci=skip_invalid_loci, dictionary=dictionary, requested=wanted, wide_up_to=S.FEW_SAMPLES,
+        skip_invalid_loci=skip_invalid_loci, dictionary=dictionary, requested=wanted, wide_up_to=S.WIDE_SAMPLES,
     )
     people = sample_sheet(read_table(spark, sheet))
     notes = read_lines(spark, annotations)

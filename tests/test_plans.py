@@ -90,7 +90,7 @@ def test_few_samples_are_counted_in_the_line(spark, inputs, tmp_path, monkeypatc
     assert len(found) == 3 and found == sorted(map(str, P.cohort_variants(*inputs).collect()))
     kept = P.cohort_from_text(*given, **named, store=str(tmp_path / "kept"))
     assert sorted(map(str, kept.collect())) == found
-    monkeypatch.setattr(P.S, "FEW_SAMPLES", 3)
+    monkeypatch.setattr(P.S, "WIDE_SAMPLES", 3)
     assert sorted(map(str, P.cohort_from_text(*given, **named).collect())) == found
 
 
